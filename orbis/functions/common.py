@@ -8,3 +8,12 @@ from pyspark.sql import functions as F
 
 def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
+
+
+def let(value: Column, fn) -> Column:
+    """Bind ``value`` once and use it in ``fn`` as a lambda variable.
+
+    Catalyst may inline a staged column into every place that uses it; a
+    lambda variable is a reference, so the expression stays linear in size
+    and ``value`` is evaluated once per row."""
+    return F.get(F.transform(F.array(value), fn), 0)

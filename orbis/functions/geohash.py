@@ -16,10 +16,10 @@ one candidate length per expression -- no loop, no driver work.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orbis.functions.common import col_of
+from orbis.functions.common import col_of, let
 
 # The geohash alphabet, the digits conv() prints for base 32,
 # the longest cell and the shortest cell an index keeps.
@@ -84,31 +84,32 @@ def _grid(lo_i: Column, hi_i: Column, bits: int) -> tuple[Column, Column]:
     return F.shiftright(lo_i, s), F.shiftright(hi_i, s)
 
 
-def cover_length(env) -> Column:
-    """Cover length L* of a box ``struct<minx,miny,maxx,maxy>``."""
+def box_ints(env) -> Column:
+    """Box → its corner integers ``struct<x0,x1,y0,y1>`` (stage 1 of a cover)."""
     e = col_of(env)
-    x0, x1 = lon_int(e["minx"]), lon_int(e["maxx"])
-    y0, y1 = lat_int(e["miny"]), lat_int(e["maxy"])
+    return F.struct(lon_int(e["minx"]).alias("x0"), lon_int(e["maxx"]).alias("x1"),
+                    lat_int(e["miny"]).alias("y0"), lat_int(e["maxy"]).alias("y1"))
+
+
+def cover_length_of(ints) -> Column:
+    """Cover length L* from the corner integers (stage 2)."""
+    b = col_of(ints)
 
     def n(L: int) -> Column:
-        c0, c1 = _grid(x0, x1, lon_bits(L))
-        r0, r1 = _grid(y0, y1, lat_bits(L))
+        c0, c1 = _grid(b["x0"], b["x1"], lon_bits(L))
+        r0, r1 = _grid(b["y0"], b["y1"], lat_bits(L))
         return (c1 - c0 + 1) * (r1 - r0 + 1)
 
     n3 = n(MIN_CELL_LENGTH)
     picks = [F.when(n(L) <= n3, F.lit(L)).otherwise(F.lit(MIN_CELL_LENGTH))
-             for L in range(MIN_CELL_LENGTH, MAX_CELL_LENGTH + 1)]
-    return F.greatest(*picks)
+             for L in range(MIN_CELL_LENGTH + 1, MAX_CELL_LENGTH + 1)]
+    return F.greatest(F.lit(MIN_CELL_LENGTH), *picks)
 
 
-def cover(env) -> Column:
-    """``array<string>`` of the cells covering a box, all of length L*.
-
-    Null box (empty geometry) → null, so the row has no cells (Q9)."""
-    e = col_of(env)
-    L = cover_length(e)
-    x0, x1 = lon_int(e["minx"]), lon_int(e["maxx"])
-    y0, y1 = lat_int(e["miny"]), lat_int(e["maxy"])
+def cover_grid(ints, L) -> Column:
+    """Cell-grid ranges at length L: ``struct<c0,c1,r0,r1,fx,fy>``; fx, fy
+    turn a column/row number back into corner integers (stage 3)."""
+    b, L = col_of(ints), col_of(L)
 
     def at_length(f):
         out = None
@@ -117,16 +118,38 @@ def cover(env) -> Column:
             out = F.when(L == k, v) if out is None else out.when(L == k, v)
         return out
 
-    c0 = at_length(lambda k: F.shiftright(x0, BITS - lon_bits(k)))
-    c1 = at_length(lambda k: F.shiftright(x1, BITS - lon_bits(k)))
-    r0 = at_length(lambda k: F.shiftright(y0, BITS - lat_bits(k)))
-    r1 = at_length(lambda k: F.shiftright(y1, BITS - lat_bits(k)))
-    # multiply back to the cell's lower-left corner integers
-    fx = at_length(lambda k: F.lit(1 << (BITS - lon_bits(k))).cast("long"))
-    fy = at_length(lambda k: F.lit(1 << (BITS - lat_bits(k))).cast("long"))
-    cells = F.flatten(F.transform(
-        F.sequence(c0, c1),
+    return F.struct(
+        at_length(lambda k: F.shiftright(b["x0"], BITS - lon_bits(k))).alias("c0"),
+        at_length(lambda k: F.shiftright(b["x1"], BITS - lon_bits(k))).alias("c1"),
+        at_length(lambda k: F.shiftright(b["y0"], BITS - lat_bits(k))).alias("r0"),
+        at_length(lambda k: F.shiftright(b["y1"], BITS - lat_bits(k))).alias("r1"),
+        at_length(lambda k: F.lit(1 << (BITS - lon_bits(k))).cast("long")).alias("fx"),
+        at_length(lambda k: F.lit(1 << (BITS - lat_bits(k))).cast("long")).alias("fy"))
+
+
+def cover_cells(grid, L) -> Column:
+    """All cells of the grid ranges, each cut to length L (stage 4)."""
+    g, L = col_of(grid), col_of(L)
+    return F.flatten(F.transform(
+        F.sequence(g["c0"], g["c1"]),
         lambda c: F.transform(
-            F.sequence(r0, r1),
-            lambda r: F.left(geohash_from_ints(c * fx, r * fy), L))))
+            F.sequence(g["r0"], g["r1"]),
+            lambda r: F.left(geohash_from_ints(c * g["fx"], r * g["fy"]), L))))
+
+
+def cover(env) -> Column:
+    """the cells covering box column ``env``, all of length L* (the
+    longest L <= 12 with n(L) <= n(3)).  Null box (empty geometry) → null
+    (Q9).  Stages (corner integers → L* → grid → cells) are bound once each
+    with ``let``."""
+    e = col_of(env)
+    cells = let(box_ints(e), lambda b: let(
+        F.struct(b.alias("b"), cover_length_of(b).alias("L")),
+        lambda s: let(
+            F.struct(cover_grid(s["b"], s["L"]).alias("g"), s["L"].alias("L")),
+            lambda t: cover_cells(t["g"], t["L"]))))
     return F.when(e.isNotNull(), cells)
+
+
+def with_cover(df: DataFrame, env: str, out: str = "cells") -> DataFrame:
+    return df.withColumn(out, cover(env))

@@ -12,10 +12,10 @@ the engine, with no geometry library and no Python.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orbis.functions.common import col_of
+from orbis.functions.common import col_of, let
 
 PT_TYPE = "struct<x:double,y:double>"
 PART_TYPE = f"struct<t:string,pts:array<{PT_TYPE}>>"
@@ -140,12 +140,13 @@ def way_class(pts) -> Column:
 
 def envelope(parts) -> Column:
     """bounding box ``struct<minx,miny,maxx,maxy>``; null when empty."""
-    allp = F.flatten(F.transform(col_of(parts), lambda p: p["pts"]))
-    xs = F.transform(allp, lambda q: q["x"])
-    ys = F.transform(allp, lambda q: q["y"])
-    box = F.struct(F.array_min(xs).alias("minx"), F.array_min(ys).alias("miny"),
-                   F.array_max(xs).alias("maxx"), F.array_max(ys).alias("maxy"))
-    return F.when(F.size(allp) > 0, box)
+    def box(allp):
+        xs = F.transform(allp, lambda q: q["x"])
+        ys = F.transform(allp, lambda q: q["y"])
+        return F.when(F.size(allp) > 0, F.struct(
+            F.array_min(xs).alias("minx"), F.array_min(ys).alias("miny"),
+            F.array_max(xs).alias("maxx"), F.array_max(ys).alias("maxy")))
+    return let(F.flatten(F.transform(col_of(parts), lambda p: p["pts"])), box)
 
 
 def envelope_wkt(env) -> Column:
@@ -176,12 +177,10 @@ def _segments(pts: Column) -> Column:
                       lambda p, q: F.struct(p.alias("p"), q.alias("q")))
 
 
-def _part_sums(pt: Column) -> Column:
-    """Area, line and point sums of one part (JTS-style centroid terms:
+def _segment_sums(pts) -> Column:
+    """Area, line sums of one part's segments (JTS-style centroid terms:
     triangle fan from the first point, length-weighted segment midpoints)."""
-    pts = pt["pts"]
     b = F.get(pts, 0)
-    t = pt["t"]
 
     def step(acc, s):
         p, q = s["p"], s["q"]
@@ -194,18 +193,23 @@ def _part_sums(pt: Column) -> Column:
             (acc["cy"] + a2 * (b["y"] + p["y"] + q["y"])).alias("cy"),
             (acc["len"] + ln).alias("len"),
             (acc["lx"] + ln * (p["x"] + q["x"]) / 2).alias("lx"),
-            (acc["ly"] + ln * (p["y"] + q["y"]) / 2).alias("ly"),
-            acc["pn"].alias("pn"), acc["px"].alias("px"), acc["py"].alias("py"))
+            (acc["ly"] + ln * (p["y"] + q["y"]) / 2).alias("ly"))
 
-    raw = F.aggregate(_segments(pts), _zero_sums(), step)
-    # shells count positive area, holes negative, whatever the ring direction
-    sign = (F.when(t == "pl", F.signum(raw["a"])).when(t == "h", -F.signum(raw["a"]))
+    zero = F.struct(*[F.lit(0.0).alias(n) for n in ("a", "cx", "cy", "len", "lx", "ly")])
+    return F.aggregate(_segments(pts), zero, step)
+
+
+def _normalised(e) -> Column:
+    """Per-part sums with the area sign fixed: shells count positive, holes
+    negative, whatever the ring direction; a point (or a line of length 0)
+    contributes its first point."""
+    s, t, b = e["s"], e["t"], e["b"]
+    sign = (F.when(t == "pl", F.signum(s["a"])).when(t == "h", -F.signum(s["a"]))
             .otherwise(F.lit(0.0)))
-    is_pt = (t == "p") | (raw["len"] == 0)
+    is_pt = (t == "p") | (s["len"] == 0)
     return F.struct(
-        (sign * raw["a"]).alias("a"), (sign * raw["cx"]).alias("cx"),
-        (sign * raw["cy"]).alias("cy"),
-        raw["len"].alias("len"), raw["lx"].alias("lx"), raw["ly"].alias("ly"),
+        (sign * s["a"]).alias("a"), (sign * s["cx"]).alias("cx"), (sign * s["cy"]).alias("cy"),
+        s["len"].alias("len"), s["lx"].alias("lx"), s["ly"].alias("ly"),
         F.when(is_pt, 1.0).otherwise(0.0).alias("pn"),
         F.when(is_pt, b["x"]).otherwise(0.0).alias("px"),
         F.when(is_pt, b["y"]).otherwise(0.0).alias("py"))
@@ -215,11 +219,19 @@ def _add(acc, s):
     return F.struct(*[(acc[n] + s[n]).alias(n) for n in _SUM_FIELDS])
 
 
-def centroid(parts) -> Column:
-    """area-weighted centroid if there is area, else length-weighted,
-    else the mean of the points; a collection so uses only its highest
-    dimension.  Null for an empty geometry."""
-    s = F.aggregate(F.transform(col_of(parts), _part_sums), _zero_sums(), _add)
+def centroid_sums(parts) -> Column:
+    """Summed centroid terms of a geometry ``struct<a,cx,cy,len,lx,ly,pn,px,py>``
+    (each part's segment pass runs once)."""
+    raw = F.transform(col_of(parts), lambda p: F.struct(
+        p["t"].alias("t"), F.get(p["pts"], 0).alias("b"), _segment_sums(p["pts"]).alias("s")))
+    return F.aggregate(F.transform(raw, _normalised), _zero_sums(), _add)
+
+
+def centroid_of_sums(sums) -> Column:
+    """F6 from summed terms: area-weighted if there is area, else
+    length-weighted, else the mean of the points -- so a collection uses only
+    its highest dimension.  Null for an empty geometry."""
+    s = col_of(sums)
     x = (F.when(F.abs(s["a"]) > 0, s["cx"] / F.lit(3.0) / s["a"])
          .when(s["len"] > 0, s["lx"] / s["len"])
          .when(s["pn"] > 0, s["px"] / s["pn"]))
@@ -229,6 +241,15 @@ def centroid(parts) -> Column:
     return F.when(x.isNotNull(), F.struct(x.alias("x"), y.alias("y")))
 
 
+def centroid(parts) -> Column:
+    """centroid of a geometry (its sums are bound once with ``let``)."""
+    return let(centroid_sums(parts), centroid_of_sums)
+
+
+def with_centroid(df: DataFrame, parts: str = "parts", out: str = "centroid") -> DataFrame:
+    return df.withColumn(out, centroid(parts))
+
+
 # ------------------------------------------------------- box contains
 
 def box_contains(box, env, parts) -> Column:

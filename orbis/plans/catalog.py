@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orbis.operators import build as B
 from orbis.operators import statistics as ST
 from orbis.plans import params as P
 from orbis.session import apply_conf
@@ -24,6 +25,95 @@ def stats_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ST.build_stats(FX.stat_csv(spark, sf_dir), FX.names(spark, sf_dir))
 
 
+class Inputs:
+    """The OSM-like inputs derived from the driver tables under ``sf_dir``."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        apply_conf(spark)
+        self.spark, self.sf_dir = spark, sf_dir
+        self.raw_nodes = FX.raw_nodes(spark, sf_dir)
+        self.refs = FX.way_refs(spark, sf_dir)
+        self.way_tags = FX.way_tags(spark, sf_dir)
+        self.members = FX.relation_members(spark, sf_dir)
+        self.relation_tags = FX.relation_tags(spark, sf_dir)
+
+    def nodes(self) -> DataFrame:
+        return B.build_nodes(self.raw_nodes)
+
+    def ways(self) -> DataFrame:
+        return B.build_ways(self.refs, self.way_tags, self.raw_nodes)
+
+    def relations(self, polygons: bool = True) -> DataFrame:
+        return B.build_relations(self.members, self.relation_tags, self.raw_nodes,
+                                 self.ways(), polygons)
+
+    def geometries(self, polygons: bool = True) -> DataFrame:
+        return B.build_geometries(self.raw_nodes, self.refs, self.way_tags, self.members,
+                                  self.relation_tags, polygons)
+
+
+def _round6(c):
+    return F.round(c, 6)
+
+
+def _geometry_summary(df: DataFrame) -> DataFrame:
+    """Scalar view of geometry rows for value comparison."""
+    return df.select(
+        "id", "class", "wkt",
+        _round6(F.col("centroid.x")).alias("cx"), _round6(F.col("centroid.y")).alias("cy"),
+        F.col("envelope.minx").alias("minx"), F.col("envelope.miny").alias("miny"),
+        F.col("envelope.maxx").alias("maxx"), F.col("envelope.maxy").alias("maxy"),
+        F.length(F.get("cells", 0)).alias("cover_len"), F.size("cells").alias("n_cells"),
+        F.concat_ws(" ", F.array_sort("cells")).alias("cells"), "parts", "tags")
+
+
+# ------------------------------------------------------------ geometries
+
+def q_nodes(spark, sf_dir):
+    """E10 nodes: P1, F1, F2, F10, P7."""
+    n = Inputs(spark, sf_dir).nodes()
+    return n.select("id", "class", "wkt", F.col("centroid.x").alias("x"),
+                    F.col("centroid.y").alias("y"), F.get("cells", 0).alias("cell"),
+                    F.col("tags")["place"].alias("place"), F.col("tags")["brand"].alias("brand"))
+
+
+def q_ways(spark, sf_dir):
+    """E10 ways: J1, A1, F3–F9, P2, P9."""
+    w = _geometry_summary(Inputs(spark, sf_dir).ways())
+    return w.select("id", "class", F.size(F.get("parts", 0)["pts"]).alias("n_points"), "wkt",
+                    "cx", "cy", "minx", "miny", "maxx", "maxy", "cover_len", "n_cells", "cells",
+                    F.col("tags")["priority"].alias("priority"),
+                    F.col("tags")["status"].alias("status"))
+
+
+def q_relations(spark, sf_dir):
+    """E10 relations built as collections: P8, J2, J3, A2, F17, F20, P16."""
+    r = _geometry_summary(Inputs(spark, sf_dir).relations(polygons=False))
+    return r.select("id", "class", F.col("tags")["type"].alias("rel_type"),
+                    F.col("tags")["name"].alias("name"), F.size("parts").alias("n_parts"), "wkt",
+                    "cx", "cy", "minx", "miny", "maxx", "maxy", "cover_len", "n_cells", "cells")
+
+
+def q_relation_rings(spark, sf_dir):
+    """V3 + F19 + O3: multipolygon/boundary relations stitched into rings
+    (rows-only check: ring stitching is not SQL)."""
+    inp = Inputs(spark, sf_dir)
+    resolved = B.resolved_members(inp.members, inp.relation_tags, inp.raw_nodes, inp.ways())
+    r = _geometry_summary(B.build_relation_polygons(resolved, inp.relation_tags))
+    return r.select("id", "class", F.col("tags")["type"].alias("rel_type"),
+                    F.size("parts").alias("n_rings"), "wkt", "cx", "cy", "minx", "miny",
+                    "maxx", "maxy", "cover_len", "n_cells")
+
+
+def q_cell_index(spark, sf_dir):
+    """P4 + U1 + A3 -- per cell, how many geometries and the id range.
+    Counted by partial aggregation, so a hot cell never sits in one task."""
+    inp = Inputs(spark, sf_dir)
+    flat = B.build_index(inp.nodes(), inp.ways(), inp.relations(polygons=False))
+    return flat.groupBy("cell").agg(F.count(F.lit(1)).alias("n_ids"),
+                                    F.min("id").alias("min_id"), F.max("id").alias("max_id"))
+
+
 # ------------------------------------------------------------ statistics
 
 def q_stat_series(spark, sf_dir):
@@ -63,6 +153,11 @@ def q_stats_in_range(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "nodes": q_nodes,
+    "ways": q_ways,
+    "relations": q_relations,
+    "relation_rings": q_relation_rings,
+    "cell_index": q_cell_index,
     "stat_series": q_stat_series,
     "stat_from_all": q_stat_from_all,
     "stat_from_all_first_year": q_stat_from_all_first_year,

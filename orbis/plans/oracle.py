@@ -26,7 +26,10 @@ stat_csv AS (
          CASE WHEN n % 3 = 0 THEN ':'
               ELSE concat(CAST(n // 10 AS VARCHAR), ',', CAST(n % 10 AS VARCHAR)) END AS Value
   FROM stat_g),
-names AS (SELECT CAST(n_nationkey AS VARCHAR) AS id, n_name AS name FROM nation)"""
+loc AS (SELECT c_nationkey, min(c_custkey) AS k FROM customer
+        WHERE c_mktsegment IN ('AUTOMOBILE', 'MACHINERY') GROUP BY c_nationkey),
+names AS (SELECT CAST(loc.k AS VARCHAR) AS id, n_name AS name
+          FROM nation LEFT JOIN loc ON loc.c_nationkey = n_nationkey)"""
 
 
 def to_int_sql(s: str) -> str:
@@ -114,8 +117,228 @@ SELECT w.id AS city_id, w.name AS city, w.indicator, s.year, s.value
 FROM wanted w LEFT JOIN s ON s.id = w.id AND s.indicator = w.indicator""")
 
 
+# ------------------------------------------------------------ geometry SQL
+
+def fmt_sql(x: str) -> str:
+    return f"regexp_replace(CAST({x} AS VARCHAR), '\\.0$', '')"
+
+
+def lon_int_sql(x: str) -> str:
+    return (f"greatest(least(CAST(floor(({x} + 180.0e0) / 360.0e0 * {float(1 << BITS)}e0) AS BIGINT), "
+            f"{(1 << BITS) - 1}), 0)")
+
+
+def lat_int_sql(y: str) -> str:
+    return (f"greatest(least(CAST(floor(({y} + 90.0e0) / 180.0e0 * {float(1 << BITS)}e0) AS BIGINT), "
+            f"{(1 << BITS) - 1}), 0)")
+
+
+def geohash_ints_sql(xi: str, yi: str) -> str:
+    """12-character cell of two 30-bit integers, one character at a time:
+    bit p of the interleaved code is longitude bit 29 - p/2 (p even) or
+    latitude bit 29 - (p-1)/2 (p odd)."""
+    chars = []
+    for k in range(MAX_CELL_LENGTH):
+        terms = []
+        for j in range(5):
+            p = 5 * k + j
+            src = xi if p % 2 == 0 else yi
+            terms.append(f"((((({src}) >> {BITS - 1 - p // 2}) & 1)) << {4 - j})")
+        chars.append(f"substr('{GEOHASH_ALPHABET}', CAST(({' | '.join(terms)}) AS INTEGER) + 1, 1)")
+    return " || ".join(chars)
+
+
+def geohash_sql(x: str, y: str) -> str:
+    return geohash_ints_sql(lon_int_sql(x), lat_int_sql(y))
+
+
+def cover_ctes(name: str, src: str) -> str:
+    """CTEs ``{name}_cl`` (gid, L, n_cells) and ``{name}_cells`` (gid, cell)
+    for boxes ``src(gid, minx, miny, maxx, maxy)``."""
+    def n(L):
+        sx, sy = BITS - lon_bits(L), BITS - lat_bits(L)
+        return f"(((x1 >> {sx}) - (x0 >> {sx}) + 1) * ((y1 >> {sy}) - (y0 >> {sy}) + 1))"
+    picks = ", ".join(f"CASE WHEN {n(L)} <= {n(MIN_CELL_LENGTH)} THEN {L} ELSE {MIN_CELL_LENGTH} END"
+                      for L in range(MIN_CELL_LENGTH + 1, MAX_CELL_LENGTH + 1))
+    return f"""
+{name}_ci AS (
+  SELECT gid, {lon_int_sql('minx')} AS x0, {lon_int_sql('maxx')} AS x1,
+              {lat_int_sql('miny')} AS y0, {lat_int_sql('maxy')} AS y1 FROM {src}),
+{name}_cl AS (
+  SELECT gid, x0, x1, y0, y1, greatest({MIN_CELL_LENGTH}, {picks}) AS L FROM {name}_ci),
+{name}_cg AS (
+  SELECT gid, L, {BITS} - (5 * L + 1) // 2 AS sx, {BITS} - (5 * L) // 2 AS sy,
+         x0 >> ({BITS} - (5 * L + 1) // 2) AS c0, x1 >> ({BITS} - (5 * L + 1) // 2) AS c1,
+         y0 >> ({BITS} - (5 * L) // 2) AS r0, y1 >> ({BITS} - (5 * L) // 2) AS r1
+  FROM {name}_cl),
+{name}_cc AS (SELECT gid, L, sx, sy, r0, r1, unnest(range(c0, c1 + 1)) AS c FROM {name}_cg),
+{name}_cr AS (SELECT gid, L, sx, sy, c, unnest(range(r0, r1 + 1)) AS r FROM {name}_cc),
+{name}_cells AS (
+  SELECT gid, L, left({geohash_ints_sql('(c << sx)', '(r << sy)')}, CAST(L AS INTEGER)) AS cell
+  FROM {name}_cr)"""
+
+
+VALID_TYPES_SQL = "('route', 'site', 'public_transport', 'street', 'waterway')"
+
+GEOM = f"""
+nodes_raw AS (
+  SELECT p_partkey AS id,
+         {FX.LON0}e0 + CAST((p_partkey * {FX.NODE_LON_MUL}) % {FX.LON_SPAN} AS DOUBLE) / 1000.0e0 AS x,
+         {FX.LAT0}e0 + CAST((p_partkey * {FX.NODE_LAT_MUL}) % {FX.LAT_SPAN} AS DOUBLE) / 1000.0e0 AS y,
+         p_size % 2 = 0 AS tagged, p_type AS place, p_brand AS brand
+  FROM part),
+refs AS (
+  SELECT l_orderkey AS way_id,
+         CAST(row_number() OVER (PARTITION BY l_orderkey
+              ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS INTEGER) AS idx,
+         l_partkey AS node_id FROM lineitem),
+refn AS (
+  SELECT way_id, count(*) AS n, count(DISTINCT node_id) AS dn, arg_min(node_id, idx) AS first_node
+  FROM refs GROUP BY way_id),
+allrefs AS (
+  SELECT way_id, idx, node_id FROM refs
+  UNION ALL
+  SELECT way_id, CAST(n AS INTEGER), first_node FROM refn WHERE way_id % 3 = 0 AND dn >= 3),
+wpts AS (SELECT r.way_id, r.idx, n.x, n.y FROM allrefs r JOIN nodes_raw n ON n.id = r.node_id),
+wseg AS (
+  SELECT way_id, idx, x, y,
+         lead(x) OVER (PARTITION BY way_id ORDER BY idx) AS nx,
+         lead(y) OVER (PARTITION BY way_id ORDER BY idx) AS ny FROM wpts),
+whead AS (
+  SELECT way_id, count(*) AS np, arg_min(x, idx) AS x0, arg_min(y, idx) AS y0,
+         arg_max(x, idx) AS xl, arg_max(y, idx) AS yl,
+         min(x) AS minx, min(y) AS miny, max(x) AS maxx, max(y) AS maxy,
+         string_agg({fmt_sql('x')} || ' ' || {fmt_sql('y')}, ', ' ORDER BY idx) AS coords
+  FROM wpts GROUP BY way_id),
+wcls AS (
+  SELECT *, CASE WHEN x0 = xl AND y0 = yl AND np >= 4 THEN 'pl'
+                 WHEN NOT (x0 = xl AND y0 = yl) AND np >= 2 THEN 'ls' END AS cls
+  FROM whead),
+wraw AS (
+  SELECT w.way_id,
+    sum((s.x - w.x0) * (s.ny - w.y0) - (s.nx - w.x0) * (s.y - w.y0)) AS a,
+    sum(((s.x - w.x0) * (s.ny - w.y0) - (s.nx - w.x0) * (s.y - w.y0)) * (w.x0 + s.x + s.nx)) AS cx,
+    sum(((s.x - w.x0) * (s.ny - w.y0) - (s.nx - w.x0) * (s.y - w.y0)) * (w.y0 + s.y + s.ny)) AS cy,
+    sum(sqrt((s.nx - s.x) * (s.nx - s.x) + (s.ny - s.y) * (s.ny - s.y))) AS len,
+    sum(sqrt((s.nx - s.x) * (s.nx - s.x) + (s.ny - s.y) * (s.ny - s.y)) * (s.x + s.nx) / 2) AS lx,
+    sum(sqrt((s.nx - s.x) * (s.nx - s.x) + (s.ny - s.y) * (s.ny - s.y)) * (s.y + s.ny) / 2) AS ly
+  FROM wcls w JOIN wseg s ON s.way_id = w.way_id AND s.nx IS NOT NULL
+  WHERE w.cls IS NOT NULL GROUP BY w.way_id),
+ways AS (
+  SELECT c.way_id, 'w' || c.way_id AS id, c.cls, c.np, c.minx, c.miny, c.maxx, c.maxy,
+         CASE WHEN c.cls = 'pl' THEN sign(r.a) ELSE 0 END * r.a AS a,
+         CASE WHEN c.cls = 'pl' THEN sign(r.a) ELSE 0 END * r.cx AS cx,
+         CASE WHEN c.cls = 'pl' THEN sign(r.a) ELSE 0 END * r.cy AS cy,
+         r.len, r.lx, r.ly,
+         CASE WHEN r.len = 0 THEN 1.0e0 ELSE 0.0e0 END AS pn,
+         CASE WHEN r.len = 0 THEN c.x0 ELSE 0.0e0 END AS px,
+         CASE WHEN r.len = 0 THEN c.y0 ELSE 0.0e0 END AS py,
+         CASE WHEN c.cls = 'ls' THEN 'LINESTRING (' || c.coords || ')'
+              ELSE 'POLYGON ((' || c.coords || '))' END AS wkt,
+         o.o_orderpriority AS priority, o.o_orderstatus AS status
+  FROM wcls c JOIN wraw r ON r.way_id = c.way_id
+  LEFT JOIN orders o ON o.o_orderkey = c.way_id
+  WHERE c.cls IS NOT NULL),
+rel AS (
+  SELECT c_custkey AS rel_id, c_name AS name,
+         CASE c_mktsegment {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in FX.SEGMENT_TO_RELATION_TYPE.items())}
+              ELSE '{FX.OTHER_RELATION_TYPE}' END AS rel_type
+  FROM customer),
+rmem AS (
+  SELECT o_custkey AS rel_id, o_orderkey AS pos, o_orderkey AS member_id, 'Way' AS member_type FROM orders
+  UNION ALL
+  SELECT c_custkey, -1, c_custkey, 'Node' FROM customer),
+rm AS (
+  SELECT m.rel_id, m.pos, m.member_id, m.member_type FROM rmem m JOIN rel r ON r.rel_id = m.rel_id
+  WHERE r.rel_type IN {VALID_TYPES_SQL} AND NOT starts_with(m.member_type, 'R')),
+rparts AS (
+  SELECT rm.rel_id, rm.pos, 'p' AS t, n.x AS minx, n.y AS miny, n.x AS maxx, n.y AS maxy,
+         0.0e0 AS a, 0.0e0 AS cx, 0.0e0 AS cy, 0.0e0 AS len, 0.0e0 AS lx, 0.0e0 AS ly,
+         1.0e0 AS pn, n.x AS px, n.y AS py,
+         'POINT (' || {fmt_sql('n.x')} || ' ' || {fmt_sql('n.y')} || ')' AS wkt
+  FROM rm JOIN nodes_raw n ON rm.member_type = 'Node' AND n.id = rm.member_id
+  UNION ALL
+  SELECT rm.rel_id, rm.pos, w.cls, w.minx, w.miny, w.maxx, w.maxy, w.a, w.cx, w.cy,
+         w.len, w.lx, w.ly, w.pn, w.px, w.py, w.wkt
+  FROM rm JOIN ways w ON rm.member_type = 'Way' AND w.way_id = rm.member_id),
+rsum AS (
+  SELECT rel_id, count(*) AS n_parts, min(minx) AS minx, min(miny) AS miny, max(maxx) AS maxx,
+         max(maxy) AS maxy, sum(a) AS a, sum(cx) AS cx, sum(cy) AS cy, sum(len) AS len,
+         sum(lx) AS lx, sum(ly) AS ly, sum(pn) AS pn, sum(px) AS px, sum(py) AS py,
+         'GEOMETRYCOLLECTION (' || string_agg(wkt, ', ' ORDER BY pos) || ')' AS wkt
+  FROM rparts GROUP BY rel_id),
+rels AS (
+  SELECT s.*, 'r' || s.rel_id AS id, r.rel_type, r.name FROM rsum s JOIN rel r ON r.rel_id = s.rel_id),
+geoms AS (
+  SELECT 'n' AS kind, 'n' || id AS id, x AS minx, y AS miny, x AS maxx, y AS maxy,
+         x AS cx_c, y AS cy_c FROM nodes_raw WHERE tagged
+  UNION ALL
+  SELECT 'w', id, minx, miny, maxx, maxy, {{CX}}, {{CY}} FROM ways
+  UNION ALL
+  SELECT 'r', id, minx, miny, maxx, maxy, {{CX}}, {{CY}} FROM rels),
+gbox AS (SELECT id AS gid, minx, miny, maxx, maxy FROM geoms WHERE kind <> 'n'),
+{cover_ctes('gcov', 'gbox').strip()},
+cell_index AS (
+  SELECT cell, gid AS id FROM gcov_cells
+  UNION ALL
+  SELECT {geohash_sql('minx', 'miny')} AS cell, id FROM geoms WHERE kind = 'n')"""
+
+CENTROID_X = ("CASE WHEN abs(a) > 0 THEN cx / 3.0e0 / a WHEN len > 0 THEN lx / len "
+              "WHEN pn > 0 THEN px / pn END")
+CENTROID_Y = ("CASE WHEN abs(a) > 0 THEN cy / 3.0e0 / a WHEN len > 0 THEN ly / len "
+              "WHEN pn > 0 THEN py / pn END")
+GEOM = GEOM.replace("{CX}", CENTROID_X).replace("{CY}", CENTROID_Y)
+
+
+def _geom_query(body: str) -> str:
+    return f"WITH {GEOM}\n{body}"
+
+
+def nodes() -> str:
+    return _geom_query(f"""
+SELECT 'n' || id AS id, 'p' AS class,
+       'POINT (' || {fmt_sql('x')} || ' ' || {fmt_sql('y')} || ')' AS wkt, x, y,
+       {geohash_sql('x', 'y')} AS cell, place, brand
+FROM nodes_raw WHERE tagged""")
+
+
+def ways() -> str:
+    return _geom_query(f"""
+, cells AS (SELECT gid, min(L) AS cover_len, count(*) AS n_cells,
+                   string_agg(cell, ' ' ORDER BY cell) AS cells
+            FROM gcov_cells WHERE starts_with(gid, 'w') GROUP BY gid)
+SELECT w.id, w.cls AS class, CAST(w.np AS INTEGER) AS n_points, w.wkt,
+       round({CENTROID_X}, 6) AS cx, round({CENTROID_Y}, 6) AS cy,
+       w.minx, w.miny, w.maxx, w.maxy,
+       CAST(c.cover_len AS INTEGER) AS cover_len, CAST(c.n_cells AS INTEGER) AS n_cells, c.cells,
+       w.priority, w.status
+FROM ways w JOIN cells c ON c.gid = w.id""")
+
+
+def relations() -> str:
+    return _geom_query(f"""
+, cells AS (SELECT gid, min(L) AS cover_len, count(*) AS n_cells,
+                   string_agg(cell, ' ' ORDER BY cell) AS cells
+            FROM gcov_cells WHERE starts_with(gid, 'r') GROUP BY gid)
+SELECT r.id, 'gc' AS class, r.rel_type, r.name, CAST(r.n_parts AS INTEGER) AS n_parts, r.wkt,
+       round({CENTROID_X}, 6) AS cx, round({CENTROID_Y}, 6) AS cy,
+       r.minx, r.miny, r.maxx, r.maxy,
+       CAST(c.cover_len AS INTEGER) AS cover_len, CAST(c.n_cells AS INTEGER) AS n_cells, c.cells
+FROM rels r JOIN cells c ON c.gid = r.id""")
+
+
+def cell_index() -> str:
+    return _geom_query("""
+SELECT cell, count(*) AS n_ids, min(id) AS min_id, max(id) AS max_id
+FROM cell_index GROUP BY cell""")
+
+
 def all_sql() -> dict[str, str]:
     return {
+        "nodes": nodes(),
+        "ways": ways(),
+        "relations": relations(),
+        "cell_index": cell_index(),
         "stat_series": stat_series(),
         "stat_from_all": stat_from_all(),
         "stat_from_all_first_year": stat_from_all_first_year(),

@@ -141,11 +141,23 @@ def stat_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("p").alias("INDIC_UR"), value.alias("Value"))
 
 
+# Market segments whose relations become geometry collections
+# (route, site); a nation's locality is its first such customer.
+LOCALITY_SEGMENTS = ("AUTOMOBILE", "MACHINERY")
+
+
 def names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``id,name`` dictionary: one locality per nation."""
+    """``id,name`` dictionary: one locality per nation, named after the
+    nation; its id is the nation's smallest customer key among route/site
+    customers, so the statistics attach to relation ``r<that key>``.  A
+    nation with no such customer keeps its name with a null id (dropped by
+    the id filter, P10)."""
     nat = table(spark, sf_dir, "nation")
-    return nat.select(F.col("n_nationkey").cast("string").alias("id"),
-                      F.col("n_name").alias("name"))
+    c = table(spark, sf_dir, "customer")
+    first = c.where(F.col("c_mktsegment").isin(*LOCALITY_SEGMENTS)) \
+        .groupBy("c_nationkey").agg(F.min("c_custkey").alias("k"))
+    return nat.join(first, nat.n_nationkey == first.c_nationkey, "left").select(
+        F.col("k").cast("string").alias("id"), F.col("n_name").alias("name"))
 
 
 def query_points(spark: SparkSession, sf_dir: str) -> DataFrame:
