@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orbis.operators import build as B
+from orbis.operators import spatial as SP
 from orbis.operators import statistics as ST
 from orbis.plans import params as P
+from orbis.plans.store import geometry_store
 from orbis.session import apply_conf
 from orbis.sources import fixtures as FX
 
@@ -114,6 +116,68 @@ def q_cell_index(spark, sf_dir):
                                     F.min("id").alias("min_id"), F.max("id").alias("max_id"))
 
 
+# ------------------------------------------------------------ spatial
+
+def _pick(values, idx):
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
+
+
+def search_points(spark, sf_dir):
+    """Supplier points, each with its own search: tag and radius vary with
+    the key so all cover lengths and geometry kinds take part."""
+    a = P.FIND_BY_TAGS
+    q = F.col("qid")
+    n_s, n_r = len(a["searches"]), len(a["radii_m"])
+    return FX.query_points(spark, sf_dir).select(
+        "qid", "lon", "lat",
+        _pick([k for k, _ in a["searches"]], q % n_s).alias("key"),
+        _pick([v for _, v in a["searches"]], q % n_s).alias("value"),
+        _pick(a["radii_m"], (q / n_s).cast("long") % n_r).alias("meters"))
+
+
+def q_find_by_tags(spark, sf_dir):
+    """E1 for every supplier point at once: J7 + F11 + F13 + P11."""
+    g, idx = geometry_store(spark, sf_dir)
+    r = SP.find_by_tags(g, idx, search_points(spark, sf_dir), op=P.FIND_BY_TAGS["op"])
+    return r.select("qid", "id", "kind", "class")
+
+
+def q_find_by_stats(spark, sf_dir):
+    """Samples (distance to centroid, value of the year) around every
+    supplier point: J7 + P12 + P17 + F12."""
+    a = P.FIND_BY_STATS
+    g, idx = geometry_store(spark, sf_dir)
+    r = SP.find_by_stats(g, idx, stats_table(spark, sf_dir),
+                         FX.query_points(spark, sf_dir), a["indicator"], a["year"], a["meters"])
+    return r.select("qid", "id", _round6(F.col("distance_km")).alias("distance_km"), "value")
+
+
+def q_interpolate(spark, sf_dir):
+    """Inverse-distance weighted value at every supplier point."""
+    a = P.INTERPOLATE
+    g, idx = geometry_store(spark, sf_dir)
+    r = SP.interpolate(g, idx, stats_table(spark, sf_dir),
+                       FX.query_points(spark, sf_dir), a["indicator"], a["year"], a["meters"],
+                       a["power"])
+    return r.select("qid", "lon", "lat", _round6(F.col("value")).alias("value"), "n_samples")
+
+
+def _density_out(d):
+    return d.select("cell", "n", _round6(F.col("x")).alias("x"), _round6(F.col("y")).alias("y"))
+
+
+def q_density(spark, sf_dir):
+    """Centroids of all nodes and ways counted per 4-character cell."""
+    g, _ = geometry_store(spark, sf_dir)
+    return _density_out(SP.density(g.where(F.col("kind").isin("n", "w")), P.DENSITY["length"]))
+
+
+def q_clusters(spark, sf_dir):
+    """Tagged nodes grouped into 3-character cells with a label point."""
+    g, _ = geometry_store(spark, sf_dir)
+    return _density_out(SP.density(g.where(F.col("kind") == "n"), P.CLUSTERS["length"]))
+
+
 # ------------------------------------------------------------ statistics
 
 def q_stat_series(spark, sf_dir):
@@ -158,6 +222,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "relations": q_relations,
     "relation_rings": q_relation_rings,
     "cell_index": q_cell_index,
+    "find_by_tags": q_find_by_tags,
+    "find_by_stats": q_find_by_stats,
+    "interpolate": q_interpolate,
+    "density": q_density,
+    "clusters": q_clusters,
     "stat_series": q_stat_series,
     "stat_from_all": q_stat_from_all,
     "stat_from_all_first_year": q_stat_from_all_first_year,

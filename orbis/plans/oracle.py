@@ -333,12 +333,155 @@ SELECT cell, count(*) AS n_ids, min(id) AS min_id, max(id) AS max_id
 FROM cell_index GROUP BY cell""")
 
 
+# ------------------------------------------------------------ spatial SQL
+
+def _points_sql() -> str:
+    a = P.FIND_BY_TAGS
+    n_s, n_r = len(a["searches"]), len(a["radii_m"])
+    keys = " ".join(f"WHEN {i} THEN '{k}'" for i, (k, _) in enumerate(a["searches"]))
+    vals = " ".join(f"WHEN {i} THEN '{v}'" for i, (_, v) in enumerate(a["searches"]))
+    rads = " ".join(f"WHEN {i} THEN {r}" for i, r in enumerate(a["radii_m"]))
+    return f"""
+pts0 AS (
+  SELECT s_suppkey AS qid,
+         {FX.LON0}e0 + CAST((s_suppkey * {FX.POINT_LON_MUL}) % {FX.LON_SPAN} AS DOUBLE) / 1000.0e0
+           + {FX.POINT_OFFSET}e0 AS lon,
+         {FX.LAT0}e0 + CAST((s_suppkey * {FX.POINT_LAT_MUL}) % {FX.LAT_SPAN} AS DOUBLE) / 1000.0e0
+           + {FX.POINT_OFFSET}e0 AS lat,
+         CASE s_suppkey % {n_s} {keys} END AS key,
+         CASE s_suppkey % {n_s} {vals} END AS value,
+         CASE (s_suppkey // {n_s}) % {n_r} {rads} END AS meters
+  FROM supplier)"""
+
+
+def _box_sql(src: str, meters: str) -> str:
+    lat = "greatest(least(lat, 89.999999e0), -89.999999e0)"
+    dx = f"(CAST({meters} AS DOUBLE) / (6378137.0e0 * cos(pi() * {lat} / 180.0e0))) * 180.0e0 / pi()"
+    dy = f"(CAST({meters} AS DOUBLE) / 6378137.0e0) * 180.0e0 / pi()"
+    return f"""SELECT *, lon - {dx} AS bx0, lat - {dy} AS by0, lon + {dx} AS bx1, lat + {dy} AS by1
+  FROM {src}"""
+
+
+# point parts, polygon flags and line segments of every searchable geometry
+PARTS = """
+gpts AS (
+  SELECT 'n' || id AS id, x, y FROM nodes_raw WHERE tagged
+  UNION ALL
+  SELECT 'r' || rm.rel_id, n.x, n.y FROM rm JOIN nodes_raw n
+    ON rm.member_type = 'Node' AND n.id = rm.member_id),
+gpoly AS (
+  SELECT id FROM ways WHERE cls = 'pl'
+  UNION
+  SELECT 'r' || rm.rel_id FROM rm JOIN ways w
+    ON rm.member_type = 'Way' AND w.way_id = rm.member_id AND w.cls = 'pl'),
+gsegs AS (
+  SELECT w.id, s.x, s.y, s.nx, s.ny FROM ways w JOIN wseg s
+    ON s.way_id = w.way_id AND s.nx IS NOT NULL WHERE w.cls = 'ls'
+  UNION ALL
+  SELECT 'r' || rm.rel_id, s.x, s.y, s.nx, s.ny FROM rm JOIN ways w
+    ON rm.member_type = 'Way' AND w.way_id = rm.member_id AND w.cls = 'ls'
+    JOIN wseg s ON s.way_id = w.way_id AND s.nx IS NOT NULL),
+gtags AS (
+  SELECT 'n' || id AS id, 'place' AS key, place AS value FROM nodes_raw WHERE tagged
+  UNION ALL SELECT 'n' || id, 'brand', brand FROM nodes_raw WHERE tagged
+  UNION ALL SELECT id, 'priority', priority FROM ways
+  UNION ALL SELECT id, 'status', status FROM ways
+  UNION ALL SELECT id, 'type', rel_type FROM rels
+  UNION ALL SELECT id, 'name', name FROM rels)"""
+
+
+def _contains_sql(p: str, g: str) -> str:
+    """F13 between box columns of ``p`` and geometry ``g`` (by id)."""
+    inside = (f"{g}.minx >= {p}.bx0 AND {g}.maxx <= {p}.bx1 AND "
+              f"{g}.miny >= {p}.by0 AND {g}.maxy <= {p}.by1")
+    on_edge = (f"((s.x = {p}.bx0 AND s.nx = {p}.bx0) OR (s.x = {p}.bx1 AND s.nx = {p}.bx1) OR "
+               f"(s.y = {p}.by0 AND s.ny = {p}.by0) OR (s.y = {p}.by1 AND s.ny = {p}.by1))")
+    interior = (f"(EXISTS (SELECT 1 FROM gpoly q WHERE q.id = {g}.id) OR "
+                f"EXISTS (SELECT 1 FROM gpts t WHERE t.id = {g}.id AND t.x > {p}.bx0 AND "
+                f"t.x < {p}.bx1 AND t.y > {p}.by0 AND t.y < {p}.by1) OR "
+                f"EXISTS (SELECT 1 FROM gsegs s WHERE s.id = {g}.id AND NOT {on_edge}))")
+    return f"({inside} AND {interior})"
+
+
+def find_by_tags() -> str:
+    return f"""WITH {GEOM},
+{PARTS.strip()},
+{_points_sql().strip()},
+pts AS ({_box_sql('pts0', 'meters')})
+SELECT p.qid, g.id, g.kind,
+       CASE WHEN g.kind = 'n' THEN 'p' WHEN g.kind = 'r' THEN 'gc'
+            ELSE (SELECT cls FROM ways w WHERE w.id = g.id) END AS class
+FROM pts p JOIN gtags t ON t.key = p.key AND t.value {P.FIND_BY_TAGS['op']} p.value
+JOIN geoms g ON g.id = t.id
+WHERE {_contains_sql('p', 'g')}"""
+
+
+def _samples_sql(a) -> str:
+    return f"""WITH {STATS},
+{GEOM.strip()},
+{PARTS.strip()},
+{_points_sql().strip()},
+pts AS ({_box_sql('pts0', str(a['meters']))}),
+samples AS (
+  SELECT id, value FROM stats WHERE indicator = '{a['indicator']}' AND year = {a['year']}
+    AND value_raw IS NOT NULL AND value_raw <> ''),
+pairs AS (
+  SELECT p.qid, g.id, s.value,
+         6371.01e0 * acos(greatest(least(
+           sin(radians(p.lat)) * sin(radians(g.cy_c))
+           + cos(radians(p.lat)) * cos(radians(g.cy_c)) * cos(radians(p.lon) - radians(g.cx_c)),
+           1.0e0), -1.0e0)) AS d
+  FROM pts p JOIN geoms g ON {_contains_sql('p', 'g')}
+  JOIN samples s ON s.id = g.id)"""
+
+
+def find_by_stats() -> str:
+    return _samples_sql(P.FIND_BY_STATS) + """
+SELECT qid, id, round(d, 6) AS distance_km, value FROM pairs"""
+
+
+def interpolate() -> str:
+    a = P.INTERPOLATE
+    w = f"(1.0e0 / pow(d, {float(a['power'])}e0))"
+    return _samples_sql(a) + f""",
+agg AS (
+  SELECT qid, sum(CASE WHEN d <> 0 THEN value * {w} END) AS zw,
+         sum(CASE WHEN d <> 0 THEN {w} END) AS sw,
+         avg(CASE WHEN d = 0 THEN value END) AS hit, count(*) AS n
+  FROM pairs GROUP BY qid)
+SELECT p.qid, p.lon, p.lat, round(coalesce(a.hit, a.zw / a.sw), 6) AS value,
+       coalesce(a.n, 0) AS n_samples
+FROM pts p LEFT JOIN agg a ON a.qid = p.qid"""
+
+
+def _density_sql(src: str, length: int) -> str:
+    return _geom_query(f"""
+, pts AS ({src})
+SELECT left({geohash_sql('x', 'y')}, {length}) AS cell, count(*) AS n,
+       round(avg(x), 6) AS x, round(avg(y), 6) AS y
+FROM pts GROUP BY 1""")
+
+
+def density() -> str:
+    return _density_sql(f"SELECT cx_c AS x, cy_c AS y FROM geoms WHERE kind IN ('n', 'w')",
+                        P.DENSITY["length"])
+
+
+def clusters() -> str:
+    return _density_sql("SELECT x, y FROM nodes_raw WHERE tagged", P.CLUSTERS["length"])
+
+
 def all_sql() -> dict[str, str]:
     return {
         "nodes": nodes(),
         "ways": ways(),
         "relations": relations(),
         "cell_index": cell_index(),
+        "find_by_tags": find_by_tags(),
+        "find_by_stats": find_by_stats(),
+        "interpolate": interpolate(),
+        "density": density(),
+        "clusters": clusters(),
         "stat_series": stat_series(),
         "stat_from_all": stat_from_all(),
         "stat_from_all_first_year": stat_from_all_first_year(),
