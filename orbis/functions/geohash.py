@@ -137,18 +137,49 @@ def cover_cells(grid, L) -> Column:
             lambda r: F.left(geohash_from_ints(c * g["fx"], r * g["fy"]), L))))
 
 
-def cover(env) -> Column:
-    """the cells covering box column ``env``, all of length L* (the
-    longest L <= 12 with n(L) <= n(3)).  Null box (empty geometry) → null
-    (Q9).  Stages (corner integers → L* → grid → cells) are bound once each
-    with ``let``."""
+def cover_grid_of(env) -> Column:
+    """F9 as a grid: ``struct<L, c0, c1, r0, r1, fx, fy>`` -- the cover length
+    L* (the longest L <= 12 with n(L) <= n(3)), the column and row ranges of
+    the length-L cells the box touches, and the factors that turn a column
+    or row number back into corner integers.  Arithmetic only; null box →
+    null grid (Q9).  Each stage is bound once with ``let``."""
     e = col_of(env)
-    cells = let(box_ints(e), lambda b: let(
+    grid = let(box_ints(e), lambda b: let(
         F.struct(b.alias("b"), cover_length_of(b).alias("L")),
-        lambda s: let(
-            F.struct(cover_grid(s["b"], s["L"]).alias("g"), s["L"].alias("L")),
-            lambda t: cover_cells(t["g"], t["L"]))))
-    return F.when(e.isNotNull(), cells)
+        lambda s: F.struct(s["L"].alias("L"), *[
+            cover_grid(s["b"], s["L"])[f].alias(f) for f in ("c0", "c1", "r0", "r1", "fx", "fy")])))
+    return F.when(e.isNotNull(), grid)
+
+
+def grid_size(grid) -> Column:
+    """Number of cells of a cover grid, without making them."""
+    g = col_of(grid)
+    return (g["c1"] - g["c0"] + 1) * (g["r1"] - g["r0"] + 1)
+
+
+def grid_cells(grid) -> Column:
+    """The cells of a cover grid as an array (higher-order functions)."""
+    g = col_of(grid)
+    return F.when(g.isNotNull(), cover_cells(g, g["L"]))
+
+
+def explode_grid(df: DataFrame, grid: str, out: str = "cell") -> DataFrame:
+    """One row per cell of the cover grid column ``grid``.  The column and
+    row numbers come from two ``explode(sequence(..))`` generators and the
+    cell text is computed in the projection above them, so the per-cell work
+    runs in whole-stage codegen rather than in an interpreted lambda."""
+    c, r = f"__{out}_c", f"__{out}_r"
+    g = F.col(grid)
+    df = df.where(g.isNotNull()) \
+        .withColumn(c, F.explode(F.sequence(g["c0"], g["c1"]))) \
+        .withColumn(r, F.explode(F.sequence(g["r0"], g["r1"])))
+    cell = F.left(geohash_from_ints(F.col(c) * g["fx"], F.col(r) * g["fy"]), g["L"])
+    return df.withColumn(out, cell).drop(c, r)
+
+
+def cover(env) -> Column:
+    """the cells covering box column ``env`` as an array, all of length L*."""
+    return let(cover_grid_of(env), grid_cells)
 
 
 def with_cover(df: DataFrame, env: str, out: str = "cells") -> DataFrame:

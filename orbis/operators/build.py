@@ -6,7 +6,8 @@
     kind string (n | w | r), id string (n12, w7, r3), osm_id long,
     class string (p | ls | pl | gc), parts (see functions.geometry),
     wkt string, centroid struct<x,y>, envelope struct<minx,miny,maxx,maxy>,
-    tags map<string,string>, cells array<string>
+    tags map<string,string>,
+    cover struct<L,c0,c1,r0,r1,fx,fy>   (the geohash cover grid; see functions.geohash)
 
 Way assembly is one shuffle join (references × nodes on the *long* node
 id) and one aggregation keyed by way id; order inside a way is made in the
@@ -32,7 +33,7 @@ VALID_RELATION_TYPES = ("multipolygon", "route", "boundary", "site",
 POLYGON_RELATION_TYPES = ("multipolygon", "boundary")
 
 GEOMETRY_COLUMNS = ("kind", "id", "osm_id", "class", "parts", "wkt", "centroid",
-                    "envelope", "tags", "cells")
+                    "envelope", "tags", "cover")
 
 
 def _finish(df: DataFrame, kind: str, prefix: str) -> DataFrame:
@@ -40,10 +41,10 @@ def _finish(df: DataFrame, kind: str, prefix: str) -> DataFrame:
     df = df.withColumn("envelope", GM.envelope("parts")) \
         .where(F.col("envelope").isNotNull())               # Q9: empty → dropped
     df = GM.with_centroid(df)
-    df = GH.with_cover(df, "envelope")
     return df.select(F.lit(kind).alias("kind"), prefixed_id(prefix, "osm_id").alias("id"),
                      "osm_id", "class", "parts", GM.wkt("class", "parts").alias("wkt"),
-                     "centroid", "envelope", tag_map("tags").alias("tags"), "cells")
+                     "centroid", "envelope", tag_map("tags").alias("tags"),
+                     GH.cover_grid_of("envelope").alias("cover"))
 
 
 def node_points(raw_nodes: DataFrame) -> DataFrame:
@@ -54,9 +55,14 @@ def node_points(raw_nodes: DataFrame) -> DataFrame:
 
 def build_nodes(raw_nodes: DataFrame) -> DataFrame:
     """E10 nodes (P1, P7, K1): only tagged nodes are stored; class ``p``, one
-    12-character cell, WKT point, centroid = the point itself (Q22)."""
+    12-character cell (a one-cell cover grid), WKT point, centroid = the
+    point itself (Q22)."""
     n = raw_nodes.where(F.size("tags") > 0)
     x, y = F.col("longitude"), F.col("latitude")
+    xi, yi = GH.lon_int(x), GH.lat_int(y)
+    one = F.lit(1).cast("long")
+    grid = F.struct(F.lit(GH.MAX_CELL_LENGTH).alias("L"), xi.alias("c0"), xi.alias("c1"),
+                    yi.alias("r0"), yi.alias("r1"), one.alias("fx"), one.alias("fy"))
     return n.select(
         F.lit("n").alias("kind"), prefixed_id(NODE_PREFIX, "id").alias("id"),
         F.col("id").alias("osm_id"), F.lit("p").alias("class"),
@@ -64,8 +70,7 @@ def build_nodes(raw_nodes: DataFrame) -> DataFrame:
         GM.point(x, y).alias("centroid"),
         F.struct(x.alias("minx"), y.alias("miny"), x.alias("maxx"), y.alias("maxy"))
         .alias("envelope"),
-        tag_map("tags").alias("tags"),
-        F.array(GH.geohash(x, y)).alias("cells"))
+        tag_map("tags").alias("tags"), grid.alias("cover"))
 
 
 def assemble_ways(refs: DataFrame, raw_nodes: DataFrame) -> DataFrame:
@@ -170,8 +175,10 @@ def build_geometries(raw_nodes: DataFrame, refs: DataFrame, way_tags: DataFrame,
 
 def build_index(*tables: DataFrame) -> DataFrame:
     """E9 flat (P4, U1): ``(cell, id)``, one row per cover cell of each
-    stored geometry (Q19: only what is stored is indexed)."""
-    parts = [t.select(F.explode("cells").alias("cell"), "id") for t in tables]
+    stored geometry (Q19: only what is stored is indexed).  Cells are made
+    from each cover grid by ``explode`` (codegen), not kept as arrays."""
+    parts = [GH.explode_grid(t.select("id", "cover"), "cover").select("cell", "id")
+             for t in tables]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

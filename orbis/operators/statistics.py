@@ -84,10 +84,16 @@ def stat_maps(stats: DataFrame) -> DataFrame:
         F.map_from_entries(F.transform("series", lambda s: F.struct(s["year"], s["value"])))
         .alias("years"))
     return per.groupBy("id", "name").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("indicator", "years"))))
+        F.map_from_entries(_by_indicator(F.collect_list(F.struct("indicator", "years"))))
         .alias("stats"))
 
 
+def _by_indicator(entries: Column) -> Column:
+    """Sort (indicator, map) entries by indicator (maps cannot be ordered)."""
+    return F.array_sort(entries, lambda a, b: F.when(a["indicator"] < b["indicator"], -1)
+                        .when(a["indicator"] > b["indicator"], 1).otherwise(0))
+
+
 def _ids(stats: DataFrame, ids) -> DataFrame:
     """Requested cities ``(id, name)``: a DataFrame with ``id``, a list of
     ids, or None for every city in the table."""
@@ -170,5 +176,5 @@ def range_map(stats: DataFrame, indicators: list[str], start_year: int, end_year
         F.map_from_entries(F.array_sort(F.collect_list(
             F.when(F.col("year").isNotNull(), F.struct("year", "value"))))).alias("years"))
     return per.groupBy("city_id", "city").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("indicator", "years"))))
+        F.map_from_entries(_by_indicator(F.collect_list(F.struct("indicator", "years"))))
         .alias("stats"))

@@ -13,12 +13,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orbis.functions import geohash as GH
+from orbis.functions import geometry as GM
 from orbis.operators import build as B
+from orbis.operators import lookup as LK
 from orbis.operators import spatial as SP
 from orbis.operators import statistics as ST
 from orbis.plans import params as P
 from orbis.plans.store import geometry_store
 from orbis.session import apply_conf
+from orbis.sinks import export as EX
 from orbis.sources import fixtures as FX
 
 
@@ -65,8 +69,8 @@ def _geometry_summary(df: DataFrame) -> DataFrame:
         _round6(F.col("centroid.x")).alias("cx"), _round6(F.col("centroid.y")).alias("cy"),
         F.col("envelope.minx").alias("minx"), F.col("envelope.miny").alias("miny"),
         F.col("envelope.maxx").alias("maxx"), F.col("envelope.maxy").alias("maxy"),
-        F.length(F.get("cells", 0)).alias("cover_len"), F.size("cells").alias("n_cells"),
-        F.concat_ws(" ", F.array_sort("cells")).alias("cells"), "parts", "tags")
+        F.col("cover.L").alias("cover_len"), GH.grid_size("cover").cast("int").alias("n_cells"),
+        F.concat_ws(" ", F.array_sort(GH.grid_cells("cover"))).alias("cells"), "parts", "tags")
 
 
 # ------------------------------------------------------------ geometries
@@ -75,7 +79,7 @@ def q_nodes(spark, sf_dir):
     """E10 nodes: P1, F1, F2, F10, P7."""
     n = Inputs(spark, sf_dir).nodes()
     return n.select("id", "class", "wkt", F.col("centroid.x").alias("x"),
-                    F.col("centroid.y").alias("y"), F.get("cells", 0).alias("cell"),
+                    F.col("centroid.y").alias("y"), F.get(GH.grid_cells("cover"), 0).alias("cell"),
                     F.col("tags")["place"].alias("place"), F.col("tags")["brand"].alias("brand"))
 
 
@@ -110,8 +114,7 @@ def q_relation_rings(spark, sf_dir):
 def q_cell_index(spark, sf_dir):
     """P4 + U1 + A3 -- per cell, how many geometries and the id range.
     Counted by partial aggregation, so a hot cell never sits in one task."""
-    inp = Inputs(spark, sf_dir)
-    flat = B.build_index(inp.nodes(), inp.ways(), inp.relations(polygons=False))
+    flat = _point_line_index(spark, sf_dir)
     return flat.groupBy("cell").agg(F.count(F.lit(1)).alias("n_ids"),
                                     F.min("id").alias("min_id"), F.max("id").alias("max_id"))
 
@@ -178,6 +181,99 @@ def q_clusters(spark, sf_dir):
     return _density_out(SP.density(g.where(F.col("kind") == "n"), P.CLUSTERS["length"]))
 
 
+# ------------------------------------------------------------ lookups, exports
+
+def q_locality_geometries(spark, sf_dir):
+    """S8 + J5 + J8 + F16: the geometry of every named locality, looked up
+    by id in the ingested table, with its name and SHA-1 row key."""
+    g, _ = geometry_store(spark, sf_dir)
+    names = ST.build_names(FX.names(spark, sf_dir))
+    r = LK.with_names(LK.get_geometries(g, names), names)
+    return r.select("id", "name", "class", _round6(F.col("centroid.x")).alias("cx"),
+                    _round6(F.col("centroid.y")).alias("cy"), F.sha1("id").alias("key"))
+
+
+def _point_line_index(spark, sf_dir):
+    """E9 over nodes, ways and collection relations (the SQL-checkable
+    kinds; ring relations enter the stored index the same way)."""
+    inp = Inputs(spark, sf_dir)
+    return B.build_index(inp.nodes(), inp.ways(), inp.relations(polygons=False))
+
+
+def q_index_prefix_scan(spark, sf_dir):
+    """S10 + O2: index rows under a set of cell prefixes (on a stored index
+    the range bounds and the OR of prefix filters reach the Parquet scan)."""
+    return LK.scan_index_by_prefixes(_point_line_index(spark, sf_dir),
+                                      P.INDEX_PREFIXES).select("cell", "id")
+
+
+def q_cell_postings(spark, sf_dir):
+    """A3 grouped index in bounded posting lists, read back flat: every
+    (cell, id) exactly once however the cells were chunked."""
+    grouped = B.group_index(_point_line_index(spark, sf_dir), P.POSTING_MAX_IDS)
+    return grouped.select("cell", F.explode("ids").alias("id"))
+
+
+def q_wkt_roundtrip(spark, sf_dir):
+    """F8 read: every stored way's WKT parsed back to parts; its envelope
+    and point count must be those of the way."""
+    g, _ = geometry_store(spark, sf_dir)
+    w = g.where(F.col("kind") == "w").select("id", GM.wkt_to_parts("wkt").alias("p"))
+    w = w.select("id", F.col("p.class").alias("class"), F.col("p.parts").alias("parts"))
+    e = GM.envelope("parts")
+    return w.select("id", "class", F.size(F.get("parts", 0)["pts"]).alias("n_points"),
+                    e["minx"].alias("minx"), e["miny"].alias("miny"),
+                    e["maxx"].alias("maxx"), e["maxy"].alias("maxy"))
+
+
+def locality_candidates(spark, sf_dir):
+    a = P.FIRST_MATCH
+    c = FX.table(spark, sf_dir, "customer")
+    n = FX.table(spark, sf_dir, "nation")
+    return c.join(n, c.c_nationkey == n.n_nationkey).select(
+        F.col("n_name").alias("name"), F.col("c_custkey").alias("osm_id"),
+        ((F.col("c_custkey") * a["rank_mul"]) % a["rank_mod"]).alias("rank"))
+
+
+def q_locality_first_match(spark, sf_dir):
+    """First search result per locality name, skipping names already
+    resolved (resume = anti join)."""
+    n = FX.table(spark, sf_dir, "nation")
+    done = n.where(F.col("n_regionkey") == P.FIRST_MATCH["done_region"]) \
+        .select(F.col("n_name").alias("name"))
+    return LK.first_match(locality_candidates(spark, sf_dir), done=done)
+
+
+def q_url_regions(spark, sf_dir):
+    """region name and parent path of every page URL."""
+    from orbis.functions.parse import region_from_url, url_parent
+    p = FX.table(spark, sf_dir, "pages")
+    return p.select("page_id", "url", region_from_url("url").alias("region"),
+                    url_parent("url").alias("parent"))
+
+
+def q_stat_json(spark, sf_dir):
+    """K7: one JSON line per city, ``{city: {stat: {year: value}}}`` (E7
+    shape); rows-only check (JSON text)."""
+    a = P.STAT_JSON
+    return EX.range_json(ST.range_map(stats_table(spark, sf_dir), a["indicators"],
+                                      a["start"], a["end"]))
+
+
+def q_interpolation_geojson(spark, sf_dir):
+    """K8 + P18: GeoJSON features -- interpolated supplier points
+    (inferred) and the observed localities (not inferred)."""
+    a = P.INTERPOLATE
+    g, idx = geometry_store(spark, sf_dir)
+    stats = stats_table(spark, sf_dir)
+    pts = FX.query_points(spark, sf_dir)
+    est = SP.interpolate(g, idx, stats, pts, a["indicator"], a["year"], a["meters"], a["power"])
+    obs = g.join(SP.stat_samples(stats, a["indicator"], a["year"]), "id").select(
+        "id", F.col("centroid.x").alias("lon"), F.col("centroid.y").alias("lat"), "value")
+    return EX.point_features(est, "qid", "lon", "lat", "value", True).unionByName(
+        EX.point_features(obs, "id", "lon", "lat", "value", False))
+
+
 # ------------------------------------------------------------ statistics
 
 def q_stat_series(spark, sf_dir):
@@ -227,6 +323,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "interpolate": q_interpolate,
     "density": q_density,
     "clusters": q_clusters,
+    "locality_geometries": q_locality_geometries,
+    "index_prefix_scan": q_index_prefix_scan,
+    "cell_postings": q_cell_postings,
+    "wkt_roundtrip": q_wkt_roundtrip,
+    "locality_first_match": q_locality_first_match,
+    "url_regions": q_url_regions,
+    "stat_json": q_stat_json,
+    "interpolation_geojson": q_interpolation_geojson,
     "stat_series": q_stat_series,
     "stat_from_all": q_stat_from_all,
     "stat_from_all_first_year": q_stat_from_all_first_year,

@@ -471,6 +471,51 @@ def clusters() -> str:
     return _density_sql("SELECT x, y FROM nodes_raw WHERE tagged", P.CLUSTERS["length"])
 
 
+# ------------------------------------------------------------ lookups SQL
+
+def locality_geometries() -> str:
+    return f"""WITH {STAT_CSV.strip()},
+{GEOM.strip()}
+SELECT r.id, nm.name, 'gc' AS class, round({CENTROID_X}, 6) AS cx,
+       round({CENTROID_Y}, 6) AS cy, sha1(r.id) AS key
+FROM names nm JOIN rels r ON r.id = 'r' || nm.id
+WHERE nm.id IS NOT NULL"""
+
+
+def index_prefix_scan() -> str:
+    cond = " OR ".join(f"starts_with(cell, '{p}')" for p in P.INDEX_PREFIXES)
+    return _geom_query(f"SELECT cell, id FROM cell_index WHERE {cond}")
+
+
+def cell_postings() -> str:
+    return _geom_query("SELECT cell, id FROM cell_index")
+
+
+def wkt_roundtrip() -> str:
+    return _geom_query("""
+SELECT id, cls AS class, CAST(np AS INTEGER) AS n_points, minx, miny, maxx, maxy FROM ways""")
+
+
+def locality_first_match() -> str:
+    a = P.FIRST_MATCH
+    return f"""
+WITH cand AS (
+  SELECT n_name AS name, c_custkey AS osm_id,
+         (c_custkey * {a['rank_mul']}) % {a['rank_mod']} AS rank
+  FROM customer JOIN nation ON c_nationkey = n_nationkey
+  WHERE n_name NOT IN (SELECT n_name FROM nation WHERE n_regionkey = {a['done_region']})),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY name ORDER BY rank, osm_id) AS k FROM cand)
+SELECT name, osm_id, rank FROM ranked WHERE k = 1"""
+
+
+def url_regions() -> str:
+    return """
+SELECT page_id, url, regexp_extract(url, '([^/]+)-latest', 1) AS region,
+       regexp_extract(url, '.+/', 0) AS parent
+FROM pages"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "nodes": nodes(),
@@ -482,6 +527,12 @@ def all_sql() -> dict[str, str]:
         "interpolate": interpolate(),
         "density": density(),
         "clusters": clusters(),
+        "locality_geometries": locality_geometries(),
+        "index_prefix_scan": index_prefix_scan(),
+        "cell_postings": cell_postings(),
+        "wkt_roundtrip": wkt_roundtrip(),
+        "locality_first_match": locality_first_match(),
+        "url_regions": url_regions(),
         "stat_series": stat_series(),
         "stat_from_all": stat_from_all(),
         "stat_from_all_first_year": stat_from_all_first_year(),

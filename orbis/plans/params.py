@@ -21,3 +21,10 @@ FIND_BY_STATS = {"indicator": "3-MEDIUM", "year": 1998, "meters": 1500000}
 INTERPOLATE = {"indicator": "3-MEDIUM", "year": 1998, "meters": 1500000, "power": 1}
 DENSITY = {"length": 4}
 CLUSTERS = {"length": 3}
+
+INDEX_PREFIXES = ["u0k", "u0m", "spu"]
+POSTING_MAX_IDS = 64
+# locality search: a nation's candidate localities are its customers, in a
+# pseudo search-result order; nations of region 0 count as already resolved
+FIRST_MATCH = {"rank_mul": 7919, "rank_mod": 101, "done_region": 0}
+STAT_JSON = {"indicators": ["1-URGENT", "5-LOW"], "start": 1996, "end": 1998}

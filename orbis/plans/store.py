@@ -20,13 +20,15 @@ from orbis.sinks import tables as K
 from orbis.sources import fixtures as FX
 
 INGEST_TABLES = ("part", "lineitem", "orders", "customer")
-_CACHE: dict[tuple[int, str], tuple[DataFrame, DataFrame]] = {}
+# bump when the layout of the written tables changes
+STORE_LAYOUT = "2"
+_CACHE: dict[tuple[int, str], tuple[str, str]] = {}
 
 
 def _input_key(spark: SparkSession, sf_dir: str) -> str:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    h = hashlib.sha1()
+    h = hashlib.sha1(STORE_LAYOUT.encode())
     for t in INGEST_TABLES:
         path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
         fs = path.getFileSystem(conf)
@@ -51,6 +53,11 @@ def ingest(spark: SparkSession, sf_dir: str, root: str | None = None) -> tuple[s
     return gpath, ipath
 
 
+def use(spark: SparkSession, sf_dir: str, paths: tuple[str, str]) -> None:
+    """Point later queries on ``sf_dir`` at an ingest written elsewhere."""
+    _CACHE[(id(spark), sf_dir)] = paths
+
+
 def geometry_store(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """``(geometries, cell_index)`` DataFrames for ``sf_dir``, ingesting first
     if needed."""

@@ -64,8 +64,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        # unset (a test session): our own scratch folder, for this host only
         root = tempfile.mkdtemp(prefix="orbis-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
