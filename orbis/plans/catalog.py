@@ -20,7 +20,7 @@ from orbis.operators import lookup as LK
 from orbis.operators import spatial as SP
 from orbis.operators import statistics as ST
 from orbis.plans import params as P
-from orbis.plans.store import geometry_store
+from orbis.plans.store import geometry_store, point_line_index
 from orbis.session import apply_conf
 from orbis.sinks import export as EX
 from orbis.sources import fixtures as FX
@@ -114,7 +114,8 @@ def q_relation_rings(spark, sf_dir):
 def q_cell_index(spark, sf_dir):
     """P4 + U1 + A3 -- per cell, how many geometries and the id range.
     Counted by partial aggregation, so a hot cell never sits in one task."""
-    flat = _point_line_index(spark, sf_dir)
+    inp = Inputs(spark, sf_dir)
+    flat = B.build_index(inp.nodes(), inp.ways(), inp.relations(polygons=False))
     return flat.groupBy("cell").agg(F.count(F.lit(1)).alias("n_ids"),
                                     F.min("id").alias("min_id"), F.max("id").alias("max_id"))
 
@@ -194,10 +195,9 @@ def q_locality_geometries(spark, sf_dir):
 
 
 def _point_line_index(spark, sf_dir):
-    """E9 over nodes, ways and collection relations (the SQL-checkable
-    kinds; ring relations enter the stored index the same way)."""
-    inp = Inputs(spark, sf_dir)
-    return B.build_index(inp.nodes(), inp.ways(), inp.relations(polygons=False))
+    """The stored E9 index of nodes, ways and collection relations (ring
+    relations have their own index table, SQL cannot stitch rings)."""
+    return point_line_index(spark, sf_dir)
 
 
 def q_index_prefix_scan(spark, sf_dir):

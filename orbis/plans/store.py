@@ -21,8 +21,8 @@ from orbis.sources import fixtures as FX
 
 INGEST_TABLES = ("part", "lineitem", "orders", "customer")
 # bump when the layout of the written tables changes
-STORE_LAYOUT = "2"
-_CACHE: dict[tuple[int, str], tuple[str, str]] = {}
+STORE_LAYOUT = "3"
+_CACHE: dict[tuple[int, str], dict[str, str]] = {}
 
 
 def _input_key(spark: SparkSession, sf_dir: str) -> str:
@@ -38,32 +38,57 @@ def _input_key(spark: SparkSession, sf_dir: str) -> str:
     return h.hexdigest()[:16]
 
 
-def ingest(spark: SparkSession, sf_dir: str, root: str | None = None) -> tuple[str, str]:
-    """Build and write ``geometries`` and ``cell_index`` for the driver tables
-    under ``sf_dir`` (skipped when already written); returns their paths."""
+def ingest(spark: SparkSession, sf_dir: str, root: str | None = None) -> dict[str, str]:
+    """Build and write the geometry table and the cell index for the driver
+    tables under ``sf_dir``; steps already written are skipped.
+
+    Steps: nodes, ways, relations (reading the written ways back, which cuts
+    lineage) into ``geometries/kind=<n|w|r>``; then two index tables --
+    ``cell_index`` for nodes, ways and collection relations and
+    ``ring_index`` for ring-stitched relations.  Returns the paths."""
     base = root or table_path(spark, "orbis", _input_key(spark, sf_dir))
-    gpath, ipath = f"{base}/geometries", f"{base}/cell_index"
-    if not committed(spark, gpath):
-        g = B.build_geometries(FX.raw_nodes(spark, sf_dir), FX.way_refs(spark, sf_dir),
-                               FX.way_tags(spark, sf_dir), FX.relation_members(spark, sf_dir),
-                               FX.relation_tags(spark, sf_dir))
-        K.write_geometries(g, gpath)
-    if not committed(spark, ipath):
-        K.write_index(B.build_index(spark.read.parquet(gpath)), ipath)
-    return gpath, ipath
-
-
-def use(spark: SparkSession, sf_dir: str, paths: tuple[str, str]) -> None:
+    paths = {"geometries": f"{base}/geometries", "cell_index": f"{base}/cell_index",
+             "ring_index": f"{base}/ring_index"}
+    g = paths["geometries"]
+    raw_nodes = FX.raw_nodes(spark, sf_dir)
+    if not committed(spark, f"{g}/kind=n"):
+        K.write_kind(B.build_nodes(raw_nodes), g, "n")
+    if not committed(spark, f"{g}/kind=w"):
+        K.write_kind(B.build_ways(FX.way_refs(spark, sf_dir), FX.way_tags(spark, sf_dir),
+                                  raw_nodes), g, "w")
+    if not committed(spark, f"{g}/kind=r"):
+        ways = spark.read.parquet(f"{g}/kind=w")
+        K.write_kind(B.build_relations(FX.relation_members(spark, sf_dir),
+                                       FX.relation_tags(spark, sf_dir), raw_nodes, ways), g, "r")
+    geoms = spark.read.parquet(g)
+    rings = (F.col("kind") == "r") & (F.col("class") == "pl")
+    if not committed(spark, paths["cell_index"]):
+        K.write_index(B.build_index(geoms.where(~rings)), paths["cell_index"])
+    if not committed(spark, paths["ring_index"]):
+        K.write_index(B.build_index(geoms.where(rings)), paths["ring_index"])
+    return paths
+
+
+def use(spark: SparkSession, sf_dir: str, paths: dict[str, str]) -> None:
     """Point later queries on ``sf_dir`` at an ingest written elsewhere."""
     _CACHE[(id(spark), sf_dir)] = paths
 
 
-def geometry_store(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """``(geometries, cell_index)`` DataFrames for ``sf_dir``, ingesting first
-    if needed."""
+def _paths(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     key = (id(spark), sf_dir)
     if key not in _CACHE:
-        gpath, ipath = ingest(spark, sf_dir)
-        _CACHE[key] = (gpath, ipath)
-    gpath, ipath = _CACHE[key]
-    return spark.read.parquet(gpath), spark.read.parquet(ipath)
+        _CACHE[key] = ingest(spark, sf_dir)
+    return _CACHE[key]
+
+
+def geometry_store(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """``(geometries, cell_index)`` for ``sf_dir`` -- the full index, every
+    stored geometry -- ingesting first if needed."""
+    p = _paths(spark, sf_dir)
+    idx = spark.read.parquet(p["cell_index"]).unionByName(spark.read.parquet(p["ring_index"]))
+    return spark.read.parquet(p["geometries"]), idx
+
+
+def point_line_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored index of nodes, ways and collection relations."""
+    return spark.read.parquet(_paths(spark, sf_dir)["cell_index"])

@@ -20,6 +20,12 @@ def write_geometries(geoms: DataFrame, path: str, mode: str = "overwrite") -> No
     geoms.sortWithinPartitions("kind", "id").write.mode(mode).partitionBy("kind").parquet(path)
 
 
+def write_kind(geoms: DataFrame, path: str, kind: str, mode: str = "overwrite") -> None:
+    """K1–K3 one kind at a time, into the ``kind=<kind>`` partition folder of
+    the geometry table (each step commits on its own)."""
+    geoms.drop("kind").sortWithinPartitions("id").write.mode(mode).parquet(f"{path}/kind={kind}")
+
+
 def write_index(flat_index: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K4 / K6: flat ``(cell, id)`` index, sorted by cell within files."""
     flat_index.sortWithinPartitions("cell").write.mode(mode).parquet(path)
