@@ -63,11 +63,13 @@ def tag_map(tags) -> Column:
         F.create_map().cast("map<string,string>"))
 
 
-def get_stat(stats_map, key: str) -> Column:
-    """series of one indicator from a ``map<indicator, array<...>>``,
-    empty list when the indicator is missing."""
+def get_stat(stats_map, key: str, empty: str = "map<int,double>") -> Column:
+    """the series of one indicator from a ``map<indicator, series>``
+    (``stat_maps`` gives ``map<year, value>`` series); an empty series of
+    type ``empty`` when the indicator is missing."""
     m = col_of(stats_map)
-    return F.coalesce(F.try_element_at(m, F.lit(key)), F.array())
+    blank = F.create_map() if empty.startswith("map") else F.array()
+    return F.coalesce(F.try_element_at(m, F.lit(key)), blank.cast(empty))
 
 
 def region_from_url(url) -> Column:

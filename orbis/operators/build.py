@@ -173,12 +173,18 @@ def build_geometries(raw_nodes: DataFrame, refs: DataFrame, way_tags: DataFrame,
 
 # ------------------------------------------------------------------ index
 
+INDEX_COLUMNS = ("cell", "id", "minx", "miny", "maxx", "maxy")
+
+
 def build_index(*tables: DataFrame) -> DataFrame:
-    """E9 flat (P4, U1): ``(cell, id)``, one row per cover cell of each
-    stored geometry (Q19: only what is stored is indexed).  Cells are made
-    from each cover grid by ``explode`` (codegen), not kept as arrays."""
-    parts = [GH.explode_grid(t.select("id", "cover"), "cover").select("cell", "id")
-             for t in tables]
+    """E9 flat (P4, U1): ``(cell, id, minx, miny, maxx, maxy)``, one row per
+    cover cell of each stored geometry (Q19: only what is stored is
+    indexed).  Cells are made from each cover grid by ``explode`` (codegen),
+    not kept as arrays.  The geometry's envelope rides along, so a search can
+    drop a candidate whose box is not inside the query box right after the
+    cell join, before any shuffle."""
+    parts = [GH.explode_grid(t.select("id", "cover", "envelope.*"), "cover")
+             .select(*INDEX_COLUMNS) for t in tables]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -125,19 +125,26 @@ def stat_from_all(stats: DataFrame, indicator: str, op: str, threshold: float,
         F.col("id").alias("city_id"), F.col("name").alias("city"), "year", "value")
 
 
-def multi_compare_stat(stats: DataFrame, indicator: str, ids=None) -> DataFrame:
+def multi_compare_stat(stats: DataFrame, indicator: str, ids=None,
+                       geometries: DataFrame | None = None) -> DataFrame:
     """E4 ``multiCompareStat``: each requested city's values of one
     indicator in year order → ``(city_id, city, values array<double>,
     series array<struct<year,value>>)``; a city without data keeps an empty
-    list (A7).  Grouped by id, so two cities sharing a name stay apart (Q17)."""
+    list (A7).  Grouped by id, so two cities sharing a name stay apart (Q17).
+    With ``geometries`` given, each city also carries its ``wkt``."""
     wanted = _ids(stats, ids)
     s = series(stats, [indicator]).select("id", "series")
-    return wanted.join(s, "id", "left").select(
+    out = wanted.join(s, "id", "left")
+    extra = []
+    if geometries is not None:
+        out = out.join(geometries.select("id", "wkt"), "id", "left")
+        extra = ["wkt"]
+    return out.select(
         F.col("id").alias("city_id"), F.col("name").alias("city"),
         F.coalesce(F.transform("series", lambda e: e["value"]),
                    F.array().cast("array<double>")).alias("values"),
         F.coalesce("series", F.array().cast("array<struct<year:int,value:double>>"))
-        .alias("series"))
+        .alias("series"), *extra)
 
 
 def stat_in_range(stats: DataFrame, indicator: str, start_year: int, end_year: int,

@@ -86,3 +86,17 @@ def test_multi_compare_ordered_and_empty(stats):
 def test_stat_maps(stats):
     r = ST.stat_maps(stats).where("id = 'r7'").first()
     assert r.stats["all companies"][2013] == pytest.approx(22.344)
+
+
+def test_multi_compare_with_geometry(spark, stats):
+    geoms = spark.createDataFrame([("r5", "POINT (1 2)")], "id string, wkt string")
+    got = {r.city_id: r.wkt for r in ST.multi_compare_stat(stats, POP, geometries=geoms).collect()}
+    assert got["r5"] == "POINT (1 2)" and got["r8"] is None
+
+
+def test_get_stat_f18(stats):
+    from orbis.functions.parse import get_stat
+    m = ST.stat_maps(stats).where("id = 'r7'")
+    r = m.select(get_stat("stats", "all companies").alias("a"),
+                 get_stat("stats", "missing").alias("b")).first()
+    assert r.a[2013] == pytest.approx(22.344) and len(r.b) == 0
