@@ -20,7 +20,7 @@ from orbis.operators import lookup as LK
 from orbis.operators import spatial as SP
 from orbis.operators import statistics as ST
 from orbis.plans import params as P
-from orbis.plans.store import geometry_store, point_line_index
+from orbis.plans.store import geometry_store, point_line_index, ring_index
 from orbis.session import apply_conf
 from orbis.sinks import export as EX
 from orbis.sources import fixtures as FX
@@ -62,30 +62,46 @@ def _round6(c):
     return F.round(c, 6)
 
 
-def _geometry_summary(df: DataFrame) -> DataFrame:
-    """Scalar view of geometry rows for value comparison."""
-    return df.select(
+def _cells_by_id(index: DataFrame) -> DataFrame:
+    """Each geometry's cells from the flat index, as sorted text (a
+    geometry's cover is bounded by n(3) cells, so the group is small)."""
+    return index.groupBy("id").agg(
+        F.count(F.lit(1)).cast("int").alias("n_cells"),
+        F.concat_ws(" ", F.array_sort(F.collect_list("cell"))).alias("cells"))
+
+
+def _geometry_summary(df: DataFrame, index: DataFrame) -> DataFrame:
+    """Scalar view of stored geometry rows for value comparison; the cells
+    come from the stored index, so the index is checked against the cover."""
+    return df.join(_cells_by_id(index), "id").select(
         "id", "class", "wkt",
         _round6(F.col("centroid.x")).alias("cx"), _round6(F.col("centroid.y")).alias("cy"),
         F.col("envelope.minx").alias("minx"), F.col("envelope.miny").alias("miny"),
         F.col("envelope.maxx").alias("maxx"), F.col("envelope.maxy").alias("maxy"),
-        F.col("cover.L").alias("cover_len"), GH.grid_size("cover").cast("int").alias("n_cells"),
-        F.concat_ws(" ", F.array_sort(GH.grid_cells("cover"))).alias("cells"), "parts", "tags")
+        F.col("cover.L").alias("cover_len"), "n_cells", "cells", "parts", "tags")
+
+
+def _stored(spark, sf_dir, kind: str) -> DataFrame:
+    g, _ = geometry_store(spark, sf_dir)
+    return g.where(F.col("kind") == kind)
 
 
 # ------------------------------------------------------------ geometries
+# The ingest (nodes, ways, relations, index) runs once per input and is
+# written to the shared folder (orbis.plans.store); these queries read it.
 
 def q_nodes(spark, sf_dir):
     """E10 nodes: P1, F1, F2, F10, P7."""
-    n = Inputs(spark, sf_dir).nodes()
+    n = _stored(spark, sf_dir, "n")
     return n.select("id", "class", "wkt", F.col("centroid.x").alias("x"),
-                    F.col("centroid.y").alias("y"), F.get(GH.grid_cells("cover"), 0).alias("cell"),
+                    F.col("centroid.y").alias("y"),
+                    GH.geohash("centroid.x", "centroid.y").alias("cell"),
                     F.col("tags")["place"].alias("place"), F.col("tags")["brand"].alias("brand"))
 
 
 def q_ways(spark, sf_dir):
-    """E10 ways: J1, A1, F3–F9, P2, P9."""
-    w = _geometry_summary(Inputs(spark, sf_dir).ways())
+    """E10 ways: J1, A1, F3–F9, P2, P9 (+ their index cells, E9)."""
+    w = _geometry_summary(_stored(spark, sf_dir, "w"), point_line_index(spark, sf_dir))
     return w.select("id", "class", F.size(F.get("parts", 0)["pts"]).alias("n_points"), "wkt",
                     "cx", "cy", "minx", "miny", "maxx", "maxy", "cover_len", "n_cells", "cells",
                     F.col("tags")["priority"].alias("priority"),
@@ -94,7 +110,8 @@ def q_ways(spark, sf_dir):
 
 def q_relations(spark, sf_dir):
     """E10 relations built as collections: P8, J2, J3, A2, F17, F20, P16."""
-    r = _geometry_summary(Inputs(spark, sf_dir).relations(polygons=False))
+    r = _stored(spark, sf_dir, "r").where(F.col("class") == "gc")
+    r = _geometry_summary(r, point_line_index(spark, sf_dir))
     return r.select("id", "class", F.col("tags")["type"].alias("rel_type"),
                     F.col("tags")["name"].alias("name"), F.size("parts").alias("n_parts"), "wkt",
                     "cx", "cy", "minx", "miny", "maxx", "maxy", "cover_len", "n_cells", "cells")
@@ -103,9 +120,8 @@ def q_relations(spark, sf_dir):
 def q_relation_rings(spark, sf_dir):
     """V3 + F19 + O3: multipolygon/boundary relations stitched into rings
     (rows-only check: ring stitching is not SQL)."""
-    inp = Inputs(spark, sf_dir)
-    resolved = B.resolved_members(inp.members, inp.relation_tags, inp.raw_nodes, inp.ways())
-    r = _geometry_summary(B.build_relation_polygons(resolved, inp.relation_tags))
+    r = _stored(spark, sf_dir, "r").where(F.col("class") == "pl")
+    r = _geometry_summary(r, ring_index(spark, sf_dir))
     return r.select("id", "class", F.col("tags")["type"].alias("rel_type"),
                     F.size("parts").alias("n_rings"), "wkt", "cx", "cy", "minx", "miny",
                     "maxx", "maxy", "cover_len", "n_cells")
@@ -114,8 +130,7 @@ def q_relation_rings(spark, sf_dir):
 def q_cell_index(spark, sf_dir):
     """P4 + U1 + A3 -- per cell, how many geometries and the id range.
     Counted by partial aggregation, so a hot cell never sits in one task."""
-    inp = Inputs(spark, sf_dir)
-    flat = B.build_index(inp.nodes(), inp.ways(), inp.relations(polygons=False))
+    flat = point_line_index(spark, sf_dir)
     return flat.groupBy("cell").agg(F.count(F.lit(1)).alias("n_ids"),
                                     F.min("id").alias("min_id"), F.max("id").alias("max_id"))
 

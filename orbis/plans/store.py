@@ -92,3 +92,8 @@ def geometry_store(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 def point_line_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored index of nodes, ways and collection relations."""
     return spark.read.parquet(_paths(spark, sf_dir)["cell_index"])
+
+
+def ring_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored index of ring-stitched relations."""
+    return spark.read.parquet(_paths(spark, sf_dir)["ring_index"])
