@@ -354,4 +354,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stats_in_range": q_stats_in_range,
 }
 
-FLAGSHIP = "stat_from_all"
+FLAGSHIP = "stat_from_all_first_year"

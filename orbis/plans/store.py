@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orbis.operators import build as B
-from orbis.session import committed, table_path
+from orbis.session import apply_conf, committed, table_path
 from orbis.sinks import tables as K
 from orbis.sources import fixtures as FX
 
@@ -75,6 +75,7 @@ def use(spark: SparkSession, sf_dir: str, paths: dict[str, str]) -> None:
 
 
 def _paths(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    apply_conf(spark)
     key = (id(spark), sf_dir)
     if key not in _CACHE:
         _CACHE[key] = ingest(spark, sf_dir)
