@@ -10,6 +10,7 @@ size, modification time), so changed inputs are ingested again.
 from __future__ import annotations
 
 import hashlib
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ INGEST_TABLES = ("part", "lineitem", "orders", "customer")
 # bump when the layout of the written tables changes
 STORE_LAYOUT = "4"
 _CACHE: dict[tuple[int, str], dict[str, str]] = {}
+_LOCK = threading.Lock()
 
 
 def _input_key(spark: SparkSession, sf_dir: str) -> str:
@@ -77,9 +79,10 @@ def use(spark: SparkSession, sf_dir: str, paths: dict[str, str]) -> None:
 def _paths(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     apply_conf(spark)
     key = (id(spark), sf_dir)
-    if key not in _CACHE:
-        _CACHE[key] = ingest(spark, sf_dir)
-    return _CACHE[key]
+    with _LOCK:                       # one ingest per input, even from threads
+        if key not in _CACHE:
+            _CACHE[key] = ingest(spark, sf_dir)
+        return _CACHE[key]
 
 
 def geometry_store(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
