@@ -107,7 +107,7 @@ def cover_length_of(ints) -> Column:
 
 
 def cover_grid(ints, L) -> Column:
-    """Cell-grid ranges at length L: ``struct<c0,c1,r0,r1,fx,fy>``; fx, fy
+    """Cell-grid ranges at length L: ``struct<L,c0,c1,r0,r1,fx,fy>``; fx, fy
     turn a column/row number back into corner integers (stage 3)."""
     b, L = col_of(ints), col_of(L)
 
@@ -119,6 +119,7 @@ def cover_grid(ints, L) -> Column:
         return out
 
     return F.struct(
+        L.alias("L"),
         at_length(lambda k: F.shiftright(b["x0"], BITS - lon_bits(k))).alias("c0"),
         at_length(lambda k: F.shiftright(b["x1"], BITS - lon_bits(k))).alias("c1"),
         at_length(lambda k: F.shiftright(b["y0"], BITS - lat_bits(k))).alias("r0"),
@@ -146,8 +147,7 @@ def cover_grid_of(env) -> Column:
     e = col_of(env)
     grid = let(box_ints(e), lambda b: let(
         F.struct(b.alias("b"), cover_length_of(b).alias("L")),
-        lambda s: F.struct(s["L"].alias("L"), *[
-            cover_grid(s["b"], s["L"])[f].alias(f) for f in ("c0", "c1", "r0", "r1", "fx", "fy")])))
+        lambda s: cover_grid(s["b"], s["L"])))
     return F.when(e.isNotNull(), grid)
 
 
