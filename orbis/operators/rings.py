@@ -1,8 +1,9 @@
 """Stitch a relation's member lines into polygon rings.
 
 The one place Python runs: Spark groups the members by relation and calls
-``_stitch`` once per relation (``applyInPandas``), so relations are stitched
-in parallel and only one relation's lines are in memory at a time.
+``_stitch_arrow`` once per relation (``applyInArrow``: Arrow in and out, no
+pandas frame per group), so relations are stitched in parallel and only one
+relation's lines are in memory at a time.
 
 Rules (order-free and direction-free):
 
@@ -18,7 +19,7 @@ Rules (order-free and direction-free):
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,10 +63,11 @@ def _chain(lines: list[list[tuple[float, float]]]) -> list[list[tuple[float, flo
     return rings
 
 
-def _stitch(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("pos", kind="stable")
+def _rings_of(members) -> tuple[list[str], list[list[float]], list[list[float]]] | None:
+    """Core rule on one relation's ``(pos, xs, ys)`` member lines: the
+    chosen shell and its holes as ``(types, xs, ys)``, or None."""
     rings, lines = [], []
-    for xs, ys in zip(pdf["xs"], pdf["ys"]):
+    for _, xs, ys in sorted(members, key=lambda m: m[0]):
         pts = list(zip(map(float, xs), map(float, ys)))
         if len(pts) < 2:
             continue
@@ -75,11 +77,8 @@ def _stitch(pdf: pd.DataFrame) -> pd.DataFrame:
         else:
             lines.append(pts)
     rings.extend(_chain(lines))
-    empty = pd.DataFrame({"osm_id": pd.Series([], dtype="int64"),
-                          "ts": pd.Series([], dtype=object), "xs": pd.Series([], dtype=object),
-                          "ys": pd.Series([], dtype=object)})
     if not rings:
-        return empty
+        return None
     arr = [(np.array([p[0] for p in r]), np.array([p[1] for p in r])) for r in rings]
     area = [abs(_area2(x, y)) / 2 for x, y in arr]
     n = len(rings)
@@ -100,16 +99,29 @@ def _stitch(pdf: pd.DataFrame) -> pd.DataFrame:
         depth.append(d)
     shells = [i for i in range(n) if depth[i] % 2 == 0]
     if not shells:
-        return empty
+        return None
     pick = min(shells, key=lambda i: (-area[i], rings[i][0]))
     holes = [i for i in range(n) if parent[i] == pick and depth[i] == depth[pick] + 1]
     chosen = [pick] + holes
-    return pd.DataFrame({
-        "osm_id": [int(pdf["rel_id"].iloc[0])],
-        "ts": [["pl"] + ["h"] * len(holes)],
-        "xs": [[arr[i][0].tolist() for i in chosen]],
-        "ys": [[arr[i][1].tolist() for i in chosen]],
-    })
+    return (["pl"] + ["h"] * len(holes), [arr[i][0].tolist() for i in chosen],
+            [arr[i][1].tolist() for i in chosen])
+
+
+def _stitch_arrow(table: pa.Table) -> pa.Table:
+    """One relation per call, as Arrow in and out (no pandas frames)."""
+    cols = table.to_pydict()
+    out = _rings_of(zip(cols["pos"], cols["xs"], cols["ys"]))
+    if out is None:
+        return pa.Table.from_pydict({"osm_id": [], "ts": [], "xs": [], "ys": []},
+                                    schema=_ARROW_SCHEMA)
+    ts, xs, ys = out
+    return pa.Table.from_pydict({"osm_id": [int(cols["rel_id"][0])], "ts": [ts], "xs": [xs],
+                                 "ys": [ys]}, schema=_ARROW_SCHEMA)
+
+
+_ARROW_SCHEMA = pa.schema([("osm_id", pa.int64()), ("ts", pa.list_(pa.string())),
+                          ("xs", pa.list_(pa.list_(pa.float64()))),
+                          ("ys", pa.list_(pa.list_(pa.float64())))])
 
 
 def stitch_rings(resolved: DataFrame) -> DataFrame:
@@ -120,7 +132,7 @@ def stitch_rings(resolved: DataFrame) -> DataFrame:
         .where(F.col("p.t") != "p") \
         .select("rel_id", "pos", F.transform("p.pts", lambda q: q["x"]).alias("xs"),
                 F.transform("p.pts", lambda q: q["y"]).alias("ys"))
-    out = lines.groupBy("rel_id").applyInPandas(_stitch, RING_SCHEMA)
+    out = lines.groupBy("rel_id").applyInArrow(_stitch_arrow, RING_SCHEMA)
     parts = F.transform(F.sequence(F.lit(0), F.size("ts") - 1), lambda i: F.struct(
         F.get(F.col("ts"), i).alias("t"),
         F.zip_with(F.get(F.col("xs"), i), F.get(F.col("ys"), i),
