@@ -317,6 +317,17 @@ def q_multi_compare_stat(spark, sf_dir):
                 F.col("s.value").alias("value"))
 
 
+def q_compare_with_geometry(spark, sf_dir):
+    """E4 with each city's geometry (the compare sample carries WKT): how
+    many values each city has, their sum, and its geometry text."""
+    g, _ = geometry_store(spark, sf_dir)
+    out = ST.multi_compare_stat(stats_table(spark, sf_dir), P.MULTI_COMPARE["indicator"],
+                                geometries=g)
+    return out.select("city_id", "city", F.size("values").alias("n_values"),
+                      _round6(F.aggregate("values", F.lit(0.0), lambda a, v: a + v))
+                      .alias("total"), "wkt")
+
+
 def q_stat_in_range(spark, sf_dir):
     a = P.STAT_IN_RANGE
     return ST.stat_in_range(stats_table(spark, sf_dir), a["indicator"], a["start"], a["end"])
@@ -350,6 +361,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stat_from_all": q_stat_from_all,
     "stat_from_all_first_year": q_stat_from_all_first_year,
     "multi_compare_stat": q_multi_compare_stat,
+    "compare_with_geometry": q_compare_with_geometry,
     "stat_in_range": q_stat_in_range,
     "stats_in_range": q_stats_in_range,
 }

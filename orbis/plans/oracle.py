@@ -516,6 +516,18 @@ SELECT page_id, url, regexp_extract(url, '([^/]+)-latest', 1) AS region,
 FROM pages"""
 
 
+def compare_with_geometry() -> str:
+    a = P.MULTI_COMPARE
+    return f"""WITH {STATS},
+{GEOM.strip()},
+cities AS (SELECT DISTINCT id, name FROM stats),
+vals AS (SELECT id, count(*) AS n, sum(value) AS total FROM stats
+         WHERE indicator = '{a['indicator']}' GROUP BY id)
+SELECT c.id AS city_id, c.name AS city, CAST(coalesce(v.n, 0) AS INTEGER) AS n_values,
+       round(coalesce(v.total, 0.0), 6) AS total, r.wkt
+FROM cities c LEFT JOIN vals v ON v.id = c.id LEFT JOIN rels r ON r.id = c.id"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "nodes": nodes(),
@@ -537,6 +549,7 @@ def all_sql() -> dict[str, str]:
         "stat_from_all": stat_from_all(),
         "stat_from_all_first_year": stat_from_all_first_year(),
         "multi_compare_stat": multi_compare_stat(),
+        "compare_with_geometry": compare_with_geometry(),
         "stat_in_range": stat_in_range(),
         "stats_in_range": stats_in_range(),
     }
