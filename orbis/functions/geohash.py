@@ -41,16 +41,30 @@ def lat_bits(cell_length: int) -> int:
     return (5 * cell_length) // 2
 
 
+def _clamp(v: Column) -> Column:
+    return F.greatest(F.least(v, F.lit(TOP).cast("long")), F.lit(0).cast("long"))
+
+
+def _scaled(v, lo: float, span: float) -> Column:
+    """Number of grid boundaries lo + i*span/2^30 at or below ``v`` -- what
+    halving the interval 30 times decides.  The scaled floor can be one off
+    next to a boundary (``v + lo`` rounds), so it is corrected against the
+    boundary itself, which is an exact double (a multiple of span/2^30)."""
+    v = col_of(v)
+    step = span / SCALE
+    i0 = _clamp(F.floor((v - F.lit(lo)) / F.lit(span) * F.lit(SCALE)))
+    b0 = F.lit(lo) + i0 * F.lit(step)
+    return _clamp(F.when(v < b0, i0 - 1).when(v >= b0 + F.lit(step), i0 + 1).otherwise(i0))
+
+
 def lon_int(lon) -> Column:
     """Longitude → 30-bit integer, clamped to the valid range (lon 180 is the
     last cell)."""
-    v = F.floor((col_of(lon) + F.lit(180.0)) / F.lit(360.0) * F.lit(SCALE))
-    return F.greatest(F.least(v, F.lit(TOP).cast("long")), F.lit(0).cast("long"))
+    return _scaled(lon, -180.0, 360.0)
 
 
 def lat_int(lat) -> Column:
-    v = F.floor((col_of(lat) + F.lit(90.0)) / F.lit(180.0) * F.lit(SCALE))
-    return F.greatest(F.least(v, F.lit(TOP).cast("long")), F.lit(0).cast("long"))
+    return _scaled(lat, -90.0, 180.0)
 
 
 def _spread(v: Column) -> Column:

@@ -123,14 +123,26 @@ def fmt_sql(x: str) -> str:
     return f"regexp_replace(CAST({x} AS VARCHAR), '\\.0$', '')"
 
 
+def _scaled_sql(v: str, lo: float, span: float) -> str:
+    """Count of grid boundaries lo + i*span/2^30 at or below v (interval
+    halving), corrected by one step against the exact boundary."""
+    top = (1 << BITS) - 1
+    step = f"({span}e0 / {float(1 << BITS)}e0)"
+
+    def clamp(e):
+        return f"greatest(least({e}, {top}), 0)"
+    i0 = clamp(f"CAST(floor(({v} - ({lo}e0)) / {span}e0 * {float(1 << BITS)}e0) AS BIGINT)")
+    b0 = f"(({lo}e0) + ({i0}) * {step})"
+    return clamp(f"CASE WHEN {v} < {b0} THEN ({i0}) - 1 WHEN {v} >= {b0} + {step} "
+                 f"THEN ({i0}) + 1 ELSE ({i0}) END")
+
+
 def lon_int_sql(x: str) -> str:
-    return (f"greatest(least(CAST(floor(({x} + 180.0e0) / 360.0e0 * {float(1 << BITS)}e0) AS BIGINT), "
-            f"{(1 << BITS) - 1}), 0)")
+    return _scaled_sql(x, -180.0, 360.0)
 
 
 def lat_int_sql(y: str) -> str:
-    return (f"greatest(least(CAST(floor(({y} + 90.0e0) / 180.0e0 * {float(1 << BITS)}e0) AS BIGINT), "
-            f"{(1 << BITS) - 1}), 0)")
+    return _scaled_sql(y, -90.0, 180.0)
 
 
 def geohash_ints_sql(xi: str, yi: str) -> str:
