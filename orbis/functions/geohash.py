@@ -194,7 +194,3 @@ def explode_grid(df: DataFrame, grid: str, out: str = "cell") -> DataFrame:
 def cover(env) -> Column:
     """the cells covering box column ``env`` as an array, all of length L*."""
     return let(cover_grid_of(env), grid_cells)
-
-
-def with_cover(df: DataFrame, env: str, out: str = "cells") -> DataFrame:
-    return df.withColumn(out, cover(env))
