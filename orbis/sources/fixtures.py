@@ -65,20 +65,23 @@ def way_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     (l_orderkey, l_linenumber) is not unique, so references are renumbered;
     every third way with 3+ distinct nodes is closed by repeating its first
-    node at the end."""
+    node at the end.  One window pass: the way's size and distinct node
+    count are window aggregates, and the first reference of a way to be
+    closed emits the closing reference next to itself (no second pass)."""
     li = table(spark, sf_dir, "lineitem")
-    w = Window.partitionBy("l_orderkey").orderBy(
+    order = Window.partitionBy("l_orderkey").orderBy(
         "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    whole = Window.partitionBy("l_orderkey")
     r = li.select(F.col("l_orderkey").alias("way_id"),
-                  (F.row_number().over(w) - 1).cast("int").alias("idx"),
-                  F.col("l_partkey").alias("node_id"))
-    n = r.groupBy("way_id").agg(
-        F.count(F.lit(1)).cast("int").alias("n"),
-        F.count_distinct("node_id").alias("dn"),
-        F.min_by("node_id", "idx").alias("first_node"))
-    closing = n.where((F.col("way_id") % 3 == 0) & (F.col("dn") >= 3)) \
-        .select("way_id", F.col("n").alias("idx"), F.col("first_node").alias("node_id"))
-    return r.unionByName(closing)
+                  (F.row_number().over(order) - 1).cast("int").alias("idx"),
+                  F.col("l_partkey").alias("node_id"),
+                  F.count(F.lit(1)).over(whole).cast("int").alias("n"),
+                  F.size(F.collect_set("l_partkey").over(whole)).alias("dn"))
+    close = (F.col("idx") == 0) & (F.col("way_id") % 3 == 0) & (F.col("dn") >= 3)
+    refs = F.array(F.struct("idx", "node_id"),
+                   F.when(close, F.struct(F.col("n").alias("idx"), "node_id")))
+    return r.select("way_id", F.explode(refs).alias("ref")).where(F.col("ref").isNotNull()) \
+        .select("way_id", "ref.idx", "ref.node_id")
 
 
 def way_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
