@@ -108,6 +108,17 @@ def geohash(lon, lat, length: int | Column = MAX_CELL_LENGTH) -> Column:
                              length if isinstance(length, Column) else F.lit(length))
 
 
+def with_geohash(df: DataFrame, lon, lat, out: str = "cell",
+                 length: int = MAX_CELL_LENGTH) -> DataFrame:
+    """F1 for a DataFrame: the interleaved code is a staged column and the
+    text is read from it, so the whole computation stays in codegen (the
+    ``geohash`` expression form binds the code with ``let`` instead)."""
+    z = f"__{out}_z"
+    df = df.withColumn(z, morton(lon_int(lon), lat_int(lat)))
+    ln = None if length == MAX_CELL_LENGTH else F.lit(length)
+    return df.withColumn(out, cell_text(z, ln)).drop(z)
+
+
 def _grid(lo_i: Column, hi_i: Column, bits: int) -> tuple[Column, Column]:
     s = BITS - bits
     return F.shiftright(lo_i, s), F.shiftright(hi_i, s)

@@ -92,11 +92,11 @@ def _stored(spark, sf_dir, kind: str) -> DataFrame:
 
 def q_nodes(spark, sf_dir):
     """E10 nodes: P1, F1, F2, F10, P7."""
-    n = _stored(spark, sf_dir, "n")
-    return n.select("id", "class", "wkt", F.col("centroid.x").alias("x"),
-                    F.col("centroid.y").alias("y"),
-                    GH.geohash("centroid.x", "centroid.y").alias("cell"),
-                    F.col("tags")["place"].alias("place"), F.col("tags")["brand"].alias("brand"))
+    n = _stored(spark, sf_dir, "n").select(
+        "id", "class", "wkt", F.col("centroid.x").alias("x"), F.col("centroid.y").alias("y"),
+        F.col("tags")["place"].alias("place"), F.col("tags")["brand"].alias("brand"))
+    return GH.with_geohash(n, "x", "y", "cell").select(
+        "id", "class", "wkt", "x", "y", "cell", "place", "brand")
 
 
 def q_ways(spark, sf_dir):
