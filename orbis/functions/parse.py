@@ -52,12 +52,16 @@ def tag_value(tags, key: str, default: str | None = None) -> Column:
 
 
 def relation_type(tags) -> Column:
-    """relation type from its tags, ``unknown`` when absent."""
+    """F17 (and V1, the old UDF): relation type from its tags, ``unknown``
+    when absent -- a column expression, no UDF."""
     return tag_value(tags, "type", "unknown")
 
 
 def tag_map(tags) -> Column:
-    """Tag list → ``map<string,string>`` (empty list → empty map)."""
+    """Tag list → ``map<string,string>`` (empty list → empty map);
+    a repeated key keeps its last value (``spark.sql.mapKeyDedupPolicy=
+    LAST_WIN``), as the old store kept the last put.  Tags live in their own
+    map, so a tag named like a metadata field cannot overwrite it (Q21)."""
     c = col_of(tags)
     return F.when(F.size(c) > 0, F.map_from_entries(c)).otherwise(
         F.create_map().cast("map<string,string>"))

@@ -13,7 +13,8 @@ Rules (order-free and direction-free):
 * rings are nested by containment: a ring inside an odd number of others
   is a hole of the smallest ring around it;
 * the result is the outer ring with the largest area, with its holes (ties:
-  the smallest first point).  Crossing lines are not split.
+  the smallest first point) -- deterministic, not "first found" (Q7, O3).
+  Crossing lines are not split.
 """
 
 from __future__ import annotations

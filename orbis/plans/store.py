@@ -2,7 +2,7 @@
 written to the shared folder the cluster names in ``spark.checkpoint.dir``.
 
 Analysis queries read these tables instead of re-running way assembly and
-ring stitching; a written table also cuts lineage, so a lost executor costs
+ring stitching (the table names are set once, here: Q20); a written table also cuts lineage, so a lost executor costs
 a re-read, not a re-ingest.  Tables are keyed by the input files (path,
 size, modification time), so changed inputs are ingested again.
 """

@@ -1,8 +1,8 @@
 """City statistics sources.
 
 The statistics CSV has a header and four text columns; a whole directory is
-read at once (every file, not just the first), with the file each row came
-from kept as ``source_file``.
+read at once (every file, not just the first, Q8), with the file each row
+came from kept as ``source_file``.  Locality ids become ``r<id>`` (Q8).
 """
 
 from __future__ import annotations
