@@ -283,7 +283,8 @@ def q_interpolation_geojson(spark, sf_dir):
     stats = stats_table(spark, sf_dir)
     pts = FX.query_points(spark, sf_dir)
     est = SP.interpolate(g, idx, stats, pts, a["indicator"], a["year"], a["meters"], a["power"])
-    obs = g.join(SP.stat_samples(stats, a["indicator"], a["year"]), "id").select(
+    obs = SP.join_geometries(SP.stat_samples(stats, a["indicator"], a["year"]),
+                             g.select("kind", "id", "centroid")).select(
         "id", F.col("centroid.x").alias("lon"), F.col("centroid.y").alias("lat"), "value")
     return EX.point_features(est, "qid", "lon", "lat", "value", True).unionByName(
         EX.point_features(obs, "id", "lon", "lat", "value", False))

@@ -25,6 +25,7 @@ INGEST_TABLES = ("part", "lineitem", "orders", "customer")
 STORE_LAYOUT = "6"
 _CACHE: dict[tuple[int, str], dict[str, str]] = {}
 _LOCK = threading.Lock()
+_FRAMES: dict[tuple[int, str, str], DataFrame] = {}
 
 
 def _input_key(spark: SparkSession, sf_dir: str) -> str:
@@ -85,19 +86,29 @@ def _paths(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         return _CACHE[key]
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A stored table as a DataFrame, read once per session (file listing and
+    Parquet footers are not re-read by every query)."""
+    p = _paths(spark, sf_dir)
+    key = (id(spark), sf_dir, p[name])
+    with _LOCK:
+        if key not in _FRAMES:
+            _FRAMES[key] = spark.read.parquet(p[name])
+        return _FRAMES[key]
+
+
 def geometry_store(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """``(geometries, cell_index)`` for ``sf_dir`` -- the full index, every
     stored geometry -- ingesting first if needed."""
-    p = _paths(spark, sf_dir)
-    idx = spark.read.parquet(p["cell_index"]).unionByName(spark.read.parquet(p["ring_index"]))
-    return spark.read.parquet(p["geometries"]), idx
+    idx = _table(spark, sf_dir, "cell_index").unionByName(_table(spark, sf_dir, "ring_index"))
+    return _table(spark, sf_dir, "geometries"), idx
 
 
 def point_line_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored index of nodes, ways and collection relations."""
-    return spark.read.parquet(_paths(spark, sf_dir)["cell_index"])
+    return _table(spark, sf_dir, "cell_index")
 
 
 def ring_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored index of ring-stitched relations."""
-    return spark.read.parquet(_paths(spark, sf_dir)["ring_index"])
+    return _table(spark, sf_dir, "ring_index")
