@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_MEMO: dict = {}
+
 
 def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -17,3 +22,23 @@ def let(value: Column, fn) -> Column:
     lambda variable is a reference, so the expression stays linear in size
     and ``value`` is evaluated once per row."""
     return F.get(F.transform(F.array(value), fn), 0)
+
+
+def memo_expr(fn):
+    """Reuse the Column an expression builder returns when it is called with
+    column *names* and constants only.  Building a large expression costs
+    thousands of calls into the JVM; the unresolved expression itself is
+    plain data and is reused across queries of the same Spark application."""
+    @functools.wraps(fn)
+    def wrapper(*args):
+        if not all(a is None or isinstance(a, (str, int, float)) for a in args):
+            return fn(*args)
+        sc = SparkContext._active_spark_context
+        if sc is None:
+            return fn(*args)
+        key = (sc.applicationId, fn.__module__, fn.__qualname__, args)
+        hit = _MEMO.get(key)
+        if hit is None:
+            hit = _MEMO[key] = fn(*args)
+        return hit
+    return wrapper

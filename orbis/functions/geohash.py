@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orbis.functions.common import col_of, let
+from orbis.functions.common import col_of, let, memo_expr
 
 # The geohash alphabet, the longest cell and the shortest
 # cell an index keeps.
@@ -178,6 +178,7 @@ def cover_cells(grid, L) -> Column:
             lambda r: geohash_from_ints(c * g["fx"], r * g["fy"], L))))
 
 
+@memo_expr
 def cover_grid_of(env) -> Column:
     """F9 as a grid: ``struct<L, c0, c1, r0, r1, fx, fy>`` -- the cover length
     L* (the longest L <= 12 with n(L) <= n(3)), the column and row ranges of
@@ -191,12 +192,14 @@ def cover_grid_of(env) -> Column:
     return F.when(e.isNotNull(), grid)
 
 
+@memo_expr
 def grid_size(grid) -> Column:
     """Number of cells of a cover grid, without making them."""
     g = col_of(grid)
     return (g["c1"] - g["c0"] + 1) * (g["r1"] - g["r0"] + 1)
 
 
+@memo_expr
 def grid_cells(grid) -> Column:
     """The cells of a cover grid as an array (higher-order functions)."""
     g = col_of(grid)
@@ -219,6 +222,7 @@ def explode_grid(df: DataFrame, grid: str, out: str = "cell") -> DataFrame:
     return df.withColumn(out, cell_text(z, g["L"])).drop(c, r, z)
 
 
+@memo_expr
 def cover(env) -> Column:
     """the cells covering box column ``env`` as an array, all of length L*."""
     return let(cover_grid_of(env), grid_cells)

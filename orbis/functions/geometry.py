@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orbis.functions.common import col_of, let
+from orbis.functions.common import col_of, let, memo_expr
 
 PT_TYPE = "struct<x:double,y:double>"
 PART_TYPE = f"struct<t:string,pts:array<{PT_TYPE}>>"
@@ -81,11 +81,13 @@ def part_wkt(pt) -> Column:
             .otherwise(F.concat(F.lit("POLYGON (("), _coords(pt["pts"]), F.lit("))"))))
 
 
+@memo_expr
 def point_wkt(x, y) -> Column:
     """``POINT (x y)``."""
     return F.concat(F.lit("POINT ("), fmt_num(x), F.lit(" "), fmt_num(y), F.lit(")"))
 
 
+@memo_expr
 def wkt(cls, parts) -> Column:
     """F8 write: WKT of a geometry (polygon = shell then its holes)."""
     cls, parts = col_of(cls), col_of(parts)
@@ -98,6 +100,7 @@ def wkt(cls, parts) -> Column:
                                         F.lit(")"))))
 
 
+@memo_expr
 def wkt_to_parts(text) -> Column:
     """F8 read: POINT / LINESTRING / POLYGON text → (class, parts)."""
     t = F.trim(col_of(text))
@@ -127,6 +130,7 @@ def is_closed(pts) -> Column:
     return (a["x"] == b["x"]) & (a["y"] == b["y"])
 
 
+@memo_expr
 def way_class(pts) -> Column:
     """closed with 4+ points → polygon, open with 2+ → line, else null
     (the way cannot be built and is dropped, P9)."""
@@ -138,6 +142,7 @@ def way_class(pts) -> Column:
 
 # ---------------------------------------------------------------- envelope
 
+@memo_expr
 def envelope(parts) -> Column:
     """bounding box ``struct<minx,miny,maxx,maxy>``; null when empty."""
     def box(allp):
@@ -241,6 +246,7 @@ def centroid_of_sums(sums) -> Column:
     return F.when(x.isNotNull(), F.struct(x.alias("x"), y.alias("y")))
 
 
+@memo_expr
 def centroid(parts) -> Column:
     """centroid of a geometry (its sums are bound once with ``let``)."""
     return let(centroid_sums(parts), centroid_of_sums)
@@ -252,6 +258,7 @@ def with_centroid(df: DataFrame, parts: str = "parts", out: str = "centroid") ->
 
 # ------------------------------------------------------- box contains
 
+@memo_expr
 def box_contains(box, env, parts) -> Column:
     """the closed, axis-aligned ``box`` contains the geometry.
 
