@@ -540,6 +540,27 @@ SELECT c.id AS city_id, c.name AS city, CAST(coalesce(v.n, 0) AS INTEGER) AS n_v
 FROM cities c LEFT JOIN vals v ON v.id = c.id LEFT JOIN rels r ON r.id = c.id"""
 
 
+def stat_json() -> str:
+    """The K7 JSON lines, written out as text by hand (keys in year and
+    indicator order, the same number text)."""
+    a = P.STAT_JSON
+    inds = ", ".join(f"('{i}')" for i in a["indicators"])
+    return _stats_query(f"""
+, cities AS (SELECT DISTINCT id, name FROM stats),
+wanted AS (SELECT c.id, c.name, i.indicator FROM cities c, (VALUES {inds}) AS i(indicator)),
+s AS (SELECT id, indicator, year, value FROM stats WHERE year BETWEEN {a['start']} AND {a['end']}),
+per AS (
+  SELECT w.id, w.name, w.indicator,
+         '{{' || coalesce(string_agg('"' || CAST(s.year AS VARCHAR) || '":' || CAST(s.value AS VARCHAR),
+                                     ',' ORDER BY s.year), '') || '}}' AS years
+  FROM wanted w LEFT JOIN s ON s.id = w.id AND s.indicator = w.indicator
+  GROUP BY w.id, w.name, w.indicator),
+city AS (
+  SELECT id, name, '{{' || string_agg('"' || indicator || '":' || years, ',' ORDER BY indicator) || '}}' AS st
+  FROM per GROUP BY id, name)
+SELECT '{{"' || name || '":' || st || '}}' AS json FROM city""")
+
+
 def all_sql() -> dict[str, str]:
     return {
         "nodes": nodes(),
@@ -557,6 +578,7 @@ def all_sql() -> dict[str, str]:
         "wkt_roundtrip": wkt_roundtrip(),
         "locality_first_match": locality_first_match(),
         "url_regions": url_regions(),
+        "stat_json": stat_json(),
         "stat_series": stat_series(),
         "stat_from_all": stat_from_all(),
         "stat_from_all_first_year": stat_from_all_first_year(),
