@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orbis.llm import (bpe, exact_dedup, line_dedup, packing, quality_classifier, quality_rules,
-                       simhash, url_filter)
+                       simhash, suffix_dedup, url_filter)
 
 TOKENIZER_FILE = "word_bpe_49k.json"
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"),
@@ -52,6 +52,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(_read(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.suffix_dedup(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans",
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(_read(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -69,6 +75,7 @@ QUERIES = {
     "op5_quality_rules": op5,
     "op6_quality_classifier": op6,
     "op7_url_filter": op7,
+    "op8_suffix_dedup": op8,
     "op9_bpe": op9,
     "op10_line_dedup": op10,
 }
