@@ -143,7 +143,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def _scores(weights: np.ndarray, bias: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow UDF over texts: the probability of label 1."""
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         class Words(dict):
             def __missing__(self, word: bytes) -> tuple[float, int]:
                 f = word_features(word.decode("utf-8", "replace"))
@@ -151,9 +152,9 @@ def _scores(weights: np.ndarray, bias: float):
                 return got
         known = Words()
         rep, rep_n = known[REPEAT.encode()]
-        for b in batches:
+        for texts in batches:
             out = []
-            for t in b.column(1).cast(pa.binary()):
+            for t in texts.cast(pa.binary()):
                 words = t.as_py().split()
                 total = n = 0
                 if words:
@@ -164,17 +165,29 @@ def _scores(weights: np.ndarray, bias: float):
                 if len(known) > CACHE_WORDS:
                     known.clear()
             z = np.clip(np.array(out, np.float64), -500, 500)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(1 / (1 + np.exp(-z)))],
-                                             names=["doc_id", "score"])
-    return run
+            yield pa.array(1 / (1 + np.exp(-z)))
+    return F.arrow_udf(run, "double")
+
+
+def quality_score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
+                  text_col: str = "text", sample: int = SAMPLE) -> Column:
+    """A column of ``docs``: the fitted model's score of each text."""
+    weights, bias = fit(docs, labels, id_col, text_col, sample=sample)
+    return _scores(weights.astype(np.float32), bias)(F.coalesce(F.col(text_col), F.lit("")))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                    text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted."""
-    weights, bias = fit(docs, labels, id_col, text_col, sample=sample)
-    view = doc_view(docs, id_col, text_col)
-    scored = view.mapInArrow(_scores(weights.astype(np.float32), bias),
-                             f"doc_id {dict(view.dtypes)['doc_id']}, score double")
+    score = quality_score(docs, labels, id_col, text_col, sample)
+    scored = docs.select(F.col(id_col).alias("doc_id"), score.alias("score"))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def quality_filter(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
+                   text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
+    """The rows of ``docs`` whose text scores ``THRESHOLD`` or more, columns unchanged."""
+    row = F.struct(F.col("*")).alias("row")
+    scored = docs.select(row, quality_score(docs, labels, id_col, text_col, sample).alias("score"))
+    return scored.where(F.col("score") >= THRESHOLD).select("row.*")

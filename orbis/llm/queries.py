@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbis.llm import (bpe, exact_dedup, line_dedup, packing, quality_classifier, quality_rules,
-                       simhash, suffix_dedup, url_filter)
+from orbis.llm import (bpe, exact_dedup, license_scan, line_dedup, packing, quality_classifier,
+                       quality_rules, simhash, suffix_dedup, url_filter)
 
 TOKENIZER_FILE = "word_bpe_49k.json"
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"),
@@ -34,6 +34,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "component_id")
 
 
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(_read(spark, sf_dir, "documents"))
+
+
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"), tokenizer_path(), max_length=4096,
                         end_id=2, keep_ids=False)
@@ -71,6 +75,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact_dedup": op1,
     "op2_simhash": op2,
+    "op3_license_scan": op3,
     "op4_packing": op4,
     "op5_quality_rules": op5,
     "op6_quality_classifier": op6,

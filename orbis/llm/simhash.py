@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orbis.llm.common import connected_components, doc_view, shuffle_width, ship, written
@@ -64,18 +64,20 @@ def fingerprint(text: bytes, shingle: int) -> int:
     return int.from_bytes(packed.tobytes(), "big")
 
 
+def _fingerprint_column(shingle: int):
+    """Arrow UDF over texts: the fingerprint's 64 bits as a long."""
+    def run(texts: pa.Array) -> pa.Array:
+        fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in texts.cast(pa.binary())),
+                          np.uint64, len(texts))
+        return pa.array(fps.view(np.int64))
+    return F.arrow_udf(run, "long")
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle: int = 3) -> DataFrame:
     """``(doc_id, fp long)``; the long holds the 64 bits as they are."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = b.column(1).cast(pa.binary())
-            fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in texts), np.uint64, len(texts))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))],
-                                             names=["doc_id", "fp"])
-
-    view = doc_view(docs, id_col, text_col)
-    return view.mapInArrow(run, f"doc_id {dict(view.dtypes)['doc_id']}, fp long")
+    return doc_view(docs, id_col, text_col) \
+        .select("doc_id", _fingerprint_column(shingle)(F.col("text")).alias("fp"))
 
 
 def segments(max_bits: int) -> list[tuple[int, int]]:
@@ -249,15 +251,39 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     return dealt.mapInArrow(_links(max_bits), "a long, b long")
 
 
+def _groups(base: DataFrame, max_bits: int) -> DataFrame:
+    """``base (.., fp)`` -> ``(fp, root)``: of each distinct fingerprint, the smallest
+    fingerprint that links reach (as a signed long)."""
+    distinct = written(base.select("fp").distinct(), "op2-distinct")
+    comp = connected_components(links(distinct, max_bits), "op2-cc")
+    return distinct.join(comp, distinct["fp"] == comp["node"], "left") \
+        .select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """One row per row of ``docs``: doc_id, fp (long), component_id (the smallest
     doc_id that links reach)."""
     base = written(fingerprints(docs, id_col, text_col, shingle), "op2-fp")
-    distinct = written(base.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "op2-distinct")
-    comp = connected_components(links(distinct, max_bits), "op2-cc")
-    linked = distinct.join(comp, distinct["fp"] == comp["node"]).select("fp", "first_doc", "root")
-    smallest = linked.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    named = distinct.join(linked.join(smallest, "root").select("fp", "component_id"), "fp", "left") \
-        .select("fp", F.coalesce("component_id", "first_doc").alias("component_id"))
-    return base.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = base.join(_groups(base, max_bits), "fp")
+    smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return named.join(smallest, "root").select("doc_id", "fp", "component_id")
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               shingle: int = 3, max_bits: int = 2) -> DataFrame:
+    """``docs`` with one row of each group: the one with the smallest doc_id (null: last),
+    among equals the one with the smallest hash of its text, and of repeated rows one."""
+    version = F.xxhash64("text").alias("version")
+    view = doc_view(docs, id_col, text_col)
+    print_ = _fingerprint_column(shingle)(F.col("text")).alias("fp")
+    base = written(view.select("doc_id", version, print_), "op2-fp")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "version")
+    keep = base.join(_groups(base, max_bits), "fp").groupBy("root").agg(F.min(place).alias("at")) \
+        .select("at.doc_id", "at.version").alias("k")
+    rows = doc_view(docs, id_col, text_col, F.struct(F.col("*")).alias("row")) \
+        .select("row", "doc_id", version).alias("d")
+    kept = rows.join(keep, F.col("d.doc_id").eqNullSafe(F.col("k.doc_id"))
+                     & (F.col("d.version") == F.col("k.version")), "left_semi")
+    one = Window.partitionBy("doc_id", "version").orderBy("version")
+    return kept.select("row", F.row_number().over(one).alias("n")).where("n = 1").select("row.*")

@@ -296,6 +296,14 @@ def _cut_column(text: Column, spans: Column) -> Column:
     return F.arrow_udf(cut, "n_removed long, n_spans long, kept binary")(text, spans)
 
 
+def whole_characters(kept: Column) -> Column:
+    """``kept`` as text; the rest of a character that a cut took apart is left out."""
+    def decode(parts: pa.Array) -> pa.Array:
+        return pa.array([x.as_py().decode("utf-8", "ignore") if x.is_valid else None for x in parts],
+                        pa.string())
+    return F.arrow_udf(decode, "string")(kept)
+
+
 def _same_doc(a: str, b: str) -> Column:
     return F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & \
         (F.col(f"{a}.version") == F.col(f"{b}.version"))
