@@ -26,6 +26,7 @@ returned as often as they occur; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,6 @@ from orbis.llm.common import connected_components, doc_view, shuffle_width, ship
 ship(__name__)
 
 BITS = 64
-PROBE_FROM = 64        # buckets of more rows are probed, not compared pairwise
 LINKS_PER_FLUSH = 1 << 18
 
 
@@ -120,6 +120,12 @@ def _flips(width_bits: list[int], most: int) -> np.ndarray:
     return np.array(masks, np.uint64)
 
 
+def _probe_from(max_bits: int) -> int:
+    """Buckets of more rows are probed: from here on the flips are fewer than the rows."""
+    free = BITS - segments(max_bits)[0][1] + 1
+    return sum(comb(free, n) for n in range(max_bits + 1))
+
+
 def _bucket_links(fp: np.ndarray, slot: int, parts: list[tuple[int, int]], max_bits: int
                   ) -> tuple[np.ndarray, np.ndarray]:
     """Links (a, b) with a < b inside one large bucket, by probing bit flips in
@@ -160,7 +166,7 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _links(max_bits: int):
     """mapInArrow over signatures sorted by (slot, rest): verified links."""
-    parts = segments(max_bits)
+    parts, probe_from = segments(max_bits), _probe_from(max_bits)
 
     def canonical(a, b, slot):
         """Is this the first (segment, wildcard) under which a and b meet?"""
@@ -180,15 +186,15 @@ def _links(max_bits: int):
         out_a, out_b = [], []
         new = np.flatnonzero(np.r_[True, (slot[1:] != slot[:-1]) | (rest[1:] != rest[:-1])])
         sizes = np.diff(np.r_[new, len(slot)])
-        for i in np.flatnonzero(sizes > PROBE_FROM):
+        for i in np.flatnonzero(sizes > probe_from):
             lo, hi = new[i], new[i] + sizes[i]
             a, b = _bucket_links(fp[lo:hi], int(slot[lo]), parts, max_bits)
             keep = canonical(a, b, np.full(len(a), slot[lo]))
             out_a.append(a[keep])
             out_b.append(b[keep])
-        small = np.repeat(sizes <= PROBE_FROM, sizes) & np.repeat(sizes > 1, sizes)
+        small = np.repeat(sizes <= probe_from, sizes) & np.repeat(sizes > 1, sizes)
         slot, rest, fp = slot[small], rest[small], fp[small]
-        for lag in range(1, PROBE_FROM):
+        for lag in range(1, probe_from):
             if lag >= len(fp):
                 break
             same = (slot[lag:] == slot[:-lag]) & (rest[lag:] == rest[:-lag])
