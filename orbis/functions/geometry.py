@@ -62,9 +62,16 @@ def fmt_num(c) -> Column:
     c = col_of(c)
     s = c.cast("string")
     plain = F.regexp_replace(s, r"\.0$", "")
-    dec = F.regexp_replace(F.regexp_replace(
-        c.cast("decimal(38,18)").cast("string"), r"0+$", ""), r"\.$", "")
-    return F.when(s.contains("E"), dec).otherwise(plain)
+    # d.dddE±x: the same digits, with the point moved by x places
+    exp = F.regexp_extract(s, r"E(-?[0-9]+)$", 1).try_cast("int")
+    sign = F.regexp_extract(s, r"^(-?)", 1)
+    digits = F.concat(F.regexp_extract(s, r"^-?([0-9])\.", 1),
+                      F.regexp_replace(F.regexp_extract(s, r"\.([0-9]+)E", 1), r"0+$", ""))
+    small = F.concat(F.lit("0."), F.call_function("repeat", F.lit("0"), -exp - F.lit(1)), digits)
+    padded = F.rpad(digits, F.greatest(exp + F.lit(1), F.char_length(digits)), "0")
+    tail = F.substr(padded, exp + F.lit(2))
+    large = F.concat(F.left(padded, exp + F.lit(1)), F.when(tail == "", "").otherwise(F.concat(F.lit("."), tail)))
+    return F.when(s.contains("E"), F.concat(sign, F.when(exp < 0, small).otherwise(large))).otherwise(plain)
 
 
 def _coord(p) -> Column:
@@ -100,24 +107,42 @@ def wkt(cls, parts) -> Column:
                                         F.lit(")"))))
 
 
+def _points_of(text) -> Column:
+    """``x y, x y, ...`` → array of points."""
+    return F.transform(F.split(F.trim(text), r"\s*,\s*"), lambda xy: F.struct(
+        F.split(F.trim(xy), r"\s+")[0].cast("double").alias("x"),
+        F.split(F.trim(xy), r"\s+")[1].cast("double").alias("y")))
+
+
+def _simple_parts(text) -> Column:
+    """Parts of a POINT, LINESTRING or POLYGON, or of a bare list of rings."""
+    groups = F.regexp_extract_all(text, F.lit(r"\(([^()]+)\)"), 1)
+    return F.transform(groups, lambda g, i: F.struct(
+        F.when(F.startswith(text, F.lit("POINT")), "p").when(F.startswith(text, F.lit("LINESTRING")), "ls")
+         .when(i == 0, "pl").otherwise("h").alias("t"), _points_of(g).alias("pts")))
+
+
 @memo_expr
 def wkt_to_parts(text) -> Column:
-    """F8 read: POINT / LINESTRING / POLYGON text → (class, parts)."""
-    t = F.trim(col_of(text))
-    kind = F.upper(F.regexp_extract(t, r"^([A-Za-z]+)", 1))
+    """F8 read: WKT → (class, parts).  POINT, LINESTRING and POLYGON have their own
+    class; GEOMETRYCOLLECTION and the MULTI forms become a collection of their members
+    (a polygon's holes follow it).  Any other text gives a null class and null parts."""
+    t = F.upper(F.trim(col_of(text)))
+    kind = F.regexp_extract(t, r"^([A-Z]+)", 1)
+    members = F.regexp_extract_all(
+        t, F.lit(r"(?:POINT|LINESTRING|POLYGON)\s*(?:\([^()]*\)|\((?:\([^()]*\)[\s,]*)+\))"), 0)
+    polygons = F.regexp_extract_all(t, F.lit(r"\(\s*\([^()]*\)(?:\s*,\s*\([^()]*\))*\s*\)"), 0)
+    pairs = F.regexp_extract_all(t, F.lit(r"[-+.0-9E]+\s+[-+.0-9E]+"), 0)
     groups = F.regexp_extract_all(t, F.lit(r"\(([^()]+)\)"), 1)
-
-    def to_pts(g):
-        return F.transform(F.split(F.trim(g), r"\s*,\s*"), lambda xy: F.struct(
-            F.split(F.trim(xy), r"\s+")[0].cast("double").alias("x"),
-            F.split(F.trim(xy), r"\s+")[1].cast("double").alias("y")))
-
-    cls = (F.when(kind == "POINT", "p").when(kind == "LINESTRING", "ls")
-           .when(kind == "POLYGON", "pl"))
-    parts = F.transform(groups, lambda g, i: F.struct(
-        F.when(kind == "POINT", "p").when(kind == "LINESTRING", "ls")
-         .when(i == 0, "pl").otherwise("h").alias("t"),
-        to_pts(g).alias("pts")))
+    cls = (F.when(kind == "POINT", "p").when(kind == "LINESTRING", "ls").when(kind == "POLYGON", "pl")
+           .when(kind.isin("GEOMETRYCOLLECTION", "MULTIPOINT", "MULTILINESTRING", "MULTIPOLYGON"), "gc"))
+    parts = (F.when(kind.isin("POINT", "LINESTRING", "POLYGON"), _simple_parts(t))
+             .when(kind == "GEOMETRYCOLLECTION", F.flatten(F.transform(members, _simple_parts)))
+             .when(kind == "MULTIPOLYGON", F.flatten(F.transform(polygons, _simple_parts)))
+             .when(kind == "MULTIPOINT", F.transform(pairs, lambda p: F.struct(
+                 F.lit("p").alias("t"), _points_of(p).alias("pts"))))
+             .when(kind == "MULTILINESTRING", F.transform(groups, lambda g: F.struct(
+                 F.lit("ls").alias("t"), _points_of(g).alias("pts")))))
     return F.struct(cls.alias("class"), parts.alias("parts"))
 
 

@@ -30,12 +30,11 @@ def to_int(s) -> Column:
 
 
 def to_double(s) -> Column:
-    """comma becomes dot (``359,314`` → 359.314); unparsable text
-    (``:``, empty, ``1 234,5``) and null are 0.0."""
-    t = F.replace(col_of(s), F.lit(","), F.lit("."))
-    # inner blanks are not a number; outer blanks are trimmed like a JVM parse
-    ok = ~F.trim(t).contains(" ")
-    return F.coalesce(F.when(ok, t.try_cast("double")), F.lit(0.0))
+    """comma becomes dot (``359,314`` → 359.314); text that is not a finite
+    decimal number (``:``, empty, ``1 234,5``, ``nan``, ``inf``) and null are 0.0."""
+    t = F.trim(F.replace(col_of(s), F.lit(","), F.lit(".")))
+    v = F.when(t.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), t.try_cast("double"))
+    return F.coalesce(F.when(F.abs(v) < F.lit(float("inf")), v), F.lit(0.0))
 
 
 def sha1_key(id_col) -> Column:

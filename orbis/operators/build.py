@@ -193,16 +193,10 @@ def build_index(*tables: DataFrame) -> DataFrame:
     return out
 
 
-def group_index(flat: DataFrame, max_ids: int = 50000) -> DataFrame:
-    """A3 grouped form ``(cell, chunk, ids)``: sorted posting lists of at most
-    about ``max_ids`` ids each.
-
-    Counting per cell is a partial aggregate; a hot cell (a whole city in one
-    3-character cell) is split into ``ceil(n / max_ids)`` chunks by a hash of
-    the id, so no group outgrows a task."""
-    counts = flat.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-    chunks = F.greatest(F.ceil(F.col("n") / F.lit(max_ids)), F.lit(1))
-    salted = flat.join(counts, "cell").withColumn(
-        "chunk", F.pmod(F.xxhash64("id"), chunks).cast("int"))
-    return salted.groupBy("cell", "chunk").agg(
-        F.array_sort(F.collect_set("id")).alias("ids"))
+def group_index(flat: DataFrame, chunks: int = 16) -> DataFrame:
+    """A3 grouped form ``(cell, chunk, ids)``: sorted posting lists, keyed by cell and
+    chunk.  ``chunk`` is always a hash of the id modulo ``chunks``, so a hot cell (a
+    whole city in one 3-character cell) is spread over that many groups, the shape of
+    the table does not depend on its size, and the index is read once."""
+    salted = flat.select("cell", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int").alias("chunk"), "id")
+    return salted.groupBy("cell", "chunk").agg(F.array_sort(F.collect_list("id")).alias("ids"))

@@ -33,26 +33,29 @@ def with_names(df: DataFrame, names: DataFrame, id_col: str = "id") -> DataFrame
     return df.join(names.select(F.col("id").alias(id_col), "name"), id_col)
 
 
-def prefix_bounds(prefixes: list[str]) -> tuple[str, str]:
-    """O2: scan bounds of a prefix set: [smallest prefix, largest prefix with
-    its last character raised by one)."""
-    lo, hi = min(prefixes), max(prefixes)
-    return lo, hi[:-1] + chr(ord(hi[-1]) + 1)
+def _after(prefix: str) -> str:
+    """The smallest text greater than every text that starts with ``prefix``."""
+    return prefix[:-1] + chr(ord(prefix[-1]) + 1)
 
 
 def scan_index_by_prefixes(index: DataFrame, prefixes: list[str], cell: str = "cell") -> DataFrame:
-    """Index rows whose cell starts with any of ``prefixes``.  The range
-    bounds and the OR of ``startsWith`` both reach the Parquet scan as pushed
-    filters, and the index files are sorted by cell, so row groups outside
-    the range are skipped."""
-    if not prefixes:
-        return index.where(F.lit(False))
-    lo, hi = prefix_bounds(prefixes)
-    c = col_of(cell)
-    cond = None
+    """Index rows whose cell starts with any of ``prefixes``.
+
+    Prefixes may differ in length; one that extends another adds nothing and is
+    left out.  Each of the rest is a half-open range of cells, and the OR of the
+    ranges is a pushed filter of the Parquet scan: files are sorted by cell, so row
+    groups outside all ranges are skipped."""
+    wanted: list[str] = []
     for p in sorted(set(prefixes)):
-        cond = c.startswith(p) if cond is None else cond | c.startswith(p)
-    return index.where((c >= lo) & (c < hi) & cond)
+        if not (wanted and p.startswith(wanted[-1])):
+            wanted.append(p)
+    if "" in wanted:
+        return index
+    c = col_of(cell)
+    cond = F.lit(False)
+    for p in wanted:
+        cond = cond | ((c >= p) & (c < _after(p)))
+    return index.where(cond)
 
 
 def first_match(candidates: DataFrame, key: str = "name", rank: str = "rank",

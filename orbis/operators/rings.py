@@ -1,15 +1,17 @@
 """Stitch a relation's member lines into polygon rings.
 
-The one place Python runs: Spark groups the members by relation and calls
+A relation whose only line is one closed way needs no stitching and stays in
+Catalyst.  For the others Spark groups the members by relation and calls
 ``_stitch_arrow`` once per relation (``applyInArrow``: Arrow in and out, no
 pandas frame per group), so relations are stitched in parallel and only one
-relation's lines are in memory at a time.
+relation's lines are in memory at a time.  The functions are pickled by value:
+executors need not have this package.
 
 Rules (order-free and direction-free):
 
 * a closed member line with 4+ points is a ring as it is;
-* open lines are chained at equal end points (a line may be reversed) until
-  the chain closes; chains that never close are dropped;
+* open lines are chained at equal end points (a line may be reversed); lines
+  that lead nowhere are taken away first, so a spur never costs a ring;
 * rings are nested by containment: a ring inside an odd number of others
   is a hole of the smallest ring around it;
 * the result is the outer ring with the largest area, with its holes (ties:
@@ -19,11 +21,16 @@ Rules (order-free and direction-free):
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 RING_SCHEMA = ("osm_id long, ts array<string>, xs array<array<double>>, "
                "ys array<array<double>>")
 
@@ -41,34 +48,72 @@ def _inside(px: float, py: float, xs: np.ndarray, ys: np.ndarray) -> bool:
     return bool(np.count_nonzero(crosses & (px < xint)) % 2)
 
 
+def _on_edge(px: float, py: float, xs: np.ndarray, ys: np.ndarray) -> bool:
+    x0, y0, x1, y1 = xs[:-1], ys[:-1], xs[1:], ys[1:]
+    level = (x1 - x0) * (py - y0) - (y1 - y0) * (px - x0) == 0
+    return bool((level & (np.minimum(x0, x1) <= px) & (px <= np.maximum(x0, x1))
+                 & (np.minimum(y0, y1) <= py) & (py <= np.maximum(y0, y1))).any())
+
+
+def _contains(outer: tuple[np.ndarray, np.ndarray], inner: tuple[np.ndarray, np.ndarray]) -> bool:
+    """Is ``inner`` inside ``outer``?  Decided by the first vertex of ``inner`` that is
+    not on ``outer`` (rings may touch), else by the middle of its first edge."""
+    ox, oy = outer
+    ix, iy = inner
+    if ix.min() < ox.min() or ix.max() > ox.max() or iy.min() < oy.min() or iy.max() > oy.max():
+        return False
+    for x, y in zip(ix.tolist(), iy.tolist()):
+        if not _on_edge(x, y, ox, oy):
+            return _inside(x, y, ox, oy)
+    return _inside((ix[0] + ix[1]) / 2, (iy[0] + iy[1]) / 2, ox, oy)
+
+
 def _chain(lines: list[list[tuple[float, float]]]) -> list[list[tuple[float, float]]]:
-    rings, used = [], [False] * len(lines)
-    by_end: dict[tuple[float, float], list[int]] = {}
-    for i, ln in enumerate(lines):
-        by_end.setdefault(ln[0], []).append(i)
-        by_end.setdefault(ln[-1], []).append(i)
-    for i, ln in enumerate(lines):
-        if used[i]:
-            continue
-        used[i] = True
-        chain = list(ln)
-        while chain[0] != chain[-1]:
-            nxt = next((j for j in by_end.get(chain[-1], []) if not used[j]), None)
-            if nxt is None:
-                break
-            used[nxt] = True
-            seg = lines[nxt] if lines[nxt][0] == chain[-1] else lines[nxt][::-1]
-            chain.extend(seg[1:])
-        if chain[0] == chain[-1] and len(chain) >= 4:
-            rings.append(chain)
-    return rings
+    """Rings made of open lines.  Lines are put in one order and direction whatever
+    their member order, lines that end nowhere are taken away, and a walk along the
+    rest cuts out a ring each time it meets a point of its own path."""
+    left = dict(enumerate(sorted(min(ln, ln[::-1]) for ln in lines)))
+    rings = []
+    while True:
+        ends: dict[tuple[float, float], list[int]] = {}
+        for i, ln in left.items():
+            ends.setdefault(ln[0], []).append(i)
+            ends.setdefault(ln[-1], []).append(i)
+        loose = [e for e, own in ends.items() if len(own) == 1]
+        while loose:                                    # dead ends, one after the other
+            at = loose.pop()
+            for i in ends.pop(at, []):
+                ln = left.pop(i)
+                other = ln[-1] if ln[0] == at else ln[0]
+                ends[other].remove(i)
+                if len(ends[other]) == 1:
+                    loose.append(other)
+                elif not ends[other]:
+                    del ends[other]
+        if not left:
+            return rings
+        first = min(left)
+        path, at, seen = [first], left[first][-1], {left[first][0]: 0}
+        while at not in seen:
+            seen[at] = len(path)
+            nxt = min(i for i in ends[at] if i != path[-1])
+            path.append(nxt)
+            at = left[nxt][-1] if left[nxt][0] == at else left[nxt][0]
+        ring, here = [at], at
+        for i in path[seen[at]:]:
+            seg = left[i] if left[i][0] == here else left[i][::-1]
+            ring.extend(seg[1:])
+            here = seg[-1]
+            del left[i]
+        if len(ring) >= 4:
+            rings.append(ring)
 
 
 def _rings_of(members) -> tuple[list[str], list[list[float]], list[list[float]]] | None:
     """Core rule on one relation's ``(pos, xs, ys)`` member lines: the
     chosen shell and its holes as ``(types, xs, ys)``, or None."""
     rings, lines = [], []
-    for _, xs, ys in sorted(members, key=lambda m: m[0]):
+    for _, xs, ys in members:
         pts = list(zip(map(float, xs), map(float, ys)))
         if len(pts) < 2:
             continue
@@ -80,6 +125,7 @@ def _rings_of(members) -> tuple[list[str], list[list[float]], list[list[float]]]
     rings.extend(_chain(lines))
     if not rings:
         return None
+    rings.sort()
     arr = [(np.array([p[0] for p in r]), np.array([p[1] for p in r])) for r in rings]
     area = [abs(_area2(x, y)) / 2 for x, y in arr]
     n = len(rings)
@@ -89,7 +135,7 @@ def _rings_of(members) -> tuple[list[str], list[list[float]], list[list[float]]]
         for j in range(n):
             if i == j or area[j] <= area[i]:
                 continue
-            if _inside(arr[i][0][0], arr[i][1][0], *arr[j]) and (best < 0 or area[j] < area[best]):
+            if (best < 0 or area[j] < area[best]) and _contains(arr[j], arr[i]):
                 best = j
         parent[i] = best
     depth = []
@@ -133,9 +179,17 @@ def stitch_rings(resolved: DataFrame) -> DataFrame:
         .where(F.col("p.t") != "p") \
         .select("rel_id", "pos", F.transform("p.pts", lambda q: q["x"]).alias("xs"),
                 F.transform("p.pts", lambda q: q["y"]).alias("ys"))
-    out = lines.groupBy("rel_id").applyInArrow(_stitch_arrow, RING_SCHEMA)
+    closed = (F.size("xs") >= 4) & (F.get("xs", 0) == F.element_at("xs", -1)) \
+        & (F.get("ys", 0) == F.element_at("ys", -1))
+    kinds = lines.groupBy("rel_id").agg(F.count(F.lit(1)).alias("n"), F.bool_and(closed).alias("closed"))
+    single = kinds.where("n = 1 AND closed").select("rel_id")
+    alone = resolved.join(single, "rel_id", "left_semi") \
+        .select(F.col("rel_id").alias("osm_id"), F.explode("parts").alias("p")).where(F.col("p.t") != "p") \
+        .select("osm_id", F.lit("pl").alias("class"),
+                F.array(F.struct(F.lit("pl").alias("t"), F.col("p.pts").alias("pts"))).alias("parts"))
+    out = lines.join(single, "rel_id", "left_anti").groupBy("rel_id").applyInArrow(_stitch_arrow, RING_SCHEMA)
     parts = F.transform(F.sequence(F.lit(0), F.size("ts") - 1), lambda i: F.struct(
         F.get(F.col("ts"), i).alias("t"),
         F.zip_with(F.get(F.col("xs"), i), F.get(F.col("ys"), i),
                    lambda x, y: F.struct(x.alias("x"), y.alias("y"))).alias("pts")))
-    return out.select("osm_id", F.lit("pl").alias("class"), parts.alias("parts"))
+    return alone.unionByName(out.select("osm_id", F.lit("pl").alias("class"), parts.alias("parts")))

@@ -20,7 +20,7 @@ from orbis.operators import lookup as LK
 from orbis.operators import spatial as SP
 from orbis.operators import statistics as ST
 from orbis.plans import params as P
-from orbis.plans.store import geometry_store, point_line_index, ring_index
+from orbis.plans.store import cell_index, geometry_store
 from orbis.session import apply_conf
 from orbis.sinks import export as EX
 from orbis.sources import fixtures as FX
@@ -101,7 +101,7 @@ def q_nodes(spark, sf_dir):
 
 def q_ways(spark, sf_dir):
     """E10 ways: J1, A1, F3–F9, P2, P9 (+ their index cells, E9)."""
-    w = _geometry_summary(_stored(spark, sf_dir, "w"), point_line_index(spark, sf_dir))
+    w = _geometry_summary(_stored(spark, sf_dir, "w"), cell_index(spark, sf_dir))
     return w.select("id", "class", F.size(F.get("parts", 0)["pts"]).alias("n_points"), "wkt",
                     "cx", "cy", "minx", "miny", "maxx", "maxy", "cover_len", "n_cells", "cells",
                     F.col("tags")["priority"].alias("priority"),
@@ -111,17 +111,16 @@ def q_ways(spark, sf_dir):
 def q_relations(spark, sf_dir):
     """E10 relations built as collections: P8, J2, J3, A2, F17, F20, P16."""
     r = _stored(spark, sf_dir, "r").where(F.col("class") == "gc")
-    r = _geometry_summary(r, point_line_index(spark, sf_dir))
+    r = _geometry_summary(r, cell_index(spark, sf_dir))
     return r.select("id", "class", F.col("tags")["type"].alias("rel_type"),
                     F.col("tags")["name"].alias("name"), F.size("parts").alias("n_parts"), "wkt",
                     "cx", "cy", "minx", "miny", "maxx", "maxy", "cover_len", "n_cells", "cells")
 
 
 def q_relation_rings(spark, sf_dir):
-    """V3 + F19 + O3: multipolygon/boundary relations stitched into rings
-    (rows-only check: ring stitching is not SQL)."""
+    """V3 + F19 + O3: multipolygon/boundary relations stitched into rings."""
     r = _stored(spark, sf_dir, "r").where(F.col("class") == "pl")
-    r = _geometry_summary(r, ring_index(spark, sf_dir))
+    r = _geometry_summary(r, cell_index(spark, sf_dir))
     return r.select("id", "class", F.col("tags")["type"].alias("rel_type"),
                     F.size("parts").alias("n_rings"), "wkt", "cx", "cy", "minx", "miny",
                     "maxx", "maxy", "cover_len", "n_cells")
@@ -130,7 +129,7 @@ def q_relation_rings(spark, sf_dir):
 def q_cell_index(spark, sf_dir):
     """P4 + U1 + A3 -- per cell, how many geometries and the id range.
     Counted by partial aggregation, so a hot cell never sits in one task."""
-    flat = point_line_index(spark, sf_dir)
+    flat = cell_index(spark, sf_dir)
     return flat.groupBy("cell").agg(F.count(F.lit(1)).alias("n_ids"),
                                     F.min("id").alias("min_id"), F.max("id").alias("max_id"))
 
@@ -186,9 +185,9 @@ def _density_out(d):
 
 
 def q_density(spark, sf_dir):
-    """Centroids of all nodes and ways counted per 4-character cell."""
+    """Centroids of all geometries counted per 4-character cell."""
     g, _ = geometry_store(spark, sf_dir)
-    return _density_out(SP.density(g.where(F.col("kind").isin("n", "w")), P.DENSITY["length"]))
+    return _density_out(SP.density(g, P.DENSITY["length"]))
 
 
 def q_clusters(spark, sf_dir):
@@ -209,34 +208,29 @@ def q_locality_geometries(spark, sf_dir):
                     _round6(F.col("centroid.y")).alias("cy"), F.sha1("id").alias("key"))
 
 
-def _point_line_index(spark, sf_dir):
-    """The stored E9 index of nodes, ways and collection relations (ring
-    relations have their own index table, SQL cannot stitch rings)."""
-    return point_line_index(spark, sf_dir)
-
-
 def q_index_prefix_scan(spark, sf_dir):
     """S10 + O2: index rows under a set of cell prefixes (on a stored index
     the range bounds and the OR of prefix filters reach the Parquet scan)."""
-    return LK.scan_index_by_prefixes(_point_line_index(spark, sf_dir),
+    return LK.scan_index_by_prefixes(cell_index(spark, sf_dir),
                                       P.INDEX_PREFIXES).select("cell", "id")
 
 
 def q_cell_postings(spark, sf_dir):
-    """A3 grouped index in bounded posting lists, read back flat: every
-    (cell, id) exactly once however the cells were chunked."""
-    grouped = B.group_index(_point_line_index(spark, sf_dir), P.POSTING_MAX_IDS)
+    """A3 grouped index (posting lists by cell and chunk), read back flat: every
+    (cell, id) exactly once."""
+    grouped = B.group_index(cell_index(spark, sf_dir), P.POSTING_CHUNKS)
     return grouped.select("cell", F.explode("ids").alias("id"))
 
 
 def q_wkt_roundtrip(spark, sf_dir):
-    """F8 read: every stored way's WKT parsed back to parts; its envelope
-    and point count must be those of the way."""
+    """F8 read: every stored geometry's WKT parsed back to parts; its envelope
+    and point count must be those of the geometry."""
     g, _ = geometry_store(spark, sf_dir)
-    w = g.where(F.col("kind") == "w").select("id", GM.wkt_to_parts("wkt").alias("p"))
+    w = g.select("id", GM.wkt_to_parts("wkt").alias("p"))
     w = w.select("id", F.col("p.class").alias("class"), F.col("p.parts").alias("parts"))
     e = GM.envelope("parts")
-    return w.select("id", "class", F.size(F.get("parts", 0)["pts"]).alias("n_points"),
+    n = F.aggregate("parts", F.lit(0).cast("long"), lambda acc, p: acc + F.size(p["pts"]))
+    return w.select("id", "class", n.alias("n_points"),
                     e["minx"].alias("minx"), e["miny"].alias("miny"),
                     e["maxx"].alias("maxx"), e["maxy"].alias("maxy"))
 
@@ -286,6 +280,7 @@ def q_interpolation_geojson(spark, sf_dir):
     obs = SP.join_geometries(SP.stat_samples(stats, a["indicator"], a["year"]),
                              g.select("kind", "id", "centroid")).select(
         "id", F.col("centroid.x").alias("lon"), F.col("centroid.y").alias("lat"), "value")
+    est, obs = (d.withColumns({c: _round6(F.col(c)) for c in ("lon", "lat", "value")}) for d in (est, obs))
     return EX.point_features(est, "qid", "lon", "lat", "value", True).unionByName(
         EX.point_features(obs, "id", "lon", "lat", "value", False))
 

@@ -1,9 +1,10 @@
 """Equivalent DuckDB SQL for every registered query (the correctness oracle).
 
-The SQL restates each query from the driver tables alone -- fixture views,
-geometry building, geohash cells, covers, box tests -- with no shared code
-path with the Spark plans: cells are printed character by character from
-bit tests here, while the Spark side uses Morton spreading and ``conv``.
+The SQL restates each query from the driver tables alone: fixture views, geometry
+building, rings of relations, geohash cells, covers, box tests.  It shares the
+fixed values (alphabet, bit widths, fixture parameters) and the rule for scaling a
+coordinate with the Spark side; cells are printed character by character from
+bit tests here, while the Spark side uses Morton spreading.
 """
 
 from __future__ import annotations
@@ -40,8 +41,9 @@ def to_int_sql(s: str) -> str:
 
 def to_double_sql(s: str) -> str:
     t = f"replace({s}, ',', '.')"
-    return (f"COALESCE(CASE WHEN strpos(trim({t}), ' ') = 0 "
-            f"THEN TRY_CAST({t} AS DOUBLE) END, 0.0)")
+    return (f"COALESCE(CASE WHEN regexp_full_match(trim({t}), "
+            f"'[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?') "
+            f"THEN TRY_CAST(trim({t}) AS DOUBLE) END, 0.0)")
 
 
 STATS = STAT_CSV + f""",
@@ -264,30 +266,73 @@ rm AS (
   SELECT m.rel_id, m.pos, m.member_id, m.member_type FROM rmem m JOIN rel r ON r.rel_id = m.rel_id
   WHERE r.rel_type IN {VALID_TYPES_SQL} AND NOT starts_with(m.member_type, 'R')),
 rparts AS (
-  SELECT rm.rel_id, rm.pos, 'p' AS t, n.x AS minx, n.y AS miny, n.x AS maxx, n.y AS maxy,
+  SELECT rm.rel_id, rm.pos, 'p' AS t, 1 AS np, n.x AS minx, n.y AS miny, n.x AS maxx, n.y AS maxy,
          0.0e0 AS a, 0.0e0 AS cx, 0.0e0 AS cy, 0.0e0 AS len, 0.0e0 AS lx, 0.0e0 AS ly,
          1.0e0 AS pn, n.x AS px, n.y AS py,
          'POINT (' || {fmt_sql('n.x')} || ' ' || {fmt_sql('n.y')} || ')' AS wkt
   FROM rm JOIN nodes_raw n ON rm.member_type = 'Node' AND n.id = rm.member_id
   UNION ALL
-  SELECT rm.rel_id, rm.pos, w.cls, w.minx, w.miny, w.maxx, w.maxy, w.a, w.cx, w.cy,
+  SELECT rm.rel_id, rm.pos, w.cls, w.np, w.minx, w.miny, w.maxx, w.maxy, w.a, w.cx, w.cy,
          w.len, w.lx, w.ly, w.pn, w.px, w.py, w.wkt
   FROM rm JOIN ways w ON rm.member_type = 'Way' AND w.way_id = rm.member_id),
 rsum AS (
-  SELECT rel_id, count(*) AS n_parts, min(minx) AS minx, min(miny) AS miny, max(maxx) AS maxx,
+  SELECT rel_id, count(*) AS n_parts, sum(np) AS np, min(minx) AS minx, min(miny) AS miny, max(maxx) AS maxx,
          max(maxy) AS maxy, sum(a) AS a, sum(cx) AS cx, sum(cy) AS cy, sum(len) AS len,
          sum(lx) AS lx, sum(ly) AS ly, sum(pn) AS pn, sum(px) AS px, sum(py) AS py,
          'GEOMETRYCOLLECTION (' || string_agg(wkt, ', ' ORDER BY pos) || ')' AS wkt
   FROM rparts GROUP BY rel_id),
 rels AS (
   SELECT s.*, 'r' || s.rel_id AS id, r.rel_type, r.name FROM rsum s JOIN rel r ON r.rel_id = s.rel_id),
+ring AS (
+  SELECT m.rel_id, w.way_id, w.a AS area, w.np, w.minx, w.miny, w.maxx, w.maxy, w.a, w.cx, w.cy,
+         w.len, w.lx, w.ly, w.pn, w.px, w.py, h.x0, h.y0, h.coords
+  FROM rmem m JOIN rel r ON r.rel_id = m.rel_id AND r.rel_type IN ('multipolygon', 'boundary')
+  JOIN ways w ON m.member_type = 'Way' AND w.way_id = m.member_id AND w.cls = 'pl'
+  JOIN whead h ON h.way_id = w.way_id),
+ring_pair AS (
+  SELECT i.rel_id, i.way_id AS i, j.way_id AS j, j.area AS j_area
+  FROM ring i JOIN ring j ON j.rel_id = i.rel_id AND j.area > i.area
+   AND i.minx >= j.minx AND i.maxx <= j.maxx AND i.miny >= j.miny AND i.maxy <= j.maxy),
+ring_free AS (
+  SELECT p.rel_id, p.i, p.j, arg_min(v.x, v.idx) AS x, arg_min(v.y, v.idx) AS y
+  FROM ring_pair p JOIN wpts v ON v.way_id = p.i
+  WHERE NOT EXISTS (SELECT 1 FROM wseg s WHERE s.way_id = p.j AND s.nx IS NOT NULL
+    AND (s.nx - s.x) * (v.y - s.y) - (s.ny - s.y) * (v.x - s.x) = 0
+    AND v.x BETWEEN least(s.x, s.nx) AND greatest(s.x, s.nx)
+    AND v.y BETWEEN least(s.y, s.ny) AND greatest(s.y, s.ny))
+  GROUP BY p.rel_id, p.i, p.j),
+ring_test AS (
+  SELECT p.*, coalesce(f.x, (s0.x + s0.nx) / 2) AS x, coalesce(f.y, (s0.y + s0.ny) / 2) AS y
+  FROM ring_pair p JOIN wseg s0 ON s0.way_id = p.i AND s0.idx = 0
+  LEFT JOIN ring_free f ON f.rel_id = p.rel_id AND f.i = p.i AND f.j = p.j),
+ring_in AS (
+  SELECT t.rel_id, t.i, t.j, t.j_area FROM ring_test t JOIN wseg s ON s.way_id = t.j AND s.nx IS NOT NULL
+  WHERE (s.y > t.y) <> (s.ny > t.y) AND t.x < s.x + (t.y - s.y) * (s.nx - s.x) / (s.ny - s.y)
+  GROUP BY t.rel_id, t.i, t.j, t.j_area HAVING count(*) % 2 = 1),
+ring_parent AS (SELECT rel_id, i, arg_min(j, j_area) AS parent FROM ring_in GROUP BY rel_id, i),
+shell AS (SELECT rel_id, arg_max(way_id, area) AS way_id FROM ring GROUP BY rel_id),
+poly_ring AS (
+  SELECT r.*, 1 AS sign FROM ring r JOIN shell s ON s.rel_id = r.rel_id AND s.way_id = r.way_id
+  UNION ALL
+  SELECT r.*, -1 FROM ring r JOIN shell s ON s.rel_id = r.rel_id
+  JOIN ring_parent p ON p.rel_id = r.rel_id AND p.i = r.way_id AND p.parent = s.way_id),
+psum AS (
+  SELECT rel_id, count(*) AS n_rings, sum(np) AS np, min(minx) AS minx, min(miny) AS miny, max(maxx) AS maxx,
+         max(maxy) AS maxy, sum(sign * a) AS a, sum(sign * cx) AS cx, sum(sign * cy) AS cy, sum(len) AS len,
+         sum(lx) AS lx, sum(ly) AS ly, sum(pn) AS pn, sum(px) AS px, sum(py) AS py,
+         'POLYGON (' || string_agg('(' || coords || ')', ', ' ORDER BY sign DESC, x0, y0) || ')' AS wkt
+  FROM poly_ring GROUP BY rel_id),
+polys AS (
+  SELECT s.*, 'r' || s.rel_id AS id, r.rel_type, r.name FROM psum s JOIN rel r ON r.rel_id = s.rel_id),
 geoms AS (
   SELECT 'n' AS kind, 'n' || id AS id, x AS minx, y AS miny, x AS maxx, y AS maxy,
          x AS cx_c, y AS cy_c FROM nodes_raw WHERE tagged
   UNION ALL
   SELECT 'w', id, minx, miny, maxx, maxy, {{CX}}, {{CY}} FROM ways
   UNION ALL
-  SELECT 'r', id, minx, miny, maxx, maxy, {{CX}}, {{CY}} FROM rels),
+  SELECT 'r', id, minx, miny, maxx, maxy, {{CX}}, {{CY}} FROM rels
+  UNION ALL
+  SELECT 'r', id, minx, miny, maxx, maxy, {{CX}}, {{CY}} FROM polys),
 gbox AS (SELECT id AS gid, minx, miny, maxx, maxy FROM geoms WHERE kind <> 'n'),
 {cover_ctes('gcov', 'gbox').strip()},
 cell_index AS (
@@ -339,6 +384,17 @@ SELECT r.id, 'gc' AS class, r.rel_type, r.name, CAST(r.n_parts AS INTEGER) AS n_
 FROM rels r JOIN cells c ON c.gid = r.id""")
 
 
+def relation_rings() -> str:
+    return _geom_query(f"""
+, cells AS (SELECT gid, min(L) AS cover_len, count(*) AS n_cells
+            FROM gcov_cells WHERE starts_with(gid, 'r') GROUP BY gid)
+SELECT r.id, 'pl' AS class, r.rel_type, CAST(r.n_rings AS INTEGER) AS n_rings, r.wkt,
+       round({CENTROID_X}, 6) AS cx, round({CENTROID_Y}, 6) AS cy,
+       r.minx, r.miny, r.maxx, r.maxy,
+       CAST(c.cover_len AS INTEGER) AS cover_len, CAST(c.n_cells AS INTEGER) AS n_cells
+FROM polys r JOIN cells c ON c.gid = r.id""")
+
+
 def cell_index() -> str:
     return _geom_query("""
 SELECT cell, count(*) AS n_ids, min(id) AS min_id, max(id) AS max_id
@@ -385,7 +441,9 @@ gpoly AS (
   SELECT id FROM ways WHERE cls = 'pl'
   UNION
   SELECT 'r' || rm.rel_id FROM rm JOIN ways w
-    ON rm.member_type = 'Way' AND w.way_id = rm.member_id AND w.cls = 'pl'),
+    ON rm.member_type = 'Way' AND w.way_id = rm.member_id AND w.cls = 'pl'
+  UNION
+  SELECT id FROM polys),
 gsegs AS (
   SELECT w.id, s.x, s.y, s.nx, s.ny FROM ways w JOIN wseg s
     ON s.way_id = w.way_id AND s.nx IS NOT NULL WHERE w.cls = 'ls'
@@ -399,7 +457,9 @@ gtags AS (
   UNION ALL SELECT id, 'priority', priority FROM ways
   UNION ALL SELECT id, 'status', status FROM ways
   UNION ALL SELECT id, 'type', rel_type FROM rels
-  UNION ALL SELECT id, 'name', name FROM rels)"""
+  UNION ALL SELECT id, 'name', name FROM rels
+  UNION ALL SELECT id, 'type', rel_type FROM polys
+  UNION ALL SELECT id, 'name', name FROM polys)"""
 
 
 def _contains_sql(p: str, g: str) -> str:
@@ -421,7 +481,7 @@ def find_by_tags() -> str:
 {_points_sql().strip()},
 pts AS ({_box_sql('pts0', 'meters')})
 SELECT p.qid, g.id, g.kind,
-       CASE WHEN g.kind = 'n' THEN 'p' WHEN g.kind = 'r' THEN 'gc'
+       CASE WHEN g.kind = 'n' THEN 'p' WHEN g.id IN (SELECT id FROM polys) THEN 'pl' WHEN g.kind = 'r' THEN 'gc'
             ELSE (SELECT cls FROM ways w WHERE w.id = g.id) END AS class
 FROM pts p JOIN gtags t ON t.key = p.key AND t.value {P.FIND_BY_TAGS['op']} p.value
 JOIN geoms g ON g.id = t.id
@@ -439,10 +499,11 @@ samples AS (
     AND value_raw IS NOT NULL AND value_raw <> ''),
 pairs AS (
   SELECT p.qid, g.id, s.value,
+         CASE WHEN p.lon = g.cx_c AND p.lat = g.cy_c THEN 0.0e0 ELSE
          6371.01e0 * acos(greatest(least(
            sin(radians(p.lat)) * sin(radians(g.cy_c))
            + cos(radians(p.lat)) * cos(radians(g.cy_c)) * cos(radians(p.lon) - radians(g.cx_c)),
-           1.0e0), -1.0e0)) AS d
+           1.0e0), -1.0e0)) END AS d
   FROM pts p JOIN geoms g ON {_contains_sql('p', 'g')}
   JOIN samples s ON s.id = g.id)"""
 
@@ -466,6 +527,20 @@ SELECT p.qid, p.lon, p.lat, round(coalesce(a.hit, a.zw / a.sw), 6) AS value,
 FROM pts p LEFT JOIN agg a ON a.qid = p.qid"""
 
 
+def interpolation_geojson() -> str:
+    def feature(fid: str, lon: str, lat: str, inferred: str) -> str:
+        num = lambda c: f"CAST(round({c}, 6) AS VARCHAR)"
+        return (f"'{{\"type\":\"Feature\",\"properties\":{{\"id\":\"' || {fid} || '\",' || "
+                f"CASE WHEN value IS NULL THEN '' ELSE '\"value\":' || {num('value')} || ',' END || "
+                f"'\"inferred\":{inferred}}},\"geometry\":{{\"type\":\"Point\",\"coordinates\":[' || "
+                f"{num(lon)} || ',' || {num(lat)} || ']}}}}' AS json")
+    return f"""WITH est AS ({interpolate()}),
+obs AS ({_samples_sql(P.INTERPOLATE)}
+SELECT g.id, g.cx_c AS lon, g.cy_c AS lat, s.value FROM samples s JOIN geoms g ON g.id = s.id)
+SELECT {feature('qid', 'lon', 'lat', 'true')} FROM est
+UNION ALL SELECT {feature('id', 'lon', 'lat', 'false')} FROM obs"""
+
+
 def _density_sql(src: str, length: int) -> str:
     return _geom_query(f"""
 , pts AS ({src})
@@ -475,7 +550,7 @@ FROM pts GROUP BY 1""")
 
 
 def density() -> str:
-    return _density_sql(f"SELECT cx_c AS x, cy_c AS y FROM geoms WHERE kind IN ('n', 'w')",
+    return _density_sql(f"SELECT cx_c AS x, cy_c AS y FROM geoms",
                         P.DENSITY["length"])
 
 
@@ -505,7 +580,10 @@ def cell_postings() -> str:
 
 def wkt_roundtrip() -> str:
     return _geom_query("""
-SELECT id, cls AS class, CAST(np AS INTEGER) AS n_points, minx, miny, maxx, maxy FROM ways""")
+SELECT id, cls AS class, CAST(np AS BIGINT) AS n_points, minx, miny, maxx, maxy FROM ways
+UNION ALL SELECT 'n' || id, 'p', 1, x, y, x, y FROM nodes_raw WHERE tagged
+UNION ALL SELECT id, 'gc', CAST(np AS BIGINT), minx, miny, maxx, maxy FROM rels
+UNION ALL SELECT id, 'pl', CAST(np AS BIGINT), minx, miny, maxx, maxy FROM polys""")
 
 
 def locality_first_match() -> str:
@@ -566,10 +644,12 @@ def all_sql() -> dict[str, str]:
         "nodes": nodes(),
         "ways": ways(),
         "relations": relations(),
+        "relation_rings": relation_rings(),
         "cell_index": cell_index(),
         "find_by_tags": find_by_tags(),
         "find_by_stats": find_by_stats(),
         "interpolate": interpolate(),
+        "interpolation_geojson": interpolation_geojson(),
         "density": density(),
         "clusters": clusters(),
         "locality_geometries": locality_geometries(),

@@ -14,16 +14,17 @@ STATS_IN_RANGE = {"indicators": ["1-URGENT", "4-NOT SPECIFIED", "9-NO SUCH"],
 FIND_BY_TAGS = {
     "radii_m": [20000, 60000, 150000, 400000],
     "searches": [("brand", "Brand#7"), ("priority", "1-URGENT"),
-                 ("place", "PROMO"), ("status", "F")],
+                 ("place", "PROMO"), ("status", "F"), ("type", "boundary")],
     "op": "=",
 }
-FIND_BY_STATS = {"indicator": "3-MEDIUM", "year": 1998, "meters": 1500000}
-INTERPOLATE = {"indicator": "3-MEDIUM", "year": 1998, "meters": 1500000, "power": 1}
+# a radius that selects: some points have no sample, some one, some several
+FIND_BY_STATS = {"indicator": "3-MEDIUM", "year": 1998, "meters": 750000}
+INTERPOLATE = {"indicator": "3-MEDIUM", "year": 1998, "meters": 750000, "power": 1}
 DENSITY = {"length": 4}
 CLUSTERS = {"length": 3}
 
 INDEX_PREFIXES = ["u0k", "u0m", "spu"]
-POSTING_MAX_IDS = 64
+POSTING_CHUNKS = 8
 # locality search: a nation's candidate localities are its customers, in a
 # pseudo search-result order; nations of region 0 count as already resolved
 FIRST_MATCH = {"rank_mul": 7919, "rank_mod": 101, "done_region": 0}

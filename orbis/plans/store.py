@@ -13,19 +13,19 @@ import hashlib
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from orbis.operators import build as B
 from orbis.session import apply_conf, committed, table_path
 from orbis.sinks import tables as K
 from orbis.sources import fixtures as FX
+from orbis.sources import osm
 
 INGEST_TABLES = ("part", "lineitem", "orders", "customer")
 # bump when the layout of the written tables changes
-STORE_LAYOUT = "6"
-_CACHE: dict[tuple[int, str], dict[str, str]] = {}
+STORE_LAYOUT = "7"
+_CACHE: dict[tuple[str, str], dict[str, str]] = {}
 _LOCK = threading.Lock()
-_FRAMES: dict[tuple[int, str, str], DataFrame] = {}
+_FRAMES: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def _input_key(spark: SparkSession, sf_dir: str) -> str:
@@ -35,9 +35,9 @@ def _input_key(spark: SparkSession, sf_dir: str) -> str:
     for t in INGEST_TABLES:
         path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
         fs = path.getFileSystem(conf)
-        st = fs.getFileStatus(path)
-        size = fs.getContentSummary(path).getLength() if st.isDirectory() else st.getLen()
-        h.update(f"{fs.makeQualified(path).toString()}|{size}|{st.getModificationTime()}".encode())
+        listed = fs.listStatus(path)          # the file itself, or the files of a table folder
+        for st in sorted(listed, key=lambda st: st.getPath().toString()):
+            h.update(f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()}".encode())
     return h.hexdigest()[:16]
 
 
@@ -46,40 +46,52 @@ def ingest(spark: SparkSession, sf_dir: str, root: str | None = None) -> dict[st
     tables under ``sf_dir``; steps already written are skipped.
 
     Steps: nodes, ways, relations (reading the written ways back, which cuts
-    lineage) into ``geometries/kind=<n|w|r>``; then two index tables --
-    ``cell_index`` for nodes, ways and collection relations and
-    ``ring_index`` for ring-stitched relations.  Returns the paths."""
+    lineage) into ``geometries/kind=<n|w|r>``; then the one ``cell_index`` of every
+    stored geometry.  Returns the paths."""
     base = root or table_path(spark, "orbis", _input_key(spark, sf_dir))
-    paths = {"geometries": f"{base}/geometries", "cell_index": f"{base}/cell_index",
-             "ring_index": f"{base}/ring_index"}
+    paths = {"geometries": f"{base}/geometries", "cell_index": f"{base}/cell_index"}
+    write_store(spark, paths, FX.raw_nodes(spark, sf_dir), FX.way_refs(spark, sf_dir),
+                FX.way_tags(spark, sf_dir), FX.relation_members(spark, sf_dir),
+                FX.relation_tags(spark, sf_dir))
+    return paths
+
+
+def ingest_extracts(spark: SparkSession, root: str, regions: list[str], out: str) -> dict[str, str]:
+    """E10 + E9 for real extracts (S1-S3, S7): the node, way and relation tables of
+    ``regions`` below ``root`` become the geometry table and cell index below ``out``."""
+    apply_conf(spark)
+    nodes = osm.read_nodes(spark, *osm.extract_paths(root, regions, "node"))
+    ways = osm.read_ways(spark, *osm.extract_paths(root, regions, "way"))
+    rels = osm.read_relations(spark, *osm.extract_paths(root, regions, "relation"))
+    paths = {"geometries": f"{out}/geometries", "cell_index": f"{out}/cell_index"}
+    write_store(spark, paths, nodes, osm.way_refs(ways), osm.way_tags(ways), osm.relation_members(rels),
+                osm.relation_tags(rels))
+    return paths
+
+
+def write_store(spark: SparkSession, paths: dict[str, str], raw_nodes: DataFrame, refs: DataFrame,
+                way_tags: DataFrame, members: DataFrame, relation_tags: DataFrame) -> None:
+    """The steps of an ingest, each skipped if it is already there."""
     g = paths["geometries"]
-    raw_nodes = FX.raw_nodes(spark, sf_dir)
     if not committed(spark, f"{g}/kind=n"):
         K.write_kind(B.build_nodes(raw_nodes), g, "n")
     if not committed(spark, f"{g}/kind=w"):
-        K.write_kind(B.build_ways(FX.way_refs(spark, sf_dir), FX.way_tags(spark, sf_dir),
-                                  raw_nodes), g, "w")
+        K.write_kind(B.build_ways(refs, way_tags, raw_nodes), g, "w")
     if not committed(spark, f"{g}/kind=r"):
         ways = spark.read.parquet(f"{g}/kind=w")
-        K.write_kind(B.build_relations(FX.relation_members(spark, sf_dir),
-                                       FX.relation_tags(spark, sf_dir), raw_nodes, ways), g, "r")
-    geoms = spark.read.parquet(g)
-    rings = (F.col("kind") == "r") & (F.col("class") == "pl")
+        K.write_kind(B.build_relations(members, relation_tags, raw_nodes, ways), g, "r")
     if not committed(spark, paths["cell_index"]):
-        K.write_index(B.build_index(geoms.where(~rings)), paths["cell_index"])
-    if not committed(spark, paths["ring_index"]):
-        K.write_index(B.build_index(geoms.where(rings)), paths["ring_index"])
-    return paths
+        K.write_index(B.build_index(spark.read.parquet(g)), paths["cell_index"])
 
 
 def use(spark: SparkSession, sf_dir: str, paths: dict[str, str]) -> None:
     """Point later queries on ``sf_dir`` at an ingest written elsewhere."""
-    _CACHE[(id(spark), sf_dir)] = paths
+    _CACHE[(spark.sparkContext.applicationId, sf_dir)] = paths
 
 
 def _paths(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     apply_conf(spark)
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     with _LOCK:                       # one ingest per input, even from threads
         if key not in _CACHE:
             _CACHE[key] = ingest(spark, sf_dir)
@@ -90,7 +102,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A stored table as a DataFrame, read once per session (file listing and
     Parquet footers are not re-read by every query)."""
     p = _paths(spark, sf_dir)
-    key = (id(spark), sf_dir, p[name])
+    key = (spark.sparkContext.applicationId, sf_dir, p[name])
     with _LOCK:
         if key not in _FRAMES:
             _FRAMES[key] = spark.read.parquet(p[name])
@@ -98,17 +110,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def geometry_store(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """``(geometries, cell_index)`` for ``sf_dir`` -- the full index, every
-    stored geometry -- ingesting first if needed."""
-    idx = _table(spark, sf_dir, "cell_index").unionByName(_table(spark, sf_dir, "ring_index"))
-    return _table(spark, sf_dir, "geometries"), idx
+    """``(geometries, cell_index)`` for ``sf_dir`` -- every stored geometry and its
+    cells -- ingesting first if needed."""
+    return _table(spark, sf_dir, "geometries"), _table(spark, sf_dir, "cell_index")
 
 
-def point_line_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored index of nodes, ways and collection relations."""
+def cell_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "cell_index")
-
-
-def ring_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored index of ring-stitched relations."""
-    return _table(spark, sf_dir, "ring_index")

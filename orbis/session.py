@@ -26,6 +26,10 @@ SESSION_CONF = {
 }
 
 
+# scratch folders of local applications without a checkpoint folder
+_SCRATCH: dict[str, str] = {}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "orbis") -> SparkSession:
     builder = (
@@ -45,29 +49,30 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def apply_conf(spark: SparkSession) -> None:
-    """Apply the session settings the plans rely on to a caller's session."""
+    """Apply the settings the plans rely on (all are settings of the session, not of
+    the cluster) to a caller's session."""
     for k, v in SESSION_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf on a shared cluster session
-            pass
+        spark.conf.set(k, v)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for materialised tables and checkpoints.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    file system).  Only where it is unset -- tests, the bench on one host --
-    do we pick a scratch folder and record it in the session.
+    file system); without it this raises, since a folder of one machine is not seen by
+    the others.  Only on one host (``local[..]``: tests, the bench) an unset folder
+    is a scratch folder, the same one for the life of the application.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        # unset (a test session): our own scratch folder, for this host only
-        root = tempfile.mkdtemp(prefix="orbis-ckpt-")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        app = spark.sparkContext.applicationId
+        if app not in _SCRATCH:
+            _SCRATCH[app] = tempfile.mkdtemp(prefix="orbis-ckpt-")
+        root = _SCRATCH[app]
     return root.rstrip("/")
 
 

@@ -26,6 +26,14 @@ def range_json(range_map: DataFrame) -> DataFrame:
     return range_map.select(F.to_json(F.create_map("city", "stats")).alias("json"))
 
 
+def year_values_json(rows: DataFrame) -> DataFrame:
+    """K7 for E6: one line per city, ``{city: {year: value}}``, from the rows of
+    ``stat_in_range`` (a city's years are few: the group is small)."""
+    m = F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("year").cast("string"), "value"))))
+    return rows.groupBy("city").agg(m.alias("years")) \
+        .select(F.to_json(F.create_map("city", "years")).alias("json"))
+
+
 def compare_json(compare: DataFrame) -> DataFrame:
     """K7 for E4: ``{city: {"_1": [values], "_2": wkt}}`` (wkt when joined)."""
     wkt = F.col("wkt") if "wkt" in compare.columns else F.lit(None).cast("string")

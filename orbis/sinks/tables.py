@@ -38,12 +38,21 @@ def write_stats(stats: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def upsert_stats(current: DataFrame, updates: DataFrame) -> DataFrame:
     """K5 upsert: rows of ``updates`` replace rows of ``current`` with the same
-    (id, indicator, year); everything else is kept.  Write the result to a
-    new path (a table is never overwritten while it is being read)."""
+    (id, indicator, year), null-safe; everything else is kept as it is.  Of several
+    updates of one key the greatest row wins (by the columns in order, so the result
+    does not depend on the order of rows).  The placeholder row of a locality without
+    data (no indicator, no year) goes once a real row of that locality is there.  Write
+    the result to a new path (a table is never overwritten while it is being read)."""
     keys = ["id", "indicator", "year"]
     cols = [c for c in current.columns if c not in keys]
-    u = updates.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in cols])
-    merged = current.join(u, keys, "full_outer")
-    has_new = F.col("_new_name").isNotNull() if "name" in cols else F.lit(True)
-    return merged.select(*keys, *[F.when(has_new, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
-                                  for c in cols]).select(*current.columns)
+    new = updates.groupBy(*keys).agg(F.max(F.struct(*cols)).alias("new"))
+    c, u = current.alias("c"), new.alias("u")
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"c.{k}").eqNullSafe(F.col(f"u.{k}"))
+    old = c.join(u, same, "left_anti").select(*current.columns)
+    merged = old.unionByName(new.select(*keys, "new.*").select(*current.columns))
+    blank = F.col("indicator").isNull() & F.col("year").isNull()
+    real = updates.where(~blank).select("id").distinct()
+    placeholders = merged.where(blank).join(real, "id", "left_anti")
+    return merged.where(~blank).unionByName(placeholders.select(*current.columns))

@@ -37,35 +37,29 @@ RELATION_SCHEMA = T.StructType([
     T.StructField("tags", TAGS),
 ])
 
-# The file name pattern of an extract's three tables.
-EXTRACT_PATTERN = "{root}/{region}.osm.pbf.{kind}.parquet"
-
-
-def _reader(spark: SparkSession):
-    # foreign Parquet writers store text as plain binary
-    spark.conf.set("spark.sql.parquet.binaryAsString", "true")
-    return spark.read
+# Where an extract's three tables lie (kind: node, way, relation).
+EXTRACT_PATTERN = "{root}/{region}/{region}.pbf.{kind}.parquet"
 
 
 def read_nodes(spark: SparkSession, *paths: str) -> DataFrame:
     """Raw nodes ``(id, longitude, latitude, tags)``."""
-    return _reader(spark).schema(NODE_SCHEMA).parquet(*paths)
+    return spark.read.schema(NODE_SCHEMA).parquet(*paths)
 
 
 def read_ways(spark: SparkSession, *paths: str) -> DataFrame:
     """Raw ways ``(id, nodes array<struct<index,nodeId>>, tags)``."""
-    return _reader(spark).schema(WAY_SCHEMA).parquet(*paths)
+    return spark.read.schema(WAY_SCHEMA).parquet(*paths)
 
 
 def read_relations(spark: SparkSession, *paths: str) -> DataFrame:
     """S3: raw relations ``(id, members array<struct<id,role,type>>, tags)``."""
-    return _reader(spark).schema(RELATION_SCHEMA).parquet(*paths)
+    return spark.read.schema(RELATION_SCHEMA).parquet(*paths)
 
 
 def with_region(df: DataFrame) -> DataFrame:
     """Read many regions at once and keep which extract a row came from."""
     return df.withColumn("region", F.regexp_extract(
-        F.col("_metadata.file_path"), r"([^/]+)\.osm\.pbf\.[a-z]+\.parquet", 1))
+        F.col("_metadata.file_path"), r"([^/]+)\.pbf\.[a-z]+\.parquet", 1))
 
 
 def extract_paths(root: str, regions: list[str], kind: str) -> list[str]:

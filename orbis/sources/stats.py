@@ -24,12 +24,25 @@ NAMES_SCHEMA = T.StructType([
 ])
 
 
+def _read_named(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A headed CSV read by column *name*, all text; other columns are not kept.
+    Raises if a column is missing, or if the files under ``path`` have different
+    headers (Spark reads a folder by its first file's)."""
+    raw = spark.read.option("header", True).option("enforceSchema", False) \
+        .option("inferSchema", False).csv(path)
+    missing = [f.name for f in schema.fields if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)}; the header has {raw.columns}")
+    return raw.select(*[F.col(f"`{f.name}`") for f in schema.fields],
+                      F.col("_metadata.file_path").alias("source_file"))
+
+
 def read_stat_csv(spark: SparkSession, path: str) -> DataFrame:
-    """S4 + S5: all statistic files under ``path``, all columns as text."""
-    return (spark.read.option("header", True).schema(STAT_CSV_SCHEMA).csv(path)
-            .withColumn("source_file", F.col("_metadata.file_path")))
+    """S4 + S5: all statistic files under ``path``, all columns as text, with the
+    file each row came from."""
+    return _read_named(spark, path, STAT_CSV_SCHEMA)
 
 
 def read_names(spark: SparkSession, path: str) -> DataFrame:
     """The ``id,name`` dictionary of localities."""
-    return spark.read.option("header", True).schema(NAMES_SCHEMA).csv(path)
+    return _read_named(spark, path, NAMES_SCHEMA).select("id", "name")

@@ -30,10 +30,10 @@ def stored(spark):
 
 
 def test_prefix_scan_pushes_filters(spark, stored):
-    idx = store.point_line_index(spark, SF_SMALL)
+    idx = store.cell_index(spark, SF_SMALL)
     text = formatted(LK.scan_index_by_prefixes(idx, ["u0k", "spu"]).select("cell", "id"))
-    assert "StringStartsWith(cell,u0k)" in text and "StringStartsWith(cell,spu)" in text
-    assert "GreaterThanOrEqual(cell,spu)" in text
+    assert "GreaterThanOrEqual(cell,u0k)" in text and "LessThan(cell,u0l)" in text
+    assert "GreaterThanOrEqual(cell,spu)" in text and "LessThan(cell,spv)" in text
     assert "ReadSchema: struct<cell:string,id:string>" in text
 
 
