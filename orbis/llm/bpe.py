@@ -25,23 +25,25 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from orbis.llm.common import doc_view, process_cache, ship
+from orbis.llm.common import distinct_words, doc_view, gather, process_cache, ship
 
 ship(__name__)
 
 END = "</w>"
 NEVER = np.int64(1) << 60
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 120_000
 #: characters that NFC leaves alone, that lower-case one by one, and whose white
 #: space is the ASCII one: printable ASCII, its white space, Latin-1 letters and signs,
 #: OE ligatures, general dashes and quotes, the euro sign
 PLAIN = re.compile("[\t-\r -~\xa1-\xac\xae-\xffŒœ‐-‧€]*")
+MARKS = frozenset(".,;:!?")
 # fixed values: the split pattern of the tokenizer file
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -196,6 +198,23 @@ class Vocabulary:
         return guesses
 
 
+def encode_plain(texts: list[str], known: dict[str, bytes], learn: Callable[[set[str]], None]
+                 ) -> Iterator[bytes]:
+    """Ids of texts inside ``PLAIN``: each distinct white-space chunk of the block is looked
+    up once (``learn`` adds those not in ``known``), then the ids are gathered in numpy."""
+    if not texts:
+        return
+    offsets, number, chunks = distinct_words(pa.array([t.lower() for t in texts], pa.string()))
+    new = {c for c in chunks if c}.difference(known)
+    if new:
+        learn(new)
+    ids, ends = gather([known[c] if c else b"" for c in chunks], number)
+    ends = np.r_[0, ends][offsets]
+    for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
+        yield ids[a:b].tobytes()
+    pa.default_memory_pool().release_unused()        # workers live long, blocks are large
+
+
 class Encoder:
     """Texts to ids; remembers what it worked out, up to a bounded number of chunks.
     ``Encoder.shared`` is one per Python worker process, for all its tasks."""
@@ -219,13 +238,18 @@ class Encoder:
         self.words: dict[bytes, bytes] = {}
         self.library = None
 
-    def _learn(self, chunks: set[str]) -> None:
-        new = [(c, [w.encode() for w in self.split.findall(c)]) for c in chunks]
-        words = sorted({w for _, ws in new for w in ws if w not in self.words})
+    def _words(self, words: list[bytes]) -> None:
         for w, ids in zip(words, self.vocab.encode_words(words)):
-            self.words[w] = np.array(ids, "<u4").tobytes()
-        for c, ws in new:
-            self.chunks[c] = b"".join([self.words[w] for w in ws])
+            self.words[w] = array("I", ids).tobytes()
+
+    def _learn(self, chunks: set[str]) -> None:
+        """Letters alone, or with one mark behind them, need no pattern to be split."""
+        cut = [[c] if c.isalpha() else [c[:-1], c[-1]] if c[-1] in MARKS and c[:-1].isalpha()
+               else self.split.findall(c) for c in chunks]
+        self._words(list({w.encode() for ws in cut for w in ws}.difference(self.words)))
+        known = self.words
+        for c, ws in zip(chunks, cut):
+            self.chunks[c] = b"".join([known[w.encode()] for w in ws])
 
     def _other(self, text: str) -> bytes:
         """A text outside ``PLAIN``: the library normalises and splits it."""
@@ -236,9 +260,7 @@ class Encoder:
         norm = self.library.normalizer.normalize_str(text)
         words = [bytes(back[c] for c in w)
                  for w, _ in self.library.pre_tokenizer.pre_tokenize_str(norm)]
-        new = sorted({w for w in words if w and w not in self.words})
-        for w, ids in zip(new, self.vocab.encode_words(new)):
-            self.words[w] = np.array(ids, "<u4").tobytes()
+        self._words(list({w for w in words if w}.difference(self.words)))
         return b"".join([self.words[w] for w in words if w])
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -246,21 +268,10 @@ class Encoder:
         if len(self.chunks) > CACHE_CHUNKS or len(self.words) > CACHE_CHUNKS:
             self.chunks.clear()
             self.words.clear()
-        plain: list[list[str] | None] = []
-        unknown: set[str] = set()
-        for t in texts:
-            if PLAIN.fullmatch(t) and not (self.special and "<|" in t and self.special.search(t)):
-                parts = t.lower().split()
-                unknown.update(parts)
-                plain.append(parts)
-            else:
-                plain.append(None)
-        unknown.difference_update(self.chunks)
-        if unknown:
-            self._learn(unknown)
-        known = self.chunks
-        return [b"".join([known[p] for p in parts]) if parts is not None else self._mixed(t)
-                for t, parts in zip(texts, plain)]
+        plain = [bool(PLAIN.fullmatch(t)) and not (self.special and "<|" in t and self.special.search(t))
+                 for t in texts]
+        done = encode_plain([t for t, ok in zip(texts, plain) if ok], self.chunks, self._learn)
+        return [next(done) if ok else self._mixed(t) for t, ok in zip(texts, plain)]
 
     def _mixed(self, text: str) -> bytes:
         out = []
@@ -277,7 +288,7 @@ class Encoder:
         return " ".join([token[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
-def text_blocks(batch: pa.RecordBatch, limit: int = 2 << 20) -> Iterator[tuple[int, list[str]]]:
+def text_blocks(batch: pa.RecordBatch, limit: int = 4 << 20) -> Iterator[tuple[int, list[str]]]:
     """(offset, texts) of column 1 in runs of about ``limit`` characters."""
     start, held, size = 0, [], 0
     for i, t in enumerate(batch.column(1)):

@@ -7,6 +7,9 @@ import sys
 import uuid
 from types import ModuleType
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +39,28 @@ def process_cache() -> dict:
     return holder.__dict__.setdefault("kept", {})
 
 
+def distinct_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """White-space words (ASCII) of a block of texts, found by Arrow's kernels:
+    (offsets of the texts, number of each word, distinct words by number).  A text without
+    words has the one word ``""``."""
+    words = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(texts))
+    coded = words.values.slice(words.offsets[0].as_py(), len(words.flatten())).dictionary_encode()
+    offsets = words.offsets.to_numpy(zero_copy_only=False)
+    return offsets - offsets[0], coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
+
+
+def gather(parts: list[bytes], number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Concatenates ``parts[i]`` (unsigned 32-bit integers as bytes) for i in ``number``:
+    (all integers, end of each part)."""
+    size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+    flat = np.frombuffer(b"".join(parts), "<u4")
+    size_of = size[number]
+    ends = np.cumsum(size_of)
+    shift = (np.cumsum(size) - size)[number] - (ends - size_of)
+    at = np.repeat(shift, size_of) + np.arange(ends[-1] if len(ends) else 0)
+    return flat[at], ends
+
+
 def lower_ascii(col: Column) -> Column:
     """A-Z lower-cased, all other characters as they are."""
     return F.translate(col, UPPER, UPPER.lower())

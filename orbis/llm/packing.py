@@ -10,8 +10,8 @@ batch of equal shapes is a range of ids.
 Numbering needs no global sort: tasks number their pieces within each length, and the
 small table of counts per (task, length) turns these numbers into places.
 
-Ids come from the ``tokenizers`` library.  It sees every distinct white-space chunk of
-a worker's plain texts once (its pre-tokenizer cuts at white space and drops it, so
+Ids come from the ``tokenizers`` library.  Of plain texts it sees each distinct
+white-space chunk of a block, if it was not met shortly before (its pre-tokenizer cuts at white space and drops it, so
 chunks are encoded as in place; ``bpe.PLAIN`` says for which characters this holds), and
 every other text whole.
 
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,14 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orbis.llm.bpe import PLAIN, text_blocks
+from orbis.llm.bpe import MARKS, PLAIN, encode_plain, text_blocks
 from orbis.llm.common import doc_view, process_cache, ship, written
 
 ship(__name__)
 
 MAX_LENGTH = 4096
 END_ID = 2
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 200_000
 
 
 class LibraryEncoder:
@@ -51,6 +52,9 @@ class LibraryEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.chunks: dict[str, bytes] = {}
+        vocab = self.library.get_vocab()
+        self.is_end = np.zeros(max(vocab.values()) + 1, bool)
+        self.is_end[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
 
     @classmethod
     def shared(cls, file_json: str) -> LibraryEncoder:
@@ -62,17 +66,40 @@ class LibraryEncoder:
 
     def _batch(self, texts: list[str]) -> list[bytes]:
         got = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in got]
+        return [array("I", e.ids).tobytes() for e in got]
+
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters only.  Such a word is one pre-token, whose last token --
+        and no other -- carries the end mark, so many words go through the library as one
+        text and are told apart by their ends."""
+        if not words:
+            return []
+        lines = [" ".join(words[i:i + 500]) for i in range(0, len(words), 500)]
+        raw = b"".join(self._batch(lines))
+        ends = (4 * (np.flatnonzero(self.is_end[np.frombuffer(raw, "<u4")]) + 1)).tolist()
+        assert len(ends) == len(words)
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _learn(self, chunks: set[str]) -> None:
+        """Letters with one mark behind them are two pre-tokens: learned apart."""
+        known = self.chunks
+        marked = [c for c in chunks if c[-1] in MARKS and c[:-1].isalpha()]
+        new = chunks.difference(marked).union([c[:-1] for c in marked], [c[-1] for c in marked]) \
+            .difference(known)
+        words = [c for c in new if c.isalpha()]
+        known.update(zip(words, self._letters(words)))
+        others = list(new.difference(words))
+        known.update(zip(others, self._batch(others)))
+        for c in marked:
+            known[c] = known[c[:-1]] + known[c[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.chunks) > CACHE_CHUNKS:
             self.chunks.clear()
-        known = self.chunks
-        parts = [t.lower().split() if PLAIN.fullmatch(t) and "<|" not in t else None for t in texts]
-        new = sorted({c for p in parts if p for c in p if c not in known})
-        known.update(zip(new, self._batch(new)))
-        whole = iter(self._batch([t for t, p in zip(texts, parts) if p is None]))
-        return [next(whole) if p is None else b"".join([known[c] for c in p]) for p in parts]
+        plain = [bool(PLAIN.fullmatch(t)) and "<|" not in t for t in texts]
+        done = encode_plain([t for t, ok in zip(texts, plain) if ok], self.chunks, self._learn)
+        whole = iter(self._batch([t for t, ok in zip(texts, plain) if not ok]))
+        return [next(done if ok else whole) for ok in plain]
 
 
 def piece_lengths(n: int, most: int = MAX_LENGTH) -> list[int]:
