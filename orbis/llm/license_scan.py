@@ -14,7 +14,7 @@ A block may hold several licences: after one is confirmed its stretch is taken o
 rest of the block is scanned again.
 
 Defined results: null and empty texts have no block; very long texts are read whole,
-blocks are cut only where no licence word lies within ``GAP`` lines; equal ranks are
+blocks are cut only where more than twice ``GAP`` lines have no licence word; equal ranks are
 ordered by template name; repeated rows are reported each; an empty table gives no
 rows; other columns are not read.
 """
@@ -35,7 +35,7 @@ ship(__name__)
 CUE_WORDS = (r"(?i)licen[cs]e|copyright|copyleft|spdx|warrant|permission is|redistribut|"
              r"public domain|creative commons|\bCC[ -](?:BY|0)")
 CUE = re.compile(CUE_WORDS.encode())
-GAP = 6                       # lines without a cue inside a block
+GAP = 6                       # lines around a cue that belong to its block
 TRIED = 4
 MAX_EDIT_SHARE = 0.2
 LEVEL = 6
@@ -149,13 +149,15 @@ class Compressors:
         return sorted(saved, key=lambda x: (-x[0], TEMPLATES[x[1]][0], x[1]))
 
 
-def blocks(text: bytes) -> Iterator[tuple[int, int, str]]:
-    """(first line, last line, text) of the runs of lines around licence words."""
+def blocks(text: bytes) -> Iterator[tuple[int, str]]:
+    """(first line, text) of the runs of lines around licence words; ``GAP`` lines before
+    and after belong to a block, since a wrapped notice has lines without such a word."""
     lines = text.split(b"\n")
     first = last = None
     for i in [i for i, x in enumerate(lines) if CUE.search(x)] + [None]:
-        if first is not None and (i is None or i - last > GAP):
-            yield first, last, b"\n".join(lines[first:last + 1]).decode("utf-8", "replace")
+        if first is not None and (i is None or i - last > 2 * GAP):
+            lo = max(first - GAP, 0)
+            yield lo, b"\n".join(lines[lo:last + GAP + 1]).decode("utf-8", "replace")
             first = None
         if i is not None:
             first = i if first is None else first
@@ -163,7 +165,8 @@ def blocks(text: bytes) -> Iterator[tuple[int, int, str]]:
 
 
 def scan_block(block: str, z: Compressors) -> list[tuple]:
-    """(first word, licence, template, saved, edits, list of edits) of each confirmed licence."""
+    """(first word, last word, licence, template, saved, edits, list of edits) of each
+    confirmed licence."""
     out = []
     todo = [(0, words_of(block))]
     while todo:
@@ -184,7 +187,7 @@ def scan_block(block: str, z: Compressors) -> list[tuple]:
             best = got if best is None or got < best else best
         if best is not None:
             _, _, _, k, lo, hi, n, told, saved = best
-            out.append((base + lo, *TEMPLATES[k], saved, n, told))
+            out.append((base + lo, base + hi - 1, *TEMPLATES[k], saved, n, told))
             todo += [(base, words[:lo]), (base + hi, words[hi:])]
     return sorted(out, key=lambda x: x[0])
 
@@ -195,17 +198,11 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         own, rows = [], []
         for i, t in enumerate(b.column(1).cast(pa.binary())):
-            for first, last, block in blocks(t.as_py()):
-                counts = [len(words_of(x)) for x in block.split("\n")]
-                for at, name, template, saved, n, told in scan_block(block, z):
-                    line, seen = first, 0
-                    for c in counts:                    # the line that holds the first word
-                        if at < seen + c:
-                            break
-                        seen += c
-                        line += 1
+            for first, block in blocks(t.as_py()):
+                line_of = [first + k for k, x in enumerate(block.split("\n")) for _ in words_of(x)]
+                for lo, hi, *found in scan_block(block, z):
                     own.append(i)
-                    rows.append((line, last, name, template, saved, n, told))
+                    rows.append((line_of[lo], line_of[hi], *found))
         cols = list(zip(*rows)) if rows else [[]] * 7
         types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64(), pa.int64(),
                  pa.list_(pa.string())]
@@ -215,7 +212,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per confirmed licence: doc_id, line_from (of its first word), line_to (of the
-    block's end), license, template, saved, n_edits, edits."""
+    """One row per confirmed licence: doc_id, line_from and line_to (of its first and last
+    word, from 0), license, template, saved, n_edits, edits."""
     view = doc_view(docs, id_col, text_col).where(F.col("text").rlike(CUE_WORDS))
     return view.mapInArrow(_scan, f"doc_id {dict(view.dtypes)['doc_id']}, {SCHEMA}")
