@@ -36,7 +36,10 @@ BLOCKED_WORDS = ["casino", "casino-win", "poker", "slots", "betting", "jackpot",
 ALLOWED_WORDS = ["news", "library", "museum", "school", "university", "docs", "wiki", "journal",
                  "garden", "recipes", "weather", "history", "science", "music", "travel",
                  "community", "health", "books", "sports", "gallery", "therin", "tionble",
-                 "anshou", "ererst", "ndhere", "ouening", "haated", "inonth"]
+                 "anshou", "ererst", "ndhere", "ouening", "haated", "inonth", "paper", "photo"]
+# most addresses are harmless: names of no meaning, made by rule
+ALLOWED_WORDS += [a + b for a in ("lan", "mar", "per", "sol", "tor", "vin", "wes", "bel")
+                  for b in ("ander", "ison", "ette", "ing", "ora", "ster", "ville", "ware")]
 FORMS = ["https://www.{w}.example.com/en/{i}", "http://{w}.example.org/de/{i}.html",
          "https://blog.{w}.example.net/fr/{i}?page=2", "http://m.example.org/{w}/{i}"]
 
