@@ -44,7 +44,8 @@ def scan_index_by_prefixes(index: DataFrame, prefixes: list[str], cell: str = "c
     Prefixes may differ in length; one that extends another adds nothing and is
     left out.  Each of the rest is a half-open range of cells, and the OR of the
     ranges is a pushed filter of the Parquet scan: files are sorted by cell, so row
-    groups outside all ranges are skipped."""
+    groups outside all ranges are skipped.  Where the index is partitioned by ``cell3``,
+    only the partitions of the prefixes are read."""
     wanted: list[str] = []
     for p in sorted(set(prefixes)):
         if not (wanted and p.startswith(wanted[-1])):
@@ -54,7 +55,11 @@ def scan_index_by_prefixes(index: DataFrame, prefixes: list[str], cell: str = "c
     c = col_of(cell)
     cond = F.lit(False)
     for p in wanted:
-        cond = cond | ((c >= p) & (c < _after(p)))
+        in_range = (c >= p) & (c < _after(p))
+        if "cell3" in index.columns:
+            part = p[:3]
+            in_range = in_range & (F.col("cell3") >= part) & (F.col("cell3") < _after(part))
+        cond = cond | in_range
     return index.where(cond)
 
 

@@ -22,7 +22,7 @@ from orbis.sources import osm
 
 INGEST_TABLES = ("part", "lineitem", "orders", "customer")
 # bump when the layout of the written tables changes
-STORE_LAYOUT = "7"
+STORE_LAYOUT = "8"
 _CACHE: dict[tuple[str, str], dict[str, str]] = {}
 _LOCK = threading.Lock()
 _FRAMES: dict[tuple[str, str, str], DataFrame] = {}
@@ -105,7 +105,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, p[name])
     with _LOCK:
         if key not in _FRAMES:
-            _FRAMES[key] = spark.read.parquet(p[name])
+            _FRAMES[key] = K.read_index(spark, p[name]) if name == "cell_index" else spark.read.parquet(p[name])
         return _FRAMES[key]
 
 

@@ -2,16 +2,16 @@
 
 * geometries: partitioned by ``kind`` (n / w / r) so a search for one kind
   prunes whole directories; rows sorted by id inside each file.
-* cell index: rows sorted by cell inside each file, so Parquet min/max
-  statistics let a cell-prefix filter (S10) skip row groups.  No global
-  range sort: one hot cell would otherwise land in one task.
+* cell index: partitioned by the first three characters of the cell, rows sorted
+  by cell inside each file.  A search reads the partitions its cells lie in, and
+  Parquet min/max statistics let a prefix filter (S10) skip row groups.
 * statistics: written whole; ``upsert_stats`` merges new rows over old ones
   per (id, indicator, year), the cell-level upsert of the old store.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -26,9 +26,24 @@ def write_kind(geoms: DataFrame, path: str, kind: str, mode: str = "overwrite")
     geoms.drop("kind").sortWithinPartitions("id").write.mode(mode).parquet(f"{path}/kind={kind}")
 
 
+# files (and writing tasks) that one partition of the index is spread over
+INDEX_SALTS = 8
+INDEX_SCHEMA = ("cell string, id string, minx double, miny double, maxx double, maxy double, "
+                "cell3 string")
+
+
 def write_index(flat_index: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K4 / K6: flat ``(cell, id)`` index, sorted by cell within files."""
-    flat_index.sortWithinPartitions("cell").write.mode(mode).parquet(path)
+    """K4 / K6: flat ``(cell, id, box)`` index in partitions ``cell3=<prefix>``.  Rows are
+    dealt out by prefix and a hash of the id, so a crowded prefix is written by several
+    tasks and no prefix is scattered over all of them."""
+    flat_index.withColumn("cell3", F.left("cell", F.lit(3))) \
+        .repartition("cell3", F.pmod(F.xxhash64("id"), F.lit(INDEX_SALTS))) \
+        .sortWithinPartitions("cell3", "cell").write.mode(mode).partitionBy("cell3").parquet(path)
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    """The written index; the schema is given, since a prefix may look like a number."""
+    return spark.read.schema(INDEX_SCHEMA).parquet(path)
 
 
 def write_stats(stats: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -37,6 +37,22 @@ def test_prefix_scan_pushes_filters(spark, stored):
     assert "ReadSchema: struct<cell:string,id:string>" in text
 
 
+def test_prefix_scan_reads_its_partitions_only(spark, stored):
+    idx = store.cell_index(spark, SF_SMALL)
+    text = formatted(LK.scan_index_by_prefixes(idx, ["u0k", "spu7"]).select("cell", "id"))
+    filters = next(x for x in text.splitlines() if x.startswith("PartitionFilters"))
+    assert "cell3" in filters and "u0k" in filters and "spu" in filters
+
+
+def test_point_search_prunes_index_partitions(spark, stored):
+    geoms, idx = stored
+    pts = spark.createDataFrame([(1, 10.0, 45.0)], "qid int, lon double, lat double")
+    df = SP.find_by_tags(geoms, idx, pts, "status", "F", 20000)
+    assert "dynamicpruningexpression(cell3" in formatted(df)
+    everywhere = SP.find_by_tags(geoms, idx.drop("cell3"), pts, "status", "F", 20000)
+    assert sorted(r.id for r in df.collect()) == sorted(r.id for r in everywhere.collect())
+
+
 def test_small_query_side_is_broadcast(spark, stored):
     text = plan_of(catalog.q_find_by_tags(spark, SF_SMALL))
     assert "BroadcastExchange" in text or "BroadcastHashJoin" in text
