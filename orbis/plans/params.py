@@ -12,7 +12,7 @@ STATS_IN_RANGE = {"indicators": ["1-URGENT", "4-NOT SPECIFIED", "9-NO SUCH"],
 # the tag asked for vary with the supplier key so several cover lengths and
 # both geometry kinds (tagged nodes, ways) are exercised
 FIND_BY_TAGS = {
-    "radii_m": [20000, 60000, 150000, 400000],
+    "radii_m": [400000, 150000, 60000, 20000],
     "searches": [("brand", "Brand#7"), ("priority", "1-URGENT"),
                  ("place", "PROMO"), ("status", "F"), ("type", "boundary")],
     "op": "=",
