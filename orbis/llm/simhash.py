@@ -262,8 +262,9 @@ def _groups(base: DataFrame, max_bits: int) -> DataFrame:
     fingerprint that links reach (as a signed long)."""
     distinct = written(base.select("fp").distinct(), "op2-distinct")
     comp = connected_components(links(distinct, max_bits), "op2-cc")
-    return distinct.join(comp, distinct["fp"] == comp["node"], "left") \
-        .select("fp", F.coalesce("root", "fp").alias("root"))
+    # written, so that AQE can split a hot fingerprint where documents join it
+    return written(distinct.join(comp, distinct["fp"] == comp["node"], "left")
+                   .select("fp", F.coalesce("root", "fp").alias("root")), "op2-groups")
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -44,15 +44,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orbis.llm.common import doc_view, shuffle_width, ship, written
+from orbis.llm.common import doc_view, release_memory, ship, shuffle_width, written
 
 ship(__name__)
 
 LENGTH = 200
 GRAM = 64
 HOT = 50_000
-BLOCK_BYTES = 2 << 20
-BLOCK_CONTEXTS = 20_000
+BLOCK_BYTES = 1 << 19
+BLOCK_CONTEXTS = 10_000
 _BASE = 0x5851F42D4C957F2D                 # odd, so it has an inverse modulo 2**64
 
 
@@ -126,6 +126,7 @@ def _samples(length: int, gram: int):
         from xxhash import xxh3_64_intdigest
         tables = _tables(2 * BLOCK_BYTES + length)
         for b in batches:
+            release_memory()
             for pieces in _blocks(b.column(1).cast(pa.binary()), length):
                 row, shift, held = zip(*pieces)
                 raw = b"".join(held)
@@ -316,7 +317,9 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     samples = written(rows.mapInArrow(_samples(length, gram),
                                       f"doc_id {kind}, version long, lo int, span short, left short, "
                                       "gram long, name long"), "op8-samples")
-    twice = samples.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    # written, so that the join below has plain shuffles on both sides: AQE can split a hot gram
+    twice = written(samples.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"),
+                    "op8-twice")
     shared = written(samples.join(twice, "gram", "left_semi"), "op8-shared")
 
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "version", "lo", "span", "left")
