@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from orbis.llm.common import distinct_words, doc_view, gather, process_cache, ship
+from orbis.llm.common import distinct_words, doc_view, gather, process_cache, release_memory, ship
 
 ship(__name__)
 
@@ -212,7 +212,7 @@ def encode_plain(texts: list[str], known: dict[str, bytes], learn: Callable[[set
     ends = np.r_[0, ends][offsets]
     for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
         yield ids[a:b].tobytes()
-    pa.default_memory_pool().release_unused()        # workers live long, blocks are large
+    release_memory()
 
 
 class Encoder:

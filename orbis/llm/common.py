@@ -3,6 +3,7 @@ shipping of Python helpers, connected components."""
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import uuid
 from types import ModuleType
@@ -19,6 +20,7 @@ from orbis.session import table_path
 # fixed values: the six ASCII white-space characters U+0020 and U+0009..U+000D
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 ASCII_SPACE_CLASS = r"[\x20\x09-\x0D]"
+BATCH_SETTING, BATCH_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "4m"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -39,6 +41,15 @@ def process_cache() -> dict:
     return holder.__dict__.setdefault("kept", {})
 
 
+def release_memory() -> None:
+    """Hand freed memory back to the system.  Python workers outlive their tasks and
+    wait beside the JVM; what they hold counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)       # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def distinct_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """White-space words (ASCII) of a block of texts, found by Arrow's kernels:
     (offsets of the texts, number of each word, distinct words by number).  A text without
@@ -70,10 +81,19 @@ def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def limit_batches(spark: SparkSession) -> None:
+    """Python tasks get Arrow batches of about ``BATCH_BYTES`` instead of Spark's default of
+    64 MB, whatever the length of the texts.  This is a setting of the session (it is
+    read when the plan runs); a value that the user has set stays."""
+    if spark.conf.get(BATCH_SETTING) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+
+
 def doc_view(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              *extra: Column) -> DataFrame:
     """Only the id and the text (null: empty) under names of our own, so that
     no other column of ``docs`` can clash with a working column."""
+    limit_batches(docs.sparkSession)
     return docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"), *extra)
 
 

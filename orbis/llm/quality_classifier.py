@@ -11,7 +11,7 @@ word counts made by the executors; documents whose crc32 remainder is held out n
 take part.  Of a row of the sample at most ``SAMPLE_WORDS`` distinct words count, the
 most frequent ones.  Each label is offered half of the sample; the intercept is then
 shifted to the label shares of the whole label table.  Scoring covers every whole text: since the average and the layer above
-are linear, a word's features add up to one number, kept per distinct word of a task.
+are linear, a word's features add up to one number, worked out once per distinct word of a block.
 
 Defined results: null text counts as empty; a text without words gets the score of the
 label shares alone; ids without a label and labels without a document are not
@@ -23,15 +23,16 @@ empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from operator import eq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orbis.llm.common import doc_view, ship
+from orbis.llm.common import distinct_words, doc_view, limit_batches, release_memory, ship
 
 ship(__name__)
 
@@ -44,19 +45,39 @@ SEED = 7
 SAMPLE = 3000
 SAMPLE_WORDS = 2000
 THRESHOLD = 0.7
-CACHE_WORDS = 300_000
+BLOCK_BYTES = 1 << 20
 REPEAT = "\n"                   # no word: the class of bigrams of two equal words
 REPEAT_WEIGHT = 12              # features that such a bigram counts as
 
 
-def word_features(word: str) -> list[int]:
-    """Buckets of a word: itself, then its character n-grams with edge marks."""
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, index of the word) of every feature of ``words``: the word itself and its
+    character n-grams with edge marks; ``REPEAT`` stands for its bigram class."""
     from xxhash import xxh3_64_intdigest
-    if word == REPEAT:
-        return [xxh3_64_intdigest(b"\n") % BUCKETS] * REPEAT_WEIGHT
-    marked = f"<{word}>"
-    grams = [word, *[marked[i:i + n] for n in NGRAMS for i in range(len(marked) - n + 1)]]
-    return [xxh3_64_intdigest(g.encode("utf-8", "replace")) % BUCKETS for g in grams]
+    n = len(words)
+    whole = np.fromiter((xxh3_64_intdigest(w.encode("utf-8", "replace")) for w in words), np.uint64, n)
+    text = "".join([f"<{w}>" for w in words])
+    point = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
+    own = np.repeat(np.arange(n, dtype=np.int32), np.fromiter(map(len, words), np.int64, n) + 2)
+    hashes, owners = [whole], [np.arange(n, dtype=np.int32)]
+    for k in NGRAMS:
+        if len(point) < k:
+            continue
+        inside = own[k - 1:] == own[:len(own) - k + 1]
+        h = np.full(len(point) - k + 1, k, np.uint64)
+        for j in range(k):
+            h = h * np.uint64(0x9E3779B97F4A7C15) + point[j:len(point) - k + 1 + j]
+        hashes.append(h[inside])
+        owners.append(own[:len(h)][inside])
+    h, owner = np.concatenate(hashes), np.concatenate(owners)
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    bucket = (h >> np.uint64(40)).astype(np.int32) % BUCKETS
+    again = np.array([w == REPEAT for w in words], bool)
+    if again.any():
+        rest = ~again[owner]
+        bucket = np.r_[bucket[rest], np.full(int(again.sum()) * REPEAT_WEIGHT, BUCKETS - 1)]
+        owner = np.r_[owner[rest], np.repeat(np.flatnonzero(again), REPEAT_WEIGHT)]
+    return bucket, owner
 
 
 def held_out(id_col: Column) -> Column:
@@ -68,30 +89,23 @@ def repeats(words: list) -> int:
     return sum(map(eq, words, words[1:]))
 
 
-def train(rows: list[tuple[dict[str, int], int]], share: float) -> tuple[np.ndarray, float]:
-    """Per-bucket logit weight and intercept from (word counts, label) rows;
+def train(rows: Iterable[tuple[list[str], list[int], int]], share: float) -> tuple[np.ndarray, float]:
+    """Per-bucket logit weight and intercept from (words, counts, label) rows;
     ``share``: of label 1 among all that could have been sampled."""
-    if not rows:
+    bags = []
+    for words, counts, y in rows:
+        bucket, owner = features(words)
+        f, inverse = np.unique(bucket, return_inverse=True)
+        n = np.bincount(inverse, np.array(counts, np.float64)[owner], len(f)) if len(f) else np.zeros(0)
+        bags.append((f.astype(np.int32), (n / max(n.sum(), 1)).astype(np.float32), y))
+    if not bags:
         return np.zeros(BUCKETS), 0.0
     rng = np.random.default_rng(SEED)
     emb = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
     out = np.zeros((2, DIM), np.float32)
     odds = lambda p: float(np.log(min(max(p, 0.001), 0.999) / (1 - min(max(p, 0.001), 0.999))))
-    of_sample = odds(float(np.mean([y for _, y in rows])))
+    of_sample = odds(float(np.mean([y for _, _, y in bags])))
     bias = np.array([0.0, of_sample], np.float32)
-    known: dict[str, list[int]] = {}
-    bags = []
-    for counts, y in rows:
-        feats, weights = [], []
-        for w, c in counts.items():
-            f = known.get(w)
-            if f is None:
-                f = known[w] = word_features(w)
-            feats += f
-            weights += [c] * len(f)
-        f, inverse = np.unique(np.array(feats, np.int64), return_inverse=True)
-        n = np.bincount(inverse, weights, len(f)) if len(f) else np.zeros(0)
-        bags.append((f, (n / max(n.sum(), 1)).astype(np.float32), y))
     total, step = EPOCHS * len(bags), 0
     for _ in range(EPOCHS):
         for i in rng.permutation(len(bags)):
@@ -113,14 +127,14 @@ def train(rows: list[tuple[dict[str, int], int]], share: float) -> tuple[np.ndar
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         bags = []
-        for t in b.column(0).cast(pa.binary()):
+        for t in b.column(1).cast(pa.binary()):
             words = [w.decode("utf-8", "replace") for w in t.as_py().split()]
             bag = Counter(words).most_common(SAMPLE_WORDS)
             bags.append(bag + [(REPEAT, n)] if (n := repeats(words)) else bag)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([[w for w, _ in x] for x in bags], pa.list_(pa.string())),
+            [b.column(0), pa.array([[w for w, _ in x] for x in bags], pa.list_(pa.string())),
              pa.array([[c for _, c in x] for x in bags], pa.list_(pa.int64())),
-             b.column(1)], names=["words", "counts", "label"])
+             b.column(2)], names=["k", "words", "counts", "label"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -135,36 +149,48 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
               for y in (0, 1)]
     chosen = picked[0].unionAll(picked[1])
     texts = doc_view(docs, id_col, text_col).withColumnRenamed("doc_id", "k")
-    bags = texts.join(F.broadcast(chosen), "k").select("text", "label") \
-        .mapInArrow(_counts, "words array<string>, counts array<long>, label int")
-    rows = sorted((r["label"], sorted(zip(r["words"], r["counts"]))) for r in bags.toLocalIterator())
+    bags = texts.join(F.broadcast(chosen), "k").select("k", "text", "label").mapInArrow(
+        _counts, f"k {dict(texts.dtypes)['k']}, words array<string>, counts array<long>, label int")
+    table = bags.toArrow()                       # at most ``sample`` rows, compact
+    table = table.take(pc.sort_indices(table, [("k", "ascending"), ("label", "ascending")]))
     n = {r["label"]: r["count"] for r in there.groupBy("label").count().collect()}   # two rows
-    return train([(dict(x), y) for y, x in rows], n.get(1, 0) / max(sum(n.values()), 1))
+    rows = ((w.as_py(), c.as_py(), y.as_py()) for w, c, y in
+            zip(*(table.column(c) for c in ("words", "counts", "label"))))
+    return train(rows, n.get(1, 0) / max(sum(n.values()), 1))
+
+
+def text_blocks(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """(first, number) of texts in runs of about ``BLOCK_BYTES``."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    first = 0
+    while first < len(texts):
+        before = size[first - 1] if first else 0
+        last = max(int(np.searchsorted(size, before + BLOCK_BYTES, side="right")), first + 1)
+        yield first, last - first
+        first = last
 
 
 def _scores(weights: np.ndarray, bias: float):
     """Arrow UDF over texts: the probability of label 1."""
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        class Words(dict):
-            def __missing__(self, word: bytes) -> tuple[float, int]:
-                f = word_features(word.decode("utf-8", "replace"))
-                self[word] = got = (float(weights[f].sum()), len(f))
-                return got
-        known = Words()
-        rep, rep_n = known[REPEAT.encode()]
+        bucket, _ = features([REPEAT])
+        rep, rep_n = weights[bucket].sum(), len(bucket)
         for texts in batches:
             out = []
-            for t in texts.cast(pa.binary()):
-                words = t.as_py().split()
-                total = n = 0
-                if words:
-                    s, c = zip(*map(known.__getitem__, words))
-                    again = repeats(words)
-                    total, n = sum(s) + again * rep, sum(c) + again * rep_n
-                out.append(total / max(n, 1) + bias)
-                if len(known) > CACHE_WORDS:
-                    known.clear()
-            z = np.clip(np.array(out, np.float64), -500, 500)
+            for first, n_texts in text_blocks(texts):
+                offsets, number, words = distinct_words(texts.slice(first, n_texts))
+                bucket, owner = features(words)
+                there = np.fromiter(map(bool, words), bool, len(words))
+                logit = np.bincount(owner, weights[bucket], len(words)) * there
+                count = np.bincount(owner, minlength=len(words)) * there
+                doc = np.repeat(np.arange(n_texts), np.diff(offsets))
+                again = np.bincount(doc[1:][(number[1:] == number[:-1]) & (doc[1:] == doc[:-1])],
+                                    minlength=n_texts)
+                total = np.bincount(doc, logit[number], n_texts) + again * rep
+                n = np.bincount(doc, count[number], n_texts) + again * rep_n
+                out.append(total / np.maximum(n, 1) + bias)
+            z = np.clip(np.concatenate(out) if out else np.zeros(0), -500, 500)
+            release_memory()
             yield pa.array(1 / (1 + np.exp(-z)))
     return F.arrow_udf(run, "double")
 
@@ -172,6 +198,7 @@ def _scores(weights: np.ndarray, bias: float):
 def quality_score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text", sample: int = SAMPLE) -> Column:
     """A column of ``docs``: the fitted model's score of each text."""
+    limit_batches(docs.sparkSession)
     weights, bias = fit(docs, labels, id_col, text_col, sample=sample)
     return _scores(weights.astype(np.float32), bias)(F.coalesce(F.col(text_col), F.lit("")))
 
