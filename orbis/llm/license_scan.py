@@ -3,12 +3,12 @@ r"""License scans by conditional compression (operator 3).
 Candidate blocks are runs of lines around licence words (found on the JVM, so only
 documents with such a word reach Python).  A block is compressed by zstandard alone and
 with each template as raw dictionary; templates are ranked by the share of bytes the
-dictionary saves.  The best ``TRIED`` distinct licences of that ranking, and every
-template that ties with them, are confirmed by wording: the least number of word edits
-(words missing, added or changed) between the template and any stretch of the block,
-found exactly by dynamic programming and listed.  A licence is reported where the
-edits are at most ``MAX_EDIT_SHARE`` of the template's words and every word that tells licences
-apart (numbers, and names such as ``by-nc``) agrees.
+dictionary saves, which orders equally good wordings and leaves none out.  Every template
+whose words can occur in the block with few enough edits (``places``, an exact bound) is
+judged by wording: the least number of word edits (words missing, added or changed) between the
+template and any stretch of the block, found exactly by dynamic programming and listed.
+A licence is reported where the edits are at most ``MAX_EDIT_SHARE`` of the template's words and
+every word that tells licences apart (numbers, and names such as ``by-nc``) agrees.
 
 A block may hold several licences: after one is confirmed its stretch is taken out and the
 rest of the block is scanned again.
@@ -22,8 +22,10 @@ rows; other columns are not read.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +38,7 @@ CUE_WORDS = (r"(?i)licen[cs]e|copyright|copyleft|spdx|warrant|permission is|redi
              r"public domain|creative commons|\bCC[ -](?:BY|0)")
 CUE = re.compile(CUE_WORDS.encode())
 GAP = 6                       # lines around a cue that belong to its block
-TRIED = 4
+STEP = 4096                   # words judged at a time; steps overlap by the longest occurrence
 MAX_EDIT_SHARE = 0.2
 LEVEL = 6
 
@@ -98,31 +100,48 @@ def words_of(text: str) -> list[str]:
     return re.findall(r"[a-z0-9]+(?:[.-][a-z0-9]+)*", text.lower())
 
 
+def places(template: list[str], most: int, at: dict[str, list[int]]) -> list[tuple[int, int]]:
+    """Stretches that hold every occurrence of ``template`` with at most ``most`` edits, given
+    the positions of the block's words: it has at most len + most words, and at least
+    len - most of them are the template's."""
+    need, width = len(template) - most, len(template) + most
+    hits = sorted(j for w in set(template) for j in at.get(w, ()))
+    out = []
+    for a, b in zip(hits, hits[need - 1:]):
+        if b - a < width:
+            lo = max(b - width + 1, 0)
+            if out and lo <= out[-1][1]:
+                lo = out.pop()[0]
+            out.append((lo, a + width))
+    return out
+
+
 def edits(template: list[str], block: list[str]) -> tuple[int, int, int, list[str]]:
     """Least word edits between ``template`` and any stretch of ``block``: (edits, first
     word, one past the last word, the edits as ``-missing`` / ``+added``)."""
-    n = len(block)
-    rows = [[0] * (n + 1)]
+    ids = {w: i for i, w in enumerate(template)}
+    codes = np.fromiter((ids.get(w, -1) for w in block), np.int64, len(block))
+    added = np.arange(len(block) + 1)
+    rows = np.zeros((len(template) + 1, len(block) + 1), np.int64)
     for i, w in enumerate(template, 1):
-        above, row = rows[-1], [i]
-        for j in range(1, n + 1):
-            row.append(min(above[j - 1] + (w != block[j - 1]), above[j] + 1, row[j - 1] + 1))
-        rows.append(row)
-    end = min(range(n + 1), key=lambda j: (rows[-1][j], j))
+        row = rows[i - 1] + 1
+        np.minimum(row[1:], rows[i - 1, :-1] + (codes != ids[w]), out=row[1:])
+        rows[i] = np.minimum.accumulate(row - added) + added
+    end = int(rows[-1].argmin())
     i, j, told = len(template), end, []
     while i:
-        here = rows[i][j]
-        if j and here == rows[i - 1][j - 1] + (template[i - 1] != block[j - 1]):
+        here = rows[i, j]
+        if j and here == rows[i - 1, j - 1] + (template[i - 1] != block[j - 1]):
             if template[i - 1] != block[j - 1]:
                 told += [f"+{block[j - 1]}", f"-{template[i - 1]}"]
             i, j = i - 1, j - 1
-        elif here == rows[i - 1][j] + 1:
+        elif here == rows[i - 1, j] + 1:
             told.append(f"-{template[i - 1]}")
             i -= 1
         else:
             told.append(f"+{block[j - 1]}")
             j -= 1
-    return rows[-1][end], j, end, told[::-1]
+    return int(rows[-1, end]), j, end, told[::-1]
 
 
 class Compressors:
@@ -136,16 +155,19 @@ class Compressors:
         self.given = [z.ZstdCompressor(compression_params=p, dict_data=z.ZstdCompressionDict(
             self.fold(t).encode(), dict_type=z.DICT_TYPE_RAWCONTENT)) for _, t in TEMPLATES]
         self.words = [words_of(t) for _, t in TEMPLATES]
+        self.most = [int(MAX_EDIT_SHARE * len(w)) for w in self.words]
+        self.telling = [{x for x in w if TELLING.search(x)} for w in self.words]
 
     @staticmethod
     def fold(text: str) -> str:
         return " ".join(words_of(text))
 
-    def ranked(self, block: str) -> list[tuple[float, int]]:
-        """(share of the compressed size that the template saves, template), best first."""
+    def ranked(self, block: str, which: list[int]) -> list[tuple[float, int]]:
+        """(share of the compressed size that the template saves, template) of the templates
+        ``which``, best first."""
         raw = self.fold(block).encode()
         alone = len(self.alone.compress(raw))
-        saved = [((alone - len(c.compress(raw))) / alone, k) for k, c in enumerate(self.given)]
+        saved = [((alone - len(self.given[k].compress(raw))) / alone, k) for k in which]
         return sorted(saved, key=lambda x: (-x[0], TEMPLATES[x[1]][0], x[1]))
 
 
@@ -173,18 +195,22 @@ def scan_block(block: str, z: Compressors) -> list[tuple]:
         base, words = todo.pop()
         if not words:
             continue
-        ranked = z.ranked(" ".join(words))
-        # the dictionary helps a part of a long block little: save bytes, or come first
-        floor = sorted({s for s, _ in ranked}, reverse=True)[:TRIED][-1]
+        at = defaultdict(list)
+        for j, w in enumerate(words):
+            at[w].append(j)
+        # a telling word that the block lacks would be an edit, and that rejects
+        able = {k: found for k, t in enumerate(z.words) if z.telling[k] <= at.keys()
+                and (found := places(t, z.most[k], at))}
         best = None
-        for saved, k in ranked:
-            if saved < floor or saved <= 0:
-                break
-            n, lo, hi, told = edits(z.words[k], words)
-            if n > MAX_EDIT_SHARE * len(z.words[k]) or any(TELLING.search(t[1:]) for t in told):
-                continue
-            got = (n / len(z.words[k]), -len(z.words[k]), -saved, k, lo, hi, n, told, saved)
-            best = got if best is None or got < best else best
+        for saved, k in z.ranked(" ".join(words), list(able)) if able else ():
+            size = len(z.words[k])
+            for start, stop in ((c, min(c + STEP + size + z.most[k], hi))
+                                for lo, hi in able[k] for c in range(lo, hi, STEP)):
+                n, lo, hi, told = edits(z.words[k], words[start:stop])
+                if n > z.most[k] or any(TELLING.search(t[1:]) for t in told):
+                    continue
+                got = (n / size, -size, -saved, k, start + lo, start + hi, n, told, saved)
+                best = got if best is None or got < best else best
         if best is not None:
             _, _, _, k, lo, hi, n, told, saved = best
             out.append((base + lo, base + hi - 1, *TEMPLATES[k], saved, n, told))

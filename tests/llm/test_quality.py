@@ -200,3 +200,31 @@ def test_licence_wording_and_edges(spark):
 def test_word_edits(block, n, told):
     got = license_scan.edits("a b c".split(), block.split())
     assert (got[0], got[3]) == (n, told)
+
+
+def test_licence_query_finds_every_planted_line_at_sf01(spark):
+    sf = "/root/testdata/sf0.1"
+    got = Counter((r.doc_id, r.license) for r in queries.QUERIES["op3_license_scan"](spark, sf).collect())
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    assert got == Counter((r.doc_id, k) for r in docs for k, v in PLANTED.items() for _ in range(r.text.count(v)))
+
+
+def test_every_licence_is_found_in_a_long_line():
+    z, r = license_scan.Compressors(), random.Random(5)
+    for licence, wording in license_scan.TEMPLATES:
+        text = f"{prose(r, 2500)} {wording} {prose(r, 2500)}".replace("\n", " ")
+        got = license_scan.scan_block(text, z)
+        assert [(x[2], x[3], x[5]) for x in got] == [(licence, wording, 0)]
+
+
+def test_places_hold_every_occurrence():
+    r = random.Random(6)
+    for _ in range(300):
+        template = [r.choice("abcdefgh") for _ in range(r.randint(1, 12))]
+        block = [r.choice("abcdefghxyz") for _ in range(r.randint(0, 40))]
+        most = len(template) // 4
+        at = {w: [j for j, x in enumerate(block) if x == w] for w in block}
+        found = [license_scan.edits(template, block[lo:hi])[0]
+                 for lo, hi in license_scan.places(template, most, at)]
+        n = license_scan.edits(template, block)[0]
+        assert min([most + 1, *found]) == min(most + 1, n)
