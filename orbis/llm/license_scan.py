@@ -7,8 +7,9 @@ dictionary saves, which orders equally good wordings and leaves none out.  Every
 whose words can occur in the block with few enough edits (``places``, an exact bound) is
 judged by wording: the least number of word edits (words missing, added or changed) between the
 template and any stretch of the block, found exactly by dynamic programming and listed.
-A licence is reported where the edits are at most ``MAX_EDIT_SHARE`` of the template's words and
-every word that tells licences apart (numbers, and names such as ``by-nc``) agrees.
+Words that tell licences apart (numbers, and names such as ``by-nc``) are never edited, so a near
+miss does not hide the licence itself.  A licence is reported where the edits are at most
+``MAX_EDIT_SHARE`` of the template's words.
 
 A block may hold several licences: after one is confirmed its stretch is taken out and the
 rest of the block is scanned again.
@@ -38,6 +39,7 @@ CUE_WORDS = (r"(?i)licen[cs]e|copyright|copyleft|spdx|warrant|permission is|redi
              r"public domain|creative commons|\bCC[ -](?:BY|0)")
 CUE = re.compile(CUE_WORDS.encode())
 GAP = 6                       # lines around a cue that belong to its block
+NEVER = 1 << 30               # cost of an edit of a telling word
 STEP = 4096                   # words judged at a time; steps overlap by the longest occurrence
 MAX_EDIT_SHARE = 0.2
 LEVEL = 6
@@ -117,25 +119,32 @@ def places(template: list[str], most: int, at: dict[str, list[int]]) -> list[tup
 
 
 def edits(template: list[str], block: list[str]) -> tuple[int, int, int, list[str]]:
-    """Least word edits between ``template`` and any stretch of ``block``: (edits, first
-    word, one past the last word, the edits as ``-missing`` / ``+added``)."""
+    """Least word edits between ``template`` and any stretch of ``block``, none of a telling
+    word: (edits, first word, one past the last word, the edits as ``-missing`` / ``+added``);
+    ``NEVER`` or more edits where there is no such stretch."""
     ids = {w: i for i, w in enumerate(template)}
     codes = np.fromiter((ids.get(w, -1) for w in block), np.int64, len(block))
-    added = np.arange(len(block) + 1)
+    costs = [np.array([NEVER if TELLING.search(w) else 1 for w in x], np.int64) for x in (template, block)]
+    added = np.concatenate([[0], costs[1].cumsum()])
     rows = np.zeros((len(template) + 1, len(block) + 1), np.int64)
     for i, w in enumerate(template, 1):
-        row = rows[i - 1] + 1
-        np.minimum(row[1:], rows[i - 1, :-1] + (codes != ids[w]), out=row[1:])
+        change = np.where(codes == ids[w], 0, np.maximum(costs[0][i - 1], costs[1]))
+        row = rows[i - 1] + costs[0][i - 1]
+        np.minimum(row[1:], rows[i - 1, :-1] + change, out=row[1:])
         rows[i] = np.minimum.accumulate(row - added) + added
     end = int(rows[-1].argmin())
+    if rows[-1, end] >= NEVER:
+        return int(rows[-1, end]), 0, 0, []
     i, j, told = len(template), end, []
     while i:
         here = rows[i, j]
-        if j and here == rows[i - 1, j - 1] + (template[i - 1] != block[j - 1]):
-            if template[i - 1] != block[j - 1]:
-                told += [f"+{block[j - 1]}", f"-{template[i - 1]}"]
+        if j and template[i - 1] == block[j - 1] and here == rows[i - 1, j - 1]:
             i, j = i - 1, j - 1
-        elif here == rows[i - 1, j] + 1:
+        elif j and template[i - 1] != block[j - 1] and \
+                here == rows[i - 1, j - 1] + max(costs[0][i - 1], costs[1][j - 1]):
+            told += [f"+{block[j - 1]}", f"-{template[i - 1]}"]
+            i, j = i - 1, j - 1
+        elif here == rows[i - 1, j] + costs[0][i - 1]:
             told.append(f"-{template[i - 1]}")
             i -= 1
         else:
@@ -198,7 +207,7 @@ def scan_block(block: str, z: Compressors) -> list[tuple]:
         at = defaultdict(list)
         for j, w in enumerate(words):
             at[w].append(j)
-        # a telling word that the block lacks would be an edit, and that rejects
+        # a telling word that the block lacks would be an edit
         able = {k: found for k, t in enumerate(z.words) if z.telling[k] <= at.keys()
                 and (found := places(t, z.most[k], at))}
         best = None
@@ -207,7 +216,7 @@ def scan_block(block: str, z: Compressors) -> list[tuple]:
             for start, stop in ((c, min(c + STEP + size + z.most[k], hi))
                                 for lo, hi in able[k] for c in range(lo, hi, STEP)):
                 n, lo, hi, told = edits(z.words[k], words[start:stop])
-                if n > z.most[k] or any(TELLING.search(t[1:]) for t in told):
+                if n > z.most[k]:
                     continue
                 got = (n / size, -size, -saved, k, start + lo, start + hi, n, told, saved)
                 best = got if best is None or got < best else best

@@ -228,3 +228,44 @@ def test_places_hold_every_occurrence():
                  for lo, hi in license_scan.places(template, most, at)]
         n = license_scan.edits(template, block)[0]
         assert min([most + 1, *found]) == min(most + 1, n)
+
+
+@pytest.mark.parametrize("block,licence,told", [
+    ("Licensed under the Apache License, Version 1.1. Words between. Licensed under Apache License, Version 2.0",
+     "Apache-2.0", ["-the"]),
+    ("Licensed under CC BY 3.0 some words Licensed under the CC BY 4.0", "CC-BY-4.0", ["+the"]),
+    ("Licensed under CC BY-NC 4.0, not CC BY 4.0 in words", "CC-BY-NC-4.0", [])])
+def test_a_near_miss_does_not_hide_a_licence(block, licence, told):
+    got = license_scan.scan_block(block, license_scan.Compressors())
+    assert [(x[2], x[5], x[6]) for x in got] == [(licence, len(told), told)]
+
+
+def test_edits_leave_telling_words_alone():
+    def least(t, b):
+        """Brute force: the least cost of turning ``t`` into a stretch of ``b``."""
+        def cost(w):
+            return license_scan.NEVER if license_scan.TELLING.search(w) else 1
+
+        def pair(x, y):
+            row = [sum(map(cost, y[:j])) for j in range(len(y) + 1)]
+            for w in x:
+                new = [row[0] + cost(w)]
+                for j, v in enumerate(y, 1):
+                    new.append(min(row[j - 1] + (0 if w == v else max(cost(w), cost(v))), row[j] + cost(w),
+                                   new[-1] + cost(v)))
+                row = new
+            return row[-1]
+        return min(pair(t, b[i:j]) for i in range(len(b) + 1) for j in range(i, len(b) + 1))
+    r = random.Random(7)
+    for _ in range(200):
+        template = [r.choice(["a", "b", "c", "2.0", "by"]) for _ in range(r.randint(1, 6))]
+        block = [r.choice(["a", "b", "c", "x", "2.0", "by", "3.0"]) for _ in range(r.randint(0, 12))]
+        n, lo, hi, told = license_scan.edits(template, block)
+        want = least(template, block)
+        assert min(n, license_scan.NEVER) == min(want, license_scan.NEVER)
+        if n < license_scan.NEVER:
+            back = Counter(template)
+            back.subtract(t[1:] for t in told if t[0] == "-")
+            back.update(t[1:] for t in told if t[0] == "+")
+            assert +back == Counter(block[lo:hi]) and len([t for t in told]) >= n
+            assert not any(license_scan.TELLING.search(t[1:]) for t in told)
