@@ -7,9 +7,8 @@ by stochastic gradient descent in numpy.
 
 The model is fitted on at most ``sample`` labelled documents (a documented bound:
 those with the smallest hash of their id, so the same documents at every run), from
-word counts made by the executors; documents whose crc32 remainder is held out never
-take part.  Of a row of the sample at most ``SAMPLE_WORDS`` distinct words count, the
-most frequent ones.  Each label is offered half of the sample; the intercept is then
+feature shares made by the executors, where every word of a sampled text counts; documents whose
+crc32 remainder is held out never take part.  Each label is offered half of the sample; the intercept is then
 shifted to the label shares of the whole label table.  Scoring covers every whole text: since the average and the layer above
 are linear, a word's features add up to one number, worked out once per distinct word of a block.
 
@@ -43,9 +42,9 @@ EPOCHS = 6
 RATE = 0.5
 SEED = 7
 SAMPLE = 3000
-SAMPLE_WORDS = 2000
 THRESHOLD = 0.7
 BLOCK_BYTES = 1 << 20
+WORDS_AT_ONCE = 1 << 16
 REPEAT = "\n"                   # no word: the class of bigrams of two equal words
 REPEAT_WEIGHT = 12              # features that such a bigram counts as
 
@@ -92,12 +91,21 @@ def repeats(words: list) -> int:
 def train(rows: Iterable[tuple[list[str], list[int], int]], share: float) -> tuple[np.ndarray, float]:
     """Per-bucket logit weight and intercept from (words, counts, label) rows;
     ``share``: of label 1 among all that could have been sampled."""
-    bags = []
-    for words, counts, y in rows:
-        bucket, owner = features(words)
-        f, inverse = np.unique(bucket, return_inverse=True)
-        n = np.bincount(inverse, np.array(counts, np.float64)[owner], len(f)) if len(f) else np.zeros(0)
-        bags.append((f.astype(np.int32), (n / max(n.sum(), 1)).astype(np.float32), y))
+    return learn([(*shares(words, counts), y) for words, counts, y in rows], share)
+
+
+def shares(words: list[str], counts: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, their shares) of all features of ``words`` that occur ``counts`` times."""
+    n = np.zeros(BUCKETS)
+    for i in range(0, len(words), WORDS_AT_ONCE):
+        bucket, owner = features(words[i:i + WORDS_AT_ONCE])
+        n += np.bincount(bucket, np.array(counts[i:i + WORDS_AT_ONCE], np.float64)[owner], BUCKETS)
+    f = np.flatnonzero(n)
+    return f.astype(np.int32), (n[f] / max(n.sum(), 1)).astype(np.float32)
+
+
+def learn(bags: list[tuple[np.ndarray, np.ndarray, int]], share: float) -> tuple[np.ndarray, float]:
+    """``train`` from (buckets, their shares, label) rows."""
     if not bags:
         return np.zeros(BUCKETS), 0.0
     rng = np.random.default_rng(SEED)
@@ -129,12 +137,14 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bags = []
         for t in b.column(1).cast(pa.binary()):
             words = [w.decode("utf-8", "replace") for w in t.as_py().split()]
-            bag = Counter(words).most_common(SAMPLE_WORDS)
-            bags.append(bag + [(REPEAT, n)] if (n := repeats(words)) else bag)
+            bag = Counter(words)
+            if n := repeats(words):
+                bag[REPEAT] = n
+            bags.append(shares(list(bag), list(bag.values())))
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array([[w for w, _ in x] for x in bags], pa.list_(pa.string())),
-             pa.array([[c for _, c in x] for x in bags], pa.list_(pa.int64())),
-             b.column(2)], names=["k", "words", "counts", "label"])
+            [b.column(0), pa.array([f for f, _ in bags], pa.list_(pa.int32())),
+             pa.array([n for _, n in bags], pa.list_(pa.float32())),
+             b.column(2)], names=["k", "buckets", "shares", "label"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -150,13 +160,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     chosen = picked[0].unionAll(picked[1])
     texts = doc_view(docs, id_col, text_col).withColumnRenamed("doc_id", "k")
     bags = texts.join(F.broadcast(chosen), "k").select("k", "text", "label").mapInArrow(
-        _counts, f"k {dict(texts.dtypes)['k']}, words array<string>, counts array<long>, label int")
-    table = bags.toArrow()                       # at most ``sample`` rows, compact
+        _counts, f"k {dict(texts.dtypes)['k']}, buckets array<int>, shares array<float>, label int")
+    table = bags.toArrow()                       # at most ``sample`` rows of at most BUCKETS entries
     table = table.take(pc.sort_indices(table, [("k", "ascending"), ("label", "ascending")]))
     n = {r["label"]: r["count"] for r in there.groupBy("label").count().collect()}   # two rows
-    rows = ((w.as_py(), c.as_py(), y.as_py()) for w, c, y in
-            zip(*(table.column(c) for c in ("words", "counts", "label"))))
-    return train(rows, n.get(1, 0) / max(sum(n.values()), 1))
+    rows = [(f.values.to_numpy(), n.values.to_numpy(), y.as_py()) for f, n, y in
+            zip(*(table.column(c) for c in ("buckets", "shares", "label")))]
+    return learn(rows, n.get(1, 0) / max(sum(n.values()), 1))
 
 
 def text_blocks(texts: pa.Array) -> Iterator[tuple[int, int]]:

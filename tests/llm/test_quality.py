@@ -269,3 +269,17 @@ def test_edits_leave_telling_words_alone():
             back.update(t[1:] for t in told if t[0] == "+")
             assert +back == Counter(block[lo:hi]) and len([t for t in told]) >= n
             assert not any(license_scan.TELLING.search(t[1:]) for t in told)
+
+
+def test_classifier_counts_every_word_of_a_sampled_text():
+    import pyarrow as pa
+    words = [f"word{i}" for i in range(5000)]
+    text = " ".join(words + words[:2500])
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text]), pa.array([1])], names=["k", "text", "label"])
+    out = next(quality_classifier._counts(iter([batch])))
+    bucket, owner = quality_classifier.features(words)
+    n = [0.0] * quality_classifier.BUCKETS
+    for b, w in zip(bucket, owner):
+        n[b] += 2 if w < 2500 else 1
+    got = dict(zip(out.column(1)[0].as_py(), out.column(2)[0].as_py()))
+    assert got == pytest.approx({b: c / sum(n) for b, c in enumerate(n) if c})
