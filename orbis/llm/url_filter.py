@@ -30,13 +30,12 @@ THRESHOLD = 0.5
 
 # Labelled urls: the words of a blocked or an allowed address, spread over a few
 # address forms.  1: block.
-BLOCKED_WORDS = ["casino", "casino-win", "poker", "slots", "betting", "jackpot", "xxx", "porn",
-                 "adult", "escort", "viagra", "pills", "cheap-pills", "replica", "warez", "torrent",
+BLOCKED_WORDS = ["casino", "poker", "slots", "betting", "jackpot", "xxx", "porn",
+                 "adult", "escort", "viagra", "pills", "replica", "warez", "torrent",
                  "crack", "malware", "phishing", "free-money", "loans", "spam"]
 ALLOWED_WORDS = ["news", "library", "museum", "school", "university", "docs", "wiki", "journal",
                  "garden", "recipes", "weather", "history", "science", "music", "travel",
-                 "community", "health", "books", "sports", "gallery", "therin", "tionble",
-                 "anshou", "ererst", "ndhere", "ouening", "haated", "inonth", "paper", "photo"]
+                 "community", "health", "books", "sports", "gallery", "paper", "photo"]
 # most addresses are harmless: names of no meaning, made by rule
 ALLOWED_WORDS += [a + b for a in ("lan", "mar", "per", "sol", "tor", "vin", "wes", "bel")
                   for b in ("ander", "ison", "ette", "ing", "ora", "ster", "ville", "ware")]

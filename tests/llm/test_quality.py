@@ -283,3 +283,10 @@ def test_classifier_counts_every_word_of_a_sampled_text():
         n[b] += 2 if w < 2500 else 1
     got = dict(zip(out.column(1)[0].as_py(), out.column(2)[0].as_py()))
     assert got == pytest.approx({b: c / sum(n) for b, c in enumerate(n) if c})
+
+
+def test_url_table_holds_no_host_of_the_given_pages(spark):
+    own = {w for w in url_filter.BLOCKED_WORDS + url_filter.ALLOWED_WORDS}
+    urls = [r.url for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("url").collect()]
+    hosts = {h for u in urls if u for h in re.sub(r"(?s)^.*?://([^/?#]*).*", r"\1", u).split(".")}
+    assert len(hosts) > 50 and not own & hosts
