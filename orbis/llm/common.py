@@ -41,6 +41,11 @@ def process_cache() -> dict:
     return holder.__dict__.setdefault("kept", {})
 
 
+def drop_caches() -> None:
+    """Forget what other operators' tasks left in this Python worker (workers are reused)."""
+    process_cache().clear()
+
+
 def release_memory() -> None:
     """Hand freed memory back to the system.  Python workers outlive their tasks and
     wait beside the JVM; what they hold counts against the executor."""

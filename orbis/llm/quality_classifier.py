@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orbis.llm.common import distinct_words, doc_view, limit_batches, release_memory, ship
+from orbis.llm.common import distinct_words, doc_view, drop_caches, limit_batches, release_memory, ship
 
 ship(__name__)
 
@@ -183,6 +183,7 @@ def text_blocks(texts: pa.Array) -> Iterator[tuple[int, int]]:
 def _scores(weights: np.ndarray, bias: float):
     """Arrow UDF over texts: the probability of label 1."""
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        drop_caches()
         bucket, _ = features([REPEAT])
         rep, rep_n = weights[bucket].sum(), len(bucket)
         for texts in batches:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orbis.llm.common import connected_components, doc_view, shuffle_width, ship, written
+from orbis.llm.common import connected_components, doc_view, drop_caches, shuffle_width, ship, written
 
 ship(__name__)
 
@@ -67,6 +67,7 @@ def fingerprint(text: bytes, shingle: int) -> int:
 def _fingerprint_column(shingle: int):
     """Arrow UDF over texts: the fingerprint's 64 bits as a long."""
     def run(texts: pa.Array) -> pa.Array:
+        drop_caches()
         fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in texts.cast(pa.binary())),
                           np.uint64, len(texts))
         return pa.array(fps.view(np.int64))
@@ -273,7 +274,8 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     doc_id that links reach)."""
     base = written(fingerprints(docs, id_col, text_col, shingle), "op2-fp")
     named = base.join(_groups(base, max_bits), "fp")
-    smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # written, so that AQE can split the join on a root of very many documents
+    smallest = written(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), "op2-smallest")
     return named.join(smallest, "root").select("doc_id", "fp", "component_id")
 
 

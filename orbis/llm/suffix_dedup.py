@@ -12,8 +12,8 @@ the corpus end here: none of their windows can repeat.
 
 *Naming.*  A sample's context is the text its windows cover.  Contexts are named by
 128 bits of hashes; one that occurs twice or more is removed whole, and one occurrence
-stands for it from here on.  Copies, however many, are counts from the first map-side
-aggregation on.
+stands for it from here on.  Equal contexts of an Arrow batch are one row with a list of
+places as soon as they are found; across batches they are counted by map-side aggregation.
 
 *Sorting and induction.*  What is left -- contexts that differ although they share their
 gram, at the borders of repeats -- is sorted as suffixes.  Spark's external sorter (runs on
@@ -30,9 +30,11 @@ A gram with more than ``hot`` different contexts (a passage that a large part of
 documents quote, each with other text around it) is not brought into one task: its
 windows are named by 128-bit hashes and counted with map-side combining, which is exact too.
 
-Defined results: null text is no bytes; texts shorter than T keep all; a null doc_id is an
+Defined results: null text is no bytes; texts shorter than T keep all, and a text of T bytes
+or more is judged whole, however long (it is read in overlapping pieces); a null doc_id is an
 id of its own; rows that repeat id and text are two places each, so both lose what they
-share; an empty table gives no rows.
+share; an empty table gives no rows; other columns, whatever their names, come back in
+``rest`` (which is left out if there are none).
 """
 
 from __future__ import annotations
@@ -44,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orbis.llm.common import doc_view, release_memory, ship, shuffle_width, written
+from orbis.llm.common import doc_view, drop_caches, release_memory, ship, shuffle_width, written
 
 ship(__name__)
 
@@ -121,12 +123,16 @@ def _blocks(texts: pa.Array, length: int) -> Iterator[list[tuple[int, int, bytes
 
 
 def _samples(length: int, gram: int):
-    """mapInArrow (doc_id, text, version): one row per sampled suffix."""
+    """mapInArrow (doc_id, text, version): one row for each different context of an Arrow
+    batch, with the list of its places there.  A batch bounds the list; a context that
+    all documents share is one row per batch from the start."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_64_intdigest
         tables = _tables(2 * BLOCK_BYTES + length)
+        drop_caches()
         for b in batches:
             release_memory()
+            found = []
             for pieces in _blocks(b.column(1).cast(pa.binary()), length):
                 row, shift, held = zip(*pieces)
                 raw = b"".join(held)
@@ -138,13 +144,21 @@ def _samples(length: int, gram: int):
                                      zip(lo.tolist(), (hi + length).tolist())), np.uint64, len(lo))
                 doc = np.searchsorted(ends, lo, side="right")
                 own = (np.r_[0, ends[:-1]] - np.array(shift))[doc]
-                rows = pa.array(np.array(row)[doc])
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(rows), b.column(2).take(rows),
-                     pa.array((lo - own).astype(np.int32)), pa.array((hi - lo).astype(np.int16)),
-                     pa.array((at - lo).astype(np.int16)), pa.array(h.view(np.int64)),
-                     pa.array(names.view(np.int64))],
-                    names=["doc_id", "version", "lo", "span", "left", "gram", "name"])
+                found.append((h.view(np.int64), names.view(np.int64), (hi - lo).astype(np.int16),
+                              (at - lo).astype(np.int16), np.array(row)[doc], (lo - own).astype(np.int32)))
+            if not found:
+                continue
+            h, names, span, left, row, lo = map(np.concatenate, zip(*found))
+            order = np.lexsort((names, h))
+            h, names, span, left, row, lo = (x[order] for x in (h, names, span, left, row, lo))
+            first = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (names[1:] != names[:-1])])
+            rows = pa.array(row)
+            places = pa.StructArray.from_arrays(
+                [b.column(0).take(rows), b.column(2).take(rows), pa.array(lo)], names=["doc_id", "version", "lo"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h[first]), pa.array(names[first]), pa.array(span[first]), pa.array(left[first]),
+                 pa.ListArray.from_arrays(pa.array(np.r_[first, len(h)].astype(np.int32)), places)],
+                names=["gram", "name", "span", "left", "places"])
     return run
 
 
@@ -315,19 +329,23 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     whose union is all that is to be removed."""
     kind = dict(rows.dtypes)["doc_id"]
     samples = written(rows.mapInArrow(_samples(length, gram),
-                                      f"doc_id {kind}, version long, lo int, span short, left short, "
-                                      "gram long, name long"), "op8-samples")
+                                      "gram long, name long, span short, left short, "
+                                      f"places array<struct<doc_id {kind}, version long, lo int>>"), "op8-samples")
     # written, so that the join below has plain shuffles on both sides: AQE can split a hot gram
-    twice = written(samples.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"),
-                    "op8-twice")
+    n = F.sum(F.size("places"))
+    twice = written(samples.groupBy("gram").agg(n.alias("n")).where("n > 1").select("gram"), "op8-twice")
     shared = written(samples.join(twice, "gram", "left_semi"), "op8-shared")
 
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "version", "lo", "span", "left")
-    contexts = written(shared.groupBy("gram", "name").agg(F.count("*").alias("n"), F.min(place).alias("at")),
+    at = F.get("places", 0)
+    place = F.struct(at["doc_id"].isNull().alias("no_id"), at["doc_id"].alias("doc_id"),
+                     at["version"].alias("version"), at["lo"].alias("lo"), "span", "left")
+    contexts = written(shared.groupBy("gram", "name").agg(n.alias("n"), F.min(place).alias("at")),
                        "op8-contexts")
+    # joined by (batch, context), not by place: a context of many places stays one row
     whole = shared.join(contexts.where("n > 1").select("gram", "name"), ["gram", "name"], "left_semi") \
-        .select("doc_id", "version", F.col("lo").cast("long").alias("s"),
-                (F.col("lo") + F.col("span") + length).cast("long").alias("e"))
+        .select("span", F.explode("places").alias("p")) \
+        .select("p.doc_id", "p.version", F.col("p.lo").cast("long").alias("s"),
+                (F.col("p.lo") + F.col("span") + length).cast("long").alias("e"))
 
     mixed = contexts.groupBy("gram").agg(F.count("*").alias("n_contexts"),
                                          F.min("n").alias("least")) \

@@ -69,6 +69,13 @@ def test_stages_take_edge_cases(spark):
             assert out.columns == ["doc_id", "text", *CLASHING]
 
 
+def test_stages_take_two_columns(spark):
+    docs = frame(spark, corpus(12))
+    for name, stage in P.STAGES[1:-1]:
+        docs = stage(spark, docs, SF)
+        assert docs.columns == ["doc_id", "text"] and docs.count() > 0, name
+
+
 def test_oracle_queries(spark):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
