@@ -5,6 +5,12 @@ Each stage takes the documents that the stage before left (columns as in ``docum
 and its decisions take effect: rejected documents go, dropped lines and repeated
 passages leave the text (``n_chars`` follows), one document of each near-duplicate group
 stays.  The last stage returns the packed pieces with their token ids.
+
+Defined results: ``doc_id`` and ``text`` are needed, other columns of whatever names are
+handed on as they are (``n_chars`` is made anew if it is there); null and empty texts are
+judged as empty ones and, if kept, are packed as the end id; texts of any length are read whole; a null
+doc_id is an id of its own; repeated rows are near copies of each other, so one stays;
+an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -45,7 +51,7 @@ def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     cut = suffix_dedup.suffix_dedup(docs)
     whole = suffix_dedup.whole_characters(F.when(F.col("n_removed") > 0, F.col("kept")))
     text = F.coalesce(whole, F.col("kept").cast("string"))
-    named = cut.select("doc_id", "rest", text.alias("text"))
+    named = cut.withColumn("text", text)
     new = {"doc_id": F.col("doc_id"), "text": F.col("text"),
            "n_chars": F.char_length("text").cast("long")}
     return named.select(*[new[c].alias(c) if c in new else F.col(f"rest.`{c}`").alias(c)
