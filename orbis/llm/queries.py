@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbis.llm import (bpe, exact_dedup, license_scan, line_dedup, packing, quality_classifier,
-                       quality_rules, simhash, suffix_dedup, url_filter)
+from orbis.llm import (bpe, conversation_repair, exact_dedup, license_scan, line_dedup, packing, quality_classifier,
+                       quality_rules, simhash, sql, suffix_dedup, url_filter)
 
 TOKENIZER_FILE = "word_bpe_49k.json"
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"),
@@ -72,6 +72,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "conversations")
+    return conversation_repair.repair_report(conversation_repair.damage(rows), rows)
+
+
 QUERIES = {
     "op1_exact_dedup": op1,
     "op2_simhash": op2,
@@ -83,6 +88,7 @@ QUERIES = {
     "op8_suffix_dedup": op8,
     "op9_bpe": op9,
     "op10_line_dedup": op10,
+    "op12_conversation_repair": op12,
 }
 
 # white space U+0020 and U+0009..U+000D, as DuckDB text
@@ -108,4 +114,5 @@ v AS (SELECT k.doc_id, pos, line, f.first_doc IS NOT NULL AND k.doc_id <> f.firs
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM v GROUP BY doc_id""",
+    "op12_conversation_repair": sql.CONVERSATION_REPAIR,
 }
