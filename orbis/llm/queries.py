@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbis.llm import (bpe, conversation_repair, exact_dedup, license_scan, line_dedup, packing, quality_classifier,
-                       quality_rules, simhash, sql, suffix_dedup, url_filter)
+from orbis.llm import (bpe, centroid_clusters, conversation_repair, exact_dedup, license_scan, line_dedup, packing,
+                       quality_classifier, quality_rules, simhash, sql, suffix_dedup, url_filter)
 
 TOKENIZER_FILE = "word_bpe_49k.json"
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"),
@@ -77,6 +77,10 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair_report(conversation_repair.damage(rows), rows)
 
 
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters.cluster_report(_read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1,
     "op2_simhash": op2,
@@ -89,6 +93,7 @@ QUERIES = {
     "op9_bpe": op9,
     "op10_line_dedup": op10,
     "op12_conversation_repair": op12,
+    "op13_centroid_clusters": op13,
 }
 
 # white space U+0020 and U+0009..U+000D, as DuckDB text
@@ -115,4 +120,5 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM v GROUP BY doc_id""",
     "op12_conversation_repair": sql.CONVERSATION_REPAIR,
+    "op13_centroid_clusters": sql.CENTROID_CLUSTERS,
 }

@@ -74,3 +74,27 @@ SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coal
 FROM ids LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM ids.conv_id
 LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM ids.conv_id
 LEFT JOIN texts t ON t.conv_id IS NOT DISTINCT FROM ids.conv_id"""
+
+
+def _round(r: int) -> str:
+    """Assignment ``a<r>`` to the centroids ``c<r>`` and the centroids after it."""
+    return f"""
+d{r} AS (SELECT u, c, sum((comp.x - c{r}.x) * (comp.x - c{r}.x))::BIGINT AS d
+         FROM comp JOIN c{r} ON comp.i = c{r}.i GROUP BY u, c),
+a{r} AS MATERIALIZED (SELECT u, c, d FROM d{r} QUALIFY row_number() OVER (PARTITION BY u ORDER BY d, c) = 1),
+m{r} AS (SELECT c, i, floor(sum(x)::DOUBLE / count(*))::BIGINT AS x FROM a{r} JOIN comp ON a{r}.u = comp.u GROUP BY c, i),
+c{r + 1} AS MATERIALIZED (SELECT o.c, o.i, coalesce(m.x, o.x) AS x FROM c{r} o LEFT JOIN m{r} m ON o.c = m.c AND o.i = m.i)"""
+
+
+CENTROID_CLUSTERS = f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS u, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64),
+comp AS MATERIALIZED (SELECT u, unnest(range(1, 65)) AS i, unnest(v) AS x FROM kept),
+first AS (SELECT u, row_number() OVER (ORDER BY sha256('1:' || vec_id::VARCHAR), v) - 1 AS c FROM kept
+          QUALIFY c < 16),
+c0 AS MATERIALIZED (SELECT c, i, x FROM first JOIN comp ON first.u = comp.u),{_round(0)},{_round(1)},{_round(2)},{_round(3)},
+digest AS (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS h FROM c3 GROUP BY c)
+SELECT vec_id, a3.c::INT AS cluster, a3.d AS distance, sum(a3.d) OVER (PARTITION BY a3.c)::BIGINT AS cluster_inertia,
+       sum(a3.d) OVER ()::BIGINT AS inertia, h AS centroid_sha256
+FROM a3 JOIN kept ON a3.u = kept.u JOIN digest ON a3.c = digest.c"""
