@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orbis.llm import (bpe, centroid_clusters, conversation_repair, exact_dedup, license_scan, line_dedup, packing,
-                       quality_classifier, quality_rules, simhash, sql, suffix_dedup, url_filter)
+                       quality_classifier, quality_rules, simhash, sql, suffix_dedup, topk_search,
+                       url_filter)
 
 TOKENIZER_FILE = "word_bpe_49k.json"
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"),
@@ -72,6 +73,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _read(spark, sf_dir, "conversations")
     return conversation_repair.repair_report(conversation_repair.damage(rows), rows)
@@ -92,6 +97,7 @@ QUERIES = {
     "op8_suffix_dedup": op8,
     "op9_bpe": op9,
     "op10_line_dedup": op10,
+    "op11_topk_search": op11,
     "op12_conversation_repair": op12,
     "op13_centroid_clusters": op13,
 }
@@ -119,6 +125,7 @@ v AS (SELECT k.doc_id, pos, line, f.first_doc IS NOT NULL AND k.doc_id <> f.firs
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM v GROUP BY doc_id""",
+    "op11_topk_search": sql.TOPK_SEARCH,
     "op12_conversation_repair": sql.CONVERSATION_REPAIR,
     "op13_centroid_clusters": sql.CENTROID_CLUSTERS,
 }

@@ -98,3 +98,13 @@ digest AS (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS h FROM c3
 SELECT vec_id, a3.c::INT AS cluster, a3.d AS distance, sum(a3.d) OVER (PARTITION BY a3.c)::BIGINT AS cluster_inertia,
        sum(a3.d) OVER ()::BIGINT AS inertia, h AS centroid_sha256
 FROM a3 JOIN kept ON a3.u = kept.u JOIN digest ON a3.c = digest.c"""
+
+TOPK_SEARCH = """
+WITH v AS MATERIALIZED (
+    SELECT row_number() OVER () AS u, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+s AS (SELECT q.u, q.vec_id AS query_id, d.vec_id,
+             coalesce(list_sum(list_transform(list_zip(q.v, d.v), lambda p: p[1] * p[2])), 0)::BIGINT AS score
+      FROM v q, v d WHERE q.vec_id % 100 = 0 AND q.u <> d.u)
+SELECT query_id, row_number() OVER (PARTITION BY u ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM s QUALIFY rank <= 10"""
