@@ -13,8 +13,8 @@ Way assembly is one shuffle join (references × nodes on the *long* node
 id) and one aggregation keyed by way id; order inside a way is made in the
 group (``array_sort`` on the reference index), never taken from a global
 sort.  Relations join their members on (member type, id), so way 5 can
-never pick up node 5.  Only relations that must be stitched into rings go
-through Python (``rings.stitch_rings``), one relation per call.
+never pick up node 5, and are grouped once for collections and polygons alike.  Only
+relations whose faces must be traced go through Python (``rings.polygon_parts``, an Arrow UDF).
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from orbis.functions import geohash as GH
 from orbis.functions import geometry as GM
 from orbis.functions.parse import (NODE_PREFIX, RELATION_PREFIX, WAY_PREFIX, prefixed_id,
                                    relation_type, tag_map)
+from orbis.operators.rings import polygon_parts
 
 # Relation types that are kept, and those built as polygons.
 VALID_RELATION_TYPES = ("multipolygon", "route", "boundary", "site",
@@ -130,36 +131,32 @@ def resolved_members(members: DataFrame, relation_tags: DataFrame, raw_nodes: Da
     return m.join(member_geometries(raw_nodes, ways), ["member_type", "member_id"])
 
 
-def build_relation_collections(resolved: DataFrame, relation_tags: DataFrame) -> DataFrame:
-    """A2 + F20: relations other than multipolygon/boundary become a
-    geometry collection of their members, in member order."""
-    m = resolved.where(~F.col("rel_type").isin(*POLYGON_RELATION_TYPES))
-    g = m.groupBy("rel_id").agg(
+def grouped_members(resolved: DataFrame) -> DataFrame:
+    """A2: ``(rel_id, rel_type, parts)`` -- each relation's member parts in member order."""
+    g = resolved.groupBy("rel_id", "rel_type").agg(
         F.array_sort(F.collect_list(F.struct("pos", "parts"))).alias("ms"))
-    g = g.select(F.col("rel_id").alias("osm_id"), F.lit("gc").alias("class"),
-                 F.flatten(F.transform("ms", lambda e: e["parts"])).alias("parts"))
-    t = relation_tags.select(F.col("id").alias("osm_id"), "tags")
-    return _finish(g.join(t, "osm_id"), "r", RELATION_PREFIX)
-
-
-def build_relation_polygons(resolved: DataFrame, relation_tags: DataFrame) -> DataFrame:
-    """V3 + F19 + O3: multipolygon/boundary relations stitched into rings
-    (see ``orbis.operators.rings``); relations that close no ring vanish."""
-    from orbis.operators.rings import stitch_rings
-    m = resolved.where(F.col("rel_type").isin(*POLYGON_RELATION_TYPES))
-    polys = stitch_rings(m)
-    t = relation_tags.select(F.col("id").alias("osm_id"), "tags")
-    return _finish(polys.join(t, "osm_id"), "r", RELATION_PREFIX)
+    return g.select("rel_id", "rel_type", F.flatten(F.transform("ms", lambda e: e["parts"])).alias("parts"))
 
 
 def build_relations(members: DataFrame, relation_tags: DataFrame, raw_nodes: DataFrame,
                     ways: DataFrame, polygons: bool = True) -> DataFrame:
-    """E10 relations: collections and (optionally) stitched polygons."""
+    """E10 relations.  Members meet their geometry in one join and their relation in one
+    aggregate, whatever the type: multipolygon and boundary become the largest polygon
+    face of their lines (V3, F19, O3, see ``orbis.operators.rings``; without ``polygons`` they are
+    left out), the others a geometry collection of their members, in member order (F20).
+    Relations that close no ring vanish."""
     resolved = resolved_members(members, relation_tags, raw_nodes, ways)
-    out = build_relation_collections(resolved, relation_tags)
+    is_polygon = F.col("rel_type").isin(*POLYGON_RELATION_TYPES)
+    if not polygons:
+        resolved = resolved.where(~is_polygon)
+    g = grouped_members(resolved)
     if polygons:
-        out = out.unionByName(build_relation_polygons(resolved, relation_tags))
-    return out
+        rings = polygon_parts(F.when(is_polygon, F.col("parts")))
+        g = g.withColumn("parts", F.when(is_polygon, rings).otherwise(F.col("parts"))) \
+            .where(F.col("parts").isNotNull())
+    g = g.select(F.col("rel_id").alias("osm_id"), F.when(is_polygon, "pl").otherwise("gc").alias("class"), "parts")
+    t = relation_tags.select(F.col("id").alias("osm_id"), "tags")
+    return _finish(g.join(t, "osm_id"), "r", RELATION_PREFIX)
 
 
 def build_geometries(raw_nodes: DataFrame, refs: DataFrame, way_tags: DataFrame,

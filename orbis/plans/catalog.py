@@ -24,6 +24,7 @@ from orbis.plans.store import cell_index, geometry_store
 from orbis.session import apply_conf
 from orbis.sinks import export as EX
 from orbis.sources import fixtures as FX
+from orbis.sources import osm
 
 
 def stats_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,13 +118,24 @@ def q_relations(spark, sf_dir):
                     "cx", "cy", "minx", "miny", "maxx", "maxy", "cover_len", "n_cells", "cells")
 
 
+def block_relations(spark, sf_dir) -> DataFrame:
+    """The street blocks' relations, built by the same steps as the stored ones."""
+    nodes = FX.block_nodes(spark, sf_dir)
+    raw_ways, raw_rels = FX.block_ways(spark, sf_dir), FX.block_relations(spark, sf_dir)
+    ways = B.build_ways(osm.way_refs(raw_ways), osm.way_tags(raw_ways), nodes)
+    return B.build_relations(osm.relation_members(raw_rels), osm.relation_tags(raw_rels), nodes, ways)
+
+
 def q_relation_rings(spark, sf_dir):
-    """V3 + F19 + O3: multipolygon/boundary relations stitched into rings."""
-    r = _stored(spark, sf_dir, "r").where(F.col("class") == "pl")
-    r = _geometry_summary(r, cell_index(spark, sf_dir))
-    return r.select("id", "class", F.col("tags")["type"].alias("rel_type"),
-                    F.size("parts").alias("n_rings"), "wkt", "cx", "cy", "minx", "miny",
-                    "maxx", "maxy", "cover_len", "n_cells")
+    """V3 + F19 + O3: multipolygon/boundary relations as polygon faces: the stored ones (closed
+    member ways) and the street blocks (faces of open lines, with dangles, bridges and gardens)."""
+    g = _stored(spark, sf_dir, "r").where(F.col("class") == "pl").select(*B.GEOMETRY_COLUMNS)
+    r = g.unionByName(block_relations(spark, sf_dir).select(*B.GEOMETRY_COLUMNS))
+    c = F.col("cover")
+    return r.select("id", "class", F.col("tags")["type"].alias("rel_type"), F.size("parts").alias("n_rings"), "wkt",
+                    _round6(F.col("centroid.x")).alias("cx"), _round6(F.col("centroid.y")).alias("cy"),
+                    *[F.col(f"envelope.{e}").alias(e) for e in ("minx", "miny", "maxx", "maxy")],
+                    c["L"].alias("cover_len"), GH.grid_size(c).cast("int").alias("n_cells"))
 
 
 def q_cell_index(spark, sf_dir):

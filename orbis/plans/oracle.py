@@ -12,6 +12,7 @@ from __future__ import annotations
 from orbis.functions.geohash import (BITS, GEOHASH_ALPHABET, MAX_CELL_LENGTH, MIN_CELL_LENGTH,
                                      lat_bits, lon_bits)
 from orbis.plans import params as P
+from orbis.plans.oracle_blocks import BLOCKS
 from orbis.sources import fixtures as FX
 
 # ------------------------------------------------------------------ fixtures
@@ -385,14 +386,21 @@ FROM rels r JOIN cells c ON c.gid = r.id""")
 
 
 def relation_rings() -> str:
-    return _geom_query(f"""
-, cells AS (SELECT gid, min(L) AS cover_len, count(*) AS n_cells
-            FROM gcov_cells WHERE starts_with(gid, 'r') GROUP BY gid)
+    """Stored polygons (closed member ways) and the faces between the streets of the blocks."""
+    return f"""WITH RECURSIVE {GEOM.strip()},
+{BLOCKS.strip()},
+bbox AS (SELECT id AS gid, minx, miny, maxx, maxy FROM block_polys),
+{cover_ctes('bcov', 'bbox').strip()},
+cells AS (SELECT gid, min(L) AS cover_len, count(*) AS n_cells
+          FROM (SELECT gid, L FROM gcov_cells WHERE starts_with(gid, 'r') UNION ALL SELECT gid, L FROM bcov_cells)
+          GROUP BY gid),
+all_polys AS (
+  SELECT id, rel_type, n_rings, wkt, {CENTROID_X} AS cx, {CENTROID_Y} AS cy, minx, miny, maxx, maxy FROM polys
+  UNION ALL SELECT id, rel_type, n_rings, wkt, cx, cy, minx, miny, maxx, maxy FROM block_polys)
 SELECT r.id, 'pl' AS class, r.rel_type, CAST(r.n_rings AS INTEGER) AS n_rings, r.wkt,
-       round({CENTROID_X}, 6) AS cx, round({CENTROID_Y}, 6) AS cy,
-       r.minx, r.miny, r.maxx, r.maxy,
+       round(cx, 6) AS cx, round(cy, 6) AS cy, r.minx, r.miny, r.maxx, r.maxy,
        CAST(c.cover_len AS INTEGER) AS cover_len, CAST(c.n_cells AS INTEGER) AS n_cells
-FROM polys r JOIN cells c ON c.gid = r.id""")
+FROM all_polys r JOIN cells c ON c.gid = r.id"""
 
 
 def cell_index() -> str:

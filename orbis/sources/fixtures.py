@@ -99,6 +99,76 @@ def raw_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.join(way_tags(spark, sf_dir), g.way_id == F.col("id")).select("id", "nodes", "tags")
 
 
+# ------------------------------------------------------------ street blocks
+# A second extract: each customer without a relation of its own above has a 5 x 5 lattice of
+# corners, some of its streets (open ways, by the parts it ordered), and sometimes a square garden (a
+# closed way).  The faces between streets are its polygon.  Coordinates are multiples of
+# 1/1024 degree, so areas are exact in doubles.
+
+BLOCK_BASE = 1_000_000_000_000
+BLOCK_STEP, BLOCK_UNIT = 8, 1024
+BLOCK_STREETS, BLOCK_CORNERS = 42, 25
+# The garden's corners (from the middle of the second cell of the second row) and
+# the two diagonal streets.
+GARDEN = [(-2, 0), (0, -2), (2, 0), (0, 2)]
+DIAGONALS = [(0, 6), (18, 24)]
+
+
+def block_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    return c.where(~F.col("c_mktsegment").isin(*SEGMENT_TO_RELATION_TYPE)) \
+        .select(F.col("c_custkey").alias("c"), F.col("c_name").alias("name"))
+
+
+def block_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw nodes: 25 corners, and 4 of the garden for every third owner; corner 0 is tagged."""
+    k, c = F.col("k"), F.col("c")
+    n = block_owners(spark, sf_dir).select("c", "name", F.explode(F.sequence(F.lit(0), F.lit(28))).alias("k")) \
+        .where((k < BLOCK_CORNERS) | (c % 3 == 0))
+    mid = F.lit(BLOCK_STEP + BLOCK_STEP // 2)
+    gx, gy = (F.array(*[F.lit(g[a]) for g in GARDEN]) for a in (0, 1))
+    dx = F.when(k < BLOCK_CORNERS, k % 5 * BLOCK_STEP).otherwise(mid + F.get(gx, k - BLOCK_CORNERS))
+    dy = F.when(k < BLOCK_CORNERS, F.floor(k / 5) * BLOCK_STEP).otherwise(mid + F.get(gy, k - BLOCK_CORNERS))
+    unit = F.lit(float(BLOCK_UNIT))
+    x = (int(LON0) * BLOCK_UNIT + c * POINT_LON_MUL % (LON_SPAN // 1000 * BLOCK_UNIT) + dx).cast("double") / unit
+    y = (int(LAT0) * BLOCK_UNIT + c * POINT_LAT_MUL % (LAT_SPAN // 1000 * BLOCK_UNIT) + dy).cast("double") / unit
+    return n.select((BLOCK_BASE + c * 32 + k).alias("id"), x.alias("longitude"), y.alias("latitude"),
+                    F.when(k == 0, _tags(("place", F.col("name")))).otherwise(F.array().cast(_EMPTY_TAGS)).alias("tags"))
+
+
+def block_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw ways ``(id, nodes, tags)``: an owner's streets, every second one from its far end, and its garden."""
+    li, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    own = block_owners(spark, sf_dir).select("c")
+    e, c = F.col("e"), F.col("c")
+    streets = li.join(o, li.l_orderkey == o.o_orderkey).join(own, F.col("o_custkey") == c) \
+        .select("c", (F.col("l_partkey") % BLOCK_STREETS).cast("int").alias("e")).distinct()
+    across, up = F.floor(e / 4) * 5 + e % 4, e - 20
+    a = F.when(e < 20, across).when(e < 40, up).otherwise(
+        F.get(F.array(*[F.lit(a) for a, _ in DIAGONALS]), e - 40))
+    b = F.when(e < 20, across + 1).when(e < 40, up + 5).otherwise(
+        F.get(F.array(*[F.lit(b) for _, b in DIAGONALS]), e - 40))
+    ends = F.when(e % 2 == 0, F.array(a, b)).otherwise(F.array(b, a)).cast("array<long>")
+    garden = own.where(c % 3 == 0).select("c", F.lit(BLOCK_STREETS).alias("e"),
+                                          F.array(*[F.lit(BLOCK_CORNERS + k % 4) for k in range(5)])
+                                          .cast("array<long>").alias("ks"))
+    all_ = streets.select("c", "e", ends.alias("ks")).unionByName(garden)
+    nodes = F.transform("ks", lambda k, i: F.struct(i.alias("index"), (BLOCK_BASE + c * 32 + k).alias("nodeId")))
+    return all_.select((BLOCK_BASE + c * 64 + e).alias("id"), nodes.alias("nodes"),
+                       _tags(("highway", F.when(e == BLOCK_STREETS, "garden").otherwise("street"))).alias("tags"))
+
+
+def block_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw relations ``(id, members, tags)``: one per owner, of all its ways."""
+    w = block_ways(spark, sf_dir).select("id", F.floor((F.col("id") - BLOCK_BASE) / 64).alias("c"))
+    m = w.groupBy("c").agg(F.array_sort(F.collect_list(F.struct(
+        "id", F.lit("outer").alias("role"), F.lit("Way").alias("type")))).alias("members"))
+    own = block_owners(spark, sf_dir)
+    kind = F.when(own["c"] % 2 == 0, "boundary").otherwise("multipolygon")
+    return own.join(m, "c").select((BLOCK_BASE + F.col("c")).alias("id"), "members",
+                                   _tags(("type", kind), ("name", F.col("name"))).alias("tags"))
+
+
 def _relation_type(segment: F.Column) -> F.Column:
     out = None
     for seg, typ in SEGMENT_TO_RELATION_TYPE.items():

@@ -13,7 +13,7 @@ from orbis.functions import parse as PR
 from orbis.operators import build as B
 from orbis.operators import lookup as LK
 from orbis.operators import spatial as SP
-from orbis.operators.rings import _rings_of, stitch_rings
+from orbis.operators.rings import largest_face, stitch_rings
 from orbis.plans import store
 from orbis.sinks import export as EX
 from orbis.sinks import tables as K
@@ -106,6 +106,12 @@ def members(lines):
     return [(k, [float(x) for x, _ in ln], [float(y) for _, y in ln]) for k, ln in enumerate(lines)]
 
 
+def _rings_of(members):
+    face = largest_face([(xs, ys) for _, xs, ys in members])
+    rings = None if face is None else [face[0], *face[1]]
+    return rings and (["pl"] + ["h"] * len(face[1]), [[x for x, _ in r] for r in rings], [[y for _, y in r] for r in rings])
+
+
 def points(result):
     ts, xs, ys = result
     return ts, [sorted(set(zip(x, y))) for x, y in zip(xs, ys)]
