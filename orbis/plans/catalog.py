@@ -20,7 +20,7 @@ from orbis.operators import lookup as LK
 from orbis.operators import spatial as SP
 from orbis.operators import statistics as ST
 from orbis.plans import params as P
-from orbis.plans.store import cell_index, geometry_store
+from orbis.plans.store import cell_index, geometry_store, region_store
 from orbis.session import apply_conf
 from orbis.sinks import export as EX
 from orbis.sources import fixtures as FX
@@ -138,6 +138,16 @@ def q_relation_rings(spark, sf_dir):
                     c["L"].alias("cover_len"), GH.grid_size(c).cast("int").alias("n_cells"))
 
 
+def q_overlapping_regions(spark, sf_dir):
+    """E10 for two overlapping extracts (S1-S3, S7, P6, K1-K3): every element once, as the extract
+    listed last has it."""
+    paths = region_store(spark, sf_dir)
+    g = spark.read.parquet(paths["geometries"])
+    tag = F.coalesce(*[F.col("tags")[k] for k in ("place", "highway", "name")])
+    rows = g.select("id", "kind", "class", "wkt", tag.alias("tag"))
+    return rows.groupBy("id", "kind", "class", "wkt", "tag").agg(F.count(F.lit(1)).cast("int").alias("n_rows"))
+
+
 def q_cell_index(spark, sf_dir):
     """P4 + U1 + A3 -- per cell, how many geometries and the id range.
     Counted by partial aggregation, so a hot cell never sits in one task."""
@@ -351,6 +361,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ways": q_ways,
     "relations": q_relations,
     "relation_rings": q_relation_rings,
+    "overlapping_regions": q_overlapping_regions,
     "cell_index": q_cell_index,
     "find_by_tags": q_find_by_tags,
     "find_by_stats": q_find_by_stats,

@@ -12,7 +12,7 @@ from __future__ import annotations
 from orbis.functions.geohash import (BITS, GEOHASH_ALPHABET, MAX_CELL_LENGTH, MIN_CELL_LENGTH,
                                      lat_bits, lon_bits)
 from orbis.plans import params as P
-from orbis.plans.oracle_blocks import BLOCKS
+from orbis.plans.oracle_blocks import blocks, overlapping_regions
 from orbis.sources import fixtures as FX
 
 # ------------------------------------------------------------------ fixtures
@@ -388,7 +388,7 @@ FROM rels r JOIN cells c ON c.gid = r.id""")
 def relation_rings() -> str:
     """Stored polygons (closed member ways) and the faces between the streets of the blocks."""
     return f"""WITH RECURSIVE {GEOM.strip()},
-{BLOCKS.strip()},
+{blocks().strip()},
 bbox AS (SELECT id AS gid, minx, miny, maxx, maxy FROM block_polys),
 {cover_ctes('bcov', 'bbox').strip()},
 cells AS (SELECT gid, min(L) AS cover_len, count(*) AS n_cells
@@ -653,6 +653,7 @@ def all_sql() -> dict[str, str]:
         "ways": ways(),
         "relations": relations(),
         "relation_rings": relation_rings(),
+        "overlapping_regions": overlapping_regions(),
         "cell_index": cell_index(),
         "find_by_tags": find_by_tags(),
         "find_by_stats": find_by_stats(),

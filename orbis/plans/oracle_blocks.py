@@ -13,13 +13,15 @@ def _pick(values, at: str) -> str:
 _MID = FX.BLOCK_STEP + FX.BLOCK_STEP // 2
 _KINDS = ", ".join(f"'{k}'" for k in FX.SEGMENT_TO_RELATION_TYPE)
 
-BLOCKS = f"""
+def blocks(shift: str = "0") -> str:
+    """CTEs of the blocks and their polygons (``block_polys``); ``shift``: units that an owner lies further east."""
+    return f"""
 blk AS (SELECT c_custkey AS c, c_name AS name FROM customer WHERE c_mktsegment NOT IN ({_KINDS})),
 bn AS MATERIALIZED (
   SELECT c, k, name,
     CAST({int(FX.LON0) * FX.BLOCK_UNIT} + c * {FX.POINT_LON_MUL} % {FX.LON_SPAN // 1000 * FX.BLOCK_UNIT} +
       CASE WHEN k < 25 THEN k % 5 * {FX.BLOCK_STEP} ELSE {_MID} + {_pick([g[0] for g in FX.GARDEN], 'k - 25')} END
-      AS DOUBLE) / {float(FX.BLOCK_UNIT)}e0 AS x,
+      + {shift} AS DOUBLE) / {float(FX.BLOCK_UNIT)}e0 AS x,
     CAST({int(FX.LAT0) * FX.BLOCK_UNIT} + c * {FX.POINT_LAT_MUL} % {FX.LAT_SPAN // 1000 * FX.BLOCK_UNIT} +
       CASE WHEN k < 25 THEN k // 5 * {FX.BLOCK_STEP} ELSE {_MID} + {_pick([g[1] for g in FX.GARDEN], 'k - 25')} END
       AS DOUBLE) / {float(FX.BLOCK_UNIT)}e0 AS y
@@ -135,3 +137,26 @@ block_polys AS MATERIALIZED (
     sum(sign * sign(a) * cx) / 3.0e0 / sum(sign * abs(a)) AS cx, sum(sign * sign(a) * cy) / 3.0e0 / sum(sign * abs(a)) AS cy,
     min(minx) AS minx, min(miny) AS miny, max(maxx) AS maxx, max(maxy) AS maxy
   FROM bsum b WHERE b.c IN (SELECT c FROM be) OR b.c % 3 = 0 GROUP BY b.c)"""
+
+
+def overlapping_regions() -> str:
+    """Owners of remainder 0 as the first extract has them, all others as the second has them."""
+    later = "(c % 3 <> 0)"
+    mark = f"CASE WHEN {later} THEN '{FX.BLOCK_MARK}' ELSE '' END"
+    num = lambda v: f"regexp_replace(CAST({v} AS VARCHAR), '\\.0$', '')"
+    xy = lambda p: f"{num(p + '.x')} || ' ' || {num(p + '.y')}"
+    return f"""WITH RECURSIVE {blocks(f"CASE WHEN {later} THEN 1 ELSE 0 END").strip()},
+garden AS (
+  SELECT c, string_agg({xy('bn')}, ', ' ORDER BY k) || ', ' || arg_min({xy('bn')}, k) AS txt FROM bn WHERE k >= 25 GROUP BY c)
+SELECT 'n' || ({FX.BLOCK_BASE} + c * 32) AS id, 'n' AS kind, 'p' AS class, 'POINT (' || {xy('bn')} || ')' AS wkt,
+       name || {mark} AS tag, 1 AS n_rows FROM bn WHERE k = 0
+UNION ALL
+SELECT 'w' || ({FX.BLOCK_BASE} + s.c * 64 + e), 'w', 'ls',
+       'LINESTRING (' || CASE WHEN e % 2 = 0 THEN {xy('p')} || ', ' || {xy('q')} ELSE {xy('q')} || ', ' || {xy('p')} END || ')',
+       'street' || CASE WHEN s.c % 3 <> 0 THEN '{FX.BLOCK_MARK}' ELSE '' END, 1
+FROM ends s JOIN bn p ON p.c = s.c AND p.k = s.a JOIN bn q ON q.c = s.c AND q.k = s.b
+UNION ALL
+SELECT 'w' || ({FX.BLOCK_BASE} + c * 64 + {FX.BLOCK_STREETS}), 'w', 'pl', 'POLYGON ((' || txt || '))', 'garden' || {mark}, 1 FROM garden
+UNION ALL
+SELECT id, 'r', 'pl', wkt, name || CASE WHEN p.c % 3 <> 0 THEN '{FX.BLOCK_MARK}' ELSE '' END, 1
+FROM block_polys p JOIN blk ON blk.c = p.c"""

@@ -21,8 +21,8 @@ from orbis.sources import fixtures as FX
 from orbis.sources import osm
 
 INGEST_TABLES = ("part", "lineitem", "orders", "customer")
-# bump when the layout of the written tables changes
-STORE_LAYOUT = "8"
+# bump when the layout or the rules of the written tables change
+STORE_LAYOUT = "9"
 _CACHE: dict[tuple[str, str], dict[str, str]] = {}
 _LOCK = threading.Lock()
 _FRAMES: dict[tuple[str, str, str], DataFrame] = {}
@@ -56,19 +56,43 @@ def ingest(spark: SparkSession, sf_dir: str, root: str | None = None) -> dict[st
     return paths
 
 
+def merge_extracts(spark: SparkSession, root: str, regions: list[str], out: str) -> dict[str, str]:
+    """S7 + K1-K3: the node, way and relation tables of overlapping extracts, every id once
+    (``osm.last_wins``), written below ``out``: three later steps read them."""
+    paths = {kind: f"{out}/raw/{kind}" for kind in osm.READERS}
+    for kind, path in paths.items():
+        if not committed(spark, path):
+            osm.last_wins(osm.read_regions(spark, root, regions, kind)).write.mode("overwrite").parquet(path)
+    return paths
+
+
 def ingest_extracts(spark: SparkSession, root: str, regions: list[str], out: str) -> dict[str, str]:
     """E10 + E9 for real extracts (S1-S3, S7): the node, way and relation tables of
-    ``regions`` below ``root`` become the geometry table and cell index below ``out``."""
+    ``regions`` below ``root`` become the geometry table and cell index below ``out``.  Extracts may
+    overlap: an element that several hold is the one of the last."""
     apply_conf(spark)
-    nodes = osm.read_nodes(spark, *osm.extract_paths(root, regions, "node"))
-    ways = osm.read_ways(spark, *osm.extract_paths(root, regions, "way"))
-    rels = osm.read_relations(spark, *osm.extract_paths(root, regions, "relation"))
+    raw = merge_extracts(spark, root, regions, out)
+    nodes, ways, rels = (osm.READERS[kind](spark, raw[kind]) for kind in ("node", "way", "relation"))
     paths = {"geometries": f"{out}/geometries", "cell_index": f"{out}/cell_index"}
     write_store(spark, paths, nodes, osm.way_refs(ways), osm.way_tags(ways), osm.relation_members(rels),
                 osm.relation_tags(rels))
     return paths
 
 
+def region_store(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Two overlapping extracts of the street blocks (``FX.block_extracts``), written below the shared
+    folder once per input and ingested from there."""
+    apply_conf(spark)
+    base = table_path(spark, "orbis", _input_key(spark, sf_dir), "regions")
+    with _LOCK:
+        for region, tables in FX.block_extracts(spark, sf_dir).items():
+            for kind, rows in tables.items():
+                path = osm.extract_paths(f"{base}/extracts", [region], kind)[0]
+                if not committed(spark, path):
+                    rows.write.mode("overwrite").parquet(path)
+        return ingest_extracts(spark, f"{base}/extracts", list(FX.BLOCK_REGIONS), f"{base}/store")
+
+
 def write_store(spark: SparkSession, paths: dict[str, str], raw_nodes: DataFrame, refs: DataFrame,
                 way_tags: DataFrame, members: DataFrame, relation_tags: DataFrame) -> None:
     """The steps of an ingest, each skipped if it is already there."""

@@ -169,6 +169,31 @@ def block_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    _tags(("type", kind), ("name", F.col("name"))).alias("tags"))
 
 
+# Owners of an extract, by key modulo 3: those of remainder 1 are in both.  The second
+# extract is a later survey: it lies one unit further east and marks its tags.
+BLOCK_REGIONS = {"alpha": (0, 1), "beta": (1, 2)}
+BLOCK_SURVEY, BLOCK_MARK = "beta", "/2"
+
+
+def block_extracts(spark: SparkSession, sf_dir: str) -> dict[str, dict[str, DataFrame]]:
+    """The blocks as two overlapping extracts: region -> kind -> raw table."""
+    owner = {"node": F.floor((F.col("id") - BLOCK_BASE) / 32), "way": F.floor((F.col("id") - BLOCK_BASE) / 64),
+             "relation": F.col("id") - BLOCK_BASE}
+    tables = {"node": block_nodes(spark, sf_dir), "way": block_ways(spark, sf_dir),
+              "relation": block_relations(spark, sf_dir)}
+
+    def surveyed(kind: str, rows: DataFrame) -> DataFrame:
+        tags = F.transform("tags", lambda t: F.struct(t["key"], F.when(t["key"] == "type", t["value"]).otherwise(
+            F.concat(t["value"], F.lit(BLOCK_MARK))).alias("value")))
+        rows = rows.withColumn("tags", tags)
+        return rows.withColumn("longitude", F.col("longitude") + 1.0 / BLOCK_UNIT) if kind == "node" else rows
+    out = {}
+    for region, rests in BLOCK_REGIONS.items():
+        own = {kind: t.where((owner[kind] % 3).isin(*rests)) for kind, t in tables.items()}
+        out[region] = {k: surveyed(k, t) for k, t in own.items()} if region == BLOCK_SURVEY else own
+    return out
+
+
 def _relation_type(segment: F.Column) -> F.Column:
     out = None
     for seg, typ in SEGMENT_TO_RELATION_TYPE.items():

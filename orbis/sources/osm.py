@@ -56,12 +56,41 @@ def read_relations(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.schema(RELATION_SCHEMA).parquet(*paths)
 
 
+# Reader of each kind of extract table.
+READERS = {"node": read_nodes, "way": read_ways, "relation": read_relations}
+
+
 def with_region(df: DataFrame) -> DataFrame:
     """Read many regions at once and keep which extract a row came from."""
     return df.withColumn("region", F.regexp_extract(
         F.col("_metadata.file_path"), r"([^/]+)\.pbf\.[a-z]+\.parquet", 1))
 
 
+def read_regions(spark: SparkSession, root: str, regions: list[str], kind: str) -> DataFrame:
+    """The ``kind`` tables of many extracts at once, with ``region_rank`` (the place of the
+    extract in ``regions``)."""
+    ranks = F.create_map(*[F.lit(x) for r, name in enumerate(regions) for x in (name, r)])
+    rows = with_region(READERS[kind](spark, *extract_paths(root, regions, kind)))
+    return rows.withColumn("region_rank", ranks[F.col("region")]).drop("region")
+
+
+def last_wins(rows: DataFrame) -> DataFrame:
+    """One row per ``id``: of the extract listed last, as a later put under the same row key
+    would have left it; of rows that one extract repeats, always the same one.
+
+    Extracts overlap along their borders only, so only ids pass a shuffle (a grouped maximum with
+    map-side combining); ids that occur once go through untouched, and the few that repeat
+    are joined with their winner (AQE broadcasts them if they are few indeed)."""
+    cols = [c for c in rows.columns if c != "region_rank"]
+    version = F.pmod(F.xxhash64(*cols), F.lit(1 << 40)) + F.col("region_rank").cast("long") * (1 << 40)
+    keyed = rows.withColumn("version", version)
+    best = keyed.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.max("version").alias("version")) \
+        .where("n > 1").select("id", "version")
+    once = rows.join(best, "id", "left_anti")
+    won = keyed.join(best, ["id", "version"], "left_semi").dropDuplicates(["id"])
+    return once.select(cols).unionByName(won.select(cols))
+
+
 def extract_paths(root: str, regions: list[str], kind: str) -> list[str]:
     return [EXTRACT_PATTERN.format(root=root, region=r, kind=kind) for r in regions]
 
