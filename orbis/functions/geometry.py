@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orbis.functions.codec import geojson_parts, type_name, wkt_to_geojson
 from orbis.functions.common import col_of, let, memo_expr
 
 PT_TYPE = "struct<x:double,y:double>"
@@ -82,10 +83,20 @@ def _coords(pts) -> Column:
     return F.concat_ws(", ", F.transform(pts, _coord))
 
 
-def part_wkt(pt) -> Column:
-    return (F.when(pt["t"] == "p", F.concat(F.lit("POINT ("), _coord(F.get(pt["pts"], 0)), F.lit(")")))
-            .when(pt["t"] == "ls", F.concat(F.lit("LINESTRING ("), _coords(pt["pts"]), F.lit(")")))
-            .otherwise(F.concat(F.lit("POLYGON (("), _coords(pt["pts"]), F.lit("))"))))
+def _ring(pts) -> Column:
+    return F.concat(F.lit("("), _coords(pts), F.lit(")"))
+
+
+def _members_wkt(parts, point_open: str, point_close: str, line: str, polygon: str) -> Column:
+    """Parts one after the other; holes stay with the shell before them."""
+    def text(pt, i):
+        last = F.coalesce(F.get(parts, i + 1)["t"], F.lit("")) != "h"
+        before = F.when((i > 0) | (pt["t"] == "h"), ", ").otherwise("")
+        ring = F.concat(F.when(pt["t"] == "pl", F.lit(f"{polygon}(")).otherwise(""), _ring(pt["pts"]),
+                        F.when(last, ")").otherwise(""))
+        return F.concat(before, F.when(pt["t"] == "p", F.concat(F.lit(point_open), _coord(F.get(pt["pts"], 0)), F.lit(point_close)))
+                        .when(pt["t"] == "ls", F.concat(F.lit(line), _ring(pt["pts"]))).otherwise(ring))
+    return F.array_join(F.transform(parts, text), "")
 
 
 @memo_expr
@@ -96,54 +107,37 @@ def point_wkt(x, y) -> Column:
 
 @memo_expr
 def wkt(cls, parts) -> Column:
-    """F8 write: WKT of a geometry (polygon = shell then its holes)."""
+    """F8 write: WKT of a geometry by class code (a polygon is its shell, then its holes); null
+    for a class that its parts cannot have."""
     cls, parts = col_of(cls), col_of(parts)
-    rings = F.concat_ws(", ", F.transform(
-        parts, lambda r: F.concat(F.lit("("), _coords(r["pts"]), F.lit(")"))))
-    return (F.when(cls.isin("p", "ls"), part_wkt(F.get(parts, 0)))
-            .when(cls == "pl", F.concat(F.lit("POLYGON ("), rings, F.lit(")")))
-            .when(cls == "gc", F.concat(F.lit("GEOMETRYCOLLECTION ("),
-                                        F.concat_ws(", ", F.transform(parts, part_wkt)),
-                                        F.lit(")"))))
-
-
-def _points_of(text) -> Column:
-    """``x y, x y, ...`` → array of points."""
-    return F.transform(F.split(F.trim(text), r"\s*,\s*"), lambda xy: F.struct(
-        F.split(F.trim(xy), r"\s+")[0].cast("double").alias("x"),
-        F.split(F.trim(xy), r"\s+")[1].cast("double").alias("y")))
+    members = _members_wkt(parts, "POINT (", ")", "LINESTRING ", "POLYGON ")
+    bare = _members_wkt(parts, "", "", "", "")
 
-
-def _simple_parts(text) -> Column:
-    """Parts of a POINT, LINESTRING or POLYGON, or of a bare list of rings."""
-    groups = F.regexp_extract_all(text, F.lit(r"\(([^()]+)\)"), 1)
-    return F.transform(groups, lambda g, i: F.struct(
-        F.when(F.startswith(text, F.lit("POINT")), "p").when(F.startswith(text, F.lit("LINESTRING")), "ls")
-         .when(i == 0, "pl").otherwise("h").alias("t"), _points_of(g).alias("pts")))
+    def multi(name, text):
+        return F.concat(F.lit(f"{name} ("), text, F.lit(")"))
+    return (F.when(cls.isin("p", "ls", "pl"), members).when(cls == "gc", multi("GEOMETRYCOLLECTION", members))
+            .when(cls == "mp", multi("MULTIPOINT", bare)).when(cls == "ml", multi("MULTILINESTRING", bare))
+            .when(cls == "mg", multi("MULTIPOLYGON", bare)))
 
 
 @memo_expr
 def wkt_to_parts(text) -> Column:
     """F8 read: WKT → (class, parts).  POINT, LINESTRING and POLYGON have their own
-    class; GEOMETRYCOLLECTION and the MULTI forms become a collection of their members
-    (a polygon's holes follow it).  Any other text gives a null class and null parts."""
-    t = F.upper(F.trim(col_of(text)))
-    kind = F.regexp_extract(t, r"^([A-Z]+)", 1)
-    members = F.regexp_extract_all(
-        t, F.lit(r"(?:POINT|LINESTRING|POLYGON)\s*(?:\([^()]*\)|\((?:\([^()]*\)[\s,]*)+\))"), 0)
-    polygons = F.regexp_extract_all(t, F.lit(r"\(\s*\([^()]*\)(?:\s*,\s*\([^()]*\))*\s*\)"), 0)
-    pairs = F.regexp_extract_all(t, F.lit(r"[-+.0-9E]+\s+[-+.0-9E]+"), 0)
-    groups = F.regexp_extract_all(t, F.lit(r"\(([^()]+)\)"), 1)
-    cls = (F.when(kind == "POINT", "p").when(kind == "LINESTRING", "ls").when(kind == "POLYGON", "pl")
-           .when(kind.isin("GEOMETRYCOLLECTION", "MULTIPOINT", "MULTILINESTRING", "MULTIPOLYGON"), "gc"))
-    parts = (F.when(kind.isin("POINT", "LINESTRING", "POLYGON"), _simple_parts(t))
-             .when(kind == "GEOMETRYCOLLECTION", F.flatten(F.transform(members, _simple_parts)))
-             .when(kind == "MULTIPOLYGON", F.flatten(F.transform(polygons, _simple_parts)))
-             .when(kind == "MULTIPOINT", F.transform(pairs, lambda p: F.struct(
-                 F.lit("p").alias("t"), _points_of(p).alias("pts"))))
-             .when(kind == "MULTILINESTRING", F.transform(groups, lambda g: F.struct(
-                 F.lit("ls").alias("t"), _points_of(g).alias("pts")))))
-    return F.struct(cls.alias("class"), parts.alias("parts"))
+    class; GEOMETRYCOLLECTION and the MULTI forms become a collection of their members, however
+    deep these lie (a polygon's holes follow it).  EMPTY has no parts.  Any other text gives a
+    null class and null parts."""
+    own = F.create_map(*[F.lit(v) for kv in (("Point", "p"), ("LineString", "ls"), ("Polygon", "pl")) for v in kv])
+
+    def read(json):
+        cls = F.coalesce(F.try_element_at(own, type_name(text)), F.lit("gc"))
+        return F.struct(F.when(json.isNotNull(), cls).alias("class"),
+                        F.when(json.isNotNull(), geojson_parts(json)).cast(PARTS_TYPE).alias("parts"))
+    return let(wkt_to_geojson(text), read)
+
+
+def wkt_class(text) -> Column:
+    """the class code of a WKT text's type (the MULTI forms have codes of their own)."""
+    return F.when(wkt_to_geojson(text).isNotNull(), class_code(type_name(text)))
 
 
 # ---------------------------------------------------------- shape tests

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orbis.functions import codec as CD
 from orbis.functions import geohash as GH
 from orbis.functions import geometry as GM
 from orbis.operators import build as B
@@ -257,6 +258,48 @@ def q_wkt_roundtrip(spark, sf_dir):
                     e["maxx"].alias("maxx"), e["maxy"].alias("maxy"))
 
 
+def geometry_texts(spark, sf_dir) -> DataFrame:
+    """WKT of every type, one per order, from its line items as points: by key modulo 7 one of the simple
+    types or a nested collection; with a reference system, empty or broken by other remainders."""
+    li = FX.table(spark, sf_dir, "lineitem")
+    xy = F.concat_ws(" ", (F.col("l_partkey") % 1000).cast("string"), F.col("l_suppkey").cast("string"))
+    own = li.groupBy(F.col("l_orderkey").alias("k")).agg(F.array_sort(F.collect_list(
+        F.struct("l_linenumber", "l_partkey", "l_suppkey", xy.alias("xy")))).alias("rows"))
+    k = F.col("k")
+    p = own.select("k", F.transform("rows", lambda r: r["xy"]).alias("p"))
+    pts, first = F.array_join("p", ", "), F.get("p", 0)
+    ring = F.concat(F.lit("("), pts, F.lit(", "), first, F.lit(")"))
+    said = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    multipoint = F.when(k % 2 == 0, said("MULTIPOINT (", pts, ")")).otherwise(
+        said("MULTIPOINT ((", F.array_join("p", "), ("), "))"))
+    polygons = said("MULTIPOLYGON ((", ring, "), (", ring, ", ", ring, "))")
+    nested = said("GEOMETRYCOLLECTION (POINT (", first, "), GEOMETRYCOLLECTION (LINESTRING (", pts, "), ", multipoint,
+                  ", GEOMETRYCOLLECTION (POLYGON (", ring, "), POINT EMPTY)), ", polygons, ")")
+    kinds = [said("Point(", first, ")"), said("LINESTRING (", pts, ")"), said("POLYGON (", ring, ",", ring, ")"),
+             multipoint, said("multilinestring ((", pts, "), (", pts, "))"), polygons, nested]
+    text = _pick_column(kinds, k % 7)
+    text = F.when(k % 13 == 0, said("POINT (abc ", first, ")")).when(k % 17 == 0, "MULTILINESTRING EMPTY") \
+        .when(k % 5 == 0, said("SRID=4326;", text)).otherwise(text)
+    return p.select("k", text.alias("text"))
+
+
+def _pick_column(values, at):
+    out = F.when(at == 0, values[0])
+    for i, v in enumerate(values[1:], 1):
+        out = out.when(at == i, v)
+    return out
+
+
+def q_wkt_geojson(spark, sf_dir):
+    """F5 + F8, all types and nested collections: WKT -> GeoJSON -> WKT, class code and parts."""
+    t = geometry_texts(spark, sf_dir)
+    t = t.select("k", "text", GM.wkt_class("text").alias("class"), GM.wkt_to_parts("text")["parts"].alias("parts"),
+                 CD.wkt_to_geojson("text").alias("geojson"))
+    n = F.aggregate("parts", F.lit(0).cast("long"), lambda acc, p: acc + F.size(p["pts"]))
+    return t.select("k", "class", "geojson", CD.geojson_to_wkt("geojson").alias("wkt"),
+                    F.array_join(F.transform("parts", lambda p: p["t"]), " ").alias("kinds"), n.alias("n_points"))
+
+
 def locality_candidates(spark, sf_dir):
     a = P.FIRST_MATCH
     c = FX.table(spark, sf_dir, "customer")
@@ -372,6 +415,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "index_prefix_scan": q_index_prefix_scan,
     "cell_postings": q_cell_postings,
     "wkt_roundtrip": q_wkt_roundtrip,
+    "wkt_geojson": q_wkt_geojson,
     "locality_first_match": q_locality_first_match,
     "url_regions": q_url_regions,
     "stat_json": q_stat_json,

@@ -594,6 +594,50 @@ UNION ALL SELECT id, 'gc', CAST(np AS BIGINT), minx, miny, maxx, maxy FROM rels
 UNION ALL SELECT id, 'pl', CAST(np AS BIGINT), minx, miny, maxx, maxy FROM polys""")
 
 
+def wkt_geojson() -> str:
+    """Both texts written directly from the line items."""
+    def js(kind, coords):
+        return f"'{{\"type\":\"{kind}\",\"coordinates\":' || {coords} || '}}'"
+
+    def jgc(*members):
+        return "'{\"type\":\"GeometryCollection\",\"geometries\":[' || " + " || ',' || ".join(members) + " || ']}'"
+    jr, wr = "'[' || jp || ',' || j1 || ']'", "'(' || wp || ', ' || w1 || ')'"
+    jmp, wmp = js("MultiPoint", "'[' || jp || ']'"), "'MULTIPOINT (' || wp || ')'"
+    jpoly, wpoly = js("MultiPolygon", f"'[[' || {jr} || '],[' || {jr} || ',' || {jr} || ']]'"), \
+        f"'MULTIPOLYGON ((' || {wr} || '), (' || {wr} || ', ' || {wr} || '))'"
+    inner = jgc(js("Polygon", f"'[' || {jr} || ']'"), js("Point", "'[]'"))
+    jn = jgc(js("Point", "j1"), jgc(js("LineString", "'[' || jp || ']'"), jmp, inner), jpoly)
+    wn = f"""'GEOMETRYCOLLECTION (POINT (' || w1 || '), GEOMETRYCOLLECTION (LINESTRING (' || wp || '), ' || {wmp} ||
+      ', GEOMETRYCOLLECTION (POLYGON (' || {wr} || '), POINT EMPTY)), ' || {wpoly} || ')'"""
+    kinds = [
+        ("p", js("Point", "j1"), "'POINT (' || w1 || ')'", "'p'", "1"),
+        ("ls", js("LineString", "'[' || jp || ']'"), "'LINESTRING (' || wp || ')'", "'ls'", "n"),
+        ("pl", js("Polygon", f"'[' || {jr} || ',' || {jr} || ']'"), f"'POLYGON (' || {wr} || ', ' || {wr} || ')'", "'pl h'", "2 * n + 2"),
+        ("mp", jmp, wmp, "points", "n"),
+        ("ml", js("MultiLineString", "'[[' || jp || '],[' || jp || ']]'"), "'MULTILINESTRING ((' || wp || '), (' || wp || '))'", "'ls ls'", "2 * n"),
+        ("mg", jpoly, wpoly, "'pl pl h'", "3 * n + 3"),
+        ("gc", jn, wn, "'p ls ' || points || ' pl pl pl h'", "1 + 2 * n + 4 * (n + 1)")]
+    pick = lambda i: "CASE k % 7 " + " ".join(f"WHEN {r} THEN {x[i]}" for r, x in enumerate(kinds)) + " END"
+    classes = "CASE k % 7 " + " ".join(f"WHEN {r} THEN '{x[0]}'" for r, x in enumerate(kinds)) + " END"
+    srid = "k % 5 = 0"
+    crs = ',"crs":{"type":"name","properties":{"name":"urn:ogc:def:crs:EPSG::4326"}}}'
+    return f"""
+WITH l AS (SELECT l_orderkey AS k, l_partkey % 1000 AS x, l_suppkey AS y,
+                  row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS i FROM lineitem),
+g AS (SELECT k, count(*) AS n, string_agg('[' || x || ',' || y || ']', ',' ORDER BY i) AS jp,
+             string_agg(x || ' ' || y, ', ' ORDER BY i) AS wp, string_agg('p', ' ') AS points,
+             arg_min('[' || x || ',' || y || ']', i) AS j1, arg_min(x || ' ' || y, i) AS w1 FROM l GROUP BY k),
+t AS (SELECT k, {classes} AS class, {pick(1)} AS geojson, {pick(2)} AS wkt, {pick(3)} AS kinds, {pick(4)} AS n_points FROM g)
+SELECT k, CASE WHEN k % 13 = 0 THEN NULL WHEN k % 17 = 0 THEN 'ml' ELSE class END AS class,
+  CASE WHEN k % 13 = 0 THEN NULL WHEN k % 17 = 0 THEN '{{"type":"MultiLineString","coordinates":[]}}'
+       WHEN {srid} THEN left(geojson, length(geojson) - 1) || '{crs}' ELSE geojson END AS geojson,
+  CASE WHEN k % 13 = 0 THEN NULL WHEN k % 17 = 0 THEN 'MULTILINESTRING EMPTY'
+       WHEN {srid} THEN 'SRID=4326;' || wkt ELSE wkt END AS wkt,
+  CASE WHEN k % 13 = 0 THEN NULL WHEN k % 17 = 0 THEN '' ELSE kinds END AS kinds,
+  CASE WHEN k % 13 = 0 THEN NULL WHEN k % 17 = 0 THEN 0 ELSE n_points END AS n_points
+FROM t"""
+
+
 def locality_first_match() -> str:
     a = P.FIRST_MATCH
     return f"""
@@ -665,6 +709,7 @@ def all_sql() -> dict[str, str]:
         "index_prefix_scan": index_prefix_scan(),
         "cell_postings": cell_postings(),
         "wkt_roundtrip": wkt_roundtrip(),
+        "wkt_geojson": wkt_geojson(),
         "locality_first_match": locality_first_match(),
         "url_regions": url_regions(),
         "stat_json": stat_json(),
