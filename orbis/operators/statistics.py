@@ -42,28 +42,38 @@ def build_names(names: DataFrame) -> DataFrame:
         prefixed_id(RELATION_PREFIX, F.col("id")).alias("id"), "name")
 
 
-def build_stats(stat_csv: DataFrame, names: DataFrame) -> DataFrame:
-    """Statistic rows joined to the locality dictionary by name.
-
-    The dictionary is the preserved side (a locality with no statistics
-    keeps one row, with null indicator, year and value).  It is written as
-    an inner join plus an anti join against the *distinct* city names, so
-    the large statistics side is never shuffled whole for the outer join;
-    Spark (AQE) broadcasts the dictionary when its runtime size is small."""
+def stat_facts(stat_csv: DataFrame, names: DataFrame) -> DataFrame:
+    """J4, the rows with a statistic: one scan of the statistics; Spark (AQE) broadcasts the
+    dictionary when its runtime size is small, so the statistics are not shuffled."""
     nm = build_names(names)
     rows = stat_csv.select("CITIES", "TIME", "INDIC_UR", "Value")
-    facts = rows.join(nm, rows.CITIES == nm.name).select(
+    return rows.join(nm, rows.CITIES == nm.name).select(
         nm.id, nm.name,
         F.col("INDIC_UR").alias("indicator"),
         to_int("TIME").alias("year"),
         to_double("Value").alias("value"),
         F.col("Value").alias("value_raw"))
-    cities = rows.select(F.col("CITIES").alias("name")).distinct()
-    bare = nm.join(cities, "name", "left_anti").select(
+
+
+def bare_localities(names: DataFrame, cities: DataFrame) -> DataFrame:
+    """J4, the rows without: localities of the dictionary whose ``name`` is not in ``cities``."""
+    return build_names(names).join(cities.select("name").distinct(), "name", "left_anti").select(
         "id", "name", F.lit(None).cast("string").alias("indicator"),
         F.lit(None).cast("int").alias("year"), F.lit(None).cast("double").alias("value"),
         F.lit(None).cast("string").alias("value_raw"))
-    return facts.unionByName(bare)
+
+
+def build_stats(stat_csv: DataFrame, names: DataFrame) -> DataFrame:
+    """Statistic rows joined to the locality dictionary by name.
+
+    The dictionary is the preserved side (a locality with no statistics
+    keeps one row, with null indicator, year and value).  It is written as
+    an inner join plus an anti join against the *distinct* city names, so
+    the large statistics side is never shuffled whole for the outer join.  A stored table
+    (``sinks.tables.load_stats``) takes the city names from what it has written, so it scans
+    the statistics once."""
+    cities = stat_csv.select(F.col("CITIES").alias("name"))
+    return stat_facts(stat_csv, names).unionByName(bare_localities(names, cities))
 
 
 def series(stats: DataFrame, indicators: Iterable[str] | None = None) -> DataFrame:
@@ -95,8 +105,11 @@ def _by_indicator(entries: Column) -> Column:
 
 
 def _ids(stats: DataFrame, ids) -> DataFrame:
-    """Requested cities ``(id, name)``: a DataFrame with ``id``, a list of
+    """Requested cities ``(id, name)``: a DataFrame with ``id`` and ``name`` (the
+    dictionary: the statistics are not scanned for them), one with ``id``, a list of
     ids, or None for every city in the table."""
+    if isinstance(ids, DataFrame) and "name" in ids.columns:
+        return ids.select("id", "name")
     cities = stats.select("id", "name").distinct()
     if ids is None:
         return cities

@@ -16,23 +16,19 @@ from pyspark.sql import functions as F
 from orbis.functions import codec as CD
 from orbis.functions import geohash as GH
 from orbis.functions import geometry as GM
+from orbis.functions.parse import get_stat, region_from_url, url_parent
 from orbis.operators import build as B
 from orbis.operators import lookup as LK
 from orbis.operators import spatial as SP
 from orbis.operators import statistics as ST
 from orbis.plans import params as P
-from orbis.plans.store import cell_index, geometry_store, region_store
+from orbis.plans.store import cell_index, geometry_store, localities, merged_stats, region_store, stats_table
 from orbis.session import apply_conf
 from orbis.sinks import export as EX
 from orbis.sources import fixtures as FX
 from orbis.sources import osm
 
 
-def stats_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    apply_conf(spark)
-    return ST.build_stats(FX.stat_csv(spark, sf_dir), FX.names(spark, sf_dir))
-
-
 class Inputs:
     """The OSM-like inputs derived from the driver tables under ``sf_dir``."""
 
@@ -183,6 +179,14 @@ def q_find_by_tags(spark, sf_dir):
     return r.select("qid", "id", "kind", "class")
 
 
+def q_find_by_tags_not(spark, sf_dir):
+    """E1 as coded (Q1, ``!=``): geometries around every supplier point whose tag is there and differs."""
+    a = P.FIND_BY_TAGS_NOT
+    g, idx = geometry_store(spark, sf_dir)
+    r = SP.find_by_tags(g, idx, FX.query_points(spark, sf_dir), a["key"], a["value"], a["meters"], op=a["op"])
+    return r.select("qid", "id", "kind", "class")
+
+
 def q_find_by_stats(spark, sf_dir):
     """Samples (distance to centroid, value of the year) around every
     supplier point: J7 + P12 + P17 + F12."""
@@ -225,7 +229,7 @@ def q_locality_geometries(spark, sf_dir):
     """S8 + J5 + J8 + F16: the geometry of every named locality, looked up
     by id in the ingested table, with its name and SHA-1 row key."""
     g, _ = geometry_store(spark, sf_dir)
-    names = ST.build_names(FX.names(spark, sf_dir))
+    names = localities(spark, sf_dir)
     r = LK.with_names(LK.get_geometries(g, names), names)
     return r.select("id", "name", "class", _round6(F.col("centroid.x")).alias("cx"),
                     _round6(F.col("centroid.y")).alias("cy"), F.sha1("id").alias("key"))
@@ -319,11 +323,11 @@ def q_locality_first_match(spark, sf_dir):
 
 
 def q_url_regions(spark, sf_dir):
-    """region name and parent path of every page URL."""
-    from orbis.functions.parse import region_from_url, url_parent
-    p = FX.table(spark, sf_dir, "pages")
-    return p.select("page_id", "url", region_from_url("url").alias("region"),
-                    url_parent("url").alias("parent"))
+    """F21 + S7: region name and parent path of every page URL and of the download URLs of a manifest
+    (one extract per nation, numbered below zero)."""
+    p = FX.table(spark, sf_dir, "pages").select("page_id", "url")
+    urls = p.unionByName(FX.extract_urls(spark, sf_dir))
+    return urls.select("page_id", "url", region_from_url("url").alias("region"), url_parent("url").alias("parent"))
 
 
 def q_stat_json(spark, sf_dir):
@@ -331,7 +335,7 @@ def q_stat_json(spark, sf_dir):
     shape); rows-only check (JSON text)."""
     a = P.STAT_JSON
     return EX.range_json(ST.range_map(stats_table(spark, sf_dir), a["indicators"],
-                                      a["start"], a["end"]))
+                                      a["start"], a["end"], ids=localities(spark, sf_dir)))
 
 
 def q_interpolation_geojson(spark, sf_dir):
@@ -357,12 +361,32 @@ def q_stat_series(spark, sf_dir):
         "id", "name", "indicator", "year", "value", "value_raw")
 
 
+def q_stats_upsert(spark, sf_dir):
+    """K5 + E11: a later delivery merged over the stored statistics, bucket by bucket."""
+    return merged_stats(spark, sf_dir).select("id", "name", "indicator", "year", "value", "value_raw")
+
+
+def q_stat_maps(spark, sf_dir):
+    """A5 + F18: each city's statistics as map of lists, and one indicator read from it."""
+    m = ST.stat_maps(stats_table(spark, sf_dir))
+    one = get_stat("stats", P.MULTI_COMPARE["indicator"])
+    years = F.map_entries(one)
+    return m.select("id", "name", F.size("stats").alias("n_indicators"), F.size(one).alias("n_years"),
+                    F.array_join(F.transform(F.array_sort(years), lambda e: F.concat_ws("=", e["key"].cast("string"),
+                                                                                         GM.fmt_num(e["value"]))), " ").alias("series"))
+
+
 def q_stat_from_all(spark, sf_dir):
     a = P.STAT_FROM_ALL
     return ST.stat_from_all(stats_table(spark, sf_dir), a["indicator"], a["op"],
                             a["threshold"], a["year"])
 
 
+def q_stat_from_all_equal(spark, sf_dir):
+    a = P.STAT_FROM_ALL_EQUAL
+    return ST.stat_from_all(stats_table(spark, sf_dir), a["indicator"], a["op"], a["threshold"], a["year"])
+
+
 def q_stat_from_all_first_year(spark, sf_dir):
     a = P.STAT_FROM_ALL_FIRST_YEAR
     return ST.stat_from_all(stats_table(spark, sf_dir), a["indicator"], a["op"],
@@ -372,7 +396,8 @@ def q_stat_from_all_first_year(spark, sf_dir):
 def q_multi_compare_stat(spark, sf_dir):
     """E4, with each city's ordered list exploded to (pos, year, value) so
     the order itself is compared; cities without data keep one null row."""
-    out = ST.multi_compare_stat(stats_table(spark, sf_dir), P.MULTI_COMPARE["indicator"])
+    out = ST.multi_compare_stat(stats_table(spark, sf_dir), P.MULTI_COMPARE["indicator"],
+                                ids=localities(spark, sf_dir))
     return out.select("city_id", "city", F.posexplode_outer("series").alias("pos", "s")) \
         .select("city_id", "city", "pos", F.col("s.year").alias("year"),
                 F.col("s.value").alias("value"))
@@ -383,7 +408,7 @@ def q_compare_with_geometry(spark, sf_dir):
     many values each city has, their sum, and its geometry text."""
     g, _ = geometry_store(spark, sf_dir)
     out = ST.multi_compare_stat(stats_table(spark, sf_dir), P.MULTI_COMPARE["indicator"],
-                                geometries=g)
+                                ids=localities(spark, sf_dir), geometries=g)
     return out.select("city_id", "city", F.size("values").alias("n_values"),
                       _round6(F.aggregate("values", F.lit(0.0), lambda a, v: a + v))
                       .alias("total"), "wkt")
@@ -396,7 +421,8 @@ def q_stat_in_range(spark, sf_dir):
 
 def q_stats_in_range(spark, sf_dir):
     a = P.STATS_IN_RANGE
-    return ST.stats_in_range(stats_table(spark, sf_dir), a["indicators"], a["start"], a["end"])
+    return ST.stats_in_range(stats_table(spark, sf_dir), a["indicators"], a["start"], a["end"],
+                             ids=localities(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -407,6 +433,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "overlapping_regions": q_overlapping_regions,
     "cell_index": q_cell_index,
     "find_by_tags": q_find_by_tags,
+    "find_by_tags_not": q_find_by_tags_not,
     "find_by_stats": q_find_by_stats,
     "interpolate": q_interpolate,
     "density": q_density,
@@ -421,7 +448,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stat_json": q_stat_json,
     "interpolation_geojson": q_interpolation_geojson,
     "stat_series": q_stat_series,
+    "stats_upsert": q_stats_upsert,
+    "stat_maps": q_stat_maps,
     "stat_from_all": q_stat_from_all,
+    "stat_from_all_equal": q_stat_from_all_equal,
     "stat_from_all_first_year": q_stat_from_all_first_year,
     "multi_compare_stat": q_multi_compare_stat,
     "compare_with_geometry": q_compare_with_geometry,

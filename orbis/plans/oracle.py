@@ -68,6 +68,29 @@ def stat_series() -> str:
     return _stats_query("SELECT id, name, indicator, year, value, value_raw FROM stats")
 
 
+def stats_upsert() -> str:
+    a = P.UPSERT
+    value = "CASE WHEN s.Value = ':' THEN '0,5' ELSE '1' || s.Value END"
+    return f"""WITH {STAT_CSV},
+csv AS (
+  SELECT s.CITIES, s.TIME, s.INDIC_UR,
+         CASE WHEN n.n_regionkey = {a['region']} AND s.TIME >= '{a['until']}' THEN {value} ELSE s.Value END AS Value
+  FROM stat_csv s JOIN nation n ON n.n_name = s.CITIES
+  WHERE s.TIME <= '{a['until']}' OR n.n_regionkey = {a['region']})
+SELECT 'r' || nm.id AS id, nm.name, c.INDIC_UR AS indicator, CASE WHEN c.CITIES IS NOT NULL THEN {to_int_sql('c.TIME')} END AS year,
+       CASE WHEN c.CITIES IS NOT NULL THEN {to_double_sql('c.Value')} END AS value, c.Value AS value_raw
+FROM names nm LEFT JOIN csv c ON c.CITIES = nm.name WHERE nm.id IS NOT NULL"""
+
+
+def stat_maps() -> str:
+    a = P.MULTI_COMPARE
+    return _stats_query(f"""
+SELECT id, name, CAST(count(DISTINCT indicator) AS INTEGER) AS n_indicators,
+       CAST(count(*) FILTER (WHERE indicator = '{a['indicator']}') AS INTEGER) AS n_years,
+       coalesce(string_agg(year || '=' || {fmt_sql('value')}, ' ' ORDER BY year) FILTER (WHERE indicator = '{a['indicator']}'), '') AS series
+FROM stats WHERE indicator IS NOT NULL GROUP BY id, name""")
+
+
 def stat_from_all() -> str:
     a = P.STAT_FROM_ALL
     return _stats_query(f"""
@@ -75,6 +98,13 @@ SELECT id AS city_id, name AS city, year, value FROM stats
 WHERE indicator = '{a['indicator']}' AND year = {a['year']} AND value {a['op']} {float(a['threshold'])}""")
 
 
+def stat_from_all_equal() -> str:
+    a = P.STAT_FROM_ALL_EQUAL
+    return _stats_query(f"""
+SELECT id AS city_id, name AS city, year, value FROM stats
+WHERE indicator = '{a['indicator']}' AND year = {a['year']} AND value = {float(a['threshold'])}""")
+
+
 def stat_from_all_first_year() -> str:
     a = P.STAT_FROM_ALL_FIRST_YEAR
     return _stats_query(f"""
@@ -483,19 +513,29 @@ def _contains_sql(p: str, g: str) -> str:
     return f"({inside} AND {interior})"
 
 
-def find_by_tags() -> str:
+def _by_tags_sql(points: str, op: str, meters: str) -> str:
     return f"""WITH {GEOM},
 {PARTS.strip()},
 {_points_sql().strip()},
-pts AS ({_box_sql('pts0', 'meters')})
+pts AS ({_box_sql(points, meters)})
 SELECT p.qid, g.id, g.kind,
        CASE WHEN g.kind = 'n' THEN 'p' WHEN g.id IN (SELECT id FROM polys) THEN 'pl' WHEN g.kind = 'r' THEN 'gc'
             ELSE (SELECT cls FROM ways w WHERE w.id = g.id) END AS class
-FROM pts p JOIN gtags t ON t.key = p.key AND t.value {P.FIND_BY_TAGS['op']} p.value
+FROM pts p JOIN gtags t ON t.key = p.key AND t.value {op} p.value
 JOIN geoms g ON g.id = t.id
 WHERE {_contains_sql('p', 'g')}"""
 
 
+def find_by_tags() -> str:
+    return _by_tags_sql("pts0", P.FIND_BY_TAGS["op"], "meters")
+
+
+def find_by_tags_not() -> str:
+    a = P.FIND_BY_TAGS_NOT
+    pts = f"(SELECT qid, lon, lat, '{a['key']}' AS key, '{a['value']}' AS value FROM pts0)"
+    return _by_tags_sql(pts, "<>", str(a["meters"]))
+
+
 def _samples_sql(a) -> str:
     return f"""WITH {STATS},
 {GEOM.strip()},
@@ -653,9 +693,15 @@ SELECT name, osm_id, rank FROM ranked WHERE k = 1"""
 
 def url_regions() -> str:
     return """
-SELECT page_id, url, regexp_extract(url, '([^/]+)-latest', 1) AS region,
+WITH urls AS (
+  SELECT page_id, url FROM pages
+  UNION ALL
+  SELECT -n_nationkey - 1, 'https://extracts.example.org/' || lower(replace(r_name, ' ', '-')) || '/' ||
+         lower(replace(n_name, ' ', '-')) || '-latest.osm.pbf'
+  FROM nation JOIN region ON n_regionkey = r_regionkey)
+SELECT CAST(page_id AS BIGINT) AS page_id, url, regexp_extract(url, '([^/]+)-latest', 1) AS region,
        regexp_extract(url, '.+/', 0) AS parent
-FROM pages"""
+FROM urls"""
 
 
 def compare_with_geometry() -> str:
@@ -700,6 +746,7 @@ def all_sql() -> dict[str, str]:
         "overlapping_regions": overlapping_regions(),
         "cell_index": cell_index(),
         "find_by_tags": find_by_tags(),
+        "find_by_tags_not": find_by_tags_not(),
         "find_by_stats": find_by_stats(),
         "interpolate": interpolate(),
         "interpolation_geojson": interpolation_geojson(),
@@ -714,7 +761,10 @@ def all_sql() -> dict[str, str]:
         "url_regions": url_regions(),
         "stat_json": stat_json(),
         "stat_series": stat_series(),
+        "stats_upsert": stats_upsert(),
+        "stat_maps": stat_maps(),
         "stat_from_all": stat_from_all(),
+        "stat_from_all_equal": stat_from_all_equal(),
         "stat_from_all_first_year": stat_from_all_first_year(),
         "multi_compare_stat": multi_compare_stat(),
         "compare_with_geometry": compare_with_geometry(),

@@ -13,14 +13,18 @@ import hashlib
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orbis.operators import build as B
+from orbis.operators.statistics import build_names, stat_facts
+from orbis.plans import params as P
 from orbis.session import apply_conf, committed, table_path
 from orbis.sinks import tables as K
 from orbis.sources import fixtures as FX
 from orbis.sources import osm
+from orbis.sources import stats as stats_files
 
-INGEST_TABLES = ("part", "lineitem", "orders", "customer")
+INGEST_TABLES = ("part", "lineitem", "orders", "customer", "nation")
 # bump when the layout or the rules of the written tables change
 STORE_LAYOUT = "9"
 _CACHE: dict[tuple[str, str], dict[str, str]] = {}
@@ -42,20 +46,34 @@ def _input_key(spark: SparkSession, sf_dir: str) -> str:
 
 
 def ingest(spark: SparkSession, sf_dir: str, root: str | None = None) -> dict[str, str]:
-    """Build and write the geometry table and the cell index for the driver
-    tables under ``sf_dir``; steps already written are skipped.
+    """Build and write every stored table for the driver tables under ``sf_dir``: the
+    geometries and their index, the statistics and the locality dictionary.  Steps already
+    written are skipped.  Returns the paths."""
+    return {**ingest_geometries(spark, sf_dir, root), **ingest_stats(spark, sf_dir, root)}
 
-    Steps: nodes, ways, relations (reading the written ways back, which cuts
-    lineage) into ``geometries/kind=<n|w|r>``; then the one ``cell_index`` of every
-    stored geometry.  Returns the paths."""
+
+def ingest_geometries(spark: SparkSession, sf_dir: str, root: str | None = None) -> dict[str, str]:
+    """Nodes, ways, relations (reading the written ways back, which cuts lineage) into
+    ``geometries/kind=<n|w|r>``; then the one ``cell_index`` of every stored geometry."""
     base = root or table_path(spark, "orbis", _input_key(spark, sf_dir))
-    paths = {"geometries": f"{base}/geometries", "cell_index": f"{base}/cell_index"}
+    paths = {t: f"{base}/{t}" for t in ("geometries", "cell_index")}
     write_store(spark, paths, FX.raw_nodes(spark, sf_dir), FX.way_refs(spark, sf_dir),
                 FX.way_tags(spark, sf_dir), FX.relation_members(spark, sf_dir),
                 FX.relation_tags(spark, sf_dir))
     return paths
 
 
+def ingest_stats(spark: SparkSession, sf_dir: str, root: str | None = None) -> dict[str, str]:
+    """The statistics (``stats``, one scan of the facts) and the dictionary (``localities``)."""
+    base = root or table_path(spark, "orbis", _input_key(spark, sf_dir))
+    paths = {t: f"{base}/{t}" for t in ("stats", "localities")}
+    if not committed(spark, paths["localities"]):
+        # written last: its marker says that both are whole
+        K.load_stats(spark, FX.stat_csv(spark, sf_dir), FX.names(spark, sf_dir), paths["stats"])
+        build_names(FX.names(spark, sf_dir)).write.mode("overwrite").parquet(paths["localities"])
+    return paths
+
+
 def merge_extracts(spark: SparkSession, root: str, regions: list[str], out: str) -> dict[str, str]:
     """S7 + K1-K3: the node, way and relation tables of overlapping extracts, every id once
     (``osm.last_wins``), written below ``out``: three later steps read them."""
@@ -113,23 +131,27 @@ def use(spark: SparkSession, sf_dir: str, paths: dict[str, str]) -> None:
     _CACHE[(spark.sparkContext.applicationId, sf_dir)] = paths
 
 
-def _paths(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+_STEPS = {"geometries": ingest_geometries, "cell_index": ingest_geometries,
+          "stats": ingest_stats, "localities": ingest_stats}
+_READ = {"cell_index": K.read_index, "stats": K.read_stats}
+
+
+def _path(spark: SparkSession, sf_dir: str, name: str) -> str:
     apply_conf(spark)
-    key = (spark.sparkContext.applicationId, sf_dir)
-    with _LOCK:                       # one ingest per input, even from threads
-        if key not in _CACHE:
-            _CACHE[key] = ingest(spark, sf_dir)
-        return _CACHE[key]
+    paths = _CACHE.setdefault((spark.sparkContext.applicationId, sf_dir), {})
+    if name not in paths:
+        paths.update(_STEPS[name](spark, sf_dir))
+    return paths[name]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A stored table as a DataFrame, read once per session (file listing and
     Parquet footers are not re-read by every query)."""
-    p = _paths(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, sf_dir, p[name])
-    with _LOCK:
+    with _LOCK:                       # one ingest per input, even from threads
+        path = _path(spark, sf_dir, name)
+        key = (spark.sparkContext.applicationId, sf_dir, path)
         if key not in _FRAMES:
-            _FRAMES[key] = K.read_index(spark, p[name]) if name == "cell_index" else spark.read.parquet(p[name])
+            _FRAMES[key] = _READ.get(name, lambda s, p: s.read.parquet(p))(spark, path)
         return _FRAMES[key]
 
 
@@ -139,5 +161,35 @@ def geometry_store(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     return _table(spark, sf_dir, "geometries"), _table(spark, sf_dir, "cell_index")
 
 
+def stats_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored statistics."""
+    return _table(spark, sf_dir, "stats").drop("bucket")
+
+
+def localities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored locality dictionary ``(id, name)``."""
+    return _table(spark, sf_dir, "localities")
+
+
+def merged_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 on a table of its own, from files (S4-S6): the statistics up to a year, then a later
+    delivery over them (the cities of one region, from that year on, with new values).  Merging
+    again changes nothing, so the table is kept below the shared folder."""
+    apply_conf(spark)
+    base = table_path(spark, "orbis", _input_key(spark, sf_dir), "upsert")
+    deliveries = {"names": FX.names(spark, sf_dir),
+                  "first": FX.stat_csv(spark, sf_dir).where(F.col("TIME") <= str(P.UPSERT["until"])),
+                  "later": FX.later_delivery(spark, sf_dir, P.UPSERT["region"], P.UPSERT["until"])}
+    with _LOCK:
+        if not committed(spark, f"{base}/merged"):
+            for name, rows in deliveries.items():
+                rows.write.mode("overwrite").option("header", True).csv(f"{base}/csv/{name}")
+            names = stats_files.read_names(spark, f"{base}/csv/names")
+            first, later = (stats_files.read_stat_csv(spark, f"{base}/csv/{d}") for d in ("first", "later"))
+            K.load_stats(spark, first, names, f"{base}/stats")
+            K.merge_stats(spark, f"{base}/stats", stat_facts(later, names), f"{base}/merged")
+    return K.read_stats(spark, f"{base}/stats").drop("bucket")
+
+
 def cell_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "cell_index")

@@ -5,15 +5,18 @@
 * cell index: partitioned by the first three characters of the cell, rows sorted
   by cell inside each file.  A search reads the partitions its cells lie in, and
   Parquet min/max statistics let a prefix filter (S10) skip row groups.
-* statistics: written whole; ``upsert_stats`` merges new rows over old ones
-  per (id, indicator, year), the cell-level upsert of the old store.
+* statistics: partitioned by a hash bucket of the id, sorted by indicator inside each file.
+  ``merge_stats`` puts new rows over old ones per (id, indicator, year) -- the cell-level upsert
+  of the old store -- and rewrites only the buckets that the new rows touch.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orbis.operators.statistics import bare_localities, stat_facts
+
 
 def write_geometries(geoms: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K1–K3: one table for nodes, ways and relations."""
@@ -46,9 +49,53 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(INDEX_SCHEMA).parquet(path)
 
 
-def write_stats(stats: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K5: the long statistics table."""
-    stats.write.mode(mode).parquet(path)
+STATS_BUCKETS = 16
+STATS_SCHEMA = ("id string, name string, indicator string, year int, value double, value_raw string, bucket int")
+
+
+def stats_bucket(buckets: int = STATS_BUCKETS) -> Column:
+    return F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")
+
+
+def write_stats(stats: DataFrame, path: str, mode: str = "overwrite", buckets: int = STATS_BUCKETS) -> None:
+    """K5: the long statistics table, partitioned by ``bucket`` (a hash of the id: every row of a
+    city lies in one) and sorted by indicator, so a query of one indicator skips row groups."""
+    order = [c for c in ("indicator", "id", "year") if c in stats.columns]
+    stats.withColumn("bucket", stats_bucket(buckets)).hint("rebalance", "bucket") \
+        .sortWithinPartitions("bucket", *order).write.mode(mode).partitionBy("bucket").parquet(path)
+
+
+def read_stats(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(STATS_SCHEMA).parquet(path)
+
+
+def load_stats(spark: SparkSession, stat_csv: DataFrame, names: DataFrame, path: str,
+               buckets: int = STATS_BUCKETS) -> None:
+    """E11 ``load`` + ``send``: the statistics joined to the dictionary and written, in one scan of
+    the statistics: localities without any are found from the names just written."""
+    write_stats(stat_facts(stat_csv, names), path, buckets=buckets)
+    write_stats(bare_localities(names, read_stats(spark, path)), path, "append", buckets)
+
+
+def merge_stats(spark: SparkSession, path: str, updates: DataFrame, staging: str,
+                buckets: int = STATS_BUCKETS) -> list[int]:
+    """K5: ``updates`` over the stored rows of the same key (``upsert_stats``).  Only the buckets
+    that hold an updated city are read and written; files of the others stay as they are.  The
+    merged buckets are staged first, so a job that is lost midway is run again with the same
+    result.  Returns the buckets (at most ``buckets`` numbers)."""
+    own = updates.withColumn("bucket", stats_bucket(buckets))
+    touched = sorted(r.bucket for r in own.select("bucket").distinct().collect())
+    if touched:
+        old = read_stats(spark, path).where(F.col("bucket").isin(touched))
+        write_stats(upsert_stats(old.drop("bucket"), updates), staging, buckets=buckets)
+        replace_partitions(read_stats(spark, staging), path, ["bucket"], ["bucket", "indicator", "id", "year"])
+    return touched
+
+
+def replace_partitions(rows: DataFrame, path: str, by: list[str], order: list[str]) -> None:
+    """Overwrite the partitions that ``rows`` have, and no others (dynamic partition overwrite)."""
+    rows.hint("rebalance", *by).sortWithinPartitions(*order).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
 def upsert_stats(current: DataFrame, updates: DataFrame) -> DataFrame:

@@ -239,6 +239,13 @@ def stat_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("p").alias("INDIC_UR"), value.alias("Value"))
 
 
+def later_delivery(spark: SparkSession, sf_dir: str, region: int, since: int) -> DataFrame:
+    """Statistics rows of one region's nations from the year ``since`` on, with revised values."""
+    nat = table(spark, sf_dir, "nation").where(F.col("n_regionkey") == region).select(F.col("n_name").alias("CITIES"))
+    rows = stat_csv(spark, sf_dir).where(F.col("TIME") >= str(since)).join(nat, "CITIES")
+    return rows.withColumn("Value", F.when(F.col("Value") == ":", "0,5").otherwise(F.concat(F.lit("1"), "Value")))
+
+
 # Market segments whose relations become geometry collections
 # (route, site); a nation's locality is its first such customer.
 LOCALITY_SEGMENTS = ("AUTOMOBILE", "MACHINERY")
@@ -258,6 +265,16 @@ def names(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("k").cast("string").alias("id"), F.col("n_name").alias("name"))
 
 
+def extract_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A download manifest in the form of the extract lists: one URL per nation, below its region."""
+    nat, reg = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    slug = lambda c: F.lower(F.replace(F.col(c), F.lit(" "), F.lit("-")))
+    return nat.join(reg, nat.n_regionkey == reg.r_regionkey).select(
+        (-F.col("n_nationkey") - 1).cast("long").alias("page_id"),
+        F.concat(F.lit("https://extracts.example.org/"), slug("r_name"), F.lit("/"), slug("n_name"),
+                 F.lit("-latest.osm.pbf")).alias("url"))
+
+
 def query_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One query point per supplier ``(qid, lon, lat)``."""
     s = table(spark, sf_dir, "supplier")

@@ -63,7 +63,32 @@ def test_geometry_lookup_prunes_kind_partitions(spark, stored):
     assert "dynamicpruningexpression(kind" in text
 
 
-def test_statistics_scan_reads_only_used_columns(spark):
+def scans(df) -> int:
+    return plan_of(df).count("FileScan parquet")
+
+
+def test_statistics_queries_scan_the_stored_table_once(spark):
     text = formatted(catalog.q_stat_in_range(spark, SF_SMALL))
-    assert "ReadSchema: struct<o_custkey:bigint,o_orderdate" in text
-    assert "o_totalprice" not in text
+    assert scans(catalog.q_stat_in_range(spark, SF_SMALL)) == 1 and "EqualTo(indicator," in text
+    assert "value_raw" not in text.split("ReadSchema")[1].splitlines()[0]
+    # the dictionary and the statistics, each once
+    for q in (catalog.q_multi_compare_stat, catalog.q_stats_in_range, catalog.q_stat_json):
+        assert scans(q(spark, SF_SMALL)) == 2, q.__name__
+
+
+def test_facts_are_scanned_once_when_stored(spark):
+    from orbis.operators import statistics as ST
+    from orbis.sources import fixtures as FX
+    text = plan_of(ST.stat_facts(FX.stat_csv(spark, SF_SMALL), FX.names(spark, SF_SMALL)))
+    assert text.count("orders.parquet") == 1
+
+
+def test_members_are_joined_once(spark):
+    from orbis.operators import build as B
+    from orbis.sources import fixtures as FX
+    g, _ = store.geometry_store(spark, SF_SMALL)
+    ways = g.where("kind = 'w'")
+    rels = B.build_relations(FX.relation_members(spark, SF_SMALL), FX.relation_tags(spark, SF_SMALL),
+                             FX.raw_nodes(spark, SF_SMALL), ways)
+    text = plan_of(rels)
+    assert text.count("orders.parquet") == 1 and text.count("part.parquet") == 1
