@@ -22,7 +22,7 @@ from orbis.operators import lookup as LK
 from orbis.operators import spatial as SP
 from orbis.operators import statistics as ST
 from orbis.plans import params as P
-from orbis.plans.store import cell_index, geometry_store, localities, merged_stats, region_store, stats_table
+from orbis.plans.store import cell_index, documents_path, geometry_store, localities, merged_stats, region_store, stats_table
 from orbis.session import apply_conf
 from orbis.sinks import export as EX
 from orbis.sources import fixtures as FX
@@ -354,6 +354,40 @@ def q_interpolation_geojson(spark, sf_dir):
         EX.point_features(obs, "id", "lon", "lat", "value", False))
 
 
+def _document(spark, sf_dir, name, write) -> DataFrame:
+    path = documents_path(spark, sf_dir, name)
+    write(path, f"{path}-staged")
+    return EX.read_document(spark, path).select("line")
+
+
+def q_geojson_document(spark, sf_dir):
+    """K8 as one FeatureCollection: the lines of its part files."""
+    features = q_interpolation_geojson(spark, sf_dir)
+    return _document(spark, sf_dir, "features", lambda path, staging: EX.write_features(features, path, staging))
+
+
+def q_stat_document(spark, sf_dir):
+    """K7 for E5 as one document with all passing cities."""
+    a = P.STAT_FROM_ALL
+    rows = q_stat_from_all(spark, sf_dir)
+    return _document(spark, sf_dir, "stat_from_all", lambda path, staging: EX.write_stat_from_all(
+        rows, a["indicator"], a["op"], a["threshold"], a["year"], path, staging))
+
+
+def q_range_document(spark, sf_dir):
+    """K7 for E7 as one object of all cities."""
+    lines = q_stat_json(spark, sf_dir)
+    return _document(spark, sf_dir, "ranges", lambda path, staging: EX.write_object(lines, path, staging))
+
+
+def q_compare_document(spark, sf_dir):
+    """K7 for E4 as one object: each city's values and geometry."""
+    g, _ = geometry_store(spark, sf_dir)
+    rows = ST.multi_compare_stat(stats_table(spark, sf_dir), P.MULTI_COMPARE["indicator"],
+                                 ids=localities(spark, sf_dir), geometries=g)
+    return _document(spark, sf_dir, "compare", lambda path, staging: EX.write_object(EX.compare_json(rows), path, staging))
+
+
 # ------------------------------------------------------------ statistics
 
 def q_stat_series(spark, sf_dir):
@@ -447,6 +481,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "url_regions": q_url_regions,
     "stat_json": q_stat_json,
     "interpolation_geojson": q_interpolation_geojson,
+    "geojson_document": q_geojson_document,
+    "stat_document": q_stat_document,
+    "range_document": q_range_document,
+    "compare_document": q_compare_document,
     "stat_series": q_stat_series,
     "stats_upsert": q_stats_upsert,
     "stat_maps": q_stat_maps,

@@ -737,6 +737,39 @@ city AS (
 SELECT '{{"' || name || '":' || st || '}}' AS json FROM city""")
 
 
+def _document(entries: str, order: str, head: str, tail: str) -> str:
+    """The lines of a document: head, entries with a comma before all but the first, tail."""
+    return f"""
+SELECT CASE WHEN row_number() OVER (ORDER BY {order}) = 1 THEN e ELSE ',' || e END AS line FROM ({entries})
+UNION ALL SELECT '{head}' UNION ALL SELECT '{tail}'"""
+
+
+def geojson_document() -> str:
+    return _document(f"SELECT json AS e FROM ({interpolation_geojson()})", "e", '{"type":"FeatureCollection","features":[', "]}")
+
+
+def stat_document() -> str:
+    a = P.STAT_FROM_ALL
+    head = f'{{"_1":{{"_1":"{a["indicator"]}","_2":"{a["op"]}","_3":{float(a["threshold"])},"_4":{a["year"]}}},"_2":{{'
+    return _document(f"""SELECT city AS k, '"' || city || '":' || CAST(value AS VARCHAR) AS e FROM ({stat_from_all()})""",
+                     "k, e", head, "}}")
+
+
+def range_document() -> str:
+    return _document(f"SELECT substr(json, 2, length(json) - 2) AS e FROM ({stat_json()})", "e", "{", "}")
+
+
+def compare_document() -> str:
+    a = P.MULTI_COMPARE
+    entries = f"""WITH {STATS},
+{GEOM.strip()},
+vals AS (SELECT id, string_agg(CAST(value AS VARCHAR), ',' ORDER BY year, value) AS v FROM stats
+         WHERE indicator = '{a['indicator']}' GROUP BY id)
+SELECT '"' || c.name || '":{{"_1":[' || coalesce(v.v, '') || '],' || '"_2":"' || r.wkt || '"}}' AS e
+FROM (SELECT DISTINCT id, name FROM stats) c LEFT JOIN vals v ON v.id = c.id JOIN rels r ON r.id = c.id"""
+    return _document(entries, "e", "{", "}")
+
+
 def all_sql() -> dict[str, str]:
     return {
         "nodes": nodes(),
@@ -760,6 +793,10 @@ def all_sql() -> dict[str, str]:
         "locality_first_match": locality_first_match(),
         "url_regions": url_regions(),
         "stat_json": stat_json(),
+        "geojson_document": geojson_document(),
+        "stat_document": stat_document(),
+        "range_document": range_document(),
+        "compare_document": compare_document(),
         "stat_series": stat_series(),
         "stats_upsert": stats_upsert(),
         "stat_maps": stat_maps(),

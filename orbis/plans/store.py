@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -191,5 +192,11 @@ def merged_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.read_stats(spark, f"{base}/stats").drop("bucket")
 
 
+def documents_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Where a document made from ``sf_dir`` is written: a folder for each call."""
+    apply_conf(spark)
+    return table_path(spark, "orbis", _input_key(spark, sf_dir), "documents", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
 def cell_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "cell_index")

@@ -1,6 +1,7 @@
 """Readers, lookups and sinks not reached by the registered queries
 (S2, S3, S6, S8, S9, F7 text, K1–K3, K5, K7)."""
 
+import glob
 import json
 import tempfile
 
@@ -86,8 +87,8 @@ def test_json_exports(spark):
     res = spark.createDataFrame([("r1", "Sevilla", 2010, 704.198)],
                                 "city_id string, city string, year int, value double")
     line = json.loads(EX.stat_from_all_json(res, "pop", ">", 700.0, 2010).first().json)
-    assert line == {"_1": {"name": "pop", "op": ">", "value": 700.0, "year": 2010},
-                    "_2": {"Sevilla": 704.198}}
+    # the pages read the question by position
+    assert line == {"_1": {"_1": "pop", "_2": ">", "_3": 700.0, "_4": 2010}, "_2": {"Sevilla": 704.198}}
     cmp = spark.createDataFrame([("Lund", [118.542, 0.0], "POINT (1 2)")],
                                 "city string, values array<double>, wkt string")
     assert json.loads(EX.compare_json(cmp).first().json) == \
@@ -95,3 +96,28 @@ def test_json_exports(spark):
     base = tempfile.mkdtemp(prefix="orbis-json-")
     EX.write_lines(EX.compare_json(cmp), f"{base}/out")
     assert spark.read.text(f"{base}/out").count() == 1
+
+
+def joined(path):
+    """Part files joined in name order, as a consumer would."""
+    return "".join(open(f).read() for f in sorted(glob.glob(f"{path}/part-*")))
+
+
+def test_one_document(spark):
+    base = tempfile.mkdtemp(prefix="orbis-doc-")
+    cities = {f"City {i:03d}": i / 10 for i in range(500)} | {'Quote " and \\': 1.5, "Köln": 2.0}
+    res = spark.createDataFrame([(str(i), c, 2010, v) for i, (c, v) in enumerate(cities.items())],
+                                "city_id string, city string, year int, value double").repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        EX.write_stat_from_all(res, "pop", ">", 700.0, 2010, f"{base}/e5", f"{base}/e5-staged")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(glob.glob(f"{base}/e5/part-*")) > 1
+    assert json.loads(joined(f"{base}/e5")) == {"_1": {"_1": "pop", "_2": ">", "_3": 700.0, "_4": 2010}, "_2": cities}
+    one = spark.createDataFrame([(1, 8.5, 45.5, None)] * 3 + [(2, 9.0, 45.0, 3.5)], "id int, x double, y double, v double")
+    EX.write_features(EX.point_features(one, "id", "x", "y", "v", True), f"{base}/geo", f"{base}/geo-staged")
+    doc = json.loads(joined(f"{base}/geo"))
+    assert doc["type"] == "FeatureCollection" and [f["properties"]["id"] for f in doc["features"]] == ["1", "1", "1", "2"]
+    EX.write_features(EX.point_features(one.where("id > 9"), "id", "x", "y", "v", True), f"{base}/none", f"{base}/none-staged")
+    assert json.loads(joined(f"{base}/none")) == {"type": "FeatureCollection", "features": []}
