@@ -19,11 +19,12 @@ relations whose faces must be traced go through Python (``rings.polygon_parts``,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orbis.functions import geohash as GH
 from orbis.functions import geometry as GM
+from orbis.functions.common import col_of
 from orbis.functions.parse import (NODE_PREFIX, RELATION_PREFIX, WAY_PREFIX, prefixed_id,
                                    relation_type, tag_map)
 from orbis.operators.rings import polygon_parts
@@ -190,10 +191,60 @@ def build_index(*tables: DataFrame) -> DataFrame:
     return out
 
 
+# parts that tag keys are dealt to in the tag index
+TAG_PARTS = 4
+TAG_INDEX_COLUMNS = ("key", "value", "cell", "id", "kind", "class", "minx", "miny", "maxx", "maxy")
+
+
+def tag_part(key) -> Column:
+    """The part of the tag index that holds a key (a function of the key alone, so that a search
+    for any value, or for other values, reads one part)."""
+    return F.pmod(F.xxhash64(col_of(key)), F.lit(TAG_PARTS)).cast("int")
+
+
+def build_tag_index(geoms: DataFrame) -> DataFrame:
+    """P11 + J7: ``(key, value, cell, id, kind, class, box)``, one row for each tag and cover cell of a
+    stored geometry: what a search by tag needs to know, so that it reads neither the cells of other
+    tags nor the geometry table."""
+    g = geoms.select("id", "kind", "class", "envelope.*", "cover", F.explode("tags").alias("key", "value"))
+    return GH.explode_grid(g, "cover").select(*TAG_INDEX_COLUMNS)
+
+
+# ids in one block of a posting list
+BLOCK_IDS = 1000
+
+
 def group_index(flat: DataFrame, chunks: int = 16) -> DataFrame:
     """A3 grouped form ``(cell, chunk, ids)``: sorted posting lists, keyed by cell and
     chunk.  ``chunk`` is always a hash of the id modulo ``chunks``, so a hot cell (a
-    whole city in one 3-character cell) is spread over that many groups, the shape of
-    the table does not depend on its size, and the index is read once."""
+    whole city in one 3-character cell) is spread over that many groups and the index is read
+    once; lists grow with the cell (``posting_blocks`` bounds them)."""
     salted = flat.select("cell", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int").alias("chunk"), "id")
     return salted.groupBy("cell", "chunk").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+
+
+def numbered_postings(flat: DataFrame) -> DataFrame:
+    """``(cell, id, task, at)``: index entries in the order of (cell, id), range-partitioned by
+    Spark: ``task`` counts the ranges, ``at`` the entries of a range.  To be written: the
+    numbers belong to one run of the sort."""
+    at = F.monotonically_increasing_id()
+    return flat.select("cell", "id").repartitionByRange("cell", "id").sortWithinPartitions("cell", "id") \
+        .select("cell", "id", F.spark_partition_id().alias("task"), at.bitwiseAND(F.lit((1 << 33) - 1)).alias("at"))
+
+
+def posting_blocks(numbered: DataFrame, size: int = BLOCK_IDS) -> DataFrame:
+    """A3 + E9: ``(cell, block, ids, n_ids, min_id, max_id)`` -- each cell's ids in order, cut into blocks
+    of ``size`` (the last one shorter), from written ``numbered_postings``.
+
+    A cell of any size lies in consecutive ranges of the sort.  Its counts per range (one row for each
+    cell and range, by a partial aggregate) give each range the number of ids before it, so an id's
+    place in its cell is known without bringing the cell together; only blocks are
+    grouped, and no block is larger than ``size``, however hot the cell."""
+    counts = numbered.groupBy("cell", "task").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("start"))
+    earlier = Window.partitionBy("cell").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("cell", "task", "start", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    place = F.col("before") + F.col("at") - F.col("start")
+    placed = numbered.join(offsets, ["cell", "task"]).select("cell", "id", F.floor(place / size).alias("block"))
+    return placed.groupBy("cell", "block").agg(F.array_sort(F.collect_list("id")).alias("ids")) \
+        .select("cell", "block", "ids", F.size("ids").alias("n_ids"),
+                F.get("ids", 0).alias("min_id"), F.element_at("ids", -1).alias("max_id"))

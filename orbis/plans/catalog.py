@@ -22,7 +22,7 @@ from orbis.operators import lookup as LK
 from orbis.operators import spatial as SP
 from orbis.operators import statistics as ST
 from orbis.plans import params as P
-from orbis.plans.store import cell_index, documents_path, geometry_store, localities, merged_stats, region_store, stats_table
+from orbis.plans.store import cell_index, documents_path, geometry_store, localities, merged_stats, postings, region_store, stats_table, tag_index
 from orbis.session import apply_conf
 from orbis.sinks import export as EX
 from orbis.sources import fixtures as FX
@@ -174,17 +174,17 @@ def search_points(spark, sf_dir):
 
 def q_find_by_tags(spark, sf_dir):
     """E1 for every supplier point at once: J7 + F11 + F13 + P11."""
-    g, idx = geometry_store(spark, sf_dir)
-    r = SP.find_by_tags(g, idx, search_points(spark, sf_dir), op=P.FIND_BY_TAGS["op"])
-    return r.select("qid", "id", "kind", "class")
+    g, _ = geometry_store(spark, sf_dir)
+    return SP.find_ids_by_tags(g, tag_index(spark, sf_dir), search_points(spark, sf_dir), op=P.FIND_BY_TAGS["op"])
 
 
 def q_find_by_tags_not(spark, sf_dir):
     """E1 as coded (Q1, ``!=``): geometries around every supplier point whose tag is there and differs."""
     a = P.FIND_BY_TAGS_NOT
     g, idx = geometry_store(spark, sf_dir)
-    r = SP.find_by_tags(g, idx, FX.query_points(spark, sf_dir), a["key"], a["value"], a["meters"], op=a["op"])
-    return r.select("qid", "id", "kind", "class")
+    r = SP.find_by_tags(g, idx, FX.query_points(spark, sf_dir), a["key"], a["value"], a["meters"], op=a["op"],
+                        tag_index=tag_index(spark, sf_dir))
+    return r.select("qid", "id", "kind", "class", "wkt")
 
 
 def q_find_by_stats(spark, sf_dir):
@@ -249,6 +249,12 @@ def q_cell_postings(spark, sf_dir):
     return grouped.select("cell", F.explode("ids").alias("id"))
 
 
+def q_posting_blocks(spark, sf_dir):
+    """A3 + E9 as lists: each cell's ids in blocks of bounded length, with their smallest and largest id."""
+    b = B.posting_blocks(postings(spark, sf_dir), P.POSTING_BLOCK)
+    return b.select("cell", "block", F.array_join("ids", " ").alias("ids"), "n_ids", "min_id", "max_id")
+
+
 def q_wkt_roundtrip(spark, sf_dir):
     """F8 read: every stored geometry's WKT parsed back to parts; its envelope
     and point count must be those of the geometry."""
@@ -475,6 +481,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "locality_geometries": q_locality_geometries,
     "index_prefix_scan": q_index_prefix_scan,
     "cell_postings": q_cell_postings,
+    "posting_blocks": q_posting_blocks,
     "wkt_roundtrip": q_wkt_roundtrip,
     "wkt_geojson": q_wkt_geojson,
     "locality_first_match": q_locality_first_match,

@@ -533,7 +533,9 @@ def find_by_tags() -> str:
 def find_by_tags_not() -> str:
     a = P.FIND_BY_TAGS_NOT
     pts = f"(SELECT qid, lon, lat, '{a['key']}' AS key, '{a['value']}' AS value FROM pts0)"
-    return _by_tags_sql(pts, "<>", str(a["meters"]))
+    point = f"'POINT (' || {fmt_sql('n.x')} || ' ' || {fmt_sql('n.y')} || ')'"
+    return f"""SELECT f.*, {point} AS wkt FROM ({_by_tags_sql(pts, "<>", str(a["meters"]))}) f
+JOIN (WITH {GEOM} SELECT 'n' || id AS nid, x, y FROM nodes_raw) n ON n.nid = f.id"""
 
 
 def _samples_sql(a) -> str:
@@ -626,6 +628,13 @@ def cell_postings() -> str:
     return _geom_query("SELECT cell, id FROM cell_index")
 
 
+def posting_blocks() -> str:
+    return _geom_query(f"""
+, placed AS (SELECT cell, id, (row_number() OVER (PARTITION BY cell ORDER BY id) - 1) // {P.POSTING_BLOCK} AS block FROM cell_index)
+SELECT cell, CAST(block AS BIGINT) AS block, string_agg(id, ' ' ORDER BY id) AS ids, CAST(count(*) AS INTEGER) AS n_ids,
+       min(id) AS min_id, max(id) AS max_id FROM placed GROUP BY cell, block""")
+
+
 def wkt_roundtrip() -> str:
     return _geom_query("""
 SELECT id, cls AS class, CAST(np AS BIGINT) AS n_points, minx, miny, maxx, maxy FROM ways
@@ -788,6 +797,7 @@ def all_sql() -> dict[str, str]:
         "locality_geometries": locality_geometries(),
         "index_prefix_scan": index_prefix_scan(),
         "cell_postings": cell_postings(),
+        "posting_blocks": posting_blocks(),
         "wkt_roundtrip": wkt_roundtrip(),
         "wkt_geojson": wkt_geojson(),
         "locality_first_match": locality_first_match(),

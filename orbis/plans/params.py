@@ -32,6 +32,7 @@ CLUSTERS = {"length": 3}
 # of several lengths; one extends another
 INDEX_PREFIXES = ["u0k", "u0m", "spu", "u1", "u0k7", "srb2"]
 POSTING_CHUNKS = 8
+POSTING_BLOCK = 100
 # locality search: a nation's candidate localities are its customers, in a
 # pseudo search-result order; nations of region 0 count as already resolved
 FIRST_MATCH = {"rank_mul": 7919, "rank_mod": 101, "done_region": 0}

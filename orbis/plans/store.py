@@ -26,8 +26,9 @@ from orbis.sources import osm
 from orbis.sources import stats as stats_files
 
 INGEST_TABLES = ("part", "lineitem", "orders", "customer", "nation")
+GEOMETRY_TABLES = ("geometries", "cell_index", "tag_index")
 # bump when the layout or the rules of the written tables change
-STORE_LAYOUT = "9"
+STORE_LAYOUT = "10"
 _CACHE: dict[tuple[str, str], dict[str, str]] = {}
 _LOCK = threading.Lock()
 _FRAMES: dict[tuple[str, str, str], DataFrame] = {}
@@ -55,9 +56,9 @@ def ingest(spark: SparkSession, sf_dir: str, root: str | None = None) -> dict[st
 
 def ingest_geometries(spark: SparkSession, sf_dir: str, root: str | None = None) -> dict[str, str]:
     """Nodes, ways, relations (reading the written ways back, which cuts lineage) into
-    ``geometries/kind=<n|w|r>``; then the one ``cell_index`` of every stored geometry."""
+    ``geometries/kind=<n|w|r>``; then ``cell_index`` and ``tag_index`` of every stored geometry."""
     base = root or table_path(spark, "orbis", _input_key(spark, sf_dir))
-    paths = {t: f"{base}/{t}" for t in ("geometries", "cell_index")}
+    paths = {t: f"{base}/{t}" for t in GEOMETRY_TABLES}
     write_store(spark, paths, FX.raw_nodes(spark, sf_dir), FX.way_refs(spark, sf_dir),
                 FX.way_tags(spark, sf_dir), FX.relation_members(spark, sf_dir),
                 FX.relation_tags(spark, sf_dir))
@@ -92,7 +93,7 @@ def ingest_extracts(spark: SparkSession, root: str, regions: list[str], out: str
     apply_conf(spark)
     raw = merge_extracts(spark, root, regions, out)
     nodes, ways, rels = (osm.READERS[kind](spark, raw[kind]) for kind in ("node", "way", "relation"))
-    paths = {"geometries": f"{out}/geometries", "cell_index": f"{out}/cell_index"}
+    paths = {t: f"{out}/{t}" for t in GEOMETRY_TABLES}
     write_store(spark, paths, nodes, osm.way_refs(ways), osm.way_tags(ways), osm.relation_members(rels),
                 osm.relation_tags(rels))
     return paths
@@ -125,6 +126,8 @@ def write_store(spark: SparkSession, paths: dict[str, str], raw_nodes: DataFrame
         K.write_kind(B.build_relations(members, relation_tags, raw_nodes, ways), g, "r")
     if not committed(spark, paths["cell_index"]):
         K.write_index(B.build_index(spark.read.parquet(g)), paths["cell_index"])
+    if not committed(spark, paths["tag_index"]):
+        K.write_tag_index(B.build_tag_index(spark.read.parquet(g)), paths["tag_index"])
 
 
 def use(spark: SparkSession, sf_dir: str, paths: dict[str, str]) -> None:
@@ -132,9 +135,9 @@ def use(spark: SparkSession, sf_dir: str, paths: dict[str, str]) -> None:
     _CACHE[(spark.sparkContext.applicationId, sf_dir)] = paths
 
 
-_STEPS = {"geometries": ingest_geometries, "cell_index": ingest_geometries,
+_STEPS = {**dict.fromkeys(GEOMETRY_TABLES, ingest_geometries),
           "stats": ingest_stats, "localities": ingest_stats}
-_READ = {"cell_index": K.read_index, "stats": K.read_stats}
+_READ = {"cell_index": K.read_index, "tag_index": K.read_tag_index, "stats": K.read_stats}
 
 
 def _path(spark: SparkSession, sf_dir: str, name: str) -> str:
@@ -192,6 +195,20 @@ def merged_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.read_stats(spark, f"{base}/stats").drop("bucket")
 
 
+def tag_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "tag_index")
+
+
+def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entries of the cell index in order, numbered (``build.numbered_postings``), written once."""
+    flat = cell_index(spark, sf_dir)
+    path = f"{_CACHE[(spark.sparkContext.applicationId, sf_dir)]['cell_index']}-numbered"
+    with _LOCK:
+        if not committed(spark, path):
+            B.numbered_postings(flat).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def documents_path(spark: SparkSession, sf_dir: str, name: str) -> str:
     """Where a document made from ``sf_dir`` is written: a folder for each call."""
     apply_conf(spark)

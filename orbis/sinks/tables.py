@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orbis.operators.build import tag_part
 from orbis.operators.statistics import bare_localities, stat_facts
 
 
@@ -29,19 +30,33 @@ def write_kind(geoms: DataFrame, path: str, kind: str, mode: str = "overwrite")
     geoms.drop("kind").sortWithinPartitions("id").write.mode(mode).parquet(f"{path}/kind={kind}")
 
 
-# files (and writing tasks) that one partition of the index is spread over
-INDEX_SALTS = 8
 INDEX_SCHEMA = ("cell string, id string, minx double, miny double, maxx double, maxy double, "
                 "cell3 string")
+TAG_INDEX_SCHEMA = ("key string, value string, cell string, id string, kind string, class string, minx double, "
+                    "miny double, maxx double, maxy double, tag_part int, cell3 string")
+
+
+def with_cell3(flat_index: DataFrame) -> DataFrame:
+    return flat_index.withColumn("cell3", F.left("cell", F.lit(3)))
 
 
 def write_index(flat_index: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K4 / K6: flat ``(cell, id, box)`` index in partitions ``cell3=<prefix>``.  Rows are
-    dealt out by prefix and a hash of the id, so a crowded prefix is written by several
-    tasks and no prefix is scattered over all of them."""
-    flat_index.withColumn("cell3", F.left("cell", F.lit(3))) \
-        .repartition("cell3", F.pmod(F.xxhash64("id"), F.lit(INDEX_SALTS))) \
-        .sortWithinPartitions("cell3", "cell").write.mode(mode).partitionBy("cell3").parquet(path)
+    """K4 / K6: flat ``(cell, id, box)`` index in partitions ``cell3=<prefix>``.  Spark deals the rows
+    by prefix and, from their sizes at run time, splits a crowded prefix over several
+    tasks and puts small ones together (``rebalance``)."""
+    with_cell3(flat_index).hint("rebalance", "cell3").sortWithinPartitions("cell3", "cell") \
+        .write.mode(mode).partitionBy("cell3").parquet(path)
+
+
+def write_tag_index(tag_index: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """The index by tag in partitions ``tag_part=<n>/cell3=<prefix>``, sorted by key, value and cell."""
+    with_cell3(tag_index).withColumn("tag_part", tag_part("key")).hint("rebalance", "tag_part", "cell3") \
+        .sortWithinPartitions("tag_part", "cell3", "key", "value", "cell") \
+        .write.mode(mode).partitionBy("tag_part", "cell3").parquet(path)
+
+
+def read_tag_index(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(TAG_INDEX_SCHEMA).parquet(path)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
