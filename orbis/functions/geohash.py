@@ -222,6 +222,16 @@ def explode_grid(df: DataFrame, grid: str, out: str = "cell") -> DataFrame:
     return df.withColumn(out, cell_text(z, g["L"])).drop(c, r, z)
 
 
+def with_anchor_cell(df: DataFrame, grid: str, out: str = "cell") -> DataFrame:
+    """The first cell of the cover grid column ``grid`` (that of the box's smallest corner).
+
+    Where a box lies in another one, *each* of its cells is under a cell of the outer box's cover, so
+    a search for contained geometries finds them by this one cell."""
+    g, z = F.col(grid), f"__{out}_z"
+    df = df.where(g.isNotNull()).withColumn(z, morton(g["c0"] * g["fx"], g["r0"] * g["fy"]))
+    return df.withColumn(out, cell_text(z, g["L"])).drop(z)
+
+
 @memo_expr
 def cover(env) -> Column:
     """the cells covering box column ``env`` as an array, all of length L*."""

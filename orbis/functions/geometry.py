@@ -135,6 +135,16 @@ def wkt_to_parts(text) -> Column:
     return let(wkt_to_geojson(text), read)
 
 
+@memo_expr
+def read_wkt(text) -> Column:
+    """F5 + F8 in one pass over a WKT text: ``struct<class, geojson, parts>`` with the class code of
+    its own type; all null if it is no geometry."""
+    def read(json):
+        return F.struct(F.when(json.isNotNull(), class_code(type_name(text))).alias("class"), json.alias("geojson"),
+                        F.when(json.isNotNull(), geojson_parts(json)).cast(PARTS_TYPE).alias("parts"))
+    return let(wkt_to_geojson(text), read)
+
+
 def wkt_class(text) -> Column:
     """the class code of a WKT text's type (the MULTI forms have codes of their own)."""
     return F.when(wkt_to_geojson(text).isNotNull(), class_code(type_name(text)))

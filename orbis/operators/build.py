@@ -203,11 +203,12 @@ def tag_part(key) -> Column:
 
 
 def build_tag_index(geoms: DataFrame) -> DataFrame:
-    """P11 + J7: ``(key, value, cell, id, kind, class, box)``, one row for each tag and cover cell of a
-    stored geometry: what a search by tag needs to know, so that it reads neither the cells of other
-    tags nor the geometry table."""
-    g = geoms.select("id", "kind", "class", "envelope.*", "cover", F.explode("tags").alias("key", "value"))
-    return GH.explode_grid(g, "cover").select(*TAG_INDEX_COLUMNS)
+    """P11 + J7: ``(key, value, cell, id, kind, class, box)``, one row for each tag of a stored
+    geometry, under the first cell of its cover (a contained geometry is found by any of its
+    cells, see ``with_anchor_cell``): what a search by tag needs to know, so that it reads neither the
+    cells of other tags nor the geometry table, and finds no geometry twice."""
+    g = GH.with_anchor_cell(geoms.select("id", "kind", "class", "envelope.*", "cover", "tags"), "cover")
+    return g.select(*TAG_INDEX_COLUMNS[2:], F.explode("tags").alias("key", "value")).select(*TAG_INDEX_COLUMNS)
 
 
 # ids in one block of a posting list

@@ -22,9 +22,11 @@ from orbis.operators import lookup as LK
 from orbis.operators import spatial as SP
 from orbis.operators import statistics as ST
 from orbis.plans import params as P
-from orbis.plans.store import cell_index, documents_path, geometry_store, localities, merged_stats, postings, region_store, stats_table, tag_index
+from orbis.plans.store import (cell_index, documents_path, geometry_store, grown_store, localities, merged_stats,
+                               postings, region_store, stats_table, tag_index)
 from orbis.session import apply_conf
 from orbis.sinks import export as EX
+from orbis.sinks import tables as K
 from orbis.sources import fixtures as FX
 from orbis.sources import osm
 
@@ -145,6 +147,13 @@ def q_overlapping_regions(spark, sf_dir):
     return rows.groupBy("id", "kind", "class", "wkt", "tag").agg(F.count(F.lit(1)).cast("int").alias("n_rows"))
 
 
+def q_added_region(spark, sf_dir):
+    """K4 + K6: the cell index of one extract after another one was added to it, partition by partition."""
+    flat = K.read_index(spark, grown_store(spark, sf_dir)["cell_index"])
+    return flat.groupBy("cell").agg(F.count(F.lit(1)).alias("n_ids"), F.min("id").alias("min_id"),
+                                    F.max("id").alias("max_id"), F.round(F.sum("maxx"), 6).alias("east"))
+
+
 def q_cell_index(spark, sf_dir):
     """P4 + U1 + A3 -- per cell, how many geometries and the id range.
     Counted by partial aggregation, so a hot cell never sits in one task."""
@@ -302,9 +311,7 @@ def _pick_column(values, at):
 
 def q_wkt_geojson(spark, sf_dir):
     """F5 + F8, all types and nested collections: WKT -> GeoJSON -> WKT, class code and parts."""
-    t = geometry_texts(spark, sf_dir)
-    t = t.select("k", "text", GM.wkt_class("text").alias("class"), GM.wkt_to_parts("text")["parts"].alias("parts"),
-                 CD.wkt_to_geojson("text").alias("geojson"))
+    t = geometry_texts(spark, sf_dir).select("k", GM.read_wkt("text").alias("g")).select("k", "g.*")
     n = F.aggregate("parts", F.lit(0).cast("long"), lambda acc, p: acc + F.size(p["pts"]))
     return t.select("k", "class", "geojson", CD.geojson_to_wkt("geojson").alias("wkt"),
                     F.array_join(F.transform("parts", lambda p: p["t"]), " ").alias("kinds"), n.alias("n_points"))
@@ -471,6 +478,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "relations": q_relations,
     "relation_rings": q_relation_rings,
     "overlapping_regions": q_overlapping_regions,
+    "added_region": q_added_region,
     "cell_index": q_cell_index,
     "find_by_tags": q_find_by_tags,
     "find_by_tags_not": q_find_by_tags_not,

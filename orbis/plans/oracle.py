@@ -12,7 +12,7 @@ from __future__ import annotations
 from orbis.functions.geohash import (BITS, GEOHASH_ALPHABET, MAX_CELL_LENGTH, MIN_CELL_LENGTH,
                                      lat_bits, lon_bits)
 from orbis.plans import params as P
-from orbis.plans.oracle_blocks import blocks, overlapping_regions
+from orbis.plans.oracle_blocks import added_region, blocks, overlapping_regions
 from orbis.sources import fixtures as FX
 
 # ------------------------------------------------------------------ fixtures
@@ -786,6 +786,7 @@ def all_sql() -> dict[str, str]:
         "relations": relations(),
         "relation_rings": relation_rings(),
         "overlapping_regions": overlapping_regions(),
+        "added_region": added_region(cover_ctes, geohash_sql),
         "cell_index": cell_index(),
         "find_by_tags": find_by_tags(),
         "find_by_tags_not": find_by_tags_not(),

@@ -160,3 +160,20 @@ SELECT 'w' || ({FX.BLOCK_BASE} + c * 64 + {FX.BLOCK_STREETS}), 'w', 'pl', 'POLYG
 UNION ALL
 SELECT id, 'r', 'pl', wkt, name || CASE WHEN p.c % 3 <> 0 THEN '{FX.BLOCK_MARK}' ELSE '' END, 1
 FROM block_polys p JOIN blk ON blk.c = p.c"""
+
+
+def added_region(cover_ctes, geohash_sql) -> str:
+    """The covers of all geometries of both extracts, from their boxes."""
+    return f"""WITH RECURSIVE {blocks("CASE WHEN c % 3 <> 0 THEN 1 ELSE 0 END").strip()},
+box AS (
+  SELECT 'w' || ({FX.BLOCK_BASE} + s.c * 64 + e) AS gid, least(p.x, q.x) AS minx, least(p.y, q.y) AS miny,
+         greatest(p.x, q.x) AS maxx, greatest(p.y, q.y) AS maxy
+  FROM ends s JOIN bn p ON p.c = s.c AND p.k = s.a JOIN bn q ON q.c = s.c AND q.k = s.b
+  UNION ALL
+  SELECT 'w' || ({FX.BLOCK_BASE} + c * 64 + {FX.BLOCK_STREETS}), min(x), min(y), max(x), max(y) FROM bn WHERE k >= 25 GROUP BY c
+  UNION ALL SELECT id, minx, miny, maxx, maxy FROM block_polys),
+{cover_ctes('cov', 'box').strip()},
+flat AS (
+  SELECT cell, gid AS id, maxx FROM cov_cells JOIN box USING (gid)
+  UNION ALL SELECT {geohash_sql('x', 'y')}, 'n' || ({FX.BLOCK_BASE} + c * 32), x FROM bn WHERE k = 0)
+SELECT cell, count(*) AS n_ids, min(id) AS min_id, max(id) AS max_id, round(sum(maxx), 6) AS east FROM flat GROUP BY cell"""

@@ -28,7 +28,7 @@ from orbis.sources import stats as stats_files
 INGEST_TABLES = ("part", "lineitem", "orders", "customer", "nation")
 GEOMETRY_TABLES = ("geometries", "cell_index", "tag_index")
 # bump when the layout or the rules of the written tables change
-STORE_LAYOUT = "10"
+STORE_LAYOUT = "11"
 _CACHE: dict[tuple[str, str], dict[str, str]] = {}
 _LOCK = threading.Lock()
 _FRAMES: dict[tuple[str, str, str], DataFrame] = {}
@@ -99,18 +99,95 @@ def ingest_extracts(spark: SparkSession, root: str, regions: list[str], out: str
     return paths
 
 
+def _changed(spark: SparkSession, raw: dict[str, str], new: dict[str, DataFrame], out: str) -> dict[str, DataFrame]:
+    """Ids that a delivery changes, per kind (written): its own elements, the ways that refer to its
+    nodes, the relations with any of these as members."""
+    nodes = new["node"].select("id")
+    refs = osm.way_refs(osm.read_ways(spark, raw["way"]))
+    ways = refs.join(nodes, F.col("node_id") == F.col("id"), "left_semi").select(F.col("way_id").alias("id")) \
+        .unionByName(new["way"].select("id")).distinct()
+    ways.write.mode("overwrite").parquet(f"{out}/changed/way")
+    ways = spark.read.parquet(f"{out}/changed/way")
+    below = nodes.select(F.lit("Node").alias("member_type"), F.col("id").alias("member_id")).unionByName(
+        ways.select(F.lit("Way").alias("member_type"), F.col("id").alias("member_id")))
+    members = osm.relation_members(osm.read_relations(spark, raw["relation"]))
+    rels = members.join(below, ["member_type", "member_id"], "left_semi").select(F.col("rel_id").alias("id")) \
+        .unionByName(new["relation"].select("id")).distinct()
+    rels.write.mode("overwrite").parquet(f"{out}/changed/relation")
+    return {"node": nodes, "way": ways, "relation": spark.read.parquet(f"{out}/changed/relation")}
+
+
+def add_region(spark: SparkSession, root: str, region: str, before: str, out: str) -> dict[str, str]:
+    """Another extract for a store of ``ingest_extracts`` at ``before``: the same tables as an ingest of all
+    extracts with this one last.
+
+    Raw tables and geometries are copied to ``out`` with the changed rows replaced: only ways and
+    relations that the delivery touches are assembled again.  The indexes stay where they are (K4, K6):
+    only the partitions of the cells that lose or get rows are rewritten.  Every step is a
+    written table, and a step run again after a failure gives the same result."""
+    apply_conf(spark)
+    raw = {kind: f"{out}/raw/{kind}" for kind in osm.READERS}
+    new = {kind: osm.last_wins(osm.read_regions(spark, root, [region], kind)) for kind in osm.READERS}
+    for kind, path in raw.items():
+        if not committed(spark, path):
+            old = osm.READERS[kind](spark, f"{before}/raw/{kind}").join(new[kind].select("id"), "id", "left_anti")
+            old.unionByName(new[kind]).write.mode("overwrite").parquet(path)
+    nodes, ways, rels = (osm.READERS[kind](spark, raw[kind]) for kind in ("node", "way", "relation"))
+    ids = _changed(spark, raw, new, out)
+    refs = osm.way_refs(ways).join(ids["way"].select(F.col("id").alias("way_id")), "way_id", "left_semi")
+    members = osm.relation_members(rels).join(ids["relation"].select(F.col("id").alias("rel_id")), "rel_id", "left_semi")
+    old, g, fresh = (f"{before}/geometries", f"{out}/geometries", f"{out}/changed/geometries")
+
+    def replace(kind: str, name: str, rows: DataFrame) -> None:
+        if not committed(spark, f"{g}/kind={kind}"):
+            K.write_kind(rows, fresh, kind)
+            kept = spark.read.parquet(f"{old}/kind={kind}").join(ids[name].select(F.col("id").alias("osm_id")), "osm_id", "left_anti")
+            made = spark.read.parquet(f"{fresh}/kind={kind}")
+            K.write_kind(kept.select(*made.columns).unionByName(made), g, kind)
+    replace("n", "node", B.build_nodes(nodes.join(ids["node"], "id", "left_semi")))
+    replace("w", "way", B.build_ways(refs, osm.way_tags(ways), nodes))
+    replace("r", "relation", B.build_relations(members, osm.relation_tags(rels), nodes, spark.read.parquet(f"{g}/kind=w")))
+    stored, made = spark.read.parquet(old), spark.read.parquet(fresh)
+    gone = None
+    for kind, name in (("n", "node"), ("w", "way"), ("r", "relation")):
+        own = stored.where(F.col("kind") == kind).join(ids[name].select(F.col("id").alias("osm_id")), "osm_id", "left_semi")
+        gone = own if gone is None else gone.unionByName(own)
+    K.update_index(spark, f"{before}/cell_index", gone, made, f"{out}/changed/cell_index")
+    K.update_tag_index(spark, f"{before}/tag_index", gone, made, f"{out}/changed/tag_index")
+    return {"geometries": g, "cell_index": f"{before}/cell_index", "tag_index": f"{before}/tag_index"}
+
+
+def _write_block_extracts(spark: SparkSession, sf_dir: str, base: str) -> str:
+    """The street blocks as extracts below ``base``, written once."""
+    for region, tables in FX.block_extracts(spark, sf_dir).items():
+        for kind, rows in tables.items():
+            path = osm.extract_paths(f"{base}/extracts", [region], kind)[0]
+            if not committed(spark, path):
+                rows.write.mode("overwrite").parquet(path)
+    return f"{base}/extracts"
+
+
+def grown_store(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """The first extract of the blocks ingested alone, the second one added to it."""
+    apply_conf(spark)
+    base = table_path(spark, "orbis", _input_key(spark, sf_dir), "regions")
+    first, second = FX.BLOCK_REGIONS
+    with _LOCK:
+        root = _write_block_extracts(spark, sf_dir, base)
+        ingest_extracts(spark, root, [first], f"{base}/first")
+        if not committed(spark, f"{base}/grown/done"):
+            add_region(spark, root, second, f"{base}/first", f"{base}/grown")
+            spark.range(1).write.mode("overwrite").parquet(f"{base}/grown/done")
+    return {"geometries": f"{base}/grown/geometries", **{t: f"{base}/first/{t}" for t in ("cell_index", "tag_index")}}
+
+
 def region_store(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Two overlapping extracts of the street blocks (``FX.block_extracts``), written below the shared
     folder once per input and ingested from there."""
     apply_conf(spark)
     base = table_path(spark, "orbis", _input_key(spark, sf_dir), "regions")
     with _LOCK:
-        for region, tables in FX.block_extracts(spark, sf_dir).items():
-            for kind, rows in tables.items():
-                path = osm.extract_paths(f"{base}/extracts", [region], kind)[0]
-                if not committed(spark, path):
-                    rows.write.mode("overwrite").parquet(path)
-        return ingest_extracts(spark, f"{base}/extracts", list(FX.BLOCK_REGIONS), f"{base}/store")
+        return ingest_extracts(spark, _write_block_extracts(spark, sf_dir, base), list(FX.BLOCK_REGIONS), f"{base}/store")
 
 
 def write_store(spark: SparkSession, paths: dict[str, str], raw_nodes: DataFrame, refs: DataFrame,

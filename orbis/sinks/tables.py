@@ -15,7 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbis.operators.build import tag_part
+from orbis.functions import geohash as GH
+from orbis.operators.build import build_index, build_tag_index, tag_part
 from orbis.operators.statistics import bare_localities, stat_facts
 
 
@@ -64,6 +65,49 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(INDEX_SCHEMA).parquet(path)
 
 
+def update_partitions(old: DataFrame, gone: DataFrame, new: DataFrame, path: str, by: list[str], order: list[str],
+                      touched: list, staging: str) -> None:
+    """Index maintenance (K4, K6): in the stored table ``old`` at ``path``, rows of the ids in ``gone``
+    are replaced by the rows ``new``.  ``touched`` are the partitions (rows of ``by``) that hold
+    any of them; only these are read, staged, and written over the stored ones; a partition left
+    without rows is removed.  Files of all other partitions stay as they are.  Each partition comes
+    out sorted and balanced anew, so small deliveries do not pile up small files."""
+    spark = old.sparkSession
+    if not touched:
+        return
+    at = spark.createDataFrame(touched, new.select(*by).schema)
+    parts = F.broadcast(at)                                     # at most 32 ** 3 cells per part
+    kept = old.join(parts, by, "left_semi").join(gone.select("id"), "id", "left_anti")
+    rows = kept.select(*new.columns).unionByName(new)
+    rows.hint("rebalance", *by).sortWithinPartitions(*order).write.mode("overwrite").partitionBy(*by).parquet(staging)
+    staged = spark.read.schema(rows.schema).parquet(staging)
+    replace_partitions(staged, path, by, order)
+    left = {tuple(r) for r in staged.select(*by).distinct().collect()}
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for values in {tuple(t) for t in touched} - left:
+        folder = hadoop.Path("/".join([path, *[f"{c}={v}" for c, v in zip(by, values)]]))
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def update_index(spark: SparkSession, path: str, gone: DataFrame, new: DataFrame, staging: str) -> list[str]:
+    """The cell index after geometries changed: ``gone (id, cover)`` are the stored rows that go,
+    ``new`` the geometries that come.  Returns the ``cell3`` partitions rewritten."""
+    cells = with_cell3(GH.explode_grid(gone.select("id", "cover"), "cover")).select("cell3")
+    rows = with_cell3(build_index(new))
+    touched = sorted(tuple(r) for r in cells.unionByName(rows.select("cell3")).distinct().collect())
+    update_partitions(read_index(spark, path), gone, rows, path, ["cell3"], ["cell3", "cell"], touched, staging)
+    return [t[0] for t in touched]
+
+
+def update_tag_index(spark: SparkSession, path: str, gone: DataFrame, new: DataFrame, staging: str) -> None:
+    """The tag index likewise; ``gone`` has ``tags`` too."""
+    keyed = lambda t: with_cell3(build_tag_index(t)).withColumn("tag_part", tag_part("key"))
+    by = ["tag_part", "cell3"]
+    rows = keyed(new)
+    touched = sorted(tuple(r) for r in keyed(gone).select(*by).unionByName(rows.select(*by)).distinct().collect())
+    update_partitions(read_tag_index(spark, path), gone, rows, path, by, [*by, "key", "value", "cell"], touched, staging)
+
+
 STATS_BUCKETS = 16
 STATS_SCHEMA = ("id string, name string, indicator string, year int, value double, value_raw string, bucket int")
 

@@ -1,10 +1,13 @@
 """Overlapping region extracts: every element once, the last extract wins."""
 
+import glob
+import os
 import tempfile
 
 from pyspark.sql import functions as F
 
 from orbis.plans import store
+from orbis.sinks import tables as K
 from orbis.sources import osm
 
 TAGS = "array<struct<key:string,value:string>>"
@@ -67,3 +70,46 @@ def test_only_ids_are_shuffled(spark):
     base = two_regions(spark)
     plan = osm.last_wins(osm.read_regions(spark, base, ["a", "b"], "node"))._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate(key=[id" in plan.replace("keys=", "key=") and "CartesianProduct" not in plan
+
+
+def table_rows(spark, paths):
+    g = spark.read.parquet(paths["geometries"]).select("id", "class", "wkt", F.to_json("tags").alias("tags"))
+    return [sorted(map(tuple, g.collect()))] + [
+        sorted(map(tuple, K_read(spark, paths[t]).collect()))
+        for t, K_read in (("cell_index", K.read_index), ("tag_index", K.read_tag_index))]
+
+
+def files_below(path):
+    return {f: (os.path.getmtime(f), os.path.getsize(f)) for f in glob.glob(f"{path}/**/*.parquet", recursive=True)}
+
+
+def test_added_region_equals_a_rebuild(spark):
+    base = two_regions(spark)
+    # far away, only in the first extract; and a place that the second extract moves away from
+    write_region(spark, base, "c", node=[(50, 100.0, -40.0, [("shop", "far")]), (51, 101.0, -40.0, []), (52, 60.0, 60.0, [("shop", "here")])],
+                 way=[(60, [(0, 50), (1, 51)], [("name", "far")])])
+    write_region(spark, base, "d", node=[(52, 61.5, 62.0, [("shop", "moved")])])
+    first, whole = tempfile.mkdtemp(prefix="orbis-first-"), tempfile.mkdtemp(prefix="orbis-whole-")
+    store.ingest_extracts(spark, base, ["a", "c"], first)
+    before = files_below(f"{first}/cell_index")
+    paths = store.add_region(spark, base, "b", first, tempfile.mkdtemp(prefix="orbis-out-") + "/1")
+    assert table_rows(spark, paths) == table_rows(spark, store.ingest_extracts(spark, base, ["a", "c", "b"], whole))
+    after = files_below(f"{first}/cell_index")
+    same = {f for f in before if after.get(f) == before[f]}
+    far = {f for f in before if "cell3=s0" not in f}                # what changes lies within these cells
+    assert far and far <= same and same != set(before)
+    # the only row of a cell moves: its folder goes
+    old_cell = [f for f in after if any(r.id == "n52" for r in spark.read.parquet(f).select("id").collect())]
+    out = tempfile.mkdtemp(prefix="orbis-out-") + "/2"
+    grown = store.add_region(spark, base, "d", _merged(first, paths), out)
+    assert old_cell and not any(os.path.exists(f) for f in old_cell)
+    rebuilt = store.ingest_extracts(spark, base, ["a", "c", "b", "d"], tempfile.mkdtemp(prefix="orbis-whole-"))
+    assert table_rows(spark, grown) == table_rows(spark, rebuilt)
+
+
+def _merged(first, paths):
+    """A store folder whose raw tables and geometries are the grown ones and whose indexes are the updated ones."""
+    out = os.path.dirname(paths["geometries"])
+    for name in ("cell_index", "tag_index"):
+        os.symlink(f"{first}/{name}", f"{out}/{name}")
+    return out
