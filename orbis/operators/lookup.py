@@ -15,12 +15,34 @@ from pyspark.sql import functions as F
 from orbis.functions.common import col_of
 
 
+# ids in one pushed IN list (Spark pushes longer ones as a range only), and in all of them
+PUSHED_IN, PUSHED_IDS = 10, 500
+
+
+def id_filter(ids: list[str], id_col: str = "id") -> Column:
+    """``id IN ids`` in lists short enough to be pushed to Parquet as they are."""
+    own = sorted(set(ids))
+    out = F.lit(False)
+    for at in range(0, len(own), PUSHED_IN):
+        out = out | F.col(id_col).isin(own[at:at + PUSHED_IN])
+    return out
+
+
 def get_geometries(geoms: DataFrame, ids) -> DataFrame:
     """Geometries of the given ids (a DataFrame with ``id`` or a
-    list).  Ids with no geometry simply do not come back (Q18)."""
+    list).  Ids with no geometry simply do not come back (Q18).
+
+    A list of up to ``PUSHED_IDS`` ids becomes pushed filters: the kinds of the ids select partitions
+    (an id begins with its kind), and in the stored table bloom filters skip row groups and
+    page statistics skip pages without any of them.  More ids are a join."""
     if isinstance(ids, DataFrame):
         return geoms.join(ids.select("id").distinct(), "id", "left_semi")
-    return geoms.where(F.col("id").isin(list(ids)))
+    ids = [i for i in ids if i is not None]
+    if len(ids) > PUSHED_IDS:
+        return get_geometries(geoms, geoms.sparkSession.createDataFrame([(i,) for i in ids], "id string"))
+    found = geoms.where(id_filter(ids))
+    kinds = sorted({i[:1] for i in ids})
+    return found.where(F.col("kind").isin(kinds)) if "kind" in geoms.columns else found
 
 
 def get_filtered(geoms: DataFrame, ids, predicate: Column) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from orbis.functions import codec as CD
 from orbis.functions import geohash as GH
 from orbis.functions import geometry as GM
-from orbis.functions.parse import get_stat, region_from_url, url_parent
+from orbis.functions.parse import WAY_PREFIX, get_stat, prefixed_id, region_from_url, url_parent
 from orbis.operators import build as B
 from orbis.operators import lookup as LK
 from orbis.operators import spatial as SP
@@ -232,6 +232,20 @@ def q_clusters(spark, sf_dir):
     return _density_out(SP.density(g.where(F.col("kind") == "n"), P.CLUSTERS["length"]))
 
 
+def q_radius_clusters(spark, sf_dir):
+    """Clusters of all geometries within a pixel radius, at several zoom levels."""
+    g, _ = geometry_store(spark, sf_dir)
+    c = SP.radius_clusters(g, P.RADIUS_CLUSTERS["zooms"], P.RADIUS_CLUSTERS["radius"])
+    return c.select("zoom", "gx", "gy", "n", "n_cells", F.round("x", 5).alias("x"), F.round("y", 5).alias("y"))
+
+
+def q_heat_surface(spark, sf_dir):
+    """Heat of all geometries over the pixel cells around them."""
+    g, _ = geometry_store(spark, sf_dir)
+    h = SP.heat_surface(g, P.HEAT["zooms"], P.HEAT["radius"], P.HEAT["size"])
+    return h.select("zoom", "gx", "gy", F.round("heat", 6).alias("heat"))
+
+
 # ------------------------------------------------------------ lookups, exports
 
 def q_locality_geometries(spark, sf_dir):
@@ -244,6 +258,15 @@ def q_locality_geometries(spark, sf_dir):
                     _round6(F.col("centroid.y")).alias("cy"), F.sha1("id").alias("key"))
 
 
+def q_get_filtered(spark, sf_dir):
+    """Keyed lookup with a row filter: member ways of localities that are lines, by their ids."""
+    g, _ = geometry_store(spark, sf_dir)
+    names = localities(spark, sf_dir).select(F.substring("id", 2, 20).cast("long").alias("k"))
+    own = FX.table(spark, sf_dir, "orders").join(names, F.col("o_custkey") == F.col("k"))
+    ids = own.select(prefixed_id(WAY_PREFIX, "o_orderkey").alias("id"))
+    return LK.get_filtered(g, ids, F.col("class") == "ls").select("id", "class", "wkt")
+
+
 def q_index_prefix_scan(spark, sf_dir):
     """S10 + O2: index rows under a set of cell prefixes (on a stored index
     the range bounds and the OR of prefix filters reach the Parquet scan)."""
@@ -486,6 +509,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "interpolate": q_interpolate,
     "density": q_density,
     "clusters": q_clusters,
+    "radius_clusters": q_radius_clusters,
+    "heat_surface": q_heat_surface,
+    "get_filtered": q_get_filtered,
     "locality_geometries": q_locality_geometries,
     "index_prefix_scan": q_index_prefix_scan,
     "cell_postings": q_cell_postings,

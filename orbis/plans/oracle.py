@@ -608,6 +608,47 @@ def clusters() -> str:
     return _density_sql("SELECT x, y FROM nodes_raw WHERE tagged", P.CLUSTERS["length"])
 
 
+def _pixel_cells_sql(zooms, size) -> str:
+    values = ", ".join(f"({z})" for z in zooms)
+    lat = "radians(greatest(least(cy_c, 85.05e0), -85.05e0))"
+    world = "(256.0e0 * pow(2.0e0, zoom))"
+    return f"""
+pix AS (
+  SELECT zoom, cx_c AS x, cy_c AS y, round((cx_c + 180.0e0) / 360.0e0 * {world}, 6) AS px,
+         round((0.5e0 - ln(tan({lat}) + 1.0e0 / cos({lat})) / (2 * pi())) * {world}, 6) AS py
+  FROM geoms, (VALUES {values}) z(zoom) WHERE cx_c IS NOT NULL),
+pcell AS MATERIALIZED (
+  SELECT zoom, CAST(floor(px / {float(size)}e0) AS BIGINT) AS gx, CAST(floor(py / {float(size)}e0) AS BIGINT) AS gy, count(*) AS n,
+         avg(px) AS px, avg(py) AS py, avg(x) AS x, avg(y) AS y FROM pix GROUP BY 1, 2, 3)"""
+
+
+def radius_clusters() -> str:
+    a = P.RADIUS_CLUSTERS
+    near = "b.zoom = a.zoom AND b.gx BETWEEN a.gx - 1 AND a.gx + 1 AND b.gy BETWEEN a.gy - 1 AND a.gy + 1"
+    return _geom_query(f""",{_pixel_cells_sql(a['zooms'], a['radius'])},
+head AS (
+  SELECT a.* FROM pcell a WHERE NOT EXISTS (
+    SELECT 1 FROM pcell b WHERE {near} AND (b.n > a.n OR (b.n = a.n AND (b.gx < a.gx OR (b.gx = a.gx AND b.gy < a.gy)))))),
+owner AS (
+  SELECT a.zoom, a.gx, a.gy, b.gx AS hx, b.gy AS hy FROM pcell a JOIN head b ON {near}
+   AND pow(a.px - b.px, 2.0e0) + pow(a.py - b.py, 2.0e0) <= {float(a['radius']) ** 2}e0
+  QUALIFY row_number() OVER (PARTITION BY a.zoom, a.gx, a.gy ORDER BY b.n DESC, b.gx, b.gy) = 1)
+SELECT c.zoom, coalesce(o.hx, c.gx) AS gx, coalesce(o.hy, c.gy) AS gy, CAST(sum(c.n) AS BIGINT) AS n, count(*) AS n_cells,
+       round(sum(c.x * c.n) / sum(c.n), 5) AS x, round(sum(c.y * c.n) / sum(c.n), 5) AS y
+FROM pcell c LEFT JOIN owner o ON o.zoom = c.zoom AND o.gx = c.gx AND o.gy = c.gy GROUP BY 1, 2, 3""")
+
+
+def heat_surface() -> str:
+    a = P.HEAT
+    reach = range(-int(a["radius"] // a["size"]), int(a["radius"] // a["size"]) + 1)
+    steps = ", ".join(f"({i}, {j})" for i in reach for j in reach)
+    dist = f"sqrt(CAST(i * i + j * j AS DOUBLE)) * {float(a['size'])}e0"
+    return _geom_query(f""",{_pixel_cells_sql(a['zooms'], a['size'])},
+kernel AS (SELECT i, j, round(1.0e0 - {dist} / {float(a['radius'])}e0, 6) AS w FROM (VALUES {steps}) s(i, j)
+           WHERE {dist} < {float(a['radius'])}e0)
+SELECT zoom, gx + i AS gx, gy + j AS gy, round(sum(n * w), 6) AS heat FROM pcell, kernel GROUP BY 1, 2, 3""")
+
+
 # ------------------------------------------------------------ lookups SQL
 
 def locality_geometries() -> str:
@@ -619,6 +660,13 @@ FROM names nm JOIN rels r ON r.id = 'r' || nm.id
 WHERE nm.id IS NOT NULL"""
 
 
+def get_filtered() -> str:
+    return f"""WITH {STAT_CSV.strip()},
+{GEOM.strip()}
+SELECT w.id, w.cls AS class, w.wkt FROM ways w JOIN orders o ON o.o_orderkey = w.way_id
+WHERE w.cls = 'ls' AND CAST(o.o_custkey AS VARCHAR) IN (SELECT id FROM names WHERE id IS NOT NULL)"""
+
+
 def index_prefix_scan() -> str:
     cond = " OR ".join(f"starts_with(cell, '{p}')" for p in P.INDEX_PREFIXES)
     return _geom_query(f"SELECT cell, id FROM cell_index WHERE {cond}")
@@ -795,6 +843,9 @@ def all_sql() -> dict[str, str]:
         "interpolation_geojson": interpolation_geojson(),
         "density": density(),
         "clusters": clusters(),
+        "radius_clusters": radius_clusters(),
+        "heat_surface": heat_surface(),
+        "get_filtered": get_filtered(),
         "locality_geometries": locality_geometries(),
         "index_prefix_scan": index_prefix_scan(),
         "cell_postings": cell_postings(),

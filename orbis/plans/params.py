@@ -28,6 +28,9 @@ FIND_BY_STATS = {"indicator": "3-MEDIUM", "year": 1998, "meters": 750000}
 INTERPOLATE = {"indicator": "3-MEDIUM", "year": 1998, "meters": 750000, "power": 1}
 DENSITY = {"length": 4}
 CLUSTERS = {"length": 3}
+# the pages draw clusters of 50 pixels and heat of 10
+RADIUS_CLUSTERS = {"zooms": [4, 6, 8], "radius": 50}
+HEAT = {"zooms": [5, 7], "radius": 10, "size": 4}
 
 # of several lengths; one extends another
 INDEX_PREFIXES = ["u0k", "u0m", "spu", "u1", "u0k7", "srb2"]

@@ -20,15 +20,20 @@ from orbis.operators.build import build_index, build_tag_index, tag_part
 from orbis.operators.statistics import bare_localities, stat_facts
 
 
+# an id list reaches row groups and pages: bloom filters on the id, rows sorted by it
+LOOKUP_OPTIONS = {"parquet.bloom.filter.enabled#id": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+
+
 def write_geometries(geoms: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K1–K3: one table for nodes, ways and relations."""
-    geoms.sortWithinPartitions("kind", "id").write.mode(mode).partitionBy("kind").parquet(path)
+    geoms.sortWithinPartitions("kind", "id").write.mode(mode).options(**LOOKUP_OPTIONS).partitionBy("kind").parquet(path)
 
 
 def write_kind(geoms: DataFrame, path: str, kind: str, mode: str = "overwrite") -> None:
     """K1–K3 one kind at a time, into the ``kind=<kind>`` partition folder of
     the geometry table (each step commits on its own)."""
-    geoms.drop("kind").sortWithinPartitions("id").write.mode(mode).parquet(f"{path}/kind={kind}")
+    geoms.drop("kind").sortWithinPartitions("id").write.mode(mode).options(**LOOKUP_OPTIONS) \
+        .parquet(f"{path}/kind={kind}")
 
 
 INDEX_SCHEMA = ("cell string, id string, minx double, miny double, maxx double, maxy double, "
