@@ -1,21 +1,20 @@
 r"""License scans by conditional compression (operator 3).
 
-Candidate blocks are runs of lines around licence words (found on the JVM, so only
-documents with such a word reach Python).  A block is compressed by zstandard alone and
-with each template as raw dictionary; templates are ranked by the share of bytes the
-dictionary saves, which orders equally good wordings and leaves none out.  Every template
-whose words can occur in the block with few enough edits (``places``, an exact bound) is
-judged by wording: the least number of word edits (words missing, added or changed) between the
-template and any stretch of the block, found exactly by dynamic programming and listed.
-Words that tell licences apart (numbers, and names such as ``by-nc``) are never edited, so a near
-miss does not hide the licence itself.  A licence is reported where the edits are at most
-``MAX_EDIT_SHARE`` of the template's words.
+Candidate blocks are runs of words around licence cues, ``REACH`` words to either side (found on the JVM,
+so only documents with a cue reach Python); lines play no part, so a notice may be
+wrapped in any way.  A block is compressed by zstandard alone and with each template as raw
+dictionary; templates are tried in the order of the share of bytes that their dictionary saves, and the
+first one confirmed by wording is the licence.  Wording: the least number of word edits (words missing,
+added or changed) between the template and any stretch of the block, found exactly by dynamic
+programming and listed; at most ``MAX_EDIT_SHARE`` of the template's words.  Words that
+tell licences apart (numbers, and names such as ``by-nc``) are never edited, so a near
+miss does not hide the licence itself.  Templates whose words cannot occur in the block with so few
+edits (``places``, an exact bound) are not tried; no other is left out before one is confirmed.
 
 A block may hold several licences: after one is confirmed its stretch is taken out and the
 rest of the block is scanned again.
 
-Defined results: null and empty texts have no block; very long texts are read whole,
-blocks are cut only where more than twice ``GAP`` lines have no licence word; equal ranks are
+Defined results: null and empty texts have no block; very long texts are read whole; equal ranks are
 ordered by template name; repeated rows are reported each; an empty table gives no
 rows; other columns are not read.
 """
@@ -35,10 +34,11 @@ from orbis.llm.common import doc_view, ship
 
 ship(__name__)
 
-CUE_WORDS = (r"(?i)licen[cs]e|copyright|copyleft|spdx|warrant|permission is|redistribut|"
-             r"public domain|creative commons|\bCC[ -](?:BY|0)")
-CUE = re.compile(CUE_WORDS.encode())
-GAP = 6                       # lines around a cue that belong to its block
+# words of a cue may lie on two lines
+CUE_WORDS = (r"(?i)licen[cs]e|copyright|copyleft|spdx|warrant|permission\s+(?:is|to)|redistribut|"
+             r"public\s+domain|creative\s+commons|\bCC[\s-]*(?:BY|0)")
+CUE = re.compile(CUE_WORDS)
+WORD = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
 NEVER = 1 << 30               # cost of an edit of a telling word
 STEP = 4096                   # words judged at a time; steps overlap by the longest occurrence
 MAX_EDIT_SHARE = 0.2
@@ -99,7 +99,7 @@ SCHEMA = ("line_from long, line_to long, license string, template string, saved
 
 
 def words_of(text: str) -> list[str]:
-    return re.findall(r"[a-z0-9]+(?:[.-][a-z0-9]+)*", text.lower())
+    return WORD.findall(text.lower())
 
 
 def places(template: list[str], most: int, at: dict[str, list[int]]) -> list[tuple[int, int]]:
@@ -180,26 +180,37 @@ class Compressors:
         return sorted(saved, key=lambda x: (-x[0], TEMPLATES[x[1]][0], x[1]))
 
 
-def blocks(text: bytes) -> Iterator[tuple[int, str]]:
-    """(first line, text) of the runs of lines around licence words; ``GAP`` lines before
-    and after belong to a block, since a wrapped notice has lines without such a word."""
-    lines = text.split(b"\n")
-    first = last = None
-    for i in [i for i, x in enumerate(lines) if CUE.search(x)] + [None]:
-        if first is not None and (i is None or i - last > 2 * GAP):
-            lo = max(first - GAP, 0)
-            yield lo, b"\n".join(lines[lo:last + GAP + 1]).decode("utf-8", "replace")
-            first = None
-        if i is not None:
-            first = i if first is None else first
-            last = i
+#: words before and after a cue that belong to its block: a notice with all its edits
+REACH = max(len(words_of(t)) + int(MAX_EDIT_SHARE * len(words_of(t))) for _, t in TEMPLATES)
 
 
-def scan_block(block: str, z: Compressors) -> list[tuple]:
+def blocks(text: str) -> Iterator[tuple[list[str], list[int]]]:
+    """(words, line of each word) of the runs of words around cues, counted in words alone:
+    however a notice is wrapped, all of it lies within ``REACH`` words of each of its cues."""
+    cues = [m.start() for m in CUE.finditer(text)]
+    if not cues:
+        return
+    # lower-casing may change the length of a text, so words are found in the text as it is
+    found = [(m.start(), m.group().lower()) for m in re.finditer(WORD.pattern, text, re.I | re.A)]
+    starts = np.fromiter((at for at, _ in found), np.int64, len(found))
+    ends = np.flatnonzero(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32) == ord("\n"))
+    near = np.searchsorted(starts, cues, side="right")
+    lo = np.maximum(near - 1 - REACH, 0)
+    hi = np.minimum(near + REACH, len(found))
+    first = np.flatnonzero(np.r_[True, lo[1:] > hi[:-1]])        # cues whose reaches do not meet
+    last = np.r_[first[1:], len(lo)] - 1
+    for a, b in zip(lo[first].tolist(), hi[last].tolist()):
+        if a < b:
+            yield [w for _, w in found[a:b]], np.searchsorted(ends, starts[a:b]).tolist()
+
+
+def scan_words(words: list[str], z: Compressors) -> list[tuple]:
     """(first word, last word, licence, template, saved, edits, list of edits) of each
-    confirmed licence."""
+    confirmed licence.  Templates are tried in the order of what they save the compressor; the first
+    one whose wording differences are few enough, and none of a telling word, is the licence.  Those
+    behind it are tried only if none before is confirmed, so nothing is lost by the order."""
     out = []
-    todo = [(0, words_of(block))]
+    todo = [(0, words)]
     while todo:
         base, words = todo.pop()
         if not words:
@@ -210,32 +221,34 @@ def scan_block(block: str, z: Compressors) -> list[tuple]:
         # a telling word that the block lacks would be an edit
         able = {k: found for k, t in enumerate(z.words) if z.telling[k] <= at.keys()
                 and (found := places(t, z.most[k], at))}
-        best = None
         for saved, k in z.ranked(" ".join(words), list(able)) if able else ():
-            size = len(z.words[k])
+            size, best = len(z.words[k]), None
             for start, stop in ((c, min(c + STEP + size + z.most[k], hi))
                                 for lo, hi in able[k] for c in range(lo, hi, STEP)):
                 n, lo, hi, told = edits(z.words[k], words[start:stop])
-                if n > z.most[k]:
-                    continue
-                got = (n / size, -size, -saved, k, start + lo, start + hi, n, told, saved)
-                best = got if best is None or got < best else best
-        if best is not None:
-            _, _, _, k, lo, hi, n, told, saved = best
-            out.append((base + lo, base + hi - 1, *TEMPLATES[k], saved, n, told))
-            todo += [(base, words[:lo]), (base + hi, words[hi:])]
+                if n <= z.most[k] and (best is None or (n, start + lo) < best[:2]):
+                    best = (n, start + lo, start + hi, told)
+            if best is not None:
+                n, lo, hi, told = best
+                out.append((base + lo, base + hi - 1, *TEMPLATES[k], saved, n, told))
+                todo += [(base, words[:lo]), (base + hi, words[hi:])]
+                break
     return sorted(out, key=lambda x: x[0])
 
 
+def scan_block(block: str, z: Compressors) -> list[tuple]:
+    """``scan_words`` of all words of a text."""
+    return scan_words(words_of(block), z)
+
+
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     z = Compressors()
     names = ["doc_id", *[f.split()[0] for f in SCHEMA.split(", ")]]
     for b in batches:
         own, rows = [], []
-        for i, t in enumerate(b.column(1).cast(pa.binary())):
-            for first, block in blocks(t.as_py()):
-                line_of = [first + k for k, x in enumerate(block.split("\n")) for _ in words_of(x)]
-                for lo, hi, *found in scan_block(block, z):
+        for i, t in enumerate(b.column(1)):
+            for words, line_of in blocks(t.as_py()):
+                for lo, hi, *found in scan_words(words, z):
                     own.append(i)
                     rows.append((line_of[lo], line_of[hi], *found))
         cols = list(zip(*rows)) if rows else [[]] * 7

@@ -57,6 +57,14 @@ def test_rules_against_brute_force(spark):
     assert quality_rules.quality_rules(frame(spark, [])).count() == 0
 
 
+def test_short_repeated_phrases_are_rejected(spark):
+    docs = [(1, " ".join(f"cheap pills here now w{i}" for i in range(100))), (2, prose(random.Random(1), 500)),
+            (3, " ".join(f"click here n{i}" for i in range(100))), (4, " ".join(f"go on n{i}x m{i}y k{i}z" for i in range(100)))]
+    kept = {r.doc_id: (r.base_failed, r.kept) for r in quality_rules.quality_rules(frame(spark, docs)).collect()}
+    # a third of the characters in one bigram is no reason; four of five words are
+    assert kept == {1: (False, False), 2: (False, True), 3: (False, False), 4: (False, True)}
+
+
 def test_rules_query_against_brute_force(spark):
     got = queries.QUERIES["op5_quality_rules"](spark, "/root/testdata/sf0.001").collect()
     docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
@@ -195,6 +203,47 @@ def test_licence_wording_and_edges(spark):
     assert license_scan.license_scan(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("per_line", range(1, 11))
+def test_wrapped_notices_are_found(per_line):
+    z, r = license_scan.Compressors(), random.Random(per_line)
+    for licence, wording in license_scan.TEMPLATES:
+        words = wording.split(" ")
+        lines = [" ".join(words[i:i + per_line]) for i in range(0, len(words), per_line)]
+        text = prose(r, 150) + "\n" + "\n".join(lines) + "\n" + prose(r, 150)
+        got = [x for words, line_of in license_scan.blocks(text) for x in license_scan.scan_words(words, z)]
+        assert [(x[2], x[5]) for x in got] == [(licence, 0)], wording
+
+
+def licences_brute(text, z):
+    """Every template that occurs in the whole text with few enough edits, whatever its place."""
+    words = license_scan.words_of(text)
+    return {k for k, t in enumerate(z.words) if license_scan.edits(t, words)[0] <= z.most[k]}
+
+
+def test_scan_against_brute_force(spark):
+    """A document is reported if and only if some template occurs in it; what is reported occurs."""
+    z, r = license_scan.Compressors(), random.Random(9)
+    docs = []
+    for i in range(150):
+        words = r.choice(license_scan.TEMPLATES)[1].split(" ")
+        for _ in range(r.randint(0, max(1, len(words) // 4))):
+            at = r.randrange(len(words))
+            words[at:at + 1] = r.choice([[], [word(r)], [words[at], word(r)]])
+        wide = r.randint(1, 12)
+        notice = "\n".join(" ".join(words[j:j + wide]) for j in range(0, len(words), wide))
+        docs.append((i, f"{prose(r, r.randint(0, 300))}\n{notice} {prose(r, r.randint(0, 300))}"))
+    rows = license_scan.license_scan(frame(spark, docs)).collect()
+    texts = dict(docs)
+    want = {i: licences_brute(t, z) for i, t in docs if license_scan.CUE.search(t)}
+    assert {r.doc_id for r in rows} == {i for i, found in want.items() if found}
+    number = {t: k for k, t in enumerate(license_scan.TEMPLATES)}
+    for x in rows:
+        k = number[x.license, x.template]
+        assert k in want[x.doc_id] and x.n_edits <= len(x.edits) <= 2 * x.n_edits and x.n_edits <= z.most[k]
+        lines = "\n".join(texts[x.doc_id].split("\n")[x.line_from:x.line_to + 1])
+        assert license_scan.edits(z.words[k], license_scan.words_of(lines))[0] <= x.n_edits
+
+
 @pytest.mark.parametrize("block,n,told", [("x a b c y", 0, []), ("a b", 1, ["-c"]), ("a b x y c", 1, ["-c"]),
                                           ("", 3, ["-a", "-b", "-c"])])
 def test_word_edits(block, n, told):
