@@ -24,6 +24,14 @@ def let(value: Column, fn) -> Column:
     return F.get(F.transform(F.array(value), fn), 0)
 
 
+def last_map(entries: Column, key: str) -> Column:
+    """Map of (key, value) entries; of a repeated key the last entry counts, as in a store that keeps
+    the last put (whatever ``spark.sql.mapKeyDedupPolicy`` says); entries without a key are left out."""
+    later = lambda i: F.slice(entries, i + 2, F.size(entries))
+    return F.map_from_entries(F.filter(entries, lambda e, i: e[key].isNotNull()
+                                       & ~F.exists(later(i), lambda o: o[key] == e[key])))
+
+
 def memo_expr(fn):
     """Reuse the Column an expression builder returns when it is called with
     column *names* and constants only.  Building a large expression costs

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from orbis.functions.common import col_of
+from orbis.functions.common import col_of, last_map
 
 # Geometry id prefixes by kind.
 NODE_PREFIX = "n"
@@ -58,11 +58,10 @@ def relation_type(tags) -> Column:
 
 def tag_map(tags) -> Column:
     """Tag list → ``map<string,string>`` (empty list → empty map);
-    a repeated key keeps its last value (``spark.sql.mapKeyDedupPolicy=
-    LAST_WIN``), as the old store kept the last put.  Tags live in their own
+    a repeated key keeps its last value, as the old store kept the last put.  Tags live in their own
     map, so a tag named like a metadata field cannot overwrite it (Q21)."""
     c = col_of(tags)
-    return F.when(F.size(c) > 0, F.map_from_entries(c)).otherwise(
+    return F.when(F.size(c) > 0, last_map(c, "key")).otherwise(
         F.create_map().cast("map<string,string>"))
 
 

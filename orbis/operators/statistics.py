@@ -18,6 +18,7 @@ from typing import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orbis.functions.common import last_map
 from orbis.functions.parse import RELATION_PREFIX, prefixed_id, to_double, to_int
 
 # The comparison operators a statistic filter accepts.
@@ -91,8 +92,7 @@ def stat_maps(stats: DataFrame) -> DataFrame:
     map per city, built from per-indicator partial groups."""
     per = series(stats).select(
         "id", "name", "indicator",
-        F.map_from_entries(F.transform("series", lambda s: F.struct(s["year"], s["value"])))
-        .alias("years"))
+        last_map(F.col("series"), "year").alias("years"))
     return per.groupBy("id", "name").agg(
         F.map_from_entries(_by_indicator(F.collect_list(F.struct("indicator", "years"))))
         .alias("stats"))
@@ -193,8 +193,9 @@ def range_map(stats: DataFrame, indicators: list[str], start_year: int, end_year
     empty map."""
     flat = stats_in_range(stats, indicators, start_year, end_year, ids)
     per = flat.groupBy("city_id", "city", "indicator").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(
-            F.when(F.col("year").isNotNull(), F.struct("year", "value"))))).alias("years"))
+        F.array_sort(F.collect_list(
+            F.when(F.col("year").isNotNull(), F.struct("year", "value")))).alias("years")) \
+        .withColumn("years", last_map(F.col("years"), "year"))
     return per.groupBy("city_id", "city").agg(
         F.map_from_entries(_by_indicator(F.collect_list(F.struct("indicator", "years"))))
         .alias("stats"))

@@ -24,7 +24,6 @@ from orbis.operators import statistics as ST
 from orbis.plans import params as P
 from orbis.plans.store import (cell_index, documents_path, geometry_store, grown_store, localities, merged_stats,
                                postings, region_store, stats_table, tag_index)
-from orbis.session import apply_conf
 from orbis.sinks import export as EX
 from orbis.sinks import tables as K
 from orbis.sources import fixtures as FX
@@ -35,7 +34,6 @@ class Inputs:
     """The OSM-like inputs derived from the driver tables under ``sf_dir``."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        apply_conf(spark)
         self.spark, self.sf_dir = spark, sf_dir
         self.raw_nodes = FX.raw_nodes(spark, sf_dir)
         self.refs = FX.way_refs(spark, sf_dir)

@@ -11,18 +11,14 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every plan in this package relies on.  AQE re-plans joins from
-# runtime sizes, splits skewed shuffle partitions (hot geohash cells, nodes
-# shared by many ways) and coalesces small ones.
+# Settings of the sessions made here.  The library changes none of a caller's session: it relies on
+# Spark's defaults (AQE re-plans joins from runtime sizes, splits skewed shuffle partitions and
+# coalesces small ones) and on no time zone or map policy.
 SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # tag maps built from OSM key/value lists keep the last value of a key,
-    # as a column store keeps the last put
-    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 
@@ -44,17 +40,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    apply_conf(spark)
     return spark
 
 
-def apply_conf(spark: SparkSession) -> None:
-    """Apply the settings the plans rely on (all are settings of the session, not of
-    the cluster) to a caller's session."""
-    for k, v in SESSION_CONF.items():
-        spark.conf.set(k, v)
-
-
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for materialised tables and checkpoints.
 

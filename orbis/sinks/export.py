@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orbis.functions.common import last_map
+
 
 def _comparison(indicator: str, op: str, threshold: float, year: int) -> Column:
     """What was asked, as the pages read it: name, operator, value and year by position."""
@@ -80,8 +82,8 @@ def range_json(range_map: DataFrame) -> DataFrame:
 def year_values_json(rows: DataFrame) -> DataFrame:
     """K7 for E6: one line per city, ``{city: {year: value}}``, from the rows of
     ``stat_in_range`` (a city's years are few: the group is small)."""
-    m = F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("year").cast("string"), "value"))))
-    return rows.groupBy("city").agg(m.alias("years")) \
+    m = F.array_sort(F.collect_list(F.struct(F.col("year").cast("string").alias("year"), "value")))
+    return rows.groupBy("city").agg(m.alias("years")).withColumn("years", last_map(F.col("years"), "year")) \
         .select(F.to_json(F.create_map("city", "years")).alias("json"))
 
 

@@ -24,7 +24,7 @@ NAMES_SCHEMA = T.StructType([
 ])
 
 
-def _read_named(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _read_named(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """A headed CSV read by column *name*, all text; other columns are not kept.
     Raises if a column is missing, or if the files under ``path`` have different
     headers (Spark reads a folder by its first file's)."""
@@ -37,7 +37,7 @@ def _read_named(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
                       F.col("_metadata.file_path").alias("source_file"))
 
 
-def read_stat_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_stat_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """S4 + S5: all statistic files under ``path``, all columns as text, with the
     file each row came from."""
     return _read_named(spark, path, STAT_CSV_SCHEMA)

@@ -34,6 +34,19 @@ def test_stat_stream_upserts(spark):
     assert got == {"r1": 118.542, "r2": 73.591}
 
 
+def test_stat_stream_reads_columns_by_name(spark):
+    base = tempfile.mkdtemp(prefix="orbis-stream-")
+    src, out, ck = f"{base}/in", f"{base}/out", f"{base}/ck"
+    os.makedirs(src)
+    names = spark.createDataFrame([("1", "Lund"), ("2", "Rubí")], "id string, name string")
+    _write_csv(f"{src}/a.csv", [("2010", "Lund", "pop", "118,542")])
+    with open(f"{src}/b.csv", "w") as f:
+        f.write('Value,INDIC_UR,flag,CITIES,TIME\n"73,591",pop,e,Rubí,2011\n')
+    start_stat_stream(spark, src, names, out, ck).awaitTermination()
+    got = {(r.id, r.year): (r.indicator, r.value) for r in latest_stats(spark, out).collect()}
+    assert got == {("r1", 2010): ("pop", 118.542), ("r2", 2011): ("pop", 73.591)}
+
+
 def test_stat_csv_directory_reads_all_files(spark):
     base = tempfile.mkdtemp(prefix="orbis-csv-")
     _write_csv(f"{base}/one.csv", [("2010", "A", "x", "1")])
