@@ -28,26 +28,43 @@ BUCKETS = 4096
 NGRAMS = (3, 4, 5)
 THRESHOLD = 0.5
 
-# Labelled urls: the words of a blocked or an allowed address, spread over a few
-# address forms.  1: block.
-BLOCKED_WORDS = ["casino", "poker", "slots", "betting", "jackpot", "xxx", "porn",
-                 "adult", "escort", "viagra", "pills", "replica", "warez", "torrent",
-                 "crack", "malware", "phishing", "free-money", "loans", "spam"]
-ALLOWED_WORDS = ["news", "library", "museum", "school", "university", "docs", "wiki", "journal",
-                 "garden", "recipes", "weather", "history", "science", "music", "travel",
-                 "community", "health", "books", "sports", "gallery", "paper", "photo"]
-# most addresses are harmless: names of no meaning, made by rule
-ALLOWED_WORDS += [a + b for a in ("lan", "mar", "per", "sol", "tor", "vin", "wes", "bel")
-                  for b in ("ander", "ison", "ette", "ing", "ora", "ster", "ville", "ware")]
-FORMS = ["https://www.{w}.example.com/en/{i}", "http://{w}.example.org/de/{i}.html",
-         "https://blog.{w}.example.net/fr/{i}?page=2", "http://m.example.org/{w}/{i}"]
+# Labelled urls are made by rule from general words, each beside words that belong to both labels
+# and so tell nothing.  1: block.
+BLOCKED_WORDS = ["casino", "poker", "slots", "roulette", "betting", "bets", "jackpot", "lottery", "xxx", "porn", "adult",
+                 "sex", "escort", "viagra", "pills", "pharma", "replica", "cheap", "free", "warez", "torrent", "crack",
+                 "keygen", "malware", "phishing", "spam", "ads", "adserver", "popup", "track", "tracker", "clicks",
+                 "loans", "payday", "prize", "bonus"]
+ALLOWED_WORDS = ["news", "library", "museum", "school", "university", "docs", "wiki", "journal", "garden", "recipes",
+                 "weather", "history", "science", "music", "travel", "community", "health", "books", "sports",
+                 "gallery", "paper", "photo", "council", "theatre", "railway", "hospital", "forest", "bakery",
+                 # harmless words that look like parts of the others
+                 "freedom", "freight", "cheaper-by-rail", "alphabets", "roads", "headset", "adsorption", "racetrack",
+                 "tractor", "adulthood", "essex", "caspian", "pillar", "sparrow", "loanword", "bonnet"]
+OTHER_WORDS = ["", "online", "royal", "club", "live", "now", "zone", "hub", "store", "king", "world", "city", "plus"]
+# most addresses are harmless: names of no meaning, made of two or three syllables
+SYLLABLES = ["an", "bel", "cor", "den", "est", "fi", "gar", "hal", "in", "jo", "ka", "lor", "mer", "no", "or", "pel",
+             "qui", "ren", "so", "ti", "ul", "ver", "wen", "ya", "zo"]
+HOSTS = ["{w}.example.com", "www.{w}.com", "{w}.example.org", "blog.{w}.example.net", "m.{w}.net", "{w}.org",
+         "shop.{w}.example.com", "cdn.{w}.net", "news.{w}.example.org", "{w}.co.uk", "www.{w}.example.net"]
+PATHS = ["/en/{i}", "/de/{i}.html", "/fr/{i}/", "/es/{i}", "/", "/index.html", "/{i}/about", "/post/{i}", "/{i}"]
+
+
+def host_names() -> list[tuple[str, int]]:
+    """(name, label): words of both labels, alone and beside others, and names of no meaning."""
+    out = [(f"{w}{j}{x}" if x else w, label) for label, words in ((1, BLOCKED_WORDS), (0, ALLOWED_WORDS))
+           for w in words for x in OTHER_WORDS for j in (("-", "") if x else ("",))]
+    out += [(f"{x}-{w}", label) for label, words in ((1, BLOCKED_WORDS), (0, ALLOWED_WORDS))
+            for w in words for x in OTHER_WORDS if x]
+    n = len(SYLLABLES)
+    out += [(a + b, 0) for a in SYLLABLES for b in SYLLABLES if a != b]
+    out += [(SYLLABLES[i] + SYLLABLES[(7 * i + j) % n] + SYLLABLES[(3 * j + i) % n], 0) for i in range(n) for j in range(n)]
+    return out
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """``(url, label)``: every word in every address form, label 1 for block."""
-    rows = [(f.format(w=w, i=37 * k + 100 * n), label)
-            for label, words in ((1, BLOCKED_WORDS), (0, ALLOWED_WORDS))
-            for k, w in enumerate(words) for n, f in enumerate(FORMS)]
+    """``(url, label)``: every host name in two forms of address."""
+    rows = [(f"https://{HOSTS[(k + 5 * n) % len(HOSTS)].format(w=w)}{PATHS[(3 * k + n) % len(PATHS)].format(i=37 * k % 9973)}", label)
+            for k, (w, label) in enumerate(host_names()) for n in (0, 1)]
     return spark.createDataFrame(rows, "url string, label int")
 
 
