@@ -14,6 +14,8 @@ the corpus end here: none of their windows can repeat.
 128 bits of hashes; one that occurs twice or more is removed whole, and one occurrence
 stands for it from here on.  Equal contexts of an Arrow batch are one row with a list of
 places as soon as they are found; across batches they are counted by map-side aggregation.
+The places of the contexts that go meet again batch by batch (a batch bounds the
+group) and leave as the runs they cover in each document, not one by one.
 
 *Sorting and induction.*  What is left -- contexts that differ although they share their
 gram, at the borders of repeats -- is sorted as suffixes.  Spark's external sorter (runs on
@@ -125,12 +127,16 @@ def _blocks(texts: pa.Array, length: int) -> Iterator[list[tuple[int, int, bytes
 def _samples(length: int, gram: int):
     """mapInArrow (doc_id, text, version): one row for each different context of an Arrow
     batch, with the list of its places there.  A batch bounds the list; a context that
-    all documents share is one row per batch from the start."""
+    all documents share is one row per batch from the start.  ``row`` of a place is its
+    document's row in the batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
         from xxhash import xxh3_64_intdigest
         tables = _tables(2 * BLOCK_BYTES + length)
         drop_caches()
-        for b in batches:
+        task = TaskContext.get()
+        first_batch = (task.partitionId() if task else 0) << 32
+        for number, b in enumerate(batches, first_batch):
             release_memory()
             found = []
             for pieces in _blocks(b.column(1).cast(pa.binary()), length):
@@ -154,11 +160,41 @@ def _samples(length: int, gram: int):
             first = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (names[1:] != names[:-1])])
             rows = pa.array(row)
             places = pa.StructArray.from_arrays(
-                [b.column(0).take(rows), b.column(2).take(rows), pa.array(lo)], names=["doc_id", "version", "lo"])
+                [b.column(0).take(rows), b.column(2).take(rows), pa.array(lo), pa.array(row.astype(np.int32))],
+                names=["doc_id", "version", "lo", "row"])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h[first]), pa.array(names[first]), pa.array(span[first]), pa.array(left[first]),
+                [pa.array(np.full(len(first), number)), pa.array(h[first]), pa.array(names[first]),
+                 pa.array(span[first]), pa.array(left[first]),
                  pa.ListArray.from_arrays(pa.array(np.r_[first, len(h)].astype(np.int32)), places)],
-                names=["gram", "name", "span", "left", "places"])
+                names=["batch", "gram", "name", "span", "left", "places"])
+    return run
+
+
+def _runs(length: int):
+    """mapInArrow (found): a batch's contexts that go, with their places.  One row for
+    each run of bytes that they cover in a document."""
+    def of_batch(found: pa.Array) -> pa.RecordBatch:
+        lists = found.field("places")
+        places = lists.flatten()
+        span = np.repeat(found.field("span").to_numpy(zero_copy_only=False).astype(np.int64),
+                         lists.value_lengths().to_numpy(zero_copy_only=False))
+        start = places.field("lo").to_numpy(zero_copy_only=False).astype(np.int64)
+        row = places.field("row").to_numpy(zero_copy_only=False)
+        order = np.lexsort((start, row))
+        start, row, end = start[order], row[order], (start + span + length)[order]
+        # a later start never has an earlier end within a context, but contexts may overlap
+        reach = np.maximum.accumulate(end + row.astype(np.int64) * (1 << 32)) - row.astype(np.int64) * (1 << 32)
+        first = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (start[1:] > reach[:-1])])
+        last = np.r_[first[1:], len(row)] - 1
+        own = pa.array(order[first])
+        return pa.RecordBatch.from_arrays(
+            [places.field("doc_id").take(own), places.field("version").take(own),
+             pa.array(start[first]), pa.array(reach[last])], names=["doc_id", "version", "s", "e"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(b.num_rows):
+                yield of_batch(b.column(0).slice(k, 1).flatten())
     return run
 
 
@@ -329,8 +365,9 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     whose union is all that is to be removed."""
     kind = dict(rows.dtypes)["doc_id"]
     samples = written(rows.mapInArrow(_samples(length, gram),
-                                      "gram long, name long, span short, left short, "
-                                      f"places array<struct<doc_id {kind}, version long, lo int>>"), "op8-samples")
+                                      "batch long, gram long, name long, span short, left short, "
+                                      f"places array<struct<doc_id {kind}, version long, lo int, row int>>"),
+                      "op8-samples")
     # written, so that the join below has plain shuffles on both sides: AQE can split a hot gram
     n = F.sum(F.size("places"))
     twice = written(samples.groupBy("gram").agg(n.alias("n")).where("n > 1").select("gram"), "op8-twice")
@@ -341,11 +378,11 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
                      at["version"].alias("version"), at["lo"].alias("lo"), "span", "left")
     contexts = written(shared.groupBy("gram", "name").agg(n.alias("n"), F.min(place).alias("at")),
                        "op8-contexts")
+    spans = f"doc_id {kind}, version long, s long, e long"
     # joined by (batch, context), not by place: a context of many places stays one row
     whole = shared.join(contexts.where("n > 1").select("gram", "name"), ["gram", "name"], "left_semi") \
-        .select("span", F.explode("places").alias("p")) \
-        .select("p.doc_id", "p.version", F.col("p.lo").cast("long").alias("s"),
-                (F.col("p.lo") + F.col("span") + length).cast("long").alias("e"))
+        .groupBy("batch").agg(F.collect_list(F.struct("span", "places")).alias("found")) \
+        .select("found").mapInArrow(_runs(length), spans)
 
     mixed = contexts.groupBy("gram").agg(F.count("*").alias("n_contexts"),
                                          F.min("n").alias("least")) \
@@ -369,7 +406,6 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
 
     ordered = cut.where(~F.col("hot")).drop("hot").repartition(shuffle_width(rows.sparkSession), "gram") \
         .sortWithinPartitions("gram", "right")
-    spans = f"doc_id {kind}, version long, s long, e long"
     induced = ordered.mapInArrow(_induced(length), spans)
 
     windows = cut.where("hot").mapInArrow(_window_names(length),
