@@ -33,6 +33,12 @@ def _replace(text: Column, *rules: tuple[str, str]) -> Column:
     return text
 
 
+def _where(text: Column, word: str, rewrite) -> Column:
+    """``rewrite(text)`` where the text contains ``word`` (bound once), the text itself elsewhere: rules that
+    cannot match are not tried."""
+    return let(text, lambda t: F.when(t.contains(word), rewrite(t)).otherwise(t))
+
+
 def _each_level(text: Column, name: str, pattern: str, by: str) -> Column:
     """The rule once for every time that ``name`` occurs, innermost levels first."""
     n = F.size(F.split(text, name)) - 1
@@ -46,8 +52,9 @@ def _body(text: Column) -> Column:
     t = F.upper(F.trim(F.regexp_replace(text, r"^\s*SRID\s*=\s*[0-9]+\s*;", "")))
     return _replace(
         t, (rf"(?<![0-9A-Z.])({_NUM}(?:\s+{_NUM})+)(?![0-9A-Z.])", "[$1]"), (r"(?<=[0-9.])\s+(?=[-+.0-9])", ","),
-        (r"([\[,])\+", "$1"), (r"([\[,]-?)\.", "$10."), (r"\.(?=[\],E])", ".0"), (r"([\[,]-?)0+(?=[0-9])", "$1"),
-        (r"(MULTIPOINT\s*\(\s*|\G\s*,\s*)\(\s*(\[[^\]]*\])\s*\)", "$1$2"))
+        (r"([\[,])\+", "$1"), (r"([\[,]-?)\.", "$10."), (r"\.(?=[\],E])", ".0"), (r"([\[,]-?)0+(?=[0-9])", "$1"))
+    return _where(t, "MULTIPOINT", lambda m: F.regexp_replace(
+        m, r"(MULTIPOINT\s*\(\s*|\G\s*,\s*)\(\s*(\[[^\]]*\])\s*\)", "$1$2"))
 
 
 def _is_geometry(body: Column) -> Column:
@@ -66,11 +73,14 @@ def _geojson_of(body: Column) -> Column:
     t = body
     for _ in range(3):                                     # no simple type nests deeper
         t = F.regexp_replace(t, rf"\(\s*({_LISTS})\s*\)", "[$1]")
-    t = _replace(t, (rf"(?<![A-Z])POINT\s*Z?\s*\[(\[[^\]]*\])\]", '{"type":"Point","coordinates":$1}'))
+    t = _where(t, "POINT", lambda p: F.regexp_replace(
+        p, r"(?<![A-Z])POINT\s*Z?\s*\[(\[[^\]]*\])\]", '{"type":"Point","coordinates":$1}'))
     for name, json in SIMPLE.items():
-        t = _replace(t, (rf"(?<![A-Z]){name}\s+EMPTY", f'{{"type":"{json}","coordinates":[]}}'),
-                     (rf"(?<![A-Z]){name}\s*Z?\s*({_LISTS})", f'{{"type":"{json}","coordinates":$1}}'))
-    t = _replace(t, (rf"{COLLECTION[0]}\s+EMPTY", f'{{"type":"{COLLECTION[1]}","geometries":[]}}'))
+        t = _where(t, name, lambda own, name=name, json=json: _replace(
+            own, (rf"(?<![A-Z]){name}\s+EMPTY", f'{{"type":"{json}","coordinates":[]}}'),
+            (rf"(?<![A-Z]){name}\s*Z?\s*({_LISTS})", f'{{"type":"{json}","coordinates":$1}}')))
+    t = _where(t, COLLECTION[0], lambda c: F.regexp_replace(
+        c, rf"{COLLECTION[0]}\s+EMPTY", f'{{"type":"{COLLECTION[1]}","geometries":[]}}'))
     t = _each_level(t, COLLECTION[0], rf"{COLLECTION[0]}\s*\(([^()]*)\)", f'{{"type":"{COLLECTION[1]}","geometries":[$1]}}')
     return F.regexp_replace(t, r"\s+", "")
 
@@ -92,8 +102,9 @@ def _wkt_of(json: Column) -> Column:
                  (r',?"bbox":\[[^\]]*\]', ""), (r"\{,", "{"))
     coords = r'(\[[^{}"]*\])'
     for name, kind in SIMPLE.items():
-        for pattern in (rf'\{{"type":"{kind}","coordinates":{coords}\}}', rf'\{{"coordinates":{coords},"type":"{kind}"\}}'):
-            t = F.regexp_replace(t, pattern, f"{name} $1")
+        t = _where(t, f'"{kind}"', lambda own, name=name, kind=kind: _replace(own, *[
+            (pattern, f"{name} $1") for pattern in (rf'\{{"type":"{kind}","coordinates":{coords}\}}',
+                                                    rf'\{{"coordinates":{coords},"type":"{kind}"\}}')]))
     t = _replace(t, (r"\[([-+0-9.eE,]+)\]", "<$1>"), (r",(?=[^<>]*>)", " "), (r"([A-Z]) \[\]", "$1 EMPTY"),
                  (r"(?<![A-Z])POINT \[", "?"), (r"(?<![A-Z])POINT <([^>]*)>", "POINT ($1)"), (r"[<>]", ""), (r"([0-9])\.0+(?=[\s,)\]])", "$1"))
     # coordinate lists follow a type; what stays in brackets are the lists of collections
