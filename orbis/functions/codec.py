@@ -50,7 +50,7 @@ def _body(text: Column) -> Column:
     """Upper case, without the reference system; numbers in the form JSON has; tuples as ``[x,y]``;
     points of a MULTIPOINT without parentheses of their own."""
     t = F.upper(F.trim(F.regexp_replace(text, r"^\s*SRID\s*=\s*[0-9]+\s*;", "")))
-    return _replace(
+    t = _replace(
         t, (rf"(?<![0-9A-Z.])({_NUM}(?:\s+{_NUM})+)(?![0-9A-Z.])", "[$1]"), (r"(?<=[0-9.])\s+(?=[-+.0-9])", ","),
         (r"([\[,])\+", "$1"), (r"([\[,]-?)\.", "$10."), (r"\.(?=[\],E])", ".0"), (r"([\[,]-?)0+(?=[0-9])", "$1"))
     return _where(t, "MULTIPOINT", lambda m: F.regexp_replace(
