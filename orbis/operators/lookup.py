@@ -17,6 +17,8 @@ from orbis.functions.common import col_of
 
 # ids in one pushed IN list (Spark pushes longer ones as a range only), and in all of them
 PUSHED_IN, PUSHED_IDS = 10, 500
+# ids of a DataFrame that are broadcast to the geometries
+BROADCAST_IDS = 10_000
 
 
 def id_filter(ids: list[str], id_col: str = "id") -> Column:
@@ -34,9 +36,18 @@ def get_geometries(geoms: DataFrame, ids) -> DataFrame:
 
     A list of up to ``PUSHED_IDS`` ids becomes pushed filters: the kinds of the ids select partitions
     (an id begins with its kind), and in the stored table bloom filters skip row groups and
-    page statistics skip pages without any of them.  More ids are a join."""
+    page statistics skip pages without any of them.  More ids are a join.
+
+    The ids of a DataFrame are read first, up to ``BROADCAST_IDS``: a join is planned by the size of the
+    tables it comes from, so a few ids would make the whole geometry table pass a shuffle."""
     if isinstance(ids, DataFrame):
-        return geoms.join(ids.select("id").distinct(), "id", "left_semi")
+        own = ids.select("id").where(F.col("id").isNotNull()).distinct()
+        few = [r.id for r in own.limit(BROADCAST_IDS + 1).collect()]
+        if len(few) > BROADCAST_IDS:
+            return geoms.join(own, "id", "left_semi")
+        if "kind" in geoms.columns and own.schema["id"].dataType.typeName() == "string":
+            geoms = geoms.where(F.col("kind").isin(sorted({i[:1] for i in few})))
+        return geoms.join(F.broadcast(geoms.sparkSession.createDataFrame([(i,) for i in few], own.schema)), "id", "left_semi")
     ids = [i for i in ids if i is not None]
     if len(ids) > PUSHED_IDS:
         return get_geometries(geoms, geoms.sparkSession.createDataFrame([(i,) for i in ids], "id string"))
