@@ -87,3 +87,13 @@ def test_staged_cover_is_the_cover_f15(spark):
     rows = GH.with_cover_grid(e, "envelope").withColumn("want", GH.cover_grid_of("envelope"))
     assert rows.columns == ["envelope", "cover", "want"] and rows.where("envelope IS NULL").count() > 0
     assert rows.where(~F.col("cover").eqNullSafe(F.col("want"))).count() == 0
+
+
+def test_a_region_is_sought_from_its_segment_f20_f21(spark):
+    paths = ["file:/a/b/north/north.pbf.node.parquet/part-0.parquet", "north.pbf.way.parquet", "/x.pbf.y.pbf.node.parquet/p",
+             "/r/a b.pbf.node.parquet/q.pbf.way.parquet", "/r/north.pbf/node.parquet", "/.pbf.node.parquet/p", ""]
+    d = spark.createDataFrame([(p,) for p in paths], "p string")
+    rows = d.select(F.regexp_extract("p", osm.REGION_PATTERN, 1).alias("got"),
+                    F.regexp_extract("p", r"([^/]+)\.pbf\.[a-z]+\.parquet", 1).alias("want")).collect()
+    assert [r.got for r in rows] == [r.want for r in rows] == ["north", "north", "x.pbf.y", "a b", "", "", ""]
+    assert osm.REGION_PATTERN.startswith("(?:^|/)")
