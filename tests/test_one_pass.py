@@ -84,6 +84,7 @@ def test_staged_cover_is_the_cover_f15(spark):
                                 F.pow(F.lit(10.0), F.rand(6) * 9 - 7).alias("d")) \
         .select(F.when(F.col("d") < 50, F.struct(F.col("x").alias("minx"), F.col("y").alias("miny"), F.least(F.col("x") + F.col("d"), F.lit(180.0))
                                                  .alias("maxx"), F.least(F.col("y") + F.col("d"), F.lit(90.0)).alias("maxy"))).alias("envelope"))
+    e = spark.createDataFrame(e.collect(), e.schema)
     rows = GH.with_cover_grid(e, "envelope").withColumn("want", GH.cover_grid_of("envelope"))
     assert rows.columns == ["envelope", "cover", "want"] and rows.where("envelope IS NULL").count() > 0
     assert rows.where(~F.col("cover").eqNullSafe(F.col("want"))).count() == 0
